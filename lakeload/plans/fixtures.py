@@ -7,6 +7,8 @@ same expressions.
 
 from __future__ import annotations
 
+import datetime as _dt
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -72,3 +74,77 @@ ORDERS_SCHEMA_JSON = {"schema": [
     {"name": "o_orderdate", "dataType": "DATETIME"},
     {"name": "o_orderpriority", "dataType": "STRING"},
 ]}
+
+
+# ---------------------------------------------------------------- job catalog shapes
+# customer -> jobs and job details, orders -> dependencies, nation -> servers and
+# systems, region -> logic modules. The SQL twins live in registry.CATALOG_SQL.
+
+CHAIN = "BUILDING"
+
+
+def jobs(customer: DataFrame) -> DataFrame:
+    k = F.col("c_custkey")
+    return customer.select(
+        k.alias("job_key"), F.col("c_name").alias("job_name"),
+        F.col("c_nationkey").alias("application_system_key"),
+        (F.col("c_nationkey") % 5).alias("logic_module_key"),
+        F.when(k % 3 == 0, F.lit(15)).otherwise(F.lit(30)).alias("job_frequency_code"),
+        F.when(F.col("c_acctbal") >= 0, F.lit("Y")).otherwise(F.lit("N")).alias("is_active"),
+        F.when(k % 17 == 0, F.lit("Y")).otherwise(F.lit("N")).alias("is_skip"),
+        F.when(k % 19 == 0, F.lit("Y")).otherwise(F.lit("N")).alias("is_hold"),
+        F.col("c_mktsegment").alias("scheduler_chain_name"),
+        F.lower("c_name").alias("scheduler_job_name"),
+        F.concat(F.lit('{"catch_up": "'), F.when(k % 2 == 0, F.lit("true")).otherwise(F.lit("false")),
+                 F.lit('", "owner": {"id": '), k.cast("string"), F.lit("}}")).alias("job_attributes"))
+
+
+def dependencies(orders: DataFrame) -> DataFrame:
+    return orders.select(
+        F.col("o_custkey").alias("job_key"), F.col("o_orderkey").alias("related_job_key"),
+        F.when(F.col("o_orderstatus") == "F", F.lit("Y")).otherwise(F.lit("N")).alias("is_active"))
+
+
+def details(customer: DataFrame) -> DataFrame:
+    return customer.select(
+        F.col("c_custkey").alias("job_key"), (F.col("c_custkey") * 10).alias("data_entity_key"),
+        F.col("c_nationkey").alias("source_application_server_key"),
+        ((F.col("c_nationkey") + 1) % 25).alias("target_application_server_key"))
+
+
+def servers(nation: DataFrame) -> DataFrame:
+    return nation.select(
+        F.col("n_nationkey").alias("application_server_key"),
+        F.concat(F.lit('{"server": "'), F.col("n_name"), F.lit('"}')).alias("server_attributes"),
+        F.when(F.col("n_nationkey") % 10 == 3, F.lit("N")).otherwise(F.lit("Y")).alias("is_active"))
+
+
+def logic_modules(region: DataFrame) -> DataFrame:
+    r = F.col("r_regionkey")
+    return region.select(
+        r.alias("logic_module_key"),
+        F.when(r % 2 == 0, F.lit("spark")).otherwise(F.lit("script")).alias("logic_module_type_code"),
+        F.concat(F.lit('{"runtime_in_ms_enabled": "'), F.when(r == 1, F.lit("false")).otherwise(F.lit("true")),
+                 F.lit('"}')).alias("logic_body"))
+
+
+def systems(nation: DataFrame) -> DataFrame:
+    return nation.select(
+        F.col("n_nationkey").alias("application_system_key"),
+        F.concat(F.lit('{"region": '), F.col("n_regionkey").cast("string"), F.lit("}")).alias("system_attributes"),
+        F.when(F.col("n_regionkey") == 4, F.lit("N")).otherwise(F.lit("Y")).alias("is_active"))
+
+
+def epoch_ms(ts_ntz):
+    """UTC wall clock (timestamp_ntz) -> epoch milliseconds, zone-free."""
+    return F.timestamp_diff("MILLISECOND", F.lit(_dt.datetime(1970, 1, 1)).cast("timestamp_ntz"), ts_ntz)
+
+
+def run_stats(events: DataFrame) -> DataFrame:
+    """events -> run history: purchase = COMMITTED, error = FAILED, else the type."""
+    et = F.col("event_type")
+    return events.select(
+        F.col("user_id").alias("job_key"), epoch_ms(F.col("ts")).alias("job_runtime_ms"),
+        F.when(et == "purchase", F.lit("COMMITTED")).when(et == "error", F.lit("FAILED"))
+        .otherwise(F.upper(et)).alias("job_status_code"),
+        F.col("event_id").alias("job_run_sequence"))

@@ -12,7 +12,7 @@ from typing import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import audit, dedup, merge, project
+from ..operators import audit, dedup, joins, merge, project
 from ..spec import TableSpec
 from . import fixtures as fx
 from .upsert import incremental_merge, source_slice
@@ -320,3 +320,255 @@ def a7_audit_tables(spark, sf):
         audit.AuditTable("orders", orders, fx.orders_snapshot(orders), fx.ORDERS_KEYS, hist),
         audit.AuditTable("lineitem", fx.read(spark, sf, "lineitem"), None, fx.LINE_KEYS),
     ])
+
+
+# ---------------------------------------------------------------- J1-J5
+
+CATALOG_SQL = """
+jobs AS (SELECT c_custkey AS job_key, c_name AS job_name, c_nationkey AS application_system_key,
+    c_nationkey % 5 AS logic_module_key,
+    CASE WHEN c_custkey % 3 = 0 THEN 15 ELSE 30 END AS job_frequency_code,
+    CASE WHEN c_acctbal >= 0 THEN 'Y' ELSE 'N' END AS is_active,
+    CASE WHEN c_custkey % 17 = 0 THEN 'Y' ELSE 'N' END AS is_skip,
+    CASE WHEN c_custkey % 19 = 0 THEN 'Y' ELSE 'N' END AS is_hold,
+    c_mktsegment AS scheduler_chain_name, lower(c_name) AS scheduler_job_name,
+    '{"catch_up": "' || CASE WHEN c_custkey % 2 = 0 THEN 'true' ELSE 'false' END
+      || '", "owner": {"id": ' || CAST(c_custkey AS VARCHAR) || '}}' AS job_attributes
+  FROM customer),
+deps AS (SELECT o_custkey AS job_key, o_orderkey AS related_job_key,
+    CASE WHEN o_orderstatus = 'F' THEN 'Y' ELSE 'N' END AS is_active FROM orders),
+details AS (SELECT c_custkey AS job_key, c_custkey * 10 AS data_entity_key,
+    c_nationkey AS source_application_server_key, (c_nationkey + 1) % 25 AS target_application_server_key
+  FROM customer),
+servers AS (SELECT n_nationkey AS application_server_key, '{"server": "' || n_name || '"}' AS server_attributes,
+    CASE WHEN n_nationkey % 10 = 3 THEN 'N' ELSE 'Y' END AS is_active FROM nation),
+logic AS (SELECT r_regionkey AS logic_module_key,
+    CASE WHEN r_regionkey % 2 = 0 THEN 'spark' ELSE 'script' END AS logic_module_type_code,
+    '{"runtime_in_ms_enabled": "' || CASE WHEN r_regionkey = 1 THEN 'false' ELSE 'true' END || '"}' AS logic_body
+  FROM region),
+systems AS (SELECT n_nationkey AS application_system_key,
+    '{"region": ' || CAST(n_regionkey AS VARCHAR) || '}' AS system_attributes,
+    CASE WHEN n_regionkey = 4 THEN 'N' ELSE 'Y' END AS is_active FROM nation)"""
+
+
+def catalog_frames(spark, sf):
+    customer = fx.read(spark, sf, "customer")
+    nation = fx.read(spark, sf, "nation")
+    return dict(jobs=fx.jobs(customer), dependency=fx.dependencies(fx.read(spark, sf, "orders")),
+                details=fx.details(customer), servers=fx.servers(nation),
+                logic=fx.logic_modules(fx.read(spark, sf, "region")), systems=fx.systems(nation))
+
+
+J1_SQL = f"""
+WITH {CATALOG_SQL}
+SELECT a1.job_key AS job_key, a1.job_name AS job_name, a1.application_system_key AS application_system_key,
+  a1.job_frequency_code AS job_frequency_code, ad.data_entity_key AS data_entity_key,
+  ad.source_application_server_key AS source_application_server_key,
+  ad.target_application_server_key AS target_application_server_key, ajd.related_job_key AS related_job_key,
+  a1.is_active AS job_is_active, ajd.is_active AS dependency_is_active, a1.scheduler_job_name AS scheduler_job_name,
+  a1.job_attributes AS job_attributes, ass.server_attributes AS source_server_attributes,
+  ast.server_attributes AS target_server_attributes, aps.system_attributes AS system_attributes,
+  lm.logic_module_type_code AS job_type, lm.logic_body AS logic_attributes
+FROM jobs a1
+LEFT JOIN deps ajd ON a1.job_key = ajd.job_key
+LEFT JOIN details ad ON a1.job_key = ad.job_key
+JOIN servers ass ON ad.source_application_server_key = ass.application_server_key
+JOIN servers ast ON ad.target_application_server_key = ast.application_server_key
+JOIN logic lm ON a1.logic_module_key = lm.logic_module_key
+JOIN systems aps ON a1.application_system_key = aps.application_system_key
+WHERE a1.scheduler_chain_name = '{fx.CHAIN}' AND a1.is_active = 'Y' AND (ajd.is_active = 'Y' OR ajd.is_active IS NULL)
+"""
+
+
+@register("j1_catalog_join", J1_SQL)
+def j1_catalog_join(spark, sf):
+    return joins.catalog_join(**catalog_frames(spark, sf), chain_name=fx.CHAIN)
+
+
+@register("j2_exclude_listed", f"""
+SELECT {ORDER_COLS} FROM orders o WHERE NOT EXISTS (SELECT 1 FROM lineitem l WHERE l.l_orderkey = o.o_orderkey)""")
+def j2_exclude_listed(spark, sf):
+    return joins.exclude_listed(fx.read(spark, sf, "orders"), fx.read(spark, sf, "lineitem"), "o_orderkey",
+                                "l_orderkey")
+
+
+@register("j2_exclude_flagged", f"WITH {CATALOG_SQL} SELECT * FROM jobs WHERE is_skip <> 'Y' AND is_hold <> 'Y'")
+def j2_exclude_flagged(spark, sf):
+    return joins.exclude_flagged(fx.jobs(fx.read(spark, sf, "customer")), ["is_skip", "is_hold"])
+
+
+RUNS_SQL = """runs AS (SELECT user_id AS job_key, epoch_us(ts) // 1000 AS job_runtime_ms,
+  CASE WHEN event_type = 'purchase' THEN 'COMMITTED' WHEN event_type = 'error' THEN 'FAILED'
+       ELSE upper(event_type) END AS job_status_code, event_id AS job_run_sequence FROM events)"""
+
+
+@register("j3_without_committed_run", f"""
+WITH {RUNS_SQL}, req AS (SELECT user_id AS job_key, epoch_us(date_trunc('minute', ts)) // 1000 AS job_runtime_ms, event_id FROM events
+  UNION ALL SELECT job_key, job_runtime_ms, job_run_sequence FROM runs)
+SELECT * FROM req r WHERE NOT EXISTS (SELECT 1 FROM runs x WHERE x.job_status_code = 'COMMITTED'
+  AND x.job_key = r.job_key AND x.job_runtime_ms = r.job_runtime_ms)""")
+def j3_without_committed_run(spark, sf):
+    events = fx.read(spark, sf, "events")
+    runs = fx.run_stats(events)
+    req = events.select(F.col("user_id").alias("job_key"),
+                        fx.epoch_ms(F.date_trunc("MINUTE", "ts").cast("timestamp_ntz")).alias("job_runtime_ms"),
+                        "event_id").unionByName(
+        runs.select("job_key", "job_runtime_ms", F.col("job_run_sequence").alias("event_id")))
+    return joins.without_committed_run(req, runs)
+
+
+@register("j4_roots", f"""
+WITH {CATALOG_SQL}
+SELECT * FROM jobs j WHERE NOT EXISTS (SELECT 1 FROM deps d WHERE d.job_key = j.job_key
+  AND d.related_job_key IS NOT NULL AND d.is_active = 'Y')""")
+def j4_roots(spark, sf):
+    return joins.roots(fx.jobs(fx.read(spark, sf, "customer")), fx.dependencies(fx.read(spark, sf, "orders")),
+                       active_col="is_active")
+
+
+@register("j5_held_entities", f"""
+WITH {CATALOG_SQL}, jd AS (SELECT j.job_key, j.job_name, j.application_system_key, d.source_application_server_key,
+  d.target_application_server_key FROM jobs j JOIN details d ON j.job_key = d.job_key)
+SELECT * FROM jd WHERE application_system_key IN (SELECT application_system_key FROM systems WHERE is_active = 'N')
+  OR source_application_server_key IN (SELECT application_server_key FROM servers WHERE is_active = 'N')
+  OR target_application_server_key IN (SELECT application_server_key FROM servers WHERE is_active = 'N')""")
+def j5_held_entities(spark, sf):
+    c = catalog_frames(spark, sf)
+    jd = c["jobs"].join(c["details"], "job_key").select(
+        "job_key", "job_name", "application_system_key", "source_application_server_key",
+        "target_application_server_key")
+    return joins.held_entities(jd, c["systems"], c["servers"])
+
+
+# ---------------------------------------------------------------- P1-P13
+
+TEXT_ORDERS_TYPED = """SELECT o_orderkey,
+  CASE WHEN o_orderkey % 7 = 0 THEN NULL ELSE o_custkey END AS o_custkey,
+  CASE WHEN o_orderkey % 7 = 0 THEN NULL ELSE o_orderstatus END AS o_orderstatus,
+  CASE WHEN o_orderkey % 7 = 0 OR o_orderkey % 11 = 0 THEN NULL ELSE o_totalprice END AS o_totalprice,
+  CASE WHEN o_orderkey % 7 = 0 THEN NULL ELSE o_orderdate END AS o_orderdate,
+  CASE WHEN o_orderkey % 7 = 0 THEN NULL ELSE o_orderpriority END AS o_orderpriority
+FROM orders"""
+
+
+@register("p1_safe_cast_all", TEXT_ORDERS_TYPED)
+def p1_safe_cast_all(spark, sf):
+    return project.safe_cast_all(fx.orders_as_text(fx.read(spark, sf, "orders")), fx.ORDERS_SCHEMA_JSON)
+
+
+@register("p1_safe_cast_json", """SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, o_totalprice FROM orders""")
+def p1_safe_cast_json(spark, sf):
+    o = fx.read(spark, sf, "orders").select(F.col("o_orderkey").cast("string").alias("o_orderkey"),
+                                            F.col("o_totalprice").cast("string").alias("o_totalprice"))
+    schema = [("o_orderkey", "STRING"), ("o_totalprice", "FLOAT64")]
+    return project.safe_cast_all(o, schema, null_marker=False, only_non_text=True)
+
+
+@register("p2_null_literal", """SELECT o_orderkey,
+  CASE WHEN o_orderkey % 7 = 0 THEN NULL ELSE o_orderstatus END AS o_orderstatus,
+  CASE WHEN o_orderkey % 7 = 0 THEN NULL ELSE o_orderpriority END AS o_orderpriority FROM orders""")
+def p2_null_literal(spark, sf):
+    t = fx.orders_as_text(fx.read(spark, sf, "orders")).select(
+        F.col("o_orderkey").cast("bigint").alias("o_orderkey"), "o_orderstatus", "o_orderpriority")
+    return project.null_literal(t, ["o_orderstatus", "o_orderpriority"])
+
+
+@register("p3_clean_names", """SELECT o_orderkey AS order_key, o_custkey AS "customer_key",
+  o_orderstatus AS "order_status_code" FROM orders""")
+def p3_clean_names(spark, sf):
+    o = fx.read(spark, sf, "orders").select(F.col("o_orderkey").alias("order key"),
+                                            F.col("o_custkey").alias("customer key"),
+                                            F.col("o_orderstatus").alias("order status code"))
+    return project.clean_names(o)
+
+
+@register("p4_add_audit_columns", """SELECT event_id, ts, user_id, event_type, value, props,
+  date_trunc('day', ts) AS last_ingestion_utc_time, CAST(ts AS DATE) AS event_date,
+  upper(event_type) AS event_kind, 'PST8PDT' AS source_timezone FROM events""")
+def p4_add_audit_columns(spark, sf):
+    e = fx.read(spark, sf, "events").withColumn(
+        "last_ingestion_utc_time", F.date_trunc("DAY", "ts").cast("timestamp_ntz"))
+    return project.add_audit_columns(e, ["CAST(ts AS DATE) AS event_date", "upper(event_type) AS event_kind"],
+                                     "PST8PDT")
+
+
+@register("p4_add_audit_columns_json", """SELECT event_id, ts, 'PST8PDT' AS source_timezone,
+  date_trunc('day', ts) AS last_ingestion_utc_time FROM events""")
+def p4_add_audit_columns_json(spark, sf):
+    e = fx.read(spark, sf, "events").select(
+        "event_id", "ts", F.date_trunc("DAY", "ts").cast("timestamp_ntz").alias("last_ingestion_utc_time"))
+    return project.add_audit_columns(e, [], "PST8PDT", layout="json")
+
+
+@register("p5_strict_cast", """SELECT o_orderkey, CAST(o_custkey AS VARCHAR) AS o_custkey,
+  CAST(o_totalprice AS DECIMAL(38,9)) AS o_totalprice FROM orders""")
+def p5_strict_cast(spark, sf):
+    o = fx.read(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
+    return project.strict_cast(o, {"o_custkey": "STRING", "o_totalprice": "NUMERIC"})
+
+
+@register("p7_filter_extra", f"SELECT {ORDER_COLS} FROM orders WHERE o_orderstatus = 'F' AND {INC_WINDOW}")
+def p7_filter_extra(spark, sf):
+    o = project.filter_extra(fx.read(spark, sf, "orders"), "o_orderstatus = 'F'")
+    return project.filter_window(o, "o_orderdate", fx.INC_START, fx.INC_END)
+
+
+@register("p8_whole_table", f"SELECT {ORDER_COLS} FROM orders WHERE o_orderpriority LIKE '1-%'")
+def p8_whole_table(spark, sf):
+    spec = TableSpec(**{**fx.ORDERS_SPEC.__dict__, "inner_where": "o_orderpriority LIKE '1-%'"})
+    return source_slice(fx.read(spark, sf, "orders"), spec, fx.ORDERS_LOAD, None, None, whole_table=True)
+
+
+@register("p9_query_with_params", f"""SELECT o_custkey, count(*) AS n_orders FROM orders
+WHERE strftime(o_orderdate, '%Y%m%d%H%M%S') BETWEEN '{fx.INC_START}' AND '{fx.INC_END}' GROUP BY o_custkey""")
+def p9_query_with_params(spark, sf):
+    sql = ("SELECT o_custkey, count(*) AS n_orders FROM {orders} "
+           "WHERE date_format(o_orderdate, 'yyyyMMddHHmmss') BETWEEN :start_run_id AND :end_run_id "
+           "GROUP BY o_custkey")
+    return project.query_with_params(spark, sql, fx.INC_START, fx.INC_END, orders=fx.read(spark, sf, "orders"))
+
+
+@register("p10_on_date", "SELECT DISTINCT user_id FROM events WHERE CAST(ts AS DATE) = DATE '2024-01-15'")
+def p10_on_date(spark, sf):
+    return audit.distinct_projection(project.on_date(fx.read(spark, sf, "events"), "ts", "2024-01-15"), ["user_id"])
+
+
+@register("p11_filter_in", """SELECT * FROM customer WHERE c_nationkey IN (1, 2, 3, 5, 8, 13, 21)
+  AND c_mktsegment = 'BUILDING'""")
+def p11_filter_in(spark, sf):
+    return project.filter_in(fx.read(spark, sf, "customer"), "c_nationkey", [1, 2, 3, 5, 8, 13, 21],
+                             "c_mktsegment", "BUILDING")
+
+
+@register("p11_filter_in_frame", f"""SELECT {ORDER_COLS} FROM orders WHERE o_custkey IN
+  (SELECT c_custkey FROM customer WHERE c_mktsegment = 'MACHINERY') AND o_orderstatus = 'O'""")
+def p11_filter_in_frame(spark, sf):
+    ids = fx.read(spark, sf, "customer").where(F.col("c_mktsegment") == "MACHINERY").select("c_custkey")
+    return project.filter_in(fx.read(spark, sf, "orders"), "o_custkey", ids, "o_orderstatus", "O")
+
+
+@register("p12_keep_if_null", f"""SELECT s.o_orderkey, coalesce(s.o_totalprice, t.o_totalprice) AS o_totalprice
+FROM {ORDERS_NULLS_SQL} s JOIN orders t ON s.o_orderkey = t.o_orderkey""")
+def p12_keep_if_null(spark, sf):
+    o = fx.read(spark, sf, "orders")
+    s = fx.orders_with_nulls(o).alias("s")
+    t = o.alias("t")
+    return s.join(t, F.col("s.o_orderkey") == F.col("t.o_orderkey")).select(
+        F.col("s.o_orderkey").alias("o_orderkey"),
+        project.keep_if_null(F.col("s.o_totalprice"), F.col("t.o_totalprice")).alias("o_totalprice"))
+
+
+@register("p13_drop_fields_recursive", """SELECT p_partkey AS id, p_brand AS brand, p_size AS size, p_name AS name,
+  'struct<id:bigint,spec:struct<brand:string,dims:struct<size:int>>,name:string>' AS attrs_type FROM part""")
+def p13_drop_fields_recursive(spark, sf):
+    p = fx.read(spark, sf, "part").select(F.struct(
+        F.col("p_partkey").alias("id"),
+        F.struct(F.col("p_brand").alias("brand"), F.col("p_type").alias("type"),
+                 F.struct(F.col("p_size").alias("size"), F.col("p_retailprice").alias("price")).alias("dims"))
+        .alias("spec"),
+        F.col("p_name").alias("name")).alias("attrs"), F.col("p_type").alias("type"))
+    out = project.drop_fields_recursive(p, ["type", "price"])
+    typ = out.schema["attrs"].dataType.simpleString()
+    return out.select(F.col("attrs.id").alias("id"), F.col("attrs.spec.brand").alias("brand"),
+                      F.col("attrs.spec.dims.size").alias("size"), F.col("attrs.name").alias("name"),
+                      F.lit(typ).alias("attrs_type"))
