@@ -22,7 +22,7 @@ def _c(col) -> Column:
 def run_id_to_instant(run_id, zone: str = DEFAULT_ZONE) -> Column:
     """Run id text (``yyyyMMddHHmmss`` wall clock in ``zone``) -> timestamp instant."""
     text = F.lit(run_id) if isinstance(run_id, str) and run_id.isdigit() else _c(run_id)
-    return F.to_timestamp(F.concat(text, F.lit(" " + zone)), F.lit(RUN_ID_FORMAT + " VV"))
+    return F.to_timestamp(F.concat(text, F.lit(" " + zone)), RUN_ID_FORMAT + " VV")
 
 
 def run_id_to_utc_ntz(run_id, zone: str = DEFAULT_ZONE) -> Column:

@@ -12,6 +12,7 @@ from typing import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import scalars
 from ..operators import audit, dedup, joins, merge, project
 from ..spec import TableSpec
 from . import fixtures as fx
@@ -572,3 +573,121 @@ def p13_drop_fields_recursive(spark, sf):
     return out.select(F.col("attrs.id").alias("id"), F.col("attrs.spec.brand").alias("brand"),
                       F.col("attrs.spec.dims.size").alias("size"), F.col("attrs.name").alias("name"),
                       F.lit(typ).alias("attrs_type"))
+
+
+# ---------------------------------------------------------------- F1-F9
+
+@register("f1_epoch_ms_to_run_id", """SELECT event_id,
+  strftime(ts, '%Y%m%d%H%M%S') AS run_id_utc,
+  strftime(timezone('PST8PDT', timezone('UTC', ts)), '%Y%m%d%H%M%S') AS run_id_local FROM events""")
+def f1_epoch_ms_to_run_id(spark, sf):
+    e = fx.read(spark, sf, "events").select("event_id", fx.epoch_ms(F.col("ts")).alias("ms"))
+    return e.select("event_id", scalars.epoch_ms_to_run_id("ms").alias("run_id_utc"),
+                    scalars.epoch_ms_to_run_id("ms", "PST8PDT").alias("run_id_local"))
+
+
+@register("f2_run_id_to_epoch_ms", """SELECT event_id,
+  CAST(epoch_us(timezone('PST8PDT', date_trunc('second', ts))) // 1000 AS VARCHAR) AS epoch_ms FROM events""")
+def f2_run_id_to_epoch_ms(spark, sf):
+    e = fx.read(spark, sf, "events").select("event_id", F.date_format("ts", "yyyyMMddHHmmss").alias("run_id"))
+    return e.select("event_id", scalars.run_id_to_epoch_ms("run_id").alias("epoch_ms"))
+
+
+def _seq_sql(f: int) -> str:
+    s = f"(CAST(floor((epoch(ts) - epoch(date_trunc('day', ts))) / {f * 60}) AS INTEGER) + 1)"
+    return f"CASE WHEN {s} * {f} <= 1440 THEN {s} END"
+
+
+@register("f3_run_sequence", f"""SELECT event_id, {_seq_sql(30)} AS seq_30, {_seq_sql(7)} AS seq_7,
+  {_seq_sql(23)} AS seq_23 FROM events""")
+def f3_run_sequence(spark, sf):
+    e = fx.read(spark, sf, "events")
+    return e.select("event_id", scalars.run_sequence("ts", 30).alias("seq_30"),
+                    scalars.run_sequence("ts", 7).alias("seq_7"), scalars.run_sequence("ts", 23).alias("seq_23"))
+
+
+@register("f4_elapsed_sequences", """SELECT event_id,
+  (epoch_us(ts) - epoch_us(date_trunc('day', ts))) / 900000000.0 AS elapsed FROM events""")
+def f4_elapsed_sequences(spark, sf):
+    e = fx.read(spark, sf, "events")
+    return e.select("event_id", scalars.elapsed_sequences(F.date_trunc("DAY", "ts").cast("timestamp_ntz"),
+                                                          F.col("ts"), 15).alias("elapsed"))
+
+
+@register("f5_json_attr", """SELECT event_id, coalesce(json_extract_string(props, '$.k'), '-1') AS k,
+  coalesce(json_extract_string(props, '$.retries'), '3') AS retries FROM events""")
+def f5_json_attr(spark, sf):
+    e = fx.read(spark, sf, "events")
+    return e.select("event_id", scalars.json_attr("props", "k", "-1").alias("k"),
+                    scalars.json_attr("props", ["retries"], "3").alias("retries"))
+
+
+@register("f5_json_attr_nested", f"""WITH {CATALOG_SQL} SELECT job_key,
+  coalesce(json_extract_string(job_attributes, '$.owner.id'), 'none') AS owner_id,
+  coalesce(json_extract_string(job_attributes, '$.catch_up'), 'true') AS catch_up,
+  coalesce(json_extract_string(job_attributes, '$.owner.name'), 'none') AS owner_name FROM jobs""")
+def f5_json_attr_nested(spark, sf):
+    j = fx.jobs(fx.read(spark, sf, "customer"))
+    return j.select("job_key", scalars.json_attr("job_attributes", "owner.id", "none").alias("owner_id"),
+                    scalars.json_attr("job_attributes", "catch_up", "true").alias("catch_up"),
+                    scalars.json_attr("job_attributes", ["owner", "name"], "none").alias("owner_name"))
+
+
+PART_TABLE_SQL = "upper(replace(p_name, ' ', '_')) || '_' || replace(p_type, ' ', '_')"
+
+
+@register("f6_short_name", f"""SELECT p_partkey,
+  lower(array_to_string(list_transform(string_split({PART_TABLE_SQL}, '_'), lambda w: substring(w, 1, 2)), ''))
+    AS short2,
+  lower(array_to_string(list_transform(string_split({PART_TABLE_SQL}, '_'), lambda w: substring(w, 1, 1)), ''))
+    AS short1 FROM part""")
+def f6_short_name(spark, sf):
+    p = fx.read(spark, sf, "part").select("p_partkey", F.concat(
+        F.upper(F.regexp_replace("p_name", " ", "_")), F.lit("_"), F.regexp_replace("p_type", " ", "_")).alias("t"))
+    return p.select("p_partkey", scalars.short_name("t", 2).alias("short2"), scalars.short_name("t", 1).alias("short1"))
+
+
+def _short_sql(n: int) -> str:
+    return (f"lower(array_to_string(list_transform(string_split({PART_TABLE_SQL}, '_'), "
+            f"lambda w: substring(w, 1, {n})), ''))")
+
+
+F7_END, F7_NOW = "20240131235959", "20240201000000"
+
+
+@register("f7_job_labels", f"""SELECT p_partkey,
+  '-' || substring(p_brand, 1, 1) || '-' || {_short_sql(1)} || '-' || '{F7_END[2:]}' || '-' || CAST(p_size AS VARCHAR)
+    AS job_instance_id,
+  '-' || lower({PART_TABLE_SQL}) AS table_name, '' AS property, '-' || p_brand AS task,
+  '-' || 'raw_tables' AS dataset, '-' || 'raw_tables' || '-' || {_short_sql(2)} AS resource_name,
+  '-' || p_brand || '-' || {_short_sql(2)} || '-' || '{F7_END[2:]}' AS billing_tag,
+  '-' || substring(p_brand, 1, 1) || '-' || {_short_sql(1)} || '-' || '{F7_END[2:]}' || '-' || CAST(p_size AS VARCHAR)
+    AS job_run_id,
+  '-' || '{F7_NOW}' AS ingestion_time FROM part""")
+def f7_job_labels(spark, sf):
+    p = fx.read(spark, sf, "part").select("p_partkey", "p_brand", "p_size", F.concat(
+        F.upper(F.regexp_replace("p_name", " ", "_")), F.lit("_"), F.regexp_replace("p_type", " ", "_")).alias("t"))
+    lab = scalars.job_labels("t", "p_brand", F.lit("raw_tables"), F.lit(F7_END), "p_size", F7_NOW)
+    return p.select("p_partkey", lab.alias("l")).select("p_partkey", "l.*")
+
+
+@register("f8_truncate", """SELECT doc_id, substring(text, 1, 4000) AS text_4000,
+  length(substring(text, 1, 4000)) AS n FROM documents""")
+def f8_truncate(spark, sf):
+    d = fx.read(spark, sf, "documents")
+    return d.select("doc_id", scalars.truncate("text").alias("text_4000"),
+                    F.length(scalars.truncate("text")).alias("n"))
+
+
+@register("f8_checksum")
+def f8_checksum(spark, sf):
+    d = fx.read(spark, sf, "documents")
+    return d.select("doc_id", scalars.checksum("text").alias("checksum"))
+
+
+@register("f9_partition_key", """SELECT event_id, date_trunc('hour', ts) AS p_hour, date_trunc('day', ts) AS p_day,
+  date_trunc('month', ts) AS p_month, date_trunc('year', ts) AS p_year FROM events""")
+def f9_partition_key(spark, sf):
+    e = fx.read(spark, sf, "events")
+    return e.select("event_id", *[scalars.partition_key("ts", u).alias(f"p_{u.lower()}")
+                                  for u in ("HOUR", "DAY", "MONTH", "YEAR")])
