@@ -53,8 +53,9 @@ def orders_with_nulls(orders: DataFrame) -> DataFrame:
         "o_orderpriority")
 
 
-def orders_as_text(orders: DataFrame) -> DataFrame:
-    """All-string raw: 'NULL' where key % 7 = 0, 'bad' in the price where % 11 = 0."""
+def orders_as_text(orders: DataFrame, keep: tuple = ()) -> DataFrame:
+    """All-string raw: 'NULL' where key % 7 = 0, 'bad' in the price where % 11 = 0.
+    ``keep`` names extra columns (e.g. a directory key) passed through unchanged."""
     k = F.col("o_orderkey")
 
     def txt(c):
@@ -63,7 +64,8 @@ def orders_as_text(orders: DataFrame) -> DataFrame:
         .otherwise(F.col("o_totalprice").cast("string"))
     return orders.select(k.cast("string").alias("o_orderkey"), txt("o_custkey").alias("o_custkey"),
                          txt("o_orderstatus").alias("o_orderstatus"), price.alias("o_totalprice"),
-                         txt("o_orderdate").alias("o_orderdate"), txt("o_orderpriority").alias("o_orderpriority"))
+                         txt("o_orderdate").alias("o_orderdate"), txt("o_orderpriority").alias("o_orderpriority"),
+                         *keep)
 
 
 ORDERS_SCHEMA_JSON = {"schema": [

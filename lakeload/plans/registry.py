@@ -12,7 +12,12 @@ from typing import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import uuid
+
 from ..functions import scalars
+from ..session import scratch_dir, table_path
+from ..sinks import tables as sinks
+from ..sources import connectors, files, inventory
 from ..operators import audit, dedup, joins, merge, project
 from ..spec import TableSpec
 from . import fixtures as fx
@@ -691,3 +696,214 @@ def f9_partition_key(spark, sf):
     e = fx.read(spark, sf, "events")
     return e.select("event_id", *[scalars.partition_key("ts", u).alias(f"p_{u.lower()}")
                                   for u in ("HOUR", "DAY", "MONTH", "YEAR")])
+
+
+# ---------------------------------------------------------------- S1-S9 (write, then read back)
+
+def _landed_orders(spark, sf, header_rows):
+    d = scratch_dir(spark, f"s1_h{header_rows}")
+    sinks.write_delimited(fx.orders_as_text(fx.read(spark, sf, "orders")), d, "|", header_rows)
+    raw = files.scan_delimited(spark, d, fx.ORDERS_SCHEMA_JSON, "|", header_rows)
+    return project.safe_cast_all(raw, fx.ORDERS_SCHEMA_JSON)
+
+
+@register("s1_scan_delimited", TEXT_ORDERS_TYPED)
+def s1_scan_delimited(spark, sf):
+    return _landed_orders(spark, sf, 0)
+
+
+@register("s1_scan_delimited_header1", TEXT_ORDERS_TYPED)
+def s1_scan_delimited_header1(spark, sf):
+    return _landed_orders(spark, sf, 1)
+
+
+@register("s1_scan_delimited_header2", TEXT_ORDERS_TYPED)
+def s1_scan_delimited_header2(spark, sf):
+    return _landed_orders(spark, sf, 2)
+
+
+EVENTS_SCHEMA_JSON = {"schema": [
+    {"name": "event_id", "dataType": "INT64"}, {"name": "ts", "dataType": "DATETIME"},
+    {"name": "user_id", "dataType": "INT64"}, {"name": "event_type", "dataType": "STRING"},
+    {"name": "value", "dataType": "FLOAT64"}, {"name": "props", "dataType": "STRING"}]}
+
+
+@register("s2_scan_ndjson", """SELECT event_id, ts, user_id, event_type, value, props, CAST(ts AS DATE) AS event_date,
+  'PST8PDT' AS source_timezone, date_trunc('day', ts) AS last_ingestion_utc_time FROM events""")
+def s2_scan_ndjson(spark, sf):
+    d = scratch_dir(spark, "s2")
+    e = fx.read(spark, sf, "events")
+    (e.withColumn("last_ingestion_utc_time", F.date_trunc("DAY", "ts"))
+      .write.options(**sinks.TEXT_TIME_OPTIONS).partitionBy("last_ingestion_utc_time").json(d))
+    raw = files.scan_ndjson(spark, d, EVENTS_SCHEMA_JSON, keys={"last_ingestion_utc_time": "TIMESTAMP"})
+    typed = project.safe_cast_all(raw, EVENTS_SCHEMA_JSON, null_marker=False, only_non_text=True)
+    out = project.add_audit_columns(typed, ["CAST(ts AS DATE) AS event_date"], "PST8PDT", layout="json")
+    return out.withColumn("last_ingestion_utc_time", F.col("last_ingestion_utc_time").cast("timestamp_ntz"))
+
+
+@register("s3_scan_parquet", "SELECT * FROM lineitem")
+def s3_scan_parquet(spark, sf):
+    d = scratch_dir(spark, "s3")
+    fx.read(spark, sf, "lineitem").write.partitionBy("l_returnflag").parquet(d)
+    return files.scan_parquet(spark, d, base_path=d)
+
+
+@register("s4_scan_object_store", "SELECT * FROM lineitem")
+def s4_scan_object_store(spark, sf):
+    return files.scan_object_store(spark, "file://" + table_path(sf, "lineitem"))
+
+
+@register("s5_scan_partitioned", TEXT_ORDERS_TYPED.replace(
+    "FROM orders", ", CAST(date_trunc('month', o_orderdate) AS DATE) AS load_date FROM orders"))
+def s5_scan_partitioned(spark, sf):
+    d = scratch_dir(spark, "s5")
+    o = fx.read(spark, sf, "orders")
+    month = F.to_date(F.date_trunc("MONTH", "o_orderdate"))
+    text = fx.orders_as_text(o.withColumn("load_date", month), keep=("load_date",))
+    lines = text.select(F.concat_ws("|", *[F.col(c) for c in text.columns if c != "load_date"]).alias("value"),
+                        "load_date")
+    lines.hint("rebalance", "load_date").write.partitionBy("load_date").text(d)
+    raw = files.scan_delimited(spark, d, fx.ORDERS_SCHEMA_JSON, "|", 0, keys={"load_date": "DATE"})
+    return project.safe_cast_all(raw, fx.ORDERS_SCHEMA_JSON)
+
+
+@register("s6_scan_connector", """SELECT l_returnflag, l_linestatus, count(*) AS n,
+  round(sum(l_quantity), 2) AS qty FROM lineitem GROUP BY l_returnflag, l_linestatus""")
+def s6_scan_connector(spark, sf):
+    return connectors.scan_connector(
+        spark, "parquet", {"path": table_path(sf, "lineitem")},
+        "SELECT l_returnflag, l_linestatus, count(*) AS n, round(sum(l_quantity), 2) AS qty "
+        "FROM {source} GROUP BY l_returnflag, l_linestatus")
+
+
+@register("s8_file_inventory")
+def s8_file_inventory(spark, sf):
+    return inventory.file_inventory(spark, sf, ".parquet")
+
+
+@register("s9_distinct_folders")
+def s9_distinct_folders(spark, sf):
+    d = scratch_dir(spark, "s9")
+    fx.read(spark, sf, "lineitem").write.partitionBy("l_returnflag", "l_linestatus").parquet(d)
+    return inventory.distinct_folders(inventory.file_inventory(spark, d, ".parquet"))
+
+
+# ---------------------------------------------------------------- K1-K12
+
+@register("k1_append_raw", "SELECT *, CAST(date_trunc('month', o_orderdate) AS DATE) AS o_orderdate_part FROM orders")
+def k1_append_raw(spark, sf):
+    d = scratch_dir(spark, "k1")
+    o = fx.read(spark, sf, "orders")
+    cut = F.col("o_orderdate") < F.lit("1998-01-01").cast("timestamp_ntz")
+    for part in (o.where(cut), o.where(~cut)):
+        sinks.append_raw(part, d, "o_orderdate", "MONTH", cluster="o_custkey")
+    return spark.read.parquet(d)
+
+
+@register("k2_append_with_new_fields", """SELECT o_orderkey, o_custkey,
+  CASE WHEN o_orderdate >= TIMESTAMP '1998-01-01' THEN o_totalprice END AS o_totalprice FROM orders""")
+def k2_append_with_new_fields(spark, sf):
+    d = scratch_dir(spark, "k2")
+    o = fx.read(spark, sf, "orders")
+    cut = F.col("o_orderdate") < F.lit("1998-01-01").cast("timestamp_ntz")
+    sinks.append_raw(o.where(cut).select("o_orderkey", "o_custkey"), d)
+    sinks.append_with_new_fields(o.where(~cut).select("o_orderkey", "o_custkey", "o_totalprice"), d)
+    return sinks.read_evolved(spark, d)
+
+
+@register("k3_append_with_new_struct_fields", """SELECT CAST(c_custkey AS VARCHAR) AS ID,
+  c_name AS phone_number_2, c_mktsegment AS occupation_description,
+  CASE WHEN c_acctbal < 0 THEN lower(c_mktsegment) END AS occupation_description_new,
+  CASE WHEN c_acctbal < 0 THEN CAST(c_nationkey AS VARCHAR) END AS occupation_description_new_1 FROM customer""")
+def k3_append_with_new_struct_fields(spark, sf):
+    d = scratch_dir(spark, "k3")
+    c = fx.read(spark, sf, "customer")
+    base = [F.col("c_name").alias("phone_number_2"), F.col("c_mktsegment").alias("occupation_description")]
+    first = c.where(F.col("c_acctbal") >= 0).select(F.col("c_custkey").cast("string").alias("ID"),
+                                                    F.struct(*base).alias("ATTRIBUTES"))
+    second = c.where(F.col("c_acctbal") < 0).select(
+        F.col("c_custkey").cast("string").alias("ID"),
+        F.struct(*base, F.lower("c_mktsegment").alias("occupation_description_new"),
+                 F.col("c_nationkey").cast("string").alias("occupation_description_new_1")).alias("ATTRIBUTES"))
+    sinks.append_raw(first, d)
+    sinks.append_with_new_struct_fields(second, d)
+    return sinks.read_evolved(spark, d).select("ID", "ATTRIBUTES.*")
+
+
+def _table_name(prefix: str) -> str:
+    return f"{prefix}_{uuid.uuid4().hex[:10]}"
+
+
+@register("k4_create_table_as", "SELECT *, CAST(date_trunc('year', o_orderdate) AS DATE) AS o_orderdate_part FROM orders")
+def k4_create_table_as(spark, sf):
+    return sinks.create_table_as(spark, fx.read(spark, sf, "orders"), _table_name("lakeload_k4"),
+                                 scratch_dir(spark, "k4"), "o_orderdate", "YEAR", "o_custkey")
+
+
+@register("k5_full_load", "SELECT * FROM orders WHERE o_orderstatus = 'F'")
+def k5_full_load(spark, sf):
+    d = scratch_dir(spark, "k5")
+    fx.read(spark, sf, "orders").write.parquet(d)
+    sinks.full_load(spark, spark.read.parquet(d).where(F.col("o_orderstatus") == "F"), d)
+    return spark.read.parquet(d)
+
+
+@register("k6_create_empty", """SELECT CAST(c_custkey AS VARCHAR) AS ID, c_name AS phone_number_2,
+  c_mktsegment AS occupation_description FROM customer""")
+def k6_create_empty(spark, sf):
+    name = _table_name("lakeload_k6")
+    sinks.create_empty(spark, "ID string, ATTRIBUTES struct<phone_number_2:string,occupation_description:string>",
+                       name, scratch_dir(spark, "k6"))
+    c = fx.read(spark, sf, "customer")
+    c.select(F.col("c_custkey").cast("string").alias("ID"),
+             F.struct(F.col("c_name").alias("phone_number_2"),
+                      F.col("c_mktsegment").alias("occupation_description")).alias("ATTRIBUTES")) \
+        .write.insertInto(name)
+    return spark.table(name).select("ID", "ATTRIBUTES.*")
+
+
+@register("k7_add_columns", """SELECT *, CAST(NULL AS VARCHAR) AS c_comment, CAST(NULL AS DOUBLE) AS c_score
+FROM customer""")
+def k7_add_columns(spark, sf):
+    name = _table_name("lakeload_k7")
+    fx.read(spark, sf, "customer").write.option("path", scratch_dir(spark, "k7")).saveAsTable(name)
+    return sinks.add_columns(spark, name, {"c_comment": "STRING", "c_score": "FLOAT64"})
+
+
+@register("k8_copy_table", "SELECT * FROM part")
+def k8_copy_table(spark, sf):
+    d = scratch_dir(spark, "k8")
+    sinks.copy_table(spark, "parquet", {"path": table_path(sf, "part")}, "parquet", {"path": d},
+                     mode="overwrite", check_data=True, preview_rows=0)
+    return spark.read.parquet(d)
+
+
+@register("k9_export_csv", "SELECT * FROM events")
+def k9_export_csv(spark, sf):
+    d = scratch_dir(spark, "k9")
+    e = fx.read(spark, sf, "events")
+    sinks.export_csv(e, d)
+    return sinks.read_csv_export(spark, d, e.schema)
+
+
+@register("k10_relayout_history", """SELECT *, CAST(date_trunc('month', l_shipdate) AS DATE) AS snapshot_date
+FROM lineitem""")
+def k10_relayout_history(spark, sf):
+    src, dst = scratch_dir(spark, "k10_src"), scratch_dir(spark, "k10_dst")
+    li = fx.read(spark, sf, "lineitem")
+    folder = F.concat(F.lit("lineitem_"), F.date_format(F.date_trunc("MONTH", "l_shipdate"), "yyyyMMdd"))
+    li.withColumn("batch", folder).write.partitionBy("batch").parquet(src)
+    return sinks.relayout_history(spark, src, dst, "lineitem")
+
+
+@register("k11_table_schema")
+def k11_table_schema(spark, sf):
+    return sinks.table_schema(spark, fx.read(spark, sf, "lineitem"))
+
+
+@register("k12_list_tables")
+def k12_list_tables(spark, sf):
+    name = _table_name("lakeload_k12")
+    fx.read(spark, sf, "region").write.option("path", scratch_dir(spark, "k12")).saveAsTable(name)
+    assert sinks.table_exists(spark, name)
+    return sinks.list_tables(spark).where(F.col("table_name") == name)
