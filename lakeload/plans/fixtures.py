@@ -150,3 +150,75 @@ def run_stats(events: DataFrame) -> DataFrame:
         F.when(et == "purchase", F.lit("COMMITTED")).when(et == "error", F.lit("FAILED"))
         .otherwise(F.upper(et)).alias("job_status_code"),
         F.col("event_id").alias("job_run_sequence"))
+
+
+# ---------------------------------------------------------------- window requests
+# customer -> one window request per job; events -> run history. SQL twins in
+# registry (REQ_SQL, ...).
+
+def window_requests(customer: DataFrame) -> DataFrame:
+    k = F.col("c_custkey")
+    seq_max = F.when(k % 3 == 0, F.lit(1)).when(k % 3 == 1, F.lit(4)).otherwise(F.lit(48))
+    return customer.select(
+        k.alias("job_key"), seq_max.alias("seq_max"), ((k % seq_max) + 1).cast("int").alias("seq_num"),
+        F.when(k % 2 == 0, F.lit(30)).otherwise(F.lit(60)).alias("refresh"),
+        F.concat(F.lit("202401"), F.lpad((F.col("c_nationkey") + 1).cast("string"), 2, "0")).alias("run_date"),
+        F.when(k % 5 == 0, F.lit("WEEKLY")).otherwise(F.lit("DAILY")).alias("schedule"),
+        F.when(k % 7 == 0, F.lit("%Y%m%d075959")).otherwise(F.lit("%Y%m%d%H%M%S")).alias("run_id_format"),
+        F.when(k % 11 == 0, F.lit("20240101000000")).otherwise(F.lit("99999999999999"))
+        .alias("min_run_id_to_process"))
+
+
+def last_runs(grid: DataFrame) -> DataFrame:
+    """Last run per job, by job key % 6: none, FAILED at seq 2, COMPLETED at seq 1,
+    COMPLETED at the last id, an unknown id, a missing status."""
+    from pyspark.sql import Window
+    case = F.col("job_key") % 6
+    n = F.max("seq").over(Window.partitionBy("job_key"))
+    g = grid.withColumn("__n", n)
+    pick = (F.when(case == 1, F.lit(2)).when(case == 2, F.lit(1)).when(case == 3, F.col("__n"))
+            .when(case == 4, F.lit(1)).when(case == 5, F.lit(1)))
+    rows = g.where(F.col("seq") == pick)
+    return rows.select(
+        "job_key",
+        F.when(case == 1, F.lit("FAILED")).when(case.isin(2, 3, 4), F.lit("COMPLETED")).alias("status"),
+        F.when(case == 4, F.lit("19000101000000")).otherwise(F.col("run_id")).alias("last_run_id"))
+
+
+def split_requests(customer: DataFrame) -> DataFrame:
+    k = F.col("c_custkey")
+    run_date = F.concat(F.lit("202401"), F.lpad((F.col("c_nationkey") + 1).cast("string"), 2, "0"))
+    return customer.select(
+        k.alias("job_key"),
+        F.when(k % 4 == 0, F.lit(15)).when(k % 4 == 1, F.lit(7)).when(k % 4 == 2, F.lit(10))
+        .otherwise(F.lit(60)).alias("job_frequency"),
+        run_date.alias("run_date"),
+        F.concat(run_date, F.lpad((k % 24).cast("string"), 2, "0"),
+                 F.when(k % 2 == 0, F.lit("00")).otherwise(F.lit("30")), F.lit("00")).alias("run_datetime"),
+        ((k % 48) + 1).cast("int").alias("seq_num"),
+        (k % 9 == 0).alias("catch_up"))
+
+
+def catch_up_requests(events: DataFrame) -> DataFrame:
+    return events.select(
+        F.col("user_id").alias("job_key"),
+        F.when(F.col("event_id") % 2 == 0, F.lit(15)).otherwise(F.lit(30)).alias("job_frequency"),
+        F.date_format(F.date_trunc("MINUTE", "ts"), "yyyyMMddHHmmss").alias("run_datetime"),
+        F.concat(F.lit('{"catch_up": "'), F.when(F.col("user_id") % 3 == 0, F.lit("false"))
+                 .otherwise(F.lit("true")), F.lit('"}')).alias("job_attributes"))
+
+
+def committed_runs(events: DataFrame) -> DataFrame:
+    from ..operators.windows import local_epoch_seconds
+    end = F.timestamp_add("MINUTE", F.lit(15), F.date_trunc("MINUTE", "ts").cast("timestamp_ntz"))
+    return events.where(F.col("event_type") == "purchase").select(
+        F.col("user_id").alias("job_key"), (local_epoch_seconds(end) * 1000).alias("job_runtime_ms"),
+        F.lit("COMMITTED").alias("job_status_code"))
+
+
+def validation_requests(customer: DataFrame) -> DataFrame:
+    k = F.col("c_custkey")
+    return customer.select(
+        k.alias("job_key"), (k % 50).cast("int").alias("seq_num"), F.lit(48).alias("seq_max"),
+        F.when(k % 4 == 0, F.lit("20240115")).when(k % 4 == 1, F.lit("20240230"))
+        .when(k % 4 == 2, F.lit("20250101")).otherwise(F.lit("2024011")).alias("run_date"))

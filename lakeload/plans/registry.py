@@ -18,7 +18,7 @@ from ..functions import scalars
 from ..session import scratch_dir, table_path
 from ..sinks import tables as sinks
 from ..sources import connectors, files, inventory
-from ..operators import audit, dedup, joins, merge, project
+from ..operators import audit, dedup, joins, merge, project, windows
 from ..spec import TableSpec
 from . import fixtures as fx
 from .upsert import incremental_merge, source_slice
@@ -907,3 +907,179 @@ def k12_list_tables(spark, sf):
     fx.read(spark, sf, "region").write.option("path", scratch_dir(spark, "k12")).saveAsTable(name)
     assert sinks.table_exists(spark, name)
     return sinks.list_tables(spark).where(F.col("table_name") == name)
+
+
+# ---------------------------------------------------------------- W1-W8
+
+REQ_SQL = """req AS (SELECT c_custkey AS job_key,
+    CASE c_custkey % 3 WHEN 0 THEN 1 WHEN 1 THEN 4 ELSE 48 END AS seq_max,
+    CAST(c_custkey % (CASE c_custkey % 3 WHEN 0 THEN 1 WHEN 1 THEN 4 ELSE 48 END) + 1 AS INTEGER) AS seq_num,
+    CASE WHEN c_custkey % 2 = 0 THEN 30 ELSE 60 END AS refresh,
+    '202401' || lpad(CAST(c_nationkey + 1 AS VARCHAR), 2, '0') AS run_date,
+    CASE WHEN c_custkey % 5 = 0 THEN 'WEEKLY' ELSE 'DAILY' END AS schedule,
+    CASE WHEN c_custkey % 7 = 0 THEN '%Y%m%d075959' ELSE '%Y%m%d%H%M%S' END AS run_id_format,
+    CASE WHEN c_custkey % 11 = 0 THEN '20240101000000' ELSE '99999999999999' END AS min_run_id_to_process
+  FROM customer)"""
+
+
+def _strftime_sql(ts: str, fmt: str) -> str:
+    out = fmt
+    for d in ("%Y", "%m", "%d", "%H", "%M", "%S"):
+        out = f"replace({out}, '{d}', strftime({ts}, '{d}'))"
+    return out
+
+
+GRID_SQL = REQ_SQL + """,
+gn AS (SELECT *, CAST(floor(((24.0 * CASE WHEN upper(schedule) = 'WEEKLY' THEN 7 ELSE 1 END * 60) / seq_max)
+    / refresh) AS INTEGER) AS n FROM req),
+gs AS (SELECT *, CAST(UNNEST(CASE WHEN n >= 1 THEN range(1, n + 1) ELSE [] END) AS INTEGER) AS seq FROM gn),
+gt AS (SELECT *, strptime(run_date, '%Y%m%d') + to_microseconds(
+    CAST(round((1440.0 / seq_max) * (seq_num - 1) * 60000000) AS BIGINT)
+    + CAST(seq AS BIGINT) * refresh * 60000000 - 1000000) AS run_ts FROM gs),
+grid AS (SELECT job_key, seq_max, seq_num, refresh, run_date, schedule, run_id_format, min_run_id_to_process,
+    seq, run_ts, """ + _strftime_sql("run_ts", "run_id_format") + """ AS run_id FROM gt)"""
+
+
+@register("w1_window_grid", f"WITH {GRID_SQL} SELECT job_key, seq, run_ts, run_id FROM grid")
+def w1_window_grid(spark, sf):
+    g = windows.window_grid(fx.window_requests(fx.read(spark, sf, "customer")))
+    return g.select("job_key", "seq", "run_ts", "run_id")
+
+
+@register("w2_custom_run_id", """SELECT event_id, strftime(ts, '%Y%m%d') || '075959' AS fixed_time,
+  strftime(ts, '%Y%m%d%H%M%S') AS default_id FROM events""")
+def w2_custom_run_id(spark, sf):
+    e = fx.read(spark, sf, "events")
+    return e.select("event_id", windows.custom_run_id(F.col("ts"), F.lit("%Y%m%d075959")).alias("fixed_time"),
+                    windows.custom_run_id(F.col("ts"), F.lit("%Y%m%d%H%M%S")).alias("default_id"))
+
+
+W3_NOW = "20240112120000"
+CURRENT_SQL = GRID_SQL + f""",
+c1 AS (SELECT *, min(CASE WHEN run_id > '{W3_NOW}' THEN seq END) OVER (PARTITION BY job_key) AS first_gt FROM grid),
+c2 AS (SELECT *, coalesce(max(CASE WHEN seq < coalesce(first_gt, 1073741824) THEN seq END)
+    OVER (PARTITION BY job_key), 1) AS pick FROM c1),
+cur AS (SELECT job_key, seq_max, seq_num, refresh, run_date, schedule, run_id_format, min_run_id_to_process,
+    seq, run_ts, run_id FROM c2 WHERE seq_max <> 1 OR seq = pick)"""
+
+
+@register("w3_current_window", f"WITH {CURRENT_SQL} SELECT job_key, seq, run_id FROM cur")
+def w3_current_window(spark, sf):
+    g = windows.window_grid(fx.window_requests(fx.read(spark, sf, "customer")))
+    return windows.current_window(g, W3_NOW).select("job_key", "seq", "run_id")
+
+
+W4_SQL = CURRENT_SQL + """,
+lr AS (SELECT job_key, CASE job_key % 6 WHEN 1 THEN 'FAILED' WHEN 2 THEN 'COMPLETED' WHEN 3 THEN 'COMPLETED'
+      WHEN 4 THEN 'COMPLETED' END AS status,
+    CASE WHEN job_key % 6 = 4 THEN '19000101000000' ELSE run_id END AS last_run_id
+  FROM (SELECT *, max(seq) OVER (PARTITION BY job_key) AS n FROM cur)
+  WHERE seq = CASE job_key % 6 WHEN 1 THEN 2 WHEN 2 THEN 1 WHEN 3 THEN n WHEN 4 THEN 1 WHEN 5 THEN 1 END),
+j AS (SELECT c.*, lr.status AS st, lr.last_run_id AS lid, lr.job_key IS NOT NULL AS present
+  FROM cur c LEFT JOIN lr ON c.job_key = lr.job_key),
+j2 AS (SELECT *, min(CASE WHEN run_id = lid THEN seq END) OVER (PARTITION BY job_key) AS idx FROM j),
+j3 AS (SELECT *, CASE WHEN NOT present THEN 'PENDING'
+      WHEN st IS NULL OR lid IS NULL THEN 'ERROR_MISSING_STATUS_OR_RUN_ID'
+      WHEN idx IS NULL THEN 'ERROR_UNKNOWN_LAST_RUN_ID'
+      WHEN st = 'FAILED' THEN CASE WHEN seq >= idx THEN 'PENDING' ELSE 'DONE' END
+      WHEN st = 'COMPLETED' THEN CASE WHEN seq > idx THEN 'PENDING' ELSE 'DONE' END
+      ELSE 'ERROR_UNKNOWN_STATUS' END AS rs,
+    CASE WHEN present AND st = 'FAILED' AND lid IS NOT NULL THEN 'Y' ELSE 'N' END AS rerun FROM j2),
+j4 AS (SELECT *, arg_min(CASE WHEN rs = 'PENDING' THEN run_id END, CASE WHEN rs = 'PENDING' THEN seq END)
+    OVER (PARTITION BY job_key) AS first_p,
+    max(CASE WHEN rs = 'PENDING' THEN 1 ELSE 0 END) OVER (PARTITION BY job_key) AS anyp,
+    max(CASE WHEN rs <> 'PENDING' THEN rs END) OVER (PARTITION BY job_key) AS other FROM j3),
+j5 AS (SELECT *, coalesce(first_p > min_run_id_to_process, false) AS skip FROM j4)"""
+
+
+@register("w4_pending_windows", f"""WITH {W4_SQL}
+SELECT job_key, seq, run_id, rerun AS rerun_indicator, 'PENDING' AS status FROM j5 WHERE rs = 'PENDING' AND NOT skip
+UNION ALL
+SELECT job_key, CAST(NULL AS INTEGER), CAST(NULL AS VARCHAR), rerun,
+  CASE WHEN skip THEN 'SKIPPED' ELSE other END FROM j5 WHERE seq = 1 AND (skip OR anyp = 0)""")
+def w4_pending_windows(spark, sf):
+    g = windows.current_window(windows.window_grid(fx.window_requests(fx.read(spark, sf, "customer"))), W3_NOW)
+    return windows.pending_windows(g, fx.last_runs(g))
+
+
+SPLIT_SQL = """sr AS (SELECT c_custkey AS job_key,
+    CASE c_custkey % 4 WHEN 0 THEN 15 WHEN 1 THEN 7 WHEN 2 THEN 10 ELSE 60 END AS job_frequency,
+    '202401' || lpad(CAST(c_nationkey + 1 AS VARCHAR), 2, '0') AS run_date,
+    '202401' || lpad(CAST(c_nationkey + 1 AS VARCHAR), 2, '0') || lpad(CAST(c_custkey % 24 AS VARCHAR), 2, '0')
+      || CASE WHEN c_custkey % 2 = 0 THEN '00' ELSE '30' END || '00' AS run_datetime,
+    CAST(c_custkey % 48 + 1 AS INTEGER) AS seq_num, c_custkey % 9 = 0 AS catch_up FROM customer)"""
+
+
+@register("w5_split_windows", f"""WITH {SPLIT_SQL},
+s1 AS (SELECT *, job_frequency < 30 AND NOT catch_up AS small,
+    job_frequency < 30 AND NOT catch_up AND 30 % job_frequency <> 0 AS bad FROM sr),
+s2 AS (SELECT *, UNNEST(CASE WHEN small AND NOT bad THEN range(0, 30 // job_frequency) ELSE [0] END) AS k FROM s1)
+SELECT job_key, job_frequency, run_date, run_datetime, seq_num, catch_up,
+  CASE WHEN small AND NOT bad THEN strftime(strptime(run_datetime, '%Y%m%d%H%M%S')
+    + to_minutes(CAST(k * job_frequency AS BIGINT)), '%Y%m%d%H%M%S') ELSE run_datetime END AS sub_run_datetime,
+  CASE WHEN small AND NOT bad THEN CAST(trunc((epoch(strptime(run_datetime, '%Y%m%d%H%M%S'))
+      - epoch(strptime(run_date, '%Y%m%d'))) / 60.0 / job_frequency + k + 1) AS INTEGER)
+    WHEN bad THEN NULL ELSE seq_num END AS sub_seq,
+  CASE WHEN bad THEN 'ERROR_FREQUENCY' WHEN small THEN 'SPLIT'
+    WHEN catch_up AND job_frequency < 30 THEN 'CATCH_UP' ELSE 'SINGLE' END AS status FROM s2""")
+def w5_split_windows(spark, sf):
+    return windows.split_windows(fx.split_requests(fx.read(spark, sf, "customer")), 30, catch_up_col="catch_up")
+
+
+W6_NOW = "20240115000000"
+
+
+@register("w6_catch_up", f"""WITH cu AS (SELECT user_id AS job_key,
+    CASE WHEN event_id % 2 = 0 THEN 15 ELSE 30 END AS job_frequency,
+    strftime(date_trunc('minute', ts), '%Y%m%d%H%M%S') AS run_datetime,
+    '{{"catch_up": "' || CASE WHEN user_id % 3 = 0 THEN 'false' ELSE 'true' END || '"}}' AS job_attributes
+  FROM events),
+done AS (SELECT DISTINCT user_id AS job_key,
+    CAST(epoch(timezone('America/Los_Angeles', date_trunc('minute', ts) + INTERVAL 15 MINUTE)) AS BIGINT) * 1000 AS ms
+  FROM events WHERE event_type = 'purchase')
+SELECT cu.*, coalesce(job_frequency < 30
+    AND strptime('{W6_NOW}', '%Y%m%d%H%M%S') > strptime(run_datetime, '%Y%m%d%H%M%S') + INTERVAL 2 HOUR
+    AND lower(coalesce(json_extract_string(job_attributes, '$.catch_up'), 'true')) = 'true'
+    AND NOT EXISTS (SELECT 1 FROM done d WHERE d.job_key = cu.job_key AND d.ms =
+      CAST(epoch(timezone('America/Los_Angeles', strptime(run_datetime, '%Y%m%d%H%M%S')
+        + to_minutes(CAST(job_frequency AS BIGINT)))) AS BIGINT) * 1000), false) AS catch_up
+FROM cu""")
+def w6_catch_up(spark, sf):
+    e = fx.read(spark, sf, "events")
+    return windows.catch_up(fx.catch_up_requests(e), fx.committed_runs(e), W6_NOW)
+
+
+W7_TODAY = "20240120"
+
+
+@register("w7_validate_requests", f"""WITH v AS (SELECT c_custkey AS job_key, CAST(c_custkey % 50 AS INTEGER) AS seq_num,
+    48 AS seq_max, CASE c_custkey % 4 WHEN 0 THEN '20240115' WHEN 1 THEN '20240230' WHEN 2 THEN '20250101'
+      ELSE '2024011' END AS run_date FROM customer),
+s AS (SELECT *, CASE WHEN seq_num > seq_max THEN 'ERROR_SEQ_NUM'
+    WHEN NOT (regexp_full_match(run_date, '\\d{{8}}') AND try_strptime(run_date, '%Y%m%d') IS NOT NULL)
+      THEN 'ERROR_RUN_DATE'
+    WHEN run_date > '{W7_TODAY}' THEN 'ERROR_FUTURE_RUN_DATE' ELSE 'OK' END AS status FROM v)
+SELECT *, CASE WHEN status = 'OK' THEN run_date < '{W7_TODAY}' END AS catchup FROM s""")
+def w7_validate_requests(spark, sf):
+    return windows.validate_requests(fx.validation_requests(fx.read(spark, sf, "customer")), W7_TODAY)
+
+
+@register("w8_run_attributes", f"""WITH cat AS ({J1_SQL}),
+r AS (SELECT *, '20240115' || lpad(CAST(job_key % 24 AS VARCHAR), 2, '0') || '3000' AS run_datetime,
+    job_key % 48 + 1 AS seq FROM cat)
+SELECT job_key, job_name,
+  CASE WHEN lower(coalesce(json_extract_string(logic_attributes, '$.runtime_in_ms_enabled'), 'true')) = 'true'
+    THEN CAST(epoch(timezone('America/Los_Angeles', strptime(run_datetime, '%Y%m%d%H%M%S')
+      + to_minutes(CAST(job_frequency_code AS BIGINT)))) AS BIGINT) * 1000
+    ELSE CAST(epoch(timezone('America/Los_Angeles', strptime(run_datetime, '%Y%m%d%H%M%S'))) AS BIGINT) END
+    AS job_runtime_ms,
+  seq AS job_run_sequence, job_frequency_code, application_system_key AS system_key, data_entity_key,
+  CASE WHEN lower(coalesce(json_extract_string(logic_attributes, '$.runtime_in_ms_enabled'), 'true')) = 'true'
+    AND related_job_key IS NOT NULL THEN related_job_key END AS parent_job_key
+FROM r""")
+def w8_run_attributes(spark, sf):
+    cat = joins.catalog_join(**catalog_frames(spark, sf), chain_name=fx.CHAIN)
+    r = cat.select("*", F.concat(F.lit("20240115"), F.lpad((F.col("job_key") % 24).cast("string"), 2, "0"),
+                                 F.lit("3000")).alias("run_datetime"),
+                   (F.col("job_key") % 48 + 1).alias("seq"), F.col("job_frequency_code").alias("job_frequency"))
+    return windows.run_attributes(r)
