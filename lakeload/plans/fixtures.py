@@ -222,3 +222,67 @@ def validation_requests(customer: DataFrame) -> DataFrame:
         k.alias("job_key"), (k % 50).cast("int").alias("seq_num"), F.lit(48).alias("seq_max"),
         F.when(k % 4 == 0, F.lit("20240115")).when(k % 4 == 1, F.lit("20240230"))
         .when(k % 4 == 2, F.lit("20250101")).otherwise(F.lit("2024011")).alias("run_date"))
+
+
+# ---------------------------------------------------------------- job statistics
+# lineitem -> one job per row with a two-stage plan built from the row itself
+# (no grouping): an Input stage reading part_<partkey> and an Aggregate stage.
+
+def job_statistics(lineitem: DataFrame) -> DataFrame:
+    k, ln, p, s = (F.col(c) for c in ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"))
+    start = epoch_ms(F.col("l_shipdate"))
+    end = start + (F.col("l_quantity") * 1000).cast("bigint")
+    reads = (F.when(p % 7 == 0, F.array(F.lit("$1"), F.lit("FROM")))
+             .when(p % 7 == 1, F.array(F.lit("$1:l_orderkey")))
+             .otherwise(F.array(F.lit("$1:l_orderkey"), F.concat(F.lit("FROM part_"), p.cast("string")))))
+    step = "struct<kind:string,substeps:array<string>>"
+    stage0 = F.struct(F.lit("S00: Input").alias("name"), start.alias("startMs"), (start + 500).alias("endMs"),
+                      F.col("l_quantity").cast("bigint").alias("recordsRead"),
+                      F.array().cast("array<string>").alias("inputStages"),
+                      F.array(F.struct(F.lit("READ").alias("kind"), reads.alias("substeps")),
+                              F.struct(F.lit("WRITE").alias("kind"),
+                                       F.array(F.lit("__stage00_output")).alias("substeps"))).alias("steps"))
+    stage1 = F.struct(F.lit("S01: Aggregate").alias("name"), (start + 500).alias("startMs"), end.alias("endMs"),
+                      ln.cast("bigint").alias("recordsRead"), F.array(F.lit("S00")).alias("inputStages"),
+                      F.array(F.struct(F.lit("COMPUTE").alias("kind"),
+                                       F.array(F.concat(F.lit("$"), s.cast("string")), F.lit("sum($2)"))
+                                       .alias("substeps")),
+                              F.struct(F.lit("WRITE").alias("kind"),
+                                       F.array(F.lit("__stage01_output")).alias("substeps"))).alias("steps"))
+    plan = F.when(F.col("l_linestatus") == "O", F.lit(None)).otherwise(F.array(stage0, stage1))
+    return lineitem.select(
+        F.concat_ws("_", F.lit("job"), k.cast("string"), ln.cast("string"), p.cast("string"), s.cast("string"))
+        .alias("job_id"),
+        F.when(ln > 1, F.concat(F.lit("script_"), k.cast("string"))).alias("parent_job_id"),
+        F.concat(F.lit("MERGE INTO snapshot_"), (p % 50).cast("string"), F.lit(" USING raw_"), s.cast("string"),
+                 F.lit(" "), F.repeat(F.lit("x"), (F.col("l_extendedprice").cast("int") % 5000))).alias("query"),
+        F.struct(start.alias("startTime"), end.alias("endTime"),
+                 F.struct(F.when(F.col("l_returnflag") == "R", F.col("l_quantity").cast("bigint").cast("string"))
+                          .alias("numDmlAffectedRows"), plan.alias("queryPlan")).alias("query")).alias("statistics"),
+        F.when(F.col("l_discount") > 0.05, F.struct(F.lit("raw_tables").alias("datasetId"),
+                                                     F.concat(F.lit("snapshot_"), (p % 50).cast("string"))
+                                                     .alias("tableId"))).alias("destination"),
+        F.struct(F.date_format("l_shipdate", "yyyyMMddHHmmss").alias("end_time_ms"), ln.alias("seq_num"),
+                 F.concat(F.lit("job_"), (s % 10).cast("string")).alias("job_name")).alias("params"))
+
+
+# ---------------------------------------------------------------- layered attributes
+# part -> entity = partkey div 6, layer = partkey % 6, one JSON document per row.
+
+def layered_attributes(part: DataFrame, conflicts: bool = False) -> DataFrame:
+    k = F.col("p_partkey")
+    b, t, s = F.col("p_brand"), F.col("p_type"), F.col("p_size").cast("string")
+    layer = (k % 6).cast("int")
+    last = F.concat(F.lit('{"size_class": "'), F.when(F.col("p_size") > 25, F.lit("L")).otherwise(F.lit("S")),
+                    F.lit('"}'))
+    if conflicts:
+        last = F.when(F.col("p_size") > 40, F.lit('{"spec": "flat"}')).otherwise(last)
+    doc = (F.when(layer == 0, F.concat(F.lit('{"brand": "'), b, F.lit('", "spec": {"type": "'), t,
+                                       F.lit('", "size": '), s, F.lit("}}")))
+           .when(layer == 1, F.concat(F.lit('{"brand": "'), b, F.lit('"}')))
+           .when(layer == 2, F.concat(F.lit('{"spec": {"size": '), s, F.lit("}}")))
+           .when(layer == 3, F.concat(F.lit('{"brand": "'), b, F.lit('", "tags": ['), s, F.lit(", "), s,
+                                      F.lit("]}")))
+           .when(layer == 4, F.concat(F.lit('{"spec": {"type": "'), t, F.lit('"}}')))
+           .otherwise(last))
+    return part.select(F.floor(k / 6).alias("entity"), layer.alias("layer"), doc.alias("attributes"))

@@ -18,7 +18,7 @@ from ..functions import scalars
 from ..session import scratch_dir, table_path
 from ..sinks import tables as sinks
 from ..sources import connectors, files, inventory
-from ..operators import audit, dedup, joins, merge, project, windows
+from ..operators import audit, dedup, jobstats, joins, layers, merge, project, retention, windows
 from ..spec import TableSpec
 from . import fixtures as fx
 from .upsert import incremental_merge, source_slice
@@ -1083,3 +1083,109 @@ def w8_run_attributes(spark, sf):
                                  F.lit("3000")).alias("run_datetime"),
                    (F.col("job_key") % 48 + 1).alias("seq"), F.col("job_frequency_code").alias("job_frequency"))
     return windows.run_attributes(r)
+
+
+# ---------------------------------------------------------------- N1-N4
+
+STATS_BASE_SQL = """sb AS (SELECT l_orderkey AS k, l_linenumber AS ln, l_partkey AS p, l_suppkey AS s,
+    'job_' || l_orderkey || '_' || l_linenumber || '_' || l_partkey || '_' || l_suppkey AS jid,
+    CASE WHEN l_linenumber > 1 THEN 'script_' || l_orderkey END AS parent,
+    epoch_us(l_shipdate) // 1000 AS st, epoch_us(l_shipdate) // 1000 + CAST(l_quantity * 1000 AS BIGINT) AS en,
+    *, CAST(epoch_us(timezone('PST8PDT', l_shipdate)) // 1000 AS VARCHAR) AS end_time_ms,
+    'job_' || (l_suppkey % 10) AS job_name FROM lineitem),
+sj AS (SELECT *, CASE WHEN parent IS NOT NULL THEN parent || ':' || jid ELSE jid END AS job_id FROM sb)"""
+
+N1_SELECT = """SELECT end_time_ms, ln AS seq_num, job_id, job_name, 'JOB' AS query_type,
+  substring('MERGE INTO snapshot_' || (p % 50) || ' USING raw_' || s || ' '
+    || repeat('x', CAST(CAST(trunc(l_extendedprice) AS BIGINT) % 5000 AS INTEGER)), 1, 4000) AS query,
+  CASE WHEN l_discount > 0.05 THEN 'raw_tables:snapshot_' || (p % 50) ELSE 'NO_TARGET_SPECIFIED' END AS db_name,
+  st AS init_time, en AS end_time,
+  coalesce(CASE WHEN l_returnflag = 'R' THEN CAST(CAST(l_quantity AS BIGINT) AS VARCHAR) END, '0') AS record_count,
+  (en - st) / 1000.0 AS time_taken FROM sj"""
+
+N2_SELECT = """SELECT end_time_ms, ln AS seq_num, job_id, job_name, 'STAGE' AS query_type,
+  CASE p % 7 WHEN 0 THEN '$1, FROM' WHEN 1 THEN '$1:l_orderkey' ELSE '$1:l_orderkey, FROM part_' || p END AS query,
+  CASE p % 7 WHEN 0 THEN '' WHEN 1 THEN 'Input stage : ' ELSE 'part_' || p END AS db_name,
+  st AS init_time, st + 500 AS end_time, CAST(CAST(l_quantity AS BIGINT) AS VARCHAR) AS record_count,
+  0.5 AS time_taken FROM sj WHERE l_linestatus <> 'O'
+UNION ALL
+SELECT end_time_ms, ln, job_id, job_name, 'STAGE',
+  'COMPUTE:$' || s || ', sum($2)__::__ WRITE:__stage01_output', 'Input stage : S00',
+  st + 500, en, CAST(ln AS VARCHAR), (en - st - 500) / 1000.0 FROM sj WHERE l_linestatus <> 'O'"""
+
+STAT_FIELDS = [c for c in jobstats.STAT_COLUMNS if c != "checksum"]
+
+
+def _stats(spark, sf):
+    return fx.job_statistics(fx.read(spark, sf, "lineitem"))
+
+
+@register("n1_job_stats", f"WITH {STATS_BASE_SQL} {N1_SELECT}")
+def n1_job_stats(spark, sf):
+    return jobstats.job_stats(_stats(spark, sf)).select(*STAT_FIELDS)
+
+
+@register("n1_job_stats_checksum")
+def n1_job_stats_checksum(spark, sf):
+    return jobstats.job_stats(_stats(spark, sf))
+
+
+@register("n2_stage_stats", f"WITH {STATS_BASE_SQL} {N2_SELECT}")
+def n2_stage_stats(spark, sf):
+    return jobstats.stage_stats(_stats(spark, sf)).select(*STAT_FIELDS)
+
+
+@register("n2_stage_stats_checksum")
+def n2_stage_stats_checksum(spark, sf):
+    return jobstats.stage_stats(_stats(spark, sf))
+
+
+@register("n3_stage_source", f"""WITH {STATS_BASE_SQL}, q AS ({N2_SELECT})
+SELECT job_id, query, db_name FROM q""")
+def n3_stage_source(spark, sf):
+    st = _stats(spark, sf).select(jobstats.full_job_id(_stats(spark, sf)).alias("job_id"),
+                                  F.explode("statistics.query.queryPlan").alias("s"))
+    text = jobstats.stage_text(F.col("s"))
+    return st.select("job_id", text.alias("query"),
+                     jobstats.stage_source(F.col("s.name"), text, F.col("s.inputStages")).alias("db_name"))
+
+
+@register("n4_all_stats", f"WITH {STATS_BASE_SQL} {N1_SELECT} UNION ALL {N2_SELECT}")
+def n4_all_stats(spark, sf):
+    return jobstats.all_stats(_stats(spark, sf)).select(*STAT_FIELDS)
+
+
+# ---------------------------------------------------------------- L1, L2
+
+LAYER_ROWS_SQL = """lp AS (SELECT p_partkey // 6 AS entity, CAST(p_partkey % 6 AS INTEGER) AS layer, * FROM part),
+lrows AS (
+  SELECT entity, layer, 'brand' AS path, p_brand AS value FROM lp WHERE layer IN (0, 1, 3)
+  UNION ALL SELECT entity, layer, 'spec.type', p_type FROM lp WHERE layer IN (0, 4)
+  UNION ALL SELECT entity, layer, 'spec.size', CAST(p_size AS VARCHAR) FROM lp WHERE layer IN (0, 2)
+  UNION ALL SELECT entity, layer, 'tags', '[' || p_size || ',' || p_size || ']' FROM lp WHERE layer = 3
+  UNION ALL SELECT entity, layer, 'size_class', CASE WHEN p_size > 25 THEN 'L' ELSE 'S' END FROM lp WHERE layer = 5)"""
+
+
+@register("l1_resolve_layers", f"""WITH {LAYER_ROWS_SQL}
+SELECT entity, path, arg_max(value, layer) AS value, max(layer) AS layer FROM lrows GROUP BY entity, path""")
+def l1_resolve_layers(spark, sf):
+    return layers.resolve_layers(fx.layered_attributes(fx.read(spark, sf, "part")))
+
+
+@register("l2_layer_conflicts", """WITH lp AS (SELECT p_partkey // 6 AS entity, p_partkey % 6 AS layer, * FROM part)
+SELECT DISTINCT a.entity, 'spec' AS path, 'Cannot merge configs for key: spec' AS error
+FROM lp a JOIN lp b ON a.entity = b.entity
+WHERE a.layer = 5 AND a.p_size > 40 AND b.layer IN (0, 2, 4)""")
+def l2_layer_conflicts(spark, sf):
+    return layers.layer_conflicts(fx.layered_attributes(fx.read(spark, sf, "part"), conflicts=True))
+
+
+# ---------------------------------------------------------------- R1
+
+@register("r1_retention_candidates")
+def r1_retention_candidates(spark, sf):
+    inv = inventory.file_inventory(spark, sf)
+    base = sf.rstrip("/")
+    config = {".parquet": {"directories": [base], "recursive_directories": [], "retention_days": 10},
+              "_dly.txt": {"directories": [base], "recursive_directories": [base], "retention_days": 10}}
+    return retention.retention_candidates(inv, retention.rules_frame(spark, config), "2100-01-01 00:00:00")
