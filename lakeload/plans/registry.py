@@ -122,7 +122,8 @@ def d1_latest_by_agg_nulls(spark, sf):
 
 @register("d2_latest_by_window", """
 SELECT * FROM (SELECT event_id, ts, user_id, event_type, value, props,
-  row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC NULLS LAST, event_id DESC NULLS LAST) AS RNK
+  CAST(row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC NULLS LAST, event_id DESC NULLS LAST)
+    AS INTEGER) AS RNK
   FROM events) WHERE RNK = 1""")
 def d2_latest_by_window(spark, sf):
     return dedup.latest_by_window(fx.read(spark, sf, "events"), fx.EVENT_KEYS, fx.EVENT_ORDER)
@@ -677,7 +678,7 @@ def f7_job_labels(spark, sf):
 
 
 @register("f8_truncate", """SELECT doc_id, substring(text, 1, 4000) AS text_4000,
-  length(substring(text, 1, 4000)) AS n FROM documents""")
+  CAST(length(substring(text, 1, 4000)) AS INTEGER) AS n FROM documents""")
 def f8_truncate(spark, sf):
     d = fx.read(spark, sf, "documents")
     return d.select("doc_id", scalars.truncate("text").alias("text_4000"),

@@ -52,6 +52,25 @@ def digest(cols, rows):
     return hashlib.sha1("\n".join(keyed).encode()).hexdigest()[:12], keyed
 
 
+SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "smallint": "SMALLINT", "double": "DOUBLE",
+                 "float": "FLOAT", "string": "VARCHAR", "timestamp_ntz": "TIMESTAMP", "date": "DATE",
+                 "timestamp": "TIMESTAMP WITH TIME ZONE", "boolean": "BOOLEAN", "binary": "BLOB"}
+
+
+def type_diffs(df, res):
+    spark_types = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+    out = []
+    for d in res.description:
+        st = spark_types.get(d[0])
+        if st is None:
+            continue
+        want = SPARK_TO_DUCK.get(st, st.upper())
+        got = str(d[1])
+        if want.replace(" ", "") != got.replace(" ", "") and not (st.startswith("decimal") and got.startswith("DECIMAL")):
+            out.append(f"{d[0]}: spark {st} vs duckdb {got}")
+    return out
+
+
 def duck(sf_dir):
     con = duckdb.connect()
     for t in TABLES:
@@ -94,6 +113,9 @@ def main(argv):
             print(f"FAIL {name}: duckdb error {str(e)[:300]}")
             bad += 1
             continue
+        tdiff = type_diffs(df, res)
+        if tdiff:
+            print(f"TYPE {name}: " + "; ".join(tdiff))
         h1, k1 = digest(cols, rows)
         h2, k2 = digest(ocols, orows)
         ok = (len(rows) == len(orows)) and sorted(cols) == sorted(ocols) and h1 == h2
