@@ -27,11 +27,16 @@ _LATEST = "__latest"
 
 def latest_by_agg(df: DataFrame, keys: Sequence[str], ordering: Sequence[str]) -> DataFrame:
     """Newest row per key by aggregation; output has the input's columns."""
-    row = F.struct(*[q(c) for c in df.columns])
+    keys = list(keys)
+    if all(c in keys for c in df.columns):
+        return df.select(*[q(c) for c in df.columns]).distinct()
+    row = F.struct(*[q(c) for c in df.columns if c not in keys])
     order = F.struct(*[q(c) for c in ordering])
+    # keys come out as the grouping columns themselves, so the result keeps its hash
+    # partitioning on the keys and a following join or merge on them needs no shuffle
     return (df.groupBy(*[q(k) for k in keys])
               .agg(F.max_by(row, order).alias(_LATEST))
-              .select(*[F.col(_LATEST)[c].alias(c) for c in df.columns]))
+              .select(*[(q(c) if c in keys else F.col(_LATEST)[c].alias(c)) for c in df.columns]))
 
 
 def latest_by_window(df: DataFrame, keys: Sequence[str], ordering: Sequence[str],
