@@ -1,8 +1,8 @@
 """Counts and audit report.
 
-The audit of one table is one pass: ``groupBy(keys)`` with partial aggregation
-(rows, history rows, all-keys-NULL flag per key), then a global sum over the key
-groups. Distinct keys are the number of groups, NULL-bearing tuples included
+The audit of one table is one pass: raw and snapshot keys, tagged by side, go
+through ``groupBy(side, keys)`` with partial aggregation (rows, history rows,
+all-keys-NULL flag per key), then one global sum per side - no join. Distinct keys are the number of groups, NULL-bearing tuples included
 (never ``countDistinct``, which skips NULLs). A hot key is pre-aggregated
 map-side, so no task sees all of its rows.
 """
@@ -57,22 +57,6 @@ def distinct_projection(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return df.select(*[q(c) for c in cols]).distinct()
 
 
-def key_profile(df: DataFrame, keys: Sequence[str], history_pred: Column | None) -> DataFrame:
-    """Total rows, history rows, distinct keys and all-NULL-key rows in one pass."""
-    hist = F.coalesce(history_pred, F.lit(False)) if history_pred is not None else F.lit(False)
-    if not keys:
-        return df.agg(F.count(F.lit(1)).alias("total"), F.count_if(hist).alias("history"),
-                      F.lit(0).cast("bigint").alias("distinct_keys"), F.lit(0).cast("bigint").alias("null_keys"))
-    grouped = df.groupBy(*[q(k) for k in keys]).agg(
-        F.count(F.lit(1)).alias("n"), F.count_if(hist).alias("h"),
-        F.first(all_keys_null(keys)).alias("z"))
-    return grouped.agg(
-        F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("total"),
-        F.coalesce(F.sum("h"), F.lit(0)).cast("bigint").alias("history"),
-        F.count(F.lit(1)).alias("distinct_keys"),
-        F.coalesce(F.sum(F.when(F.col("z"), F.col("n"))), F.lit(0)).cast("bigint").alias("null_keys"))
-
-
 @dataclass
 class AuditTable:
     name: str
@@ -83,37 +67,44 @@ class AuditTable:
 
 
 def audit_table(t: AuditTable) -> DataFrame:
-    """A7 for one table: one report row."""
+    """A7 for one table: one report row, in one pass and without joins.
+
+    Raw and snapshot key columns are unioned with a side tag, grouped by
+    (side, keys) with map-side partial aggregation, then summed per side.
+    """
     keys = [k for k in t.keys if k]
-    zero = F.lit(0).cast("bigint")
+    sides = []
     if t.raw is not None:
-        r = key_profile(t.raw, keys, t.history_pred).select(
-            F.col("total").alias("raw_total_count"), F.col("history").alias("raw_history_count"),
-            F.col("distinct_keys").alias("raw_distinct_primary_key_count"),
-            F.col("null_keys").alias("raw_primary_key_null_count"))
-    else:
-        r = None
+        hist = F.coalesce(t.history_pred, F.lit(False)) if t.history_pred is not None else F.lit(False)
+        sides.append(t.raw.select(*[q(k) for k in keys], F.lit("raw").alias("__side"), hist.alias("__hist")))
     if t.snapshot is not None:
-        s = key_profile(t.snapshot, keys, None).select(
-            F.col("total").alias("snapshot_total_count"),
-            F.col("distinct_keys").alias("snapshot_distinct_primary_key_count"),
-            F.col("null_keys").alias("snapshot_primary_key_null_count"))
-    else:
-        s = None
-    # both sides are one-row aggregates: pack each into a struct and combine by a
-    # constant-key equi-join of two single rows
-    raw_cols = ["raw_total_count", "raw_history_count", "raw_distinct_primary_key_count",
-                "raw_primary_key_null_count"]
-    snap_cols = ["snapshot_total_count", "snapshot_distinct_primary_key_count",
-                 "snapshot_primary_key_null_count"]
-    if r is None:
-        base = s.select(*[zero.alias(c) for c in raw_cols], *snap_cols)
-    elif s is None:
-        base = r.select(*raw_cols, *[zero.alias(c) for c in snap_cols])
-    else:
-        base = r.withColumn("__one", F.lit(1)).join(s.withColumn("__one", F.lit(1)), "__one").drop("__one")
-    return base.select(
-        F.lit(t.name).alias("table_name"), *raw_cols, *snap_cols,
+        sides.append(t.snapshot.select(*[q(k) for k in keys], F.lit("snapshot").alias("__side"),
+                                       F.lit(False).alias("__hist")))
+    both = reduce(lambda a, b: a.unionByName(b), sides)
+    z = all_keys_null(keys) if keys else F.lit(False)
+    grouped = both.groupBy("__side", *[q(k) for k in keys]).agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(F.col("__hist")).alias("h"), F.first(z).alias("z"))
+
+    def total(side, col):
+        return F.coalesce(F.sum(F.when(F.col("__side") == side, F.col(col))), F.lit(0)).cast("bigint")
+
+    def distinct(side):
+        return (F.count_if(F.col("__side") == side) if keys else F.lit(0)).cast("bigint")
+
+    def nulls(side):
+        return F.coalesce(F.sum(F.when((F.col("__side") == side) & F.col("z"), F.col("n"))), F.lit(0)).cast("bigint")
+
+    report = grouped.agg(
+        total("raw", "n").alias("raw_total_count"), total("raw", "h").alias("raw_history_count"),
+        distinct("raw").alias("raw_distinct_primary_key_count"), nulls("raw").alias("raw_primary_key_null_count"),
+        total("snapshot", "n").alias("snapshot_total_count"),
+        distinct("snapshot").alias("snapshot_distinct_primary_key_count"),
+        nulls("snapshot").alias("snapshot_primary_key_null_count"))
+    if not keys:
+        report = report.withColumn("raw_primary_key_null_count", F.lit(0).cast("bigint")) \
+            .withColumn("snapshot_primary_key_null_count", F.lit(0).cast("bigint"))
+    return report.select(
+        F.lit(t.name).alias("table_name"), "*",
         F.lit("RAW_AND_SNAPSHOT" if t.snapshot is not None else "RAW_ONLY").alias("table_type"),
         (F.col("raw_distinct_primary_key_count") == F.col("snapshot_distinct_primary_key_count"))
         .alias("raw_distinct_equals_snapshot_distinct"),
