@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from typing import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -37,8 +37,9 @@ def scan_delimited(spark: SparkSession, path: str | Sequence[str], schema_json,
     each file skipped, optional typed hive directory keys.
 
     One header row uses the CSV reader's own ``header`` option. More rows are cut
-    from the first split of each file only (the leading lines always sit there),
-    so the ranking window holds at most one split per file, never a whole table.
+    inside the scan tasks, with no shuffle: the leading lines of a file always sit
+    in its first split, and a split's lines reach the task in file order, so only
+    first-split rows pass through an Arrow-batched counter of lines per file.
     """
     schema = string_schema(schema_json, keys)
     opts = _csv_options(delimiter)
@@ -49,19 +50,30 @@ def scan_delimited(spark: SparkSession, path: str | Sequence[str], schema_json,
         return reader.schema(schema).options(**opts).option("header", str(header_rows == 1).lower()).csv(path)
     key_fields = [f for f in schema.fields if f.name in (keys or {})]
     text_schema = T.StructType([T.StructField("value", T.StringType())] + key_fields)
-    lines = (reader.schema(text_schema).text(path)
-             .select("*", F.col("_metadata.file_path").alias("__file"),
-                     F.col("_metadata.file_block_start").alias("__block"),
-                     F.monotonically_increasing_id().alias("__pos")))
-    first = lines.where(F.col("__block") == 0)
-    ranked = first.withColumn("__line", F.row_number().over(Window.partitionBy("__file").orderBy("__pos")))
-    body = ranked.where(F.col("__line") > header_rows).drop("__line").unionByName(lines.where(F.col("__block") > 0))
+    lines = reader.schema(text_schema).text(path).select(
+        "*", F.col("_metadata.file_path").alias("__file"), F.col("_metadata.file_block_start").alias("__block"))
+    first = lines.where(F.col("__block") == 0).drop("__block")
+    body = first.mapInPandas(_skip_leading_lines(header_rows), first.schema) \
+        .unionByName(lines.where(F.col("__block") > 0).drop("__block"))
     data_schema = T.StructType([f for f in schema.fields if f.name not in (keys or {})])
     parsed = body.select(F.from_csv("value", data_schema.simpleString(), opts).alias("__r"),
                          *[F.col(f.name) for f in key_fields])
     return parsed.select("__r.*", *[f.name for f in key_fields])
 
 
+def _skip_leading_lines(n: int):
+    """Per task: drop the first ``n`` lines of every file (lines arrive in file order)."""
+    def run(batches):
+        seen: dict[str, int] = {}
+        for pdf in batches:
+            pos = pdf.groupby("__file", sort=False).cumcount() + pdf["__file"].map(seen).fillna(0).astype("int64")
+            counts = pdf["__file"].value_counts()
+            for f, c in counts.items():
+                seen[f] = seen.get(f, 0) + int(c)
+            yield pdf[pos.to_numpy() >= n]
+    return run
+
+
 def scan_ndjson(spark: SparkSession, path: str | Sequence[str], schema_json,
                 keys: Mapping[str, str] | None = None, base_path: str | None = None) -> DataFrame:
     """Newline-delimited JSON with the declared columns as STRING (plus typed keys)."""

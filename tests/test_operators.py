@@ -269,3 +269,18 @@ def test_layers_resolve_and_conflicts(spark):
     conf = layers.layer_conflicts(attrs).collect()
     assert [(r["entity"], r["path"]) for r in conf] == [(2, "a")]
     assert layers.layer_rank(F.lit("job")) is not None
+
+
+def test_header_rows_with_files_split_across_tasks(spark):
+    d = scratch_dir(spark, "t_split")
+    df = spark.createDataFrame([(str(i), "x" * 20) for i in range(400)], "a string, b string").repartition(2)
+    sinks.write_delimited(df, d, ",", header_rows=3, header_text="a,b")
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "256")
+    try:
+        out = files.scan_delimited(spark, d, [("a", "INT64"), ("b", "STRING")], ",", header_rows=3)
+        assert out.rdd.getNumPartitions() > 4  # files are split over several tasks
+        got = sorted(int(r["a"]) for r in out.collect())
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert got == list(range(400))
