@@ -10,8 +10,6 @@ one layer and a leaf in another is a conflict (L2).
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -30,27 +28,33 @@ def _kind(value) -> F.Column:
         .otherwise(F.lit("scalar"))
 
 
+def _entries(json_text, prefix=None):
+    """Key/value pairs of a JSON object text as ``array<struct<path, value>>``."""
+    kv = F.map_entries(F.from_json(json_text, "map<string,string>"))
+    return F.transform(kv, lambda e: F.struct(
+        (e["key"] if prefix is None else F.concat(prefix, F.lit("."), e["key"])).alias("path"),
+        e["value"].alias("value")))
+
+
 def attribute_paths(attrs: DataFrame, entity: str = "entity", layer: str = "layer",
                     doc: str = "attributes", max_depth: int = 8) -> DataFrame:
     """All paths of the JSON documents: ``entity, layer, path, kind, value``.
 
-    Level by level (at most ``max_depth``), objects are opened with
-    ``from_json(..., map<string,string>)``; nested values arrive as their JSON text.
+    One pass per row: level ``i + 1`` is computed from level ``i`` (the object
+    values opened with ``from_json(..., map<string,string>)``), each level a column
+    of its own, then all levels are exploded once. Nested values arrive as their
+    JSON text, so lists and scalars are leaves.
     """
-    level = attrs.select(F.col(entity).alias("entity"), F.col(layer).alias("layer"),
-                         F.lit(None).cast("string").alias("prefix"), F.col(doc).alias("__obj"))
-    out = []
-    for _ in range(max_depth):
-        kv = level.select("entity", "layer", "prefix",
-                          F.explode(F.from_json("__obj", "map<string,string>")).alias("k", "v"))
-        kv = kv.select("entity", "layer",
-                       F.when(F.col("prefix").isNull(), F.col("k"))
-                       .otherwise(F.concat_ws(".", "prefix", "k")).alias("path"),
-                       _kind(F.col("v")).alias("kind"), F.col("v").alias("value"))
-        out.append(kv)
-        level = kv.where(F.col("kind") == "object").select(
-            "entity", "layer", F.col("path").alias("prefix"), F.col("value").alias("__obj"))
-    return reduce(lambda a, b: a.unionByName(b), out)
+    df = attrs.select(F.col(entity).alias("entity"), F.col(layer).alias("layer"),
+                      _entries(F.col(doc)).alias("__l0"))
+    for i in range(1, max_depth):
+        prev = F.col(f"__l{i - 1}")
+        objects = F.filter(prev, lambda e: _kind(e["value"]) == "object")
+        df = df.withColumn(f"__l{i}", F.flatten(F.transform(objects, lambda e: _entries(e["value"], e["path"]))))
+    levels = F.concat(*[F.col(f"__l{i}") for i in range(max_depth)])
+    return df.select("entity", "layer", F.explode(levels).alias("__p")).select(
+        "entity", "layer", F.col("__p.path").alias("path"), _kind(F.col("__p.value")).alias("kind"),
+        F.col("__p.value").alias("value"))
 
 
 def resolve_layers(attrs: DataFrame, **kw) -> DataFrame:
