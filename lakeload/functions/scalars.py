@@ -115,13 +115,16 @@ def job_labels(target_table, label, dataset, end_run_id, run_no, now_run_id, pre
 
 
 def checksum(col) -> Column:
-    """F8: CRC-32 of the UTF-8 bytes of a text column."""
-    return F.crc32(F.encode(_c(col), "UTF-8"))
+    """F8: CRC-32 of the UTF-8 bytes of a text column (Spark strings are UTF-8, so
+    the cast to binary hands over those bytes without re-encoding)."""
+    return F.crc32(_c(col).cast("binary"))
 
 
 def truncate(col, n: int = 4000) -> Column:
-    """F8: first ``n`` characters."""
-    return F.substring(_c(col), 1, n)
+    """F8: first ``n`` characters. A text of at most ``n`` bytes has at most ``n``
+    characters and is returned as is, without walking its characters."""
+    c = _c(col)
+    return F.when(F.octet_length(c) <= n, c).otherwise(F.substring(c, 1, n))
 
 
 def partition_key(ts, unit: str) -> Column:
