@@ -41,14 +41,11 @@ def full_job_id(df: DataFrame) -> Column:
         if "parent_job_id" in df.columns else F.col("job_id")
 
 
-def job_stats(df: DataFrame) -> DataFrame:
-    """One ``JOB`` row per job: seconds = (end - start) / 1000, affected rows
-    default ``"0"``, target ``dataset:table`` or ``NO_TARGET_SPECIFIED``, CRC-32 of
-    the full query text, text cut to 4000 characters."""
+def _job_row(df: DataFrame) -> Column:
     s = F.col("statistics")
     dest = F.col("destination")
     db = F.when(dest.isNotNull(), F.concat_ws(":", dest["datasetId"], dest["tableId"])).otherwise(F.lit(NO_TARGET))
-    return df.select(
+    return F.struct(
         run_id_to_epoch_ms(F.col("params.end_time_ms")).alias("end_time_ms"),
         F.col("params.seq_num").alias("seq_num"), full_job_id(df).alias("job_id"),
         F.col("params.job_name").alias("job_name"), F.lit("JOB").alias("query_type"),
@@ -58,6 +55,13 @@ def job_stats(df: DataFrame) -> DataFrame:
         ((s["endTime"] - s["startTime"]) / 1000.0).alias("time_taken"))
 
 
+def job_stats(df: DataFrame) -> DataFrame:
+    """One ``JOB`` row per job: seconds = (end - start) / 1000, affected rows
+    default ``"0"``, target ``dataset:table`` or ``NO_TARGET_SPECIFIED``, CRC-32 of
+    the full query text, text cut to 4000 characters."""
+    return df.select(_job_row(df).alias("__r")).select("__r.*")
+
+
 def stage_text(stage: Column) -> Column:
     """For ``Input`` stages the READ steps' substeps joined ``', '``, steps joined
     ``__::__``; otherwise ``kind:substeps`` per step joined ``__::__ ``."""
@@ -82,24 +86,31 @@ def stage_source(name: Column, text: Column, input_stages: Column) -> Column:
         .otherwise(F.concat(F.lit(INPUT_PREFIX), F.array_join(F.coalesce(input_stages, F.array()), ",")))
 
 
+def _stage_rows(df: DataFrame) -> Column:
+    """``array<struct>`` of the STAGE rows of each job (empty without a plan)."""
+    end_ms = run_id_to_epoch_ms(F.col("params.end_time_ms"))
+    job_id = full_job_id(df)
+
+    def row(st):
+        text = stage_text(st)
+        return F.struct(
+            end_ms.alias("end_time_ms"), F.col("params.seq_num").alias("seq_num"), job_id.alias("job_id"),
+            F.col("params.job_name").alias("job_name"), F.lit("STAGE").alias("query_type"),
+            checksum(text).alias("checksum"), text.alias("query"),
+            stage_source(st["name"], text, st["inputStages"]).alias("db_name"),
+            st["startMs"].alias("init_time"), st["endMs"].alias("end_time"),
+            st["recordsRead"].cast("string").alias("record_count"),
+            ((st["endMs"].cast("bigint") - st["startMs"].cast("bigint")) / 1000.0).alias("time_taken"))
+    return F.transform(F.coalesce(F.col("statistics.query.queryPlan"), F.array()), row)
+
+
 def stage_stats(df: DataFrame) -> DataFrame:
     """One ``STAGE`` row per plan stage (jobs without a plan give none)."""
-    staged = df.select(
-        F.col("params").alias("__p"), full_job_id(df).alias("__job_id"),
-        F.explode(F.col("statistics.query.queryPlan")).alias("__st"))
-    st = F.col("__st")
-    text = stage_text(st)
-    return staged.select(
-        run_id_to_epoch_ms(F.col("__p.end_time_ms")).alias("end_time_ms"),
-        F.col("__p.seq_num").alias("seq_num"), F.col("__job_id").alias("job_id"),
-        F.col("__p.job_name").alias("job_name"), F.lit("STAGE").alias("query_type"),
-        checksum(text).alias("checksum"), text.alias("query"),
-        stage_source(st["name"], text, st["inputStages"]).alias("db_name"),
-        st["startMs"].alias("init_time"), st["endMs"].alias("end_time"),
-        st["recordsRead"].cast("string").alias("record_count"),
-        ((st["endMs"].cast("bigint") - st["startMs"].cast("bigint")) / 1000.0).alias("time_taken"))
+    return df.select(F.explode(_stage_rows(df)).alias("__r")).select("__r.*")
 
 
 def all_stats(jobs: DataFrame) -> DataFrame:
-    """Job rows and stage rows of parent and child jobs in one frame."""
-    return job_stats(jobs).unionByName(stage_stats(jobs))
+    """Job rows and stage rows of parent and child jobs, from one pass over the
+    input: each job becomes ``[job row] ++ stage rows``, exploded once."""
+    rows = F.concat(F.array(_job_row(jobs)), _stage_rows(jobs))
+    return jobs.select(F.explode(rows).alias("__r")).select("__r.*")

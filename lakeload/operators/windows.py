@@ -110,16 +110,18 @@ def pending_windows(grid: DataFrame, last_run: DataFrame) -> DataFrame:
     g = g.withColumn("__skip", skipped)
     g = g.withColumn("__any_pending", F.max(pend.cast("int")).over(w) == 1)
     rerun = F.when(complete & (st == "FAILED"), F.lit("Y")).otherwise(F.lit("N"))
-    pending_rows = g.where(pend & ~F.col("__skip")).select(
-        "job_key", "seq", "run_id", rerun.alias("rerun_indicator"), F.lit("PENDING").alias("status"))
     job_status = (F.when(F.col("__skip"), F.lit("SKIPPED"))
                   .when(F.col("__any_pending"), F.lit(None))
                   .otherwise(F.max(F.when(F.col("__status") != "PENDING", F.col("__status"))).over(w)))
-    status_rows = g.withColumn("__job_status", job_status).where(
-        (q("seq") == 1) & F.col("__job_status").isNotNull()).select(
-        "job_key", F.lit(None).cast("int").alias("seq"), F.lit(None).cast("string").alias("run_id"),
-        rerun.alias("rerun_indicator"), F.col("__job_status").alias("status"))
-    return pending_rows.unionByName(status_rows)
+    g = g.withColumn("__job_status", job_status)
+    # a row is either a pending run id or the one status row of a job without any
+    # (never both), so one filter replaces a union of two passes over the grid
+    pending_row = pend & ~F.col("__skip")
+    status_row = (q("seq") == 1) & F.col("__job_status").isNotNull()
+    return g.where(pending_row | status_row).select(
+        "job_key", F.when(pending_row, q("seq")).alias("seq"), F.when(pending_row, q("run_id")).alias("run_id"),
+        rerun.alias("rerun_indicator"),
+        F.when(pending_row, F.lit("PENDING")).otherwise(F.col("__job_status")).alias("status"))
 
 
 def split_windows(runs: DataFrame, dag_frequency: int, catch_up_col: str | None = None) -> DataFrame:
