@@ -52,13 +52,27 @@ def scan_delimited(spark: SparkSession, path: str | Sequence[str], schema_json,
     text_schema = T.StructType([T.StructField("value", T.StringType())] + key_fields)
     lines = reader.schema(text_schema).text(path).select(
         "*", F.col("_metadata.file_path").alias("__file"), F.col("_metadata.file_block_start").alias("__block"))
+    body = drop_leading_lines(lines, header_rows).drop("__file")
+    return parse_delimited(body, schema_json, delimiter, [f.name for f in key_fields])
+
+
+def drop_leading_lines(lines: DataFrame, n: int) -> DataFrame:
+    """Drop the first ``n`` lines of every file from a text frame carrying
+    ``__file`` (file path) and ``__block`` (split start) columns; no shuffle."""
+    if n <= 0:
+        return lines.drop("__block")
     first = lines.where(F.col("__block") == 0).drop("__block")
-    body = first.mapInPandas(_skip_leading_lines(header_rows), first.schema) \
+    return first.mapInPandas(_skip_leading_lines(n), first.schema) \
         .unionByName(lines.where(F.col("__block") > 0).drop("__block"))
-    data_schema = T.StructType([f for f in schema.fields if f.name not in (keys or {})])
-    parsed = body.select(F.from_csv("value", data_schema.simpleString(), opts).alias("__r"),
-                         *[F.col(f.name) for f in key_fields])
-    return parsed.select("__r.*", *[f.name for f in key_fields])
+
+
+def parse_delimited(lines: DataFrame, schema_json, delimiter: str, keep: Sequence[str] = ()) -> DataFrame:
+    """Split a ``value`` text column into the schema's STRING columns (quoting off,
+    jagged rows are errors); ``keep`` columns pass through after them."""
+    data_schema = string_schema(schema_json)
+    parsed = lines.select(F.from_csv("value", data_schema.simpleString(), _csv_options(delimiter)).alias("__r"),
+                          *[F.col(c) for c in keep])
+    return parsed.select("__r.*", *keep)
 
 
 def _skip_leading_lines(n: int):

@@ -284,3 +284,16 @@ def test_header_rows_with_files_split_across_tasks(spark):
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
     assert got == list(range(400))
+
+
+def test_stream_landing_batch_replay_is_idempotent(spark):
+    from lakeload.streaming.landing import land_batch
+    raw = scratch_dir(spark, "t_stream_raw")
+    lines = spark.createDataFrame([("h", "f1", 0, D(2024, 1, 1)), ("1|a", "f1", 0, D(2024, 1, 1)),
+                                   ("2|b", "f1", 0, D(2024, 1, 1))],
+                                  "value string, __file string, __block bigint, last_ingestion_utc_time timestamp_ntz")
+    schema = [("id", "INT64"), ("name", "STRING")]
+    for _ in range(2):  # the same epoch twice: the second run replaces the first
+        land_batch(lines, 7, raw, schema, "|", 1, ["upper(name) AS up"], "PST8PDT", None, None)
+    out = spark.read.parquet(raw)
+    assert rows(out, "id", "up", "load_batch") == [(1, "A", 7), (2, "B", 7)]
