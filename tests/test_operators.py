@@ -291,7 +291,8 @@ def test_stream_landing_batch_replay_is_idempotent(spark):
     raw = scratch_dir(spark, "t_stream_raw")
     lines = spark.createDataFrame([("h", "f1", 0, D(2024, 1, 1)), ("1|a", "f1", 0, D(2024, 1, 1)),
                                    ("2|b", "f1", 0, D(2024, 1, 1))],
-                                  "value string, __file string, __block bigint, last_ingestion_utc_time timestamp_ntz")
+                                  "value string, __file string, __block bigint, last_ingestion_utc_time timestamp_ntz"
+                                  ).coalesce(1)  # one file's first split is read by one task, in order
     schema = [("id", "INT64"), ("name", "STRING")]
     for _ in range(2):  # the same epoch twice: the second run replaces the first
         land_batch(lines, 7, raw, schema, "|", 1, ["upper(name) AS up"], "PST8PDT", None, None)
