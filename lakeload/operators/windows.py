@@ -31,7 +31,8 @@ def strftime_format(ts: Column, fmt: Column) -> Column:
     for directive, pattern in (("%Y", "yyyy"), ("%m", "MM"), ("%d", "dd"), ("%H", "HH"), ("%M", "mm"),
                                ("%S", "ss")):
         out = F.replace(out, F.lit(directive), F.date_format(ts, pattern))
-    return out
+    # the default format is one date_format call instead of six
+    return F.when(fmt == F.lit(DEFAULT_RUN_ID_FORMAT), F.date_format(ts, RUN_ID_FORMAT)).otherwise(out)
 
 
 custom_run_id = strftime_format
