@@ -11,8 +11,18 @@ from pyspark.sql import functions as F
 from ..spec import DEFAULT_ZONE, RUN_ID_FORMAT
 
 
+def ntz_lit(value) -> Column:
+    """A timestamp_ntz literal that does not depend on the session zone. (A Python
+    datetime given to ``lit`` becomes a zoned timestamp; its text does not.)"""
+    if isinstance(value, _dt.datetime):
+        value = value.isoformat(sep=" ")
+    elif isinstance(value, _dt.date):
+        value = value.isoformat() + " 00:00:00"
+    return F.lit(value).cast("timestamp_ntz")
+
+
 def _epoch_ntz() -> Column:
-    return F.lit(_dt.datetime(1970, 1, 1)).cast("timestamp_ntz")
+    return ntz_lit("1970-01-01 00:00:00")
 
 
 def _c(col) -> Column:

@@ -25,12 +25,11 @@ from typing import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.scalars import partition_key
+from ..functions.scalars import ntz_lit, partition_key
 from ..spec import NULL_PARTITION_DEFAULT, TableSpec, spark_type
 from .project import q
 
 MAX_LITERALS = 10_000
-_NULL_DEFAULT = _dt.datetime.fromisoformat(NULL_PARTITION_DEFAULT)
 
 
 def partition_value(col: Column, unit: str) -> Column:
@@ -58,7 +57,7 @@ def touched_partitions_frame(source: DataFrame, spec: TableSpec) -> DataFrame:
     With NULL partitions allowed, NULL becomes 1970-01-01."""
     p = q(spec.partition_field)
     if spec.null_partition == "allow":
-        p = F.coalesce(p.cast("timestamp_ntz"), F.lit(_NULL_DEFAULT).cast("timestamp_ntz"))
+        p = F.coalesce(p.cast("timestamp_ntz"), ntz_lit(NULL_PARTITION_DEFAULT))
     return check_partition_nulls(source, spec).select(
         partition_key(p, spec.partition_unit).alias("partition_key")).distinct()
 
@@ -100,8 +99,10 @@ def split_scope(target: DataFrame, spec: TableSpec, touched: Sequence | None,
     physical = bool(spec.partition_column and spec.partition_column in target.columns)
     allow = spec.null_partition == "allow"
     if touched is not None:
-        values = [_to_pc_value(v, spec) for v in touched] if physical else list(touched)
-        pred = key.isin(values) if values else F.lit(False)
+        # partition-column values are dates / ints; truncated keys are timestamp_ntz
+        # literals built from text, so the IN list never depends on the session zone
+        values = [F.lit(_to_pc_value(v, spec)) for v in touched] if physical else [ntz_lit(v) for v in touched]
+        pred = key.isin(*values) if values else F.lit(False)
         if allow:
             pred = pred | is_null
         pred = F.coalesce(pred, F.lit(False))

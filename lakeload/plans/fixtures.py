@@ -7,11 +7,11 @@ same expressions.
 
 from __future__ import annotations
 
-import datetime as _dt
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.scalars import ntz_lit
 from ..operators.dedup import latest_by_agg
 from ..session import table_path
 from ..spec import LoadSpec, TableSpec
@@ -139,7 +139,7 @@ def systems(nation: DataFrame) -> DataFrame:
 
 def epoch_ms(ts_ntz):
     """UTC wall clock (timestamp_ntz) -> epoch milliseconds, zone-free."""
-    return F.timestamp_diff("MILLISECOND", F.lit(_dt.datetime(1970, 1, 1)).cast("timestamp_ntz"), ts_ntz)
+    return F.timestamp_diff("MILLISECOND", ntz_lit("1970-01-01 00:00:00"), ts_ntz)
 
 
 def run_stats(events: DataFrame) -> DataFrame:

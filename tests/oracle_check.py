@@ -85,7 +85,8 @@ def main(argv):
     pats = [a for a in argv[1:] if not a.startswith("/")]
     import __spark_entry__ as E
     from lakeload.session import get_session
-    spark = get_session("local[8]", shuffle_partitions=8)
+    extra = {"spark.sql.session.timeZone": os.environ["CHECK_TZ"]} if os.environ.get("CHECK_TZ") else {}
+    spark = get_session("local[8]", shuffle_partitions=8, extra=extra)
     qs, orc = E.queries(), E.oracle_sql()
     con = duck(sf_dir)
     bad = 0

@@ -38,3 +38,19 @@ def test_query_matches_oracle(spark, con, name):
     assert not type_diffs(df, res)
     assert len(got) == len(want)
     assert digest(df.columns, got)[0] == digest(want_cols, want)[0]
+
+
+@pytest.mark.parametrize("name", ["m1_merge_upsert", "m3_guard_default", "m6_scope_partitions",
+                                  "m7_touched_partitions_nulls", "j3_without_committed_run", "n4_all_stats",
+                                  "w6_catch_up", "f1_epoch_ms_to_run_id", "s2_scan_ndjson", "k1_append_raw"])
+def test_results_do_not_depend_on_session_zone(spark, con, name):
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        df = QUERIES[name](spark, SF)
+        got = [tuple(r) for r in df.collect()]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    res = con.execute(ORACLE[name])
+    want_cols = [d[0] for d in res.description]
+    assert digest(df.columns, got)[0] == digest(want_cols, res.fetchall())[0]
