@@ -74,7 +74,9 @@ def catalog_join(jobs: DataFrame, dependency: DataFrame, details: DataFrame, ser
 def exclude_listed(df: DataFrame, listed: DataFrame, key: str, listed_key: str | None = None) -> DataFrame:
     """Drop rows whose key is in the list (any size: left-anti join)."""
     lk = listed_key or listed.columns[0]
-    return df.join(listed.select(q(lk).alias("__k")), q(key) == F.col("__k"), "left_anti")
+    # distinct first: a map-side partial aggregate, so a key repeated in a third of
+    # the list collapses before the shuffle instead of skewing the anti-join
+    return df.join(listed.select(q(lk).alias("__k")).distinct(), q(key) == F.col("__k"), "left_anti")
 
 
 def exclude_flagged(df: DataFrame, flags: Sequence[str], value: str = "Y") -> DataFrame:
@@ -88,7 +90,7 @@ def exclude_flagged(df: DataFrame, flags: Sequence[str], value: str = "Y") -> Da
 def without_committed_run(df: DataFrame, runs: DataFrame, keys: Sequence[str] = ("job_key", "job_runtime_ms"),
                           status_col: str = "job_status_code", status: str = "COMMITTED") -> DataFrame:
     """Rows for which no run with status ``COMMITTED`` exists on the same keys."""
-    done = runs.where(q(status_col) == F.lit(status)).select(*[q(k) for k in keys])
+    done = runs.where(q(status_col) == F.lit(status)).select(*[q(k) for k in keys]).distinct()
     return df.join(done, list(keys), "left_anti")
 
 
@@ -99,7 +101,7 @@ def roots(nodes: DataFrame, edges: DataFrame, key: str = "job_key",
     e = edges.where(q(related).isNotNull())
     if active_col:
         e = e.where(q(active_col) == "Y")
-    return nodes.join(e.select(q(key).alias("__dep")), q(key) == F.col("__dep"), "left_anti")
+    return nodes.join(e.select(q(key).alias("__dep")).distinct(), q(key) == F.col("__dep"), "left_anti")
 
 
 def held_entities(jobs: DataFrame, systems: DataFrame, servers: DataFrame,
