@@ -23,7 +23,7 @@ from pyspark.sql import functions as F  # noqa: E402
 
 from lakeload.plans import fixtures as fx  # noqa: E402
 from lakeload.plans.registry import QUERIES  # noqa: E402
-from lakeload.plans.upsert import run_upsert  # noqa: E402
+from lakeload.plans.upsert import run_upsert, run_upsert_bucketed  # noqa: E402
 from lakeload.session import get_session, scratch_dir  # noqa: E402
 from lakeload.spec import TableSpec  # noqa: E402
 
@@ -58,6 +58,18 @@ def upsert_write(spark, sf: str) -> None:
     spark.read.parquet(path).agg(F.count(F.lit(1))).collect()
 
 
+def upsert_write_bucketed(spark, sf: str) -> None:
+    import uuid
+    orders = fx.read(spark, sf, "orders")
+    spec = TableSpec(**{**fx.ORDERS_SPEC.__dict__, "partition_unit": "MONTH",
+                        "partition_column": "o_orderdate_part", "buckets": 16})
+    name = f"bench_snapshot_{uuid.uuid4().hex[:8]}"
+    path = scratch_dir(spark, "bench_bucketed")
+    run_upsert_bucketed(spark, orders, name, spec, fx.ORDERS_LOAD, "19900101000000", "19970531235959", path=path)
+    run_upsert_bucketed(spark, orders, name, spec, fx.ORDERS_LOAD, fx.INC_START, fx.INC_END)
+    spark.table(name).agg(F.count(F.lit(1))).collect()
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
@@ -68,6 +80,7 @@ def main() -> None:
     cold, warm = {}, {}
     runs = [(name, lambda n=name: materialise(QUERIES[n](spark, sf_dir))) for name in HEADLINE]
     runs.append(("upsert_write", lambda: upsert_write(spark, sf_dir)))
+    runs.append(("upsert_write_bucketed", lambda: upsert_write_bucketed(spark, sf_dir)))
     for name, run in runs:
         for store in (cold, warm):
             t0 = time.perf_counter()

@@ -1207,3 +1207,19 @@ def s1_land_files_stream(spark, sf):
         q.awaitTermination()
     cols = [f["name"] for f in fx.ORDERS_SCHEMA_JSON["schema"]]
     return spark.read.parquet(raw).select(*cols, "source_timezone")
+
+
+@register("m1_merge_upsert_bucketed", ORACLE["m1_merge_upsert"])
+def m1_merge_upsert_bucketed(spark, sf):
+    """M1 through a snapshot table bucketed by customer: the merge join reads the
+    snapshot without shuffling it."""
+    from .upsert import run_upsert_bucketed
+    orders = fx.read(spark, sf, "orders")
+    name = _table_name("lakeload_m1b")
+    spec = TableSpec(**{**fx.ORDERS_SPEC.__dict__, "partition_column": "o_orderdate_part", "buckets": 8,
+                        "inner_where": f"o_orderdate < TIMESTAMP_NTZ '{fx.SNAPSHOT_BEFORE} 00:00:00'"})
+    run_upsert_bucketed(spark, orders, name, spec, fx.ORDERS_LOAD, None, None, whole_table=True,
+                        path=scratch_dir(spark, "m1b"))
+    spec = TableSpec(**{**spec.__dict__, "inner_where": None})
+    run_upsert_bucketed(spark, orders, name, spec, fx.ORDERS_LOAD, fx.INC_START, fx.INC_END)
+    return spark.table(name).drop("o_orderdate_part")

@@ -135,3 +135,63 @@ def run_upsert(spark: SparkSession, raw: DataFrame, snapshot_path: str, spec: Ta
     # rows whose partition value moved land in partitions of the source slice, which
     # are all touched; every rewritten partition was read in full above
     return UpsertResult(touched, _swap(spark, staged, snapshot_path, sorted(dirs)), snapshot_path)
+
+
+def _table_location(spark: SparkSession, table: str) -> str:
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect()
+    return next(r["data_type"] for r in rows if r["col_name"] == "Location")
+
+
+def run_upsert_bucketed(spark: SparkSession, raw: DataFrame, table: str, spec: TableSpec, load: LoadSpec,
+                        start_run_id: str | None, end_run_id: str | None, path: str | None = None,
+                        columns: Sequence[str] | None = None, whole_table: bool = False) -> UpsertResult:
+    """``run_upsert`` on a catalog table bucketed by the primary keys.
+
+    The snapshot is read as a bucketed scan, already hash-partitioned on the keys,
+    so the merge join never shuffles it; only the deduplicated slice (one row per
+    key) is repartitioned into the bucket count. New partitions are written to a
+    staging table with the same bucket layout, swapped in by directory, and the
+    table's partition list is recovered from the folders.
+    """
+    import uuid
+
+    if not (spec.buckets and spec.partition_field and spec.partition_column):
+        raise ValueError("run_upsert_bucketed needs buckets, partition_field and partition_column")
+    keys, pc, n = list(spec.primary_keys), spec.partition_column, spec.buckets
+    sl = source_slice(raw, spec, load, start_run_id, end_run_id, whole_table)
+    src = latest(sl, keys, spec.ordering, spec.dedup)
+    # one small shuffle of the deduplicated slice into the snapshot's buckets
+    src_b = src.repartition(n, *[F.col(k) for k in keys])
+
+    def write_bucketed(df: DataFrame, name: str, location: str, mode: str) -> None:
+        (df.write.mode(mode).format("parquet").partitionBy(pc).bucketBy(n, *keys).sortBy(*keys)
+           .option("path", location).saveAsTable(name))
+
+    if not spark.catalog.tableExists(table):
+        cols = list(columns or src.columns)
+        empty = src.select(*cols).limit(0).withColumn(pc, partition_value(F.col(spec.partition_field),
+                                                                          spec.partition_unit))
+        write_bucketed(empty, table, path or f"{spark.conf.get('spark.sql.warehouse.dir')}/{table}",
+                       "errorifexists")
+    location = _table_location(spark, table)
+    target = spark.table(table)
+    data_cols = [c for c in target.columns if c != pc]
+
+    touched = touched_partitions(sl, spec)
+    tf = touched_partitions_frame(sl, spec) if touched is None else None
+    inside, _rest = split_scope(target, spec, touched, tf)
+    merged = merge_rows(inside.select(*data_cols), src_b, spec, columns)
+    merged = merged.withColumn(pc, partition_value(F.col(spec.partition_field), spec.partition_unit))
+    staging = f"{table}__staging_{uuid.uuid4().hex[:10]}"
+    staged = f"{location.rstrip('/')}_staging/{uuid.uuid4().hex[:12]}"
+    write_bucketed(merged, staging, staged, "errorifexists")
+    spark.sql(f"DROP TABLE {staging}")  # external: the files stay for the swap
+    if touched is None:
+        touched = [r[0] for r in tf.toLocalIterator()]
+    dirs = {_part_dir(spec, v) for v in touched}
+    if spec.null_partition == "allow":
+        dirs.add(_part_dir(spec, None))
+    moved = _swap(spark, staged, location, sorted(dirs))
+    spark.sql(f"ALTER TABLE {table} RECOVER PARTITIONS")
+    spark.catalog.refreshTable(table)
+    return UpsertResult(touched, moved, location)

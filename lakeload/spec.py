@@ -75,6 +75,7 @@ class TableSpec:
     null_partition: str = "error"  # "error" or "allow"
     partition_column: str | None = None  # physical directory key of the snapshot, if any
     dedup: str = "agg"  # "agg" (max_by per key) or "window" (row_number)
+    buckets: int | None = None  # snapshot bucketed by the primary keys (catalog table)
 
     def __post_init__(self):
         unit = self.partition_unit.upper()

@@ -136,3 +136,26 @@ def test_run_upsert_rewrites_only_touched_partitions(spark):
     lazy = incremental_merge(raw, first, spec, load, "20230701000000", "20230731235959")
     assert rows(out.drop("o_part")) == rows(lazy)
     assert rows(out.where(F.col("k") == 7), "v") == [("v7",), ("w7",)]  # new month: inserted (T2)
+
+
+def test_bucketed_upsert_matches_path_upsert_and_skips_target_shuffle(spark):
+    from lakeload.plans.upsert import run_upsert_bucketed
+    spec = snapshot_spec(null_partition="error", partition_unit="MONTH", partition_column="o_part", buckets=4)
+    load = LoadSpec(audit_column="o")
+    raw = frame(spark, [(k % 23, f"v{k}", D(2023, 1 + k % 9, 1 + k % 20), k) for k in range(200)])
+    windows = [("20221231000000", "20230430235959"), ("20230501000000", "20231231235959")]
+    path = scratch_dir(spark, "t_plain")
+    name = "t_bucketed_snapshot"
+    for lo, hi in windows:
+        run_upsert(spark, raw, path, spec, load, lo, hi)
+        run_upsert_bucketed(spark, raw, name, spec, load, lo, hi, path=scratch_dir(spark, "t_bucketed"))
+    assert rows(spark.table(name).drop("o_part")) == rows(spark.read.parquet(path).drop("o_part"))
+    # a merge-style join on the key reads the snapshot bucketed: its side has no exchange
+    src = raw.groupBy("k").agg(F.max("o").alias("m")).repartition(4, "k")
+    joined = spark.table(name).where("k IS NOT NULL").join(src, "k", "full_outer")
+    mode = spark.sparkContext._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("simple")
+    plan = joined._jdf.queryExecution().explainString(mode)
+    scan = [ln for ln in plan.splitlines() if "t_bucketed_snapshot" in ln]
+    assert scan and "Bucketed: true" in scan[0]
+    src_plan = src._jdf.queryExecution().explainString(mode)
+    assert plan.count("Exchange") == src_plan.count("Exchange")  # every exchange is on the source side
