@@ -62,7 +62,7 @@ def upsert_write_bucketed(spark, sf: str) -> None:
     import uuid
     orders = fx.read(spark, sf, "orders")
     spec = TableSpec(**{**fx.ORDERS_SPEC.__dict__, "partition_unit": "MONTH",
-                        "partition_column": "o_orderdate_part", "buckets": 16})
+                        "partition_column": "o_orderdate_part", "buckets": 4})  # ~128 MB+ per bucket file at scale
     name = f"bench_snapshot_{uuid.uuid4().hex[:8]}"
     path = scratch_dir(spark, "bench_bucketed")
     run_upsert_bucketed(spark, orders, name, spec, fx.ORDERS_LOAD, "19900101000000", "19970531235959", path=path)
