@@ -115,3 +115,19 @@ def audit_table(t: AuditTable) -> DataFrame:
 def audit_tables(tables: Sequence[AuditTable]) -> DataFrame:
     """One report row per table, unioned."""
     return reduce(lambda a, b: a.unionByName(b), [audit_table(t) for t in tables])
+
+
+def audit_catalog_tables(spark, tables: Sequence[tuple], database: str | None = None) -> DataFrame:
+    """A7 over catalog tables named by the reference's rule: ``<t>_raw`` is the raw
+    table, ``<t>`` the snapshot. Only a missing snapshot makes a table RAW_ONLY; any
+    other error surfaces (T29). ``tables``: (name, keys[, history predicate])."""
+    def qualified(n):
+        return f"{database}.{n}" if database else n
+    specs = []
+    for t in tables:
+        name, keys, hist = (list(t) + [None])[:3]
+        snap = qualified(name)
+        specs.append(AuditTable(name, spark.table(qualified(f"{name}_raw")),
+                                spark.table(snap) if spark.catalog.tableExists(snap) else None,
+                                keys, hist))
+    return audit_tables(specs)

@@ -22,7 +22,7 @@ import datetime as _dt
 from functools import reduce
 from typing import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalars import ntz_lit, partition_key
@@ -197,6 +197,13 @@ def merge_rows(target_in: DataFrame, source: DataFrame, spec: TableSpec,
         F.struct(*[q(c) for c in tcols]).alias("t"), *[k.alias(f"__tk{i}") for i, k in enumerate(tkey)])
     s = source.where(~_any_null(skey)).select(
         F.struct(*[q(c) for c in source.columns]).alias("s"), *[k.alias(f"__sk{i}") for i, k in enumerate(skey)])
+    if any(k in spec.casts for k in keys):
+        # Casting the keys can make two deduplicated source rows equal. The count
+        # is a window on the join key (its exchange is the join's), and the error sits
+        # in the source struct that every output branch reads.
+        n = F.count(F.lit(1)).over(Window.partitionBy(*[F.col(f"__sk{i}") for i in range(len(keys))]))
+        msg = F.lit("more than one source row per key after the key casts")
+        s = s.withColumn("s", F.when(n > 1, F.raise_error(msg)).otherwise(F.col("s")))
     cond = [F.col(f"__tk{i}") == F.col(f"__sk{i}") for i in range(len(keys))]
     joined = t.join(s, cond, "full_outer")
 

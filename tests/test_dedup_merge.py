@@ -159,3 +159,13 @@ def test_bucketed_upsert_matches_path_upsert_and_skips_target_shuffle(spark):
     assert scan and "Bucketed: true" in scan[0]
     src_plan = src._jdf.queryExecution().explainString(mode)
     assert plan.count("Exchange") == src_plan.count("Exchange")  # every exchange is on the source side
+
+
+def test_key_casts_that_collide_raise(spark):
+    target = spark.createDataFrame([(1, "t")], "k bigint, v string")
+    source = spark.createDataFrame([("1", "a"), ("01", "b")], "k string, v string")  # both cast to 1
+    spec = TableSpec(primary_keys=("k",), casts={"k": "INT64"})
+    with pytest.raises(Exception, match="more than one source row"):
+        merge.merge_upsert(target, source, spec).collect()
+    ok = spark.createDataFrame([("1", "a"), ("2", "b")], "k string, v string")
+    assert rows(merge.merge_upsert(target, ok, spec), "k", "v") == [(1, "a"), (2, "b")]

@@ -298,3 +298,17 @@ def test_stream_landing_batch_replay_is_idempotent(spark):
         land_batch(lines, 7, raw, schema, "|", 1, ["upper(name) AS up"], "PST8PDT", None, None)
     out = spark.read.parquet(raw)
     assert rows(out, "id", "up", "load_batch") == [(1, "A", 7), (2, "B", 7)]
+
+
+def test_audit_catalog_tables_and_clustering_choice(spark):
+    spark.createDataFrame([(1,), (1,), (None,)], "k int").write.option(
+        "path", scratch_dir(spark, "t_a_raw")).saveAsTable("aud_raw")
+    spark.createDataFrame([(1,)], "k int").write.option("path", scratch_dir(spark, "t_a")).saveAsTable("aud")
+    spark.createDataFrame([(5,)], "k int").write.option("path", scratch_dir(spark, "t_b_raw")).saveAsTable("solo_raw")
+    rep = {r["table_name"]: r for r in audit.audit_catalog_tables(spark, [("aud", ["k"]), ("solo", ["k"])]).collect()}
+    assert (rep["aud"]["raw_total_count"], rep["aud"]["raw_distinct_primary_key_count"],
+            rep["aud"]["raw_primary_key_null_count"], rep["aud"]["table_type"]) == (3, 2, 1, "RAW_AND_SNAPSHOT")
+    assert rep["solo"]["table_type"] == "RAW_ONLY"
+    assert sinks.pick_clustering({"USE_CLUSTERING_FOR_RAW": "True", "CLUSTERING_FIELDS": "a"},
+                                 {"CLUSTERING_FIELDS": "b"}) == "a"
+    assert sinks.pick_clustering({"CLUSTERING_FIELDS": "a"}, {"CLUSTERING_FIELDS": "b"}) == "b"
