@@ -118,9 +118,11 @@ def held_entities(jobs: DataFrame, systems: DataFrame, servers: DataFrame,
     inactive_srv = servers.where(q("is_active") == "N").select(q(server_key).alias("__srv")).distinct()
     src = inactive_srv.select(F.col("__srv").alias("__src"), F.lit(True).alias("__src_hold"))
     tgt = inactive_srv.select(F.col("__srv").alias("__tgt"), F.lit(True).alias("__tgt_hold"))
-    j = (jobs.join(inactive_sys, q(system_key) == F.col("__sys"), "left")
-             .join(src, q(source_server) == F.col("__src"), "left")
-             .join(tgt, q(target_server) == F.col("__tgt"), "left"))
+    # the key lists come from the system / server dimensions: broadcast when the
+    # size estimate says they are small, else shuffle joins
+    j = (jobs.join(broadcast_if_small(inactive_sys), q(system_key) == F.col("__sys"), "left")
+             .join(broadcast_if_small(src), q(source_server) == F.col("__src"), "left")
+             .join(broadcast_if_small(tgt), q(target_server) == F.col("__tgt"), "left"))
     held = F.coalesce(F.col("__sys_hold"), F.lit(False)) | F.coalesce(F.col("__src_hold"), F.lit(False)) \
         | F.coalesce(F.col("__tgt_hold"), F.lit(False))
     return j.where(held).select(*jobs.columns)
