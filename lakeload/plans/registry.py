@@ -1223,3 +1223,23 @@ def m1_merge_upsert_bucketed(spark, sf):
     spec = TableSpec(**{**spec.__dict__, "inner_where": None})
     run_upsert_bucketed(spark, orders, name, spec, fx.ORDERS_LOAD, fx.INC_START, fx.INC_END)
     return spark.table(name).drop("o_orderdate_part")
+
+
+# ---------------------------------------------------------------- batch landing (S1 + S5 + P1 + P2 + P4 + K1)
+
+@register("k1_land_delimited", "SELECT *, CAST(o_orderdate AS DATE) AS order_day, 'PST8PDT' AS source_timezone FROM ("
+          + TEXT_ORDERS_TYPED.replace("FROM orders", ", date_trunc('year', o_orderdate) AS last_ingestion_utc_time "
+                                                     "FROM orders") + ")")
+def k1_land_delimited(spark, sf):
+    from .landing import land_delimited
+    src, raw = scratch_dir(spark, "land_src"), scratch_dir(spark, "land_raw")
+    o = fx.read(spark, sf, "orders")
+    key = F.date_format(F.date_trunc("YEAR", "o_orderdate"), "yyyy-MM-dd HH:mm:ss")
+    text = fx.orders_as_text(o.withColumn("last_ingestion_utc_time", key), keep=("last_ingestion_utc_time",))
+    lines = text.select(F.concat_ws("|", *[F.col(c) for c in text.columns if c != "last_ingestion_utc_time"])
+                        .alias("value"), "last_ingestion_utc_time")
+    lines.hint("rebalance", "last_ingestion_utc_time").write.partitionBy("last_ingestion_utc_time").text(src)
+    land_delimited(spark, src, raw, fx.ORDERS_SCHEMA_JSON, "|", 0,
+                   audit_exprs=["CAST(o_orderdate AS DATE) AS order_day"], key_type="DATETIME",
+                   partition_field="o_orderdate", partition_unit="YEAR", cluster="o_custkey")
+    return spark.read.parquet(raw).drop("o_orderdate_part")
