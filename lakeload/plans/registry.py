@@ -897,7 +897,11 @@ def k10_relayout_history(spark, sf):
     return sinks.relayout_history(spark, src, dst, "lineitem")
 
 
-@register("k11_table_schema")
+@register("k11_table_schema", """SELECT lower(column_name) AS column_name,
+  CASE data_type WHEN 'BIGINT' THEN 'bigint' WHEN 'INTEGER' THEN 'int' WHEN 'DOUBLE' THEN 'double'
+    WHEN 'VARCHAR' THEN 'string' WHEN 'TIMESTAMP' THEN 'timestamp_ntz' ELSE lower(data_type) END AS data_type,
+  CAST(ordinal_position AS INTEGER) AS ordinal_position
+FROM information_schema.columns WHERE table_name = 'lineitem'""")
 def k11_table_schema(spark, sf):
     return sinks.table_schema(spark, fx.read(spark, sf, "lineitem"))
 
