@@ -779,7 +779,8 @@ def s6_scan_connector(spark, sf):
 
 @register("s8_file_inventory")
 def s8_file_inventory(spark, sf):
-    return inventory.file_inventory(spark, sf, ".parquet")
+    inv = inventory.file_inventory(spark, sf, ".parquet")
+    return inv.withColumn("modificationTime", F.col("modificationTime").cast("timestamp_ntz"))
 
 
 @register("s9_distinct_folders")
