@@ -53,6 +53,29 @@ class UpsertResult:
     touched: list | None
     rewritten_partitions: int
     path: str
+    plan: str | None = None
+
+
+def explain_text(df: DataFrame, mode: str = "formatted") -> str:
+    jvm = df.sparkSession.sparkContext._jvm
+    return df._jdf.queryExecution().explainString(jvm.org.apache.spark.sql.execution.ExplainMode.fromString(mode))
+
+
+def dry_run_upsert(raw: DataFrame, target: DataFrame, spec: TableSpec, load: LoadSpec,
+                   start_run_id: str | None, end_run_id: str | None,
+                   columns: Sequence[str] | None = None, whole_table: bool = False) -> UpsertResult:
+    """The upsert's physical plan without running anything (no action, no write):
+    the touched set stays a lazy semi-join, as the reference's dry run only prints
+    its statements."""
+    sl = source_slice(raw, spec, load, start_run_id, end_run_id, whole_table)
+    src = latest(sl, spec.primary_keys, spec.ordering, spec.dedup)
+    if spec.partition_field:
+        inside, _ = split_scope(target, spec, None, touched_partitions_frame(sl, spec))
+    else:
+        inside = target
+    merged = merge_rows(inside.select(*[c for c in target.columns if c != spec.partition_column]), src, spec,
+                        columns)
+    return UpsertResult(None, 0, "", explain_text(merged))
 
 
 def _exists(spark: SparkSession, path: str) -> bool:

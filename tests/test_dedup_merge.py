@@ -169,3 +169,13 @@ def test_key_casts_that_collide_raise(spark):
         merge.merge_upsert(target, source, spec).collect()
     ok = spark.createDataFrame([("1", "a"), ("2", "b")], "k string, v string")
     assert rows(merge.merge_upsert(target, ok, spec), "k", "v") == [(1, "a"), (2, "b")]
+
+
+def test_dry_run_plans_without_running(spark):
+    from lakeload.plans.upsert import dry_run_upsert
+    raw = frame(spark, [(1, "a", D(2023, 5, 1), 1)])
+    jobs_before = len(spark.sparkContext.statusTracker().getJobIdsForGroup())
+    res = dry_run_upsert(raw, raw, snapshot_spec(null_partition="error"), LoadSpec(audit_column="o"),
+                         "20230101000000", "20231231235959")
+    assert "SortMergeJoin" in res.plan or "HashJoin" in res.plan
+    assert len(spark.sparkContext.statusTracker().getJobIdsForGroup()) == jobs_before
