@@ -23,7 +23,7 @@ from pyspark.sql.streaming import StreamingQuery
 from ..operators.merge import partition_value
 from ..operators.project import add_audit_columns, safe_cast_all, schema_fields
 from ..sources.files import drop_leading_lines, parse_delimited
-from ..spec import DEFAULT_ZONE
+from ..spec import DEFAULT_ZONE, spark_type
 
 BATCH_COLUMN = "load_batch"
 INGESTION_COLUMN = "last_ingestion_utc_time"
@@ -51,16 +51,21 @@ def land_files_stream(spark: SparkSession, source_dir: str, raw_path: str, check
                       delimiter: str = "|", header_rows: int = 0, audit_exprs: Sequence[str] = (),
                       source_timezone: str = DEFAULT_ZONE, partition_field: str | None = None,
                       partition_unit: str | None = None, max_files_per_trigger: int | None = None,
-                      available_now: bool = True, processing_time: str | None = None) -> StreamingQuery:
-    """Start the landing stream. ``last_ingestion_utc_time`` is the landed file's
-    modification time (a property of the file, so replays give the same value)."""
-    reader = spark.readStream.schema("value string")
+                      available_now: bool = True, processing_time: str | None = None,
+                      folder_key: str | None = None, folder_key_type: str = "TIMESTAMP") -> StreamingQuery:
+    """Start the landing stream. ``last_ingestion_utc_time`` comes from the hive
+    folder key ``folder_key`` when given (typed by ``folder_key_type``), else it is
+    the landed file's modification time; both are properties of the file, so a
+    replayed batch gets the same values."""
+    schema = "value string" + (f", `{folder_key}` {spark_type(folder_key_type)}" if folder_key else "")
+    reader = spark.readStream.schema(schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    ingestion = F.col(folder_key) if folder_key else F.col("_metadata.file_modification_time")
     lines = reader.text(source_dir).select(
         "value", F.col("_metadata.file_path").alias("__file"),
         F.col("_metadata.file_block_start").alias("__block"),
-        F.col("_metadata.file_modification_time").cast("timestamp_ntz").alias(INGESTION_COLUMN))
+        ingestion.cast("timestamp_ntz").alias(INGESTION_COLUMN))
 
     def run(batch: DataFrame, epoch_id: int) -> None:
         land_batch(batch, epoch_id, raw_path, schema_json, delimiter, header_rows, audit_exprs,

@@ -312,3 +312,17 @@ def test_audit_catalog_tables_and_clustering_choice(spark):
     assert sinks.pick_clustering({"USE_CLUSTERING_FOR_RAW": "True", "CLUSTERING_FIELDS": "a"},
                                  {"CLUSTERING_FIELDS": "b"}) == "a"
     assert sinks.pick_clustering({"CLUSTERING_FIELDS": "a"}, {"CLUSTERING_FIELDS": "b"}) == "b"
+
+
+def test_stream_landing_reads_new_files_once_with_folder_keys(spark):
+    from lakeload.streaming.landing import land_files_stream
+    src, raw, ckpt = (scratch_dir(spark, n) for n in ("t_st_src", "t_st_raw", "t_st_ckpt"))
+    schema = [("id", "INT64"), ("name", "STRING")]
+    for i, day in enumerate(["2024-01-01 00:00:00", "2024-01-02 00:00:00"]):
+        batch = spark.createDataFrame([(f"{i}{j}|n{j}", day) for j in range(3)],
+                                      "value string, last_ingestion_utc_time string")
+        batch.coalesce(1).write.mode("append").partitionBy("last_ingestion_utc_time").text(src)
+        land_files_stream(spark, src, raw, ckpt, schema, "|", folder_key="last_ingestion_utc_time").awaitTermination()
+    out = spark.read.parquet(raw)
+    assert out.count() == 6  # each file landed exactly once across the two runs
+    assert rows(out.groupBy("last_ingestion_utc_time").count()) == [(D(2024, 1, 1), 3), (D(2024, 1, 2), 3)]
