@@ -3,7 +3,7 @@
     BENCH_SF_DIR=/root/testdata/sf0.1 BENCH_CPUS=8 python bench.py
 
 Each query is materialised in full with Spark's ``noop`` sink (every row is
-computed, nothing is collected to the driver), twice: the first (cold) run
+computed, nothing is collected to the driver), three times: the first (cold) run
 includes code generation and JIT warm-up, which vanish at scale; the metric is
 the sum of the better of two warm runs (the shared VM's speed drifts), and the
 cold times are reported alongside. ``upsert_write`` runs the whole
