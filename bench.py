@@ -32,7 +32,7 @@ HEADLINE = [
     "m1_merge_upsert",             # flagship: window -> latest per key -> merge
     "m4_update_values",            # merge with NULL keys / guards / keep-if-null
     "d1_latest_by_agg_composite",  # latest row per (order, line): aggregate form
-    "d2_latest_by_window",         # latest row per key: window form
+    "d2_latest_by_window_composite",  # same input, window form
     "a7_audit_tables",             # audit counts, raw and snapshot
     "s1_scan_delimited_header2",   # landing: text with 2 header rows -> safe cast
     "p1_safe_cast_all",

@@ -39,8 +39,10 @@ def catalog_join(jobs: DataFrame, dependency: DataFrame, details: DataFrame, ser
     activity filter runs after the left join, as in the reference (a job whose only
     dependency is inactive drops out). The two activity flags are aliased apart."""
     a1 = jobs.alias("a1")
-    ajd = dependency.alias("ajd")
-    ad = details.alias("ad")
+    # dependency / detail rows are job metadata: broadcast them when the size check
+    # allows (a LEFT join cannot split a skewed right side; a broadcast has no skew)
+    ajd = broadcast_if_small(dependency).alias("ajd")
+    ad = broadcast_if_small(details).alias("ad")
     ass = broadcast_if_small(servers).alias("ass")
     ast = broadcast_if_small(servers).alias("ast")
     lm = broadcast_if_small(logic).alias("lm")

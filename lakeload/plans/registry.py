@@ -1248,3 +1248,10 @@ def k1_land_delimited(spark, sf):
                    audit_exprs=["CAST(o_orderdate AS DATE) AS order_day"], key_type="DATETIME",
                    partition_field="o_orderdate", partition_unit="YEAR", cluster="o_custkey")
     return spark.read.parquet(raw).drop("o_orderdate_part")
+
+
+@register("d2_latest_by_window_composite", latest_sql(
+    "lineitem", "l_orderkey, l_linenumber", "l_shipdate, l_partkey, l_suppkey", LINE_COLS))
+def d2_latest_by_window_composite(spark, sf):
+    """D2 on the same input as ``d1_latest_by_agg_composite``, to compare the forms."""
+    return dedup.latest_by_window(fx.read(spark, sf, "lineitem"), fx.LINE_KEYS, fx.LINE_ORDER, rank_col=None)
