@@ -86,7 +86,11 @@ def main(argv):
     import __spark_entry__ as E
     from lakeload.session import get_session
     extra = {"spark.sql.session.timeZone": os.environ["CHECK_TZ"]} if os.environ.get("CHECK_TZ") else {}
-    spark = get_session("local[8]", shuffle_partitions=8, extra=extra)
+    if os.environ.get("CHECK_PLAIN"):  # a session like the driver's: none of our settings
+        from pyspark.sql import SparkSession
+        spark = SparkSession.builder.master("local[*]").config("spark.sql.shuffle.partitions", "8").getOrCreate()
+    else:
+        spark = get_session("local[8]", shuffle_partitions=8, extra=extra)
     qs, orc = E.queries(), E.oracle_sql()
     con = duck(sf_dir)
     bad = 0
