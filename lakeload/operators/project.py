@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from typing import Iterable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -124,8 +125,10 @@ whole_table = filter_extra
 
 def query_with_params(spark: SparkSession, sql: str, start_run_id: str, end_run_id: str,
                       **views: DataFrame) -> DataFrame:
-    """SQL text with named string parameters ``:start_run_id`` / ``:end_run_id``.
-    Frames passed as keywords are usable by name inside the text."""
+    """SQL text with named string parameters ``:start_run_id`` / ``:end_run_id``
+    (``@start_run_id`` as written for the warehouse is accepted too). Frames passed
+    as keywords are usable by name inside the text."""
+    sql = re.sub(r"@(start_run_id|end_run_id)\b", r":\1", sql)
     return spark.sql(sql, args={"start_run_id": start_run_id, "end_run_id": end_run_id}, **views)
 
 

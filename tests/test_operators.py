@@ -326,3 +326,12 @@ def test_stream_landing_reads_new_files_once_with_folder_keys(spark):
     out = spark.read.parquet(raw)
     assert out.count() == 6  # each file landed exactly once across the two runs
     assert rows(out.groupBy("last_ingestion_utc_time").count()) == [(D(2024, 1, 1), 3), (D(2024, 1, 2), 3)]
+
+
+def test_query_with_params_accepts_both_parameter_marks(spark):
+    df = spark.createDataFrame([("20240101000000",), ("20240201000000",)], "r string")
+    a = project.query_with_params(spark, "SELECT r FROM {t} WHERE r BETWEEN @start_run_id AND @end_run_id",
+                                  "20240101000000", "20240115000000", t=df)
+    b = project.query_with_params(spark, "SELECT r FROM {t} WHERE r BETWEEN :start_run_id AND :end_run_id",
+                                  "20240101000000", "20240115000000", t=df)
+    assert rows(a) == rows(b) == [("20240101000000",)]
