@@ -1255,3 +1255,14 @@ def k1_land_delimited(spark, sf):
 def d2_latest_by_window_composite(spark, sf):
     """D2 on the same input as ``d1_latest_by_agg_composite``, to compare the forms."""
     return dedup.latest_by_window(fx.read(spark, sf, "lineitem"), fx.LINE_KEYS, fx.LINE_ORDER, rank_col=None)
+
+
+@register("s5_scan_partitioned_parquet", """SELECT *, CAST(date_trunc('month', l_shipdate) AS DATE) AS ship_month
+FROM lineitem""")
+def s5_scan_partitioned_parquet(spark, sf):
+    """Hive folders ``ship_month=yyyy-MM-dd`` read with the key declared as DATE."""
+    d = scratch_dir(spark, "s5p")
+    li = fx.read(spark, sf, "lineitem")
+    (li.withColumn("ship_month", F.date_format(F.date_trunc("MONTH", "l_shipdate"), "yyyy-MM-dd"))
+       .hint("rebalance", "ship_month").write.partitionBy("ship_month").parquet(d))
+    return files.scan_partitioned(spark, d, "parquet", li.schema, {"ship_month": "DATE"})

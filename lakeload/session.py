@@ -61,10 +61,6 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     return f"{base}/lakeload/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def local_path(path: str) -> str:
-    return path[len("file:"):] if path.startswith("file:") else path
-
-
 def hadoop_fs(spark: SparkSession, path: str):
     """Hadoop FileSystem and Path for ``path`` (works for file:, hdfs:, s3a:, gs:)."""
     jvm = spark.sparkContext._jvm

@@ -335,3 +335,26 @@ def test_query_with_params_accepts_both_parameter_marks(spark):
     b = project.query_with_params(spark, "SELECT r FROM {t} WHERE r BETWEEN :start_run_id AND :end_run_id",
                                   "20240101000000", "20240115000000", t=df)
     assert rows(a) == rows(b) == [("20240101000000",)]
+
+
+def test_land_ndjson_parquet_and_union_evolved(spark):
+    from lakeload.plans.landing import land_ndjson, land_parquet
+    src = scratch_dir(spark, "t_land_json")
+    spark.createDataFrame([(1, "a", 2.5, "2024-01-01 00:00:00"), (2, "b", None, "2024-01-02 00:00:00")],
+                          "id bigint, name string, score double, last_ingestion_utc_time string") \
+        .write.partitionBy("last_ingestion_utc_time").json(src)
+    schema = {"schema": [{"name": "id", "dataType": "INT64"}, {"name": "name", "dataType": "STRING"},
+                         {"name": "score", "dataType": "FLOAT64"}]}
+    raw = scratch_dir(spark, "t_land_json_raw")
+    out = land_ndjson(spark, src, raw, schema, audit_exprs=["upper(name) AS up"], key_type="DATETIME")
+    assert out.columns == ["id", "name", "score", "up", "source_timezone", "last_ingestion_utc_time"]
+    assert rows(spark.read.parquet(raw), "id", "score", "up") == [(1, 2.5, "A"), (2, None, "B")]
+    praw = scratch_dir(spark, "t_land_parquet_raw")
+    psrc = scratch_dir(spark, "t_land_parquet")
+    spark.createDataFrame([(1, "x", "2024-01-01")], "id int, v string, day string").write.partitionBy("day").parquet(psrc)
+    land_parquet(spark, psrc, praw)
+    assert rows(spark.read.parquet(praw), "id", "v") == [(1, "x")]
+    old = spark.createDataFrame([(1, (1,))], "id int, s struct<a:int>")
+    new = spark.createDataFrame([(2, (2, "b"), 9)], "id int, s struct<a:int,b:string>, extra int")
+    both = sinks.union_evolved(old, new)
+    assert rows(both.select("id", "s.b", "extra")) == [(1, None, None), (2, "b", 9)]
