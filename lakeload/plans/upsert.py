@@ -134,7 +134,8 @@ def run_upsert(spark: SparkSession, raw: DataFrame, snapshot_path: str, spec: Ta
         target = spark.read.parquet(snapshot_path)
     else:
         cols = list(columns or src.columns)
-        target = src.select(*cols, *([F.lit(None).cast("date").alias(pc)] if pc else [])).limit(0)
+        empty_pc = partition_value(F.lit(None).cast("timestamp_ntz"), spec.partition_unit).alias(pc) if pc else None
+        target = src.select(*cols, *([empty_pc] if pc else [])).limit(0)
     data_cols = [c for c in target.columns if c != pc]
 
     if not spec.partition_field:

@@ -179,3 +179,13 @@ def test_dry_run_plans_without_running(spark):
                          "20230101000000", "20231231235959")
     assert "SortMergeJoin" in res.plan or "HashJoin" in res.plan
     assert len(spark.sparkContext.statusTracker().getJobIdsForGroup()) == jobs_before
+
+
+def test_run_upsert_hourly_partitions(spark):
+    spec = snapshot_spec(null_partition="error", partition_unit="HOUR", partition_column="o_hour")
+    raw = frame(spark, [(k, f"v{k}", D(2023, 1, 1, k % 5), k) for k in range(20)])
+    path = scratch_dir(spark, "t_hourly")
+    run_upsert(spark, raw, path, spec, LoadSpec(audit_column="o"), "20221231000000", "20230102000000")
+    out = spark.read.parquet(path)
+    assert out.count() == 20 and dict(out.dtypes)["o_hour"] == "int"
+    assert sorted(r[0] for r in out.select("o_hour").distinct().collect()) == [2023010100 + h for h in range(5)]
