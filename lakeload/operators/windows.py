@@ -139,7 +139,8 @@ def split_windows(runs: DataFrame, dag_frequency: int, catch_up_col: str | None
     day = F.to_timestamp_ntz(q("run_date"), F.lit("yyyyMMdd"))
     small = f < SPLIT_BELOW_MINUTES
     catch = F.coalesce(q(catch_up_col), F.lit(False)) if catch_up_col else F.lit(False)
-    bad = small & ~catch & (F.lit(dag_frequency) % f != 0)
+    # the multiple-of check comes first, as in the reference: it fails catch-up runs too
+    bad = small & (F.lit(dag_frequency) % f != 0)
     count = (F.lit(dag_frequency) / f).cast("int")
     parts = F.when(small & ~catch & ~bad, F.sequence(F.lit(0), count - 1)).otherwise(F.array(F.lit(0)))
     out = runs.withColumn("__k", F.explode(parts))

@@ -1018,7 +1018,7 @@ SPLIT_SQL = """sr AS (SELECT c_custkey AS job_key,
 
 @register("w5_split_windows", f"""WITH {SPLIT_SQL},
 s1 AS (SELECT *, job_frequency < 30 AND NOT catch_up AS small,
-    job_frequency < 30 AND NOT catch_up AND 30 % job_frequency <> 0 AS bad FROM sr),
+    job_frequency < 30 AND 30 % job_frequency <> 0 AS bad FROM sr),
 s2 AS (SELECT *, UNNEST(CASE WHEN small AND NOT bad THEN range(0, 30 // job_frequency) ELSE [0] END) AS k FROM s1)
 SELECT job_key, job_frequency, run_date, run_datetime, seq_num, catch_up,
   CASE WHEN small AND NOT bad THEN strftime(strptime(run_datetime, '%Y%m%d%H%M%S')
