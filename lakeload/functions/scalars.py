@@ -55,13 +55,28 @@ def epoch_ms_to_run_id(col, zone: str = "UTC") -> Column:
     return F.date_format(ntz, RUN_ID_FORMAT)
 
 
-def run_id_to_epoch_ms(col, zone: str = DEFAULT_ZONE) -> Column:
+def _utc_wall_clock(instant: Column) -> Column:
+    """An instant as its UTC wall clock (timestamp_ntz), without the session zone."""
+    return F.timestamp_add("MICROSECOND", F.unix_micros(instant), _epoch_ntz())
+
+
+def run_id_to_epoch_ms(col, zone: str = DEFAULT_ZONE, gap: str = "daylight") -> Column:
     """run id read in ``zone`` -> epoch milliseconds as text.
 
-    A wall time inside the spring-forward gap moves forward by the gap (Java rule);
-    the repeated autumn hour resolves to the earlier (daylight) offset.
+    The repeated autumn hour resolves to the earlier (daylight) offset. For a wall
+    time inside the spring-forward gap, ``gap="daylight"`` reads it with the daylight
+    offset, as the reference does (``20240310023000`` -> 09:30 UTC); ``"forward"``
+    keeps Java's rule of moving it forward by the gap (10:30 UTC). The gap is found
+    by a round trip: the instant's wall clock in ``zone`` differs from the input.
     """
-    return F.unix_millis(run_id_to_instant(col, zone)).cast("string")
+    text = _c(col)
+    instant = run_id_to_instant(text, zone)
+    ms = F.unix_millis(instant)
+    if gap == "daylight":
+        local = F.date_format(F.convert_timezone(F.lit("UTC"), F.lit(zone), _utc_wall_clock(instant)),
+                              RUN_ID_FORMAT)
+        ms = F.when(local != text, ms - F.lit(3_600_000)).otherwise(ms)
+    return ms.cast("string")
 
 
 def run_sequence(ts, freq_min: int) -> Column:

@@ -83,7 +83,10 @@ def test_run_id_conversions_and_daylight_cases(spark):
     utc = dt.timezone.utc
     assert got["20240115120000"] == int(D(2024, 1, 15, 20, tzinfo=utc).timestamp() * 1000)  # PST
     assert got["20240715120000"] == int(D(2024, 7, 15, 19, tzinfo=utc).timestamp() * 1000)  # PDT
-    assert got["20240310023000"] == int(D(2024, 3, 10, 10, 30, tzinfo=utc).timestamp() * 1000)  # gap: forward
+    assert got["20240310023000"] == int(D(2024, 3, 10, 9, 30, tzinfo=utc).timestamp() * 1000)  # gap: daylight
+    fwd = df.select("r", scalars.run_id_to_epoch_ms("r", gap="forward").alias("ms"))
+    assert {r["r"]: int(r["ms"]) for r in fwd.collect()}["20240310023000"] == \
+        int(D(2024, 3, 10, 10, 30, tzinfo=utc).timestamp() * 1000)  # Java rule: forward
     assert got["20241103013000"] == int(D(2024, 11, 3, 8, 30, tzinfo=utc).timestamp() * 1000)  # repeat: daylight
     back = out.select("r", scalars.epoch_ms_to_run_id(F.col("ms").cast("bigint"), "PST8PDT").alias("b"))
     assert {r["r"]: r["b"] for r in back.collect()}["20240715120000"] == "20240715120000"
