@@ -86,6 +86,8 @@ def main(argv):
     import __spark_entry__ as E
     from lakeload.session import get_session
     extra = {"spark.sql.session.timeZone": os.environ["CHECK_TZ"]} if os.environ.get("CHECK_TZ") else {}
+    if os.environ.get("CHECK_DRIVER_MEM"):  # large results are collected to compare them
+        extra["spark.driver.memory"] = os.environ["CHECK_DRIVER_MEM"]
     if os.environ.get("CHECK_PLAIN"):  # a session like the driver's: none of our settings
         from pyspark.sql import SparkSession
         spark = SparkSession.builder.master("local[*]").config("spark.sql.shuffle.partitions", "8").getOrCreate()
