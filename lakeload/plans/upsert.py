@@ -63,14 +63,19 @@ def explain_text(df: DataFrame, mode: str = "formatted") -> str:
 
 def dry_run_upsert(raw: DataFrame, target: DataFrame, spec: TableSpec, load: LoadSpec,
                    start_run_id: str | None, end_run_id: str | None,
-                   columns: Sequence[str] | None = None, whole_table: bool = False) -> UpsertResult:
+                   columns: Sequence[str] | None = None, whole_table: bool = False,
+                   touched: Sequence | None = None) -> UpsertResult:
     """The upsert's physical plan without running anything (no action, no write):
     the touched set stays a lazy semi-join, as the reference's dry run only prints
-    its statements."""
+    its statements. Given a ``touched`` list, the plan is the one a run executes
+    (literal partition filters)."""
     sl = source_slice(raw, spec, load, start_run_id, end_run_id, whole_table)
     src = latest(sl, spec.primary_keys, spec.ordering, spec.dedup)
+    if spec.buckets:  # as run_upsert_bucketed: the slice joins the snapshot's buckets
+        src = src.repartition(spec.buckets, *[F.col(k) for k in spec.primary_keys])
     if spec.partition_field:
-        inside, _ = split_scope(target, spec, None, touched_partitions_frame(sl, spec))
+        inside, _ = split_scope(target, spec, touched,
+                                touched_partitions_frame(sl, spec) if touched is None else None)
     else:
         inside = target
     merged = merge_rows(inside.select(*[c for c in target.columns if c != spec.partition_column]), src, spec,
