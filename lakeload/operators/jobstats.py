@@ -86,27 +86,23 @@ def stage_source(name: Column, text: Column, input_stages: Column) -> Column:
         .otherwise(F.concat(F.lit(INPUT_PREFIX), F.array_join(F.coalesce(input_stages, F.array()), ",")))
 
 
-def _stage_rows(df: DataFrame) -> Column:
-    """``array<struct>`` of the STAGE rows of each job (empty without a plan)."""
-    end_ms = run_id_to_epoch_ms(F.col("params.end_time_ms"))
-    job_id = full_job_id(df)
-
-    def row(st):
-        text = stage_text(st)
-        return F.struct(
-            end_ms.alias("end_time_ms"), F.col("params.seq_num").alias("seq_num"), job_id.alias("job_id"),
-            F.col("params.job_name").alias("job_name"), F.lit("STAGE").alias("query_type"),
-            checksum(text).alias("checksum"), text.alias("query"),
-            stage_source(st["name"], text, st["inputStages"]).alias("db_name"),
-            st["startMs"].alias("init_time"), st["endMs"].alias("end_time"),
-            st["recordsRead"].cast("string").alias("record_count"),
-            ((st["endMs"].cast("bigint") - st["startMs"].cast("bigint")) / 1000.0).alias("time_taken"))
-    return F.transform(F.coalesce(F.col("statistics.query.queryPlan"), F.array()), row)
-
-
 def stage_stats(df: DataFrame) -> DataFrame:
-    """One ``STAGE`` row per plan stage (jobs without a plan give none)."""
-    return df.select(F.explode(_stage_rows(df)).alias("__r")).select("__r.*")
+    """One ``STAGE`` row per plan stage (jobs without a plan give none). The
+    per-job values are computed once per job, next to the exploded stage."""
+    staged = df.select(
+        run_id_to_epoch_ms(F.col("params.end_time_ms")).alias("__end_ms"), F.col("params.seq_num").alias("__seq"),
+        full_job_id(df).alias("__job_id"), F.col("params.job_name").alias("__job_name"),
+        F.explode(F.col("statistics.query.queryPlan")).alias("__st"))
+    st = F.col("__st")
+    text = stage_text(st)
+    return staged.select(
+        F.col("__end_ms").alias("end_time_ms"), F.col("__seq").alias("seq_num"), F.col("__job_id").alias("job_id"),
+        F.col("__job_name").alias("job_name"), F.lit("STAGE").alias("query_type"),
+        checksum(text).alias("checksum"), text.alias("query"),
+        stage_source(st["name"], text, st["inputStages"]).alias("db_name"),
+        st["startMs"].alias("init_time"), st["endMs"].alias("end_time"),
+        st["recordsRead"].cast("string").alias("record_count"),
+        ((st["endMs"].cast("bigint") - st["startMs"].cast("bigint")) / 1000.0).alias("time_taken"))
 
 
 def all_stats(jobs: DataFrame) -> DataFrame:
