@@ -292,11 +292,11 @@ def a6_distinct_projection(spark, sf):
     return audit.distinct_projection(fx.read(spark, sf, "orders"), ["o_custkey"])
 
 
-A7_ORACLE = f"""
-WITH raw AS (SELECT * FROM orders),
+A7_CTES = f"""WITH raw AS (SELECT * FROM orders),
 {SNAP_CTE},
-lraw AS (SELECT * FROM lineitem)
-SELECT 'orders' AS table_name,
+lraw AS (SELECT * FROM lineitem)"""
+
+A7_ORDERS_COUNTS = """
   (SELECT count(*) FROM raw) AS raw_total_count,
   (SELECT count(*) FROM raw WHERE o_orderdate = TIMESTAMP '1997-01-01 00:00:00') AS raw_history_count,
   (SELECT count(*) FROM (SELECT DISTINCT o_custkey FROM raw)) AS raw_distinct_primary_key_count,
@@ -308,7 +308,10 @@ SELECT 'orders' AS table_name,
   (SELECT count(*) FROM (SELECT DISTINCT o_custkey FROM raw)) = (SELECT count(*) FROM (SELECT DISTINCT o_custkey FROM snap))
     AS raw_distinct_equals_snapshot_distinct,
   (SELECT count(*) FROM (SELECT DISTINCT o_custkey FROM raw)) = (SELECT count(*) FROM snap)
-    AS raw_distinct_equals_snapshot_total
+    AS raw_distinct_equals_snapshot_total"""
+
+A7_ORACLE = f"""{A7_CTES}
+SELECT 'orders' AS table_name,{A7_ORDERS_COUNTS}
 UNION ALL
 SELECT 'lineitem', (SELECT count(*) FROM lraw), 0,
   (SELECT count(*) FROM (SELECT DISTINCT l_orderkey, l_linenumber FROM lraw)),
@@ -1266,3 +1269,26 @@ def s5_scan_partitioned_parquet(spark, sf):
     (li.withColumn("ship_month", F.date_format(F.date_trunc("MONTH", "l_shipdate"), "yyyy-MM-dd"))
        .hint("rebalance", "ship_month").write.partitionBy("ship_month").parquet(d))
     return files.scan_partitioned(spark, d, "parquet", li.schema, {"ship_month": "DATE"})
+
+
+@register("k3_union_evolved", """SELECT o_orderkey, o_custkey,
+  CASE WHEN o_orderdate >= TIMESTAMP '1998-01-01' THEN o_orderstatus END AS o_orderstatus,
+  CASE WHEN o_orderdate >= TIMESTAMP '1998-01-01' THEN o_totalprice END AS o_totalprice FROM orders""")
+def k3_union_evolved(spark, sf):
+    """K2/K3 in the plan: a later batch adds a struct member and a column."""
+    o = fx.read(spark, sf, "orders")
+    cut = F.col("o_orderdate") < F.lit("1998-01-01").cast("timestamp_ntz")
+    old = o.where(cut).select("o_orderkey", F.struct("o_custkey").alias("s"))
+    new = o.where(~cut).select("o_orderkey", F.struct("o_custkey", "o_orderstatus").alias("s"), "o_totalprice")
+    return sinks.union_evolved(old, new).select("o_orderkey", "s.o_custkey", "s.o_orderstatus", "o_totalprice")
+
+
+@register("a7_audit_catalog_tables", f"{A7_CTES}\nSELECT{A7_ORDERS_COUNTS}")
+def a7_audit_catalog_tables(spark, sf):
+    """A7 over catalog tables named by the rule <t>_raw / <t> (table name dropped: it is generated)."""
+    orders = fx.read(spark, sf, "orders")
+    name = _table_name("lakeload_a7")
+    orders.write.option("path", scratch_dir(spark, "a7_raw")).saveAsTable(f"{name}_raw")
+    fx.orders_snapshot(orders).write.option("path", scratch_dir(spark, "a7_snap")).saveAsTable(name)
+    hist = F.col("o_orderdate") == F.lit("1997-01-01 00:00:00").cast("timestamp_ntz")
+    return audit.audit_catalog_tables(spark, [(name, list(fx.ORDERS_KEYS), hist)]).drop("table_name")
