@@ -18,6 +18,19 @@ from pyspark.sql import functions as F
 
 from .project import q
 
+# The reference's marker of rows loaded by the history backfill.
+HISTORY_COLUMN = "created_local_time"
+HISTORY_MARKER = "2022-01-01 00:00:00"
+
+
+def history_marker(df: DataFrame) -> Column | None:
+    """A2 default predicate: ``created_local_time = '2022-01-01 00:00:00'`` when the
+    table has that column (compared in the column's own timestamp flavour)."""
+    if HISTORY_COLUMN not in df.columns:
+        return None
+    dtype = df.schema[HISTORY_COLUMN].dataType.simpleString()
+    return q(HISTORY_COLUMN) == F.lit(HISTORY_MARKER).cast(dtype)
+
 
 def row_count(df: DataFrame, name: str = "records_count") -> DataFrame:
     """A1: one row, one column: the number of rows."""
@@ -127,7 +140,7 @@ def audit_catalog_tables(spark, tables: Sequence[tuple], database: str | None =
     for t in tables:
         name, keys, hist = (list(t) + [None])[:3]
         snap = qualified(name)
-        specs.append(AuditTable(name, spark.table(qualified(f"{name}_raw")),
-                                spark.table(snap) if spark.catalog.tableExists(snap) else None,
-                                keys, hist))
+        raw = spark.table(qualified(f"{name}_raw"))
+        specs.append(AuditTable(name, raw, spark.table(snap) if spark.catalog.tableExists(snap) else None,
+                                keys, hist if hist is not None else history_marker(raw)))
     return audit_tables(specs)

@@ -361,3 +361,11 @@ def test_land_ndjson_parquet_and_union_evolved(spark):
     new = spark.createDataFrame([(2, (2, "b"), 9)], "id int, s struct<a:int,b:string>, extra int")
     both = sinks.union_evolved(old, new)
     assert rows(both.select("id", "s.b", "extra")) == [(1, None, None), (2, "b", 9)]
+
+
+def test_history_marker_default(spark):
+    raw = spark.createDataFrame([(1, D(2022, 1, 1)), (2, D(2023, 5, 1)), (3, D(2022, 1, 1))],
+                                "k int, created_local_time timestamp_ntz")
+    raw.write.option("path", scratch_dir(spark, "t_hist")).saveAsTable("hist_raw")
+    rep = audit.audit_catalog_tables(spark, [("hist", ["k"])]).first()
+    assert rep["raw_history_count"] == 2 and audit.history_marker(raw.drop("created_local_time")) is None
