@@ -13,7 +13,7 @@ from dataclasses import dataclass
 from functools import reduce
 from typing import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .project import q
@@ -93,6 +93,10 @@ def audit_table(t: AuditTable) -> DataFrame:
     if t.snapshot is not None:
         sides.append(t.snapshot.select(*[q(k) for k in keys], F.lit("snapshot").alias("__side"),
                                        F.lit(False).alias("__hist")))
+    if not sides:  # neither table exists: a zero row
+        sides.append(SparkSession.getActiveSession().range(0).select(
+            *[F.lit(None).cast("string").alias(k) for k in keys], F.lit("raw").alias("__side"),
+            F.lit(False).alias("__hist")))
     both = reduce(lambda a, b: a.unionByName(b), sides)
     z = all_keys_null(keys) if keys else F.lit(False)
     grouped = both.groupBy("__side", *[q(k) for k in keys]).agg(
@@ -140,7 +144,8 @@ def audit_catalog_tables(spark, tables: Sequence[tuple], database: str | None =
     for t in tables:
         name, keys, hist = (list(t) + [None])[:3]
         snap = qualified(name)
-        raw = spark.table(qualified(f"{name}_raw"))
+        raw_name = qualified(f"{name}_raw")
+        raw = spark.table(raw_name) if spark.catalog.tableExists(raw_name) else None
         specs.append(AuditTable(name, raw, spark.table(snap) if spark.catalog.tableExists(snap) else None,
-                                keys, hist if hist is not None else history_marker(raw)))
+                                keys, hist if hist is not None or raw is None else history_marker(raw)))
     return audit_tables(specs)

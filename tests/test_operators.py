@@ -369,3 +369,8 @@ def test_history_marker_default(spark):
     raw.write.option("path", scratch_dir(spark, "t_hist")).saveAsTable("hist_raw")
     rep = audit.audit_catalog_tables(spark, [("hist", ["k"])]).first()
     assert rep["raw_history_count"] == 2 and audit.history_marker(raw.drop("created_local_time")) is None
+
+
+def test_audit_missing_tables_report_zeros(spark):
+    rep = audit.audit_catalog_tables(spark, [("nowhere", ["k"])]).first()
+    assert (rep["raw_total_count"], rep["snapshot_total_count"], rep["table_type"]) == (0, 0, "RAW_ONLY")
