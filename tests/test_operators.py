@@ -374,3 +374,26 @@ def test_history_marker_default(spark):
 def test_audit_missing_tables_report_zeros(spark):
     rep = audit.audit_catalog_tables(spark, [("nowhere", ["k"])]).first()
     assert (rep["raw_total_count"], rep["snapshot_total_count"], rep["table_type"]) == (0, 0, "RAW_ONLY")
+
+
+def test_sql_functions_match_column_functions(spark):
+    from lakeload.functions.sql import register_sql_functions
+    from lakeload.plans import fixtures as fx
+    register_sql_functions(spark)
+    ev = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    ev = ev.select("event_id", "ts", "props", F.date_format("ts", "yyyyMMddHHmmss").alias("rid"),
+                   fx.epoch_ms(F.col("ts")).alias("ms"), F.lit("PAYMENT_SOURCE__X").alias("nm"))
+    cols = ev.select(
+        "event_id", scalars.epoch_ms_to_run_id("ms", "PST8PDT").alias("a"), scalars.run_id_to_epoch_ms("rid").alias("b"),
+        scalars.run_sequence("ts", 7).alias("c"), scalars.elapsed_sequences(F.date_trunc("DAY", "ts").cast(
+            "timestamp_ntz"), F.col("ts"), 15).alias("d"), scalars.json_attr("props", "k", "-1").alias("e"),
+        scalars.short_name("nm", 2).alias("f"), scalars.checksum("props").alias("g"),
+        scalars.truncate("props", 5).alias("h"), scalars.partition_key("ts", "MONTH").alias("i"))
+    ev.createOrReplaceTempView("ev_sql_fn")
+    sql = spark.sql("""SELECT event_id, epoch_ms_to_run_id(ms, 'PST8PDT') AS a, run_id_to_epoch_ms(rid, 'PST8PDT') AS b,
+        run_sequence(ts, 7) AS c, elapsed_sequences(CAST(date_trunc('DAY', ts) AS TIMESTAMP_NTZ), ts, 15) AS d,
+        json_attr(props, '$.k', '-1') AS e, short_name(nm, 2) AS f, text_checksum(props) AS g,
+        truncate_text(props, 5) AS h, partition_key(ts, 'MONTH') AS i FROM ev_sql_fn""")
+    assert rows(sql) == rows(cols)
+    gap = spark.sql("SELECT run_id_to_epoch_ms('20240310023000', 'PST8PDT') AS x").first()["x"]
+    assert int(gap) == int(D(2024, 3, 10, 9, 30, tzinfo=dt.timezone.utc).timestamp() * 1000)
