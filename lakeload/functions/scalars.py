@@ -159,3 +159,12 @@ def partition_key(ts, unit: str) -> Column:
     the wall clock, so the key is the same whatever the input's timestamp flavour.
     """
     return F.date_trunc(unit.upper(), _c(ts)).cast("timestamp_ntz")
+
+
+def partition_value(col, unit: str) -> Column:
+    """Directory value of a truncated partition key: DATE for DAY/MONTH/YEAR,
+    ``yyyyMMddHH`` as int for HOUR (both survive partition-type inference)."""
+    key = partition_key(col, unit)
+    if unit.upper() == "HOUR":
+        return F.date_format(key, "yyyyMMddHH").cast("int")
+    return F.to_date(key)

@@ -25,22 +25,13 @@ from typing import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.scalars import ntz_lit, partition_key
+from ..functions.scalars import ntz_lit, partition_key, partition_value  # noqa: F401 (re-export)
 from ..spec import NULL_PARTITION_DEFAULT, TableSpec, spark_type
 from .project import q
 
 MAX_LITERALS = 10_000
 
 
-def partition_value(col: Column, unit: str) -> Column:
-    """Directory value of a truncated partition key: DATE for DAY/MONTH/YEAR,
-    ``yyyyMMddHH`` as int for HOUR (both survive partition-type inference)."""
-    key = partition_key(col, unit)
-    if unit.upper() == "HOUR":
-        return F.date_format(key, "yyyyMMddHH").cast("int")
-    return F.to_date(key)
-
-
 def check_partition_nulls(df: DataFrame, spec: TableSpec) -> DataFrame:
     """M8: under the ``error`` policy a NULL partition value fails the job. The check
     is lazy (``raise_error`` in the projection), so it costs no extra pass."""

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.scalars import run_id_to_instant, run_id_to_utc_ntz
+from ..functions.scalars import partition_value, run_id_to_instant, run_id_to_utc_ntz
 from ..spec import DEFAULT_ZONE, spark_type
 
 
@@ -106,11 +106,22 @@ def window_bounds(df: DataFrame, audit_col: str, start_run_id: str, end_run_id:
 
 
 def filter_window(df: DataFrame, audit_col: str, start_run_id: str, end_run_id: str,
-                  zone: str = DEFAULT_ZONE) -> DataFrame:
+                  zone: str = DEFAULT_ZONE, partition_column: str | None = None,
+                  partition_unit: str = "DAY") -> DataFrame:
     """``audit BETWEEN start AND end``, both inclusive; bounds are run ids read in
-    ``zone``. The bounds fold to literals, so the predicate reaches the parquet scan."""
+    ``zone``. The bounds fold to literals, so the predicate reaches the parquet scan.
+
+    When the table is partitioned by the truncated audit column (``partition_column``,
+    as ``append_raw`` writes it), the truncated bounds also limit that column: a
+    truncation is monotonic, so no row is lost, and the scan lists only the
+    window's directories (``PartitionFilters``) instead of the whole raw table.
+    """
     lo, hi = window_bounds(df, audit_col, start_run_id, end_run_id, zone)
-    return df.where(q(audit_col).between(lo, hi))
+    out = df.where(q(audit_col).between(lo, hi))
+    if partition_column and partition_column in df.columns:
+        out = out.where(q(partition_column).between(partition_value(lo, partition_unit),
+                                                    partition_value(hi, partition_unit)))
+    return out
 
 
 def filter_extra(df: DataFrame, clause: str | None) -> DataFrame:

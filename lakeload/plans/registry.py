@@ -1292,3 +1292,14 @@ def a7_audit_catalog_tables(spark, sf):
     fx.orders_snapshot(orders).write.option("path", scratch_dir(spark, "a7_snap")).saveAsTable(name)
     hist = F.col("o_orderdate") == F.lit("1997-01-01 00:00:00").cast("timestamp_ntz")
     return audit.audit_catalog_tables(spark, [(name, list(fx.ORDERS_KEYS), hist)]).drop("table_name")
+
+
+@register("p6_filter_window_partitioned", f"""SELECT {ORDER_COLS},
+  CAST(date_trunc('month', o_orderdate) AS DATE) AS o_orderdate_part FROM orders WHERE {INC_WINDOW}""")
+def p6_filter_window_partitioned(spark, sf):
+    """P6 on a raw table partitioned by the month of the audit column: the window
+    also becomes a partition filter, so only the window's folders are listed."""
+    d = scratch_dir(spark, "p6p")
+    sinks.append_raw(fx.read(spark, sf, "orders"), d, "o_orderdate", "MONTH")
+    return project.filter_window(spark.read.parquet(d), "o_orderdate", fx.INC_START, fx.INC_END,
+                                 partition_column="o_orderdate_part", partition_unit="MONTH")

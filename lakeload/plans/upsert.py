@@ -30,7 +30,8 @@ def source_slice(raw: DataFrame, spec: TableSpec, load: LoadSpec, start_run_id:
     """The raw rows of one run window (or the whole table), extra predicate ANDed."""
     df = filter_extra(raw, spec.inner_where)
     if not whole_table:
-        df = filter_window(df, load.audit_column, start_run_id, end_run_id, load.zone)
+        df = filter_window(df, load.audit_column, start_run_id, end_run_id, load.zone,
+                           load.raw_partition_column, load.raw_partition_unit)
     return check_partition_nulls(df, spec)
 
 

@@ -397,3 +397,18 @@ def test_sql_functions_match_column_functions(spark):
     assert rows(sql) == rows(cols)
     gap = spark.sql("SELECT run_id_to_epoch_ms('20240310023000', 'PST8PDT') AS x").first()["x"]
     assert int(gap) == int(D(2024, 3, 10, 9, 30, tzinfo=dt.timezone.utc).timestamp() * 1000)
+
+
+def test_filter_window_prunes_raw_partitions(spark):
+    d = scratch_dir(spark, "t_prune")
+    df = spark.createDataFrame([(i, D(2024, 1 + i % 12, 1 + i % 28, i % 24)) for i in range(300)],
+                               "id int, t timestamp_ntz")
+    sinks.append_raw(df, d, "t", "DAY")
+    raw = spark.read.parquet(d)
+    pruned = project.filter_window(raw, "t", "20240301000000", "20240331235959", partition_column="t_part")
+    plain = project.filter_window(raw, "t", "20240301000000", "20240331235959")
+    assert rows(pruned) == rows(plain) and pruned.count() > 0
+    mode = spark.sparkContext._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+    plan = pruned._jdf.queryExecution().explainString(mode)
+    line = next(ln for ln in plan.splitlines() if ln.startswith("PartitionFilters"))
+    assert "t_part" in line and "2024-03-01" in line and "2024-04-01" in line
