@@ -52,7 +52,8 @@ def cmd_upsert(a) -> None:
                         "partition_column": a.partition_column or (f"{spec.partition_field}_part"
                                                                    if spec.partition_field else None),
                         "buckets": a.buckets or None})
-    load = LoadSpec(audit_column=common.get("AUDIT_COLUMNS", "last_ingestion_utc_time"), zone=a.zone)
+    load = LoadSpec(audit_column=common.get("AUDIT_COLUMNS", "last_ingestion_utc_time"), zone=a.zone,
+                    raw_partition_column=a.raw_partition_column or None, raw_partition_unit=a.raw_partition_unit)
     raw = spark.table(a.raw) if not a.raw.startswith(("/", "file:", "s3a:", "gs:", "hdfs:")) \
         else spark.read.parquet(a.raw)
     if a.dry_run:
@@ -117,6 +118,8 @@ def parser() -> argparse.ArgumentParser:
     u.add_argument("--buckets", type=int, default=0)
     u.add_argument("--path", default=None, help="location of a new bucketed snapshot table")
     u.add_argument("--zone", default="PST8PDT")
+    u.add_argument("--raw_partition_column", default="", help="raw folder key derived from the audit column")
+    u.add_argument("--raw_partition_unit", default="DAY")
     u.add_argument("--dry_run", action="store_true")
     u.set_defaults(func=cmd_upsert)
 
