@@ -1,5 +1,6 @@
 """Command-line jobs (``spark-submit --py-files lakeload.zip submit.py <command> ...`` on a cluster,
 ``python -m lakeload.cli <command> ...`` locally).
+
     copy    connector read -> connector write (K8), optional check_data preview
     upsert  one run window of a raw table merged into its snapshot (table keys JSON
             in the reference's config layout: PRIMARY_KEYS, ORDERING_COLUMNS, DATA, ...)
