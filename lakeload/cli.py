@@ -48,9 +48,8 @@ def cmd_upsert(a) -> None:
     spark = get_session(app_name="lakeload-upsert")
     keys = _json(a.table_keys)
     common = _json(a.common) if a.common else {}
-    spec = TableSpec.from_config(keys, common, casts=_json(a.casts) if a.casts else None)
-    spec = TableSpec(**{**spec.__dict__, "dedup": "window" if a.query_type == "ROW_NUM" else "agg",
-                        "partition_column": a.partition_column or (f"{spec.partition_field}_part"
+    spec = TableSpec.from_config(keys, common, casts=_json(a.casts) if a.casts else None, query_type=a.query_type)
+    spec = TableSpec(**{**spec.__dict__, "partition_column": a.partition_column or (f"{spec.partition_field}_part"
                                                                    if spec.partition_field else None),
                         "buckets": a.buckets or None})
     load = LoadSpec(audit_column=common.get("AUDIT_COLUMNS", "last_ingestion_utc_time"), zone=a.zone,
@@ -114,7 +113,7 @@ def parser() -> argparse.ArgumentParser:
     u.add_argument("--start_run_id")
     u.add_argument("--end_run_id")
     u.add_argument("--whole_table", action="store_true")
-    u.add_argument("--query_type", default="ARRAY_AGG", choices=["ARRAY_AGG", "ROW_NUM"])
+    u.add_argument("--query_type", default="ARRAY_AGG", help="ARRAY_AGG (default) or ROW_NUM")
     u.add_argument("--partition_column", default="")
     u.add_argument("--buckets", type=int, default=0)
     u.add_argument("--path", default=None, help="location of a new bucketed snapshot table")

@@ -87,8 +87,10 @@ class TableSpec:
 
     @classmethod
     def from_config(cls, table_keys: Mapping, common: Mapping | None = None,
-                    casts: Mapping[str, str] | None = None) -> "TableSpec":
-        """Build from the reference's key config: comma keys, semicolon order columns."""
+                    casts: Mapping[str, str] | None = None, query_type: str = "ARRAY_AGG") -> "TableSpec":
+        """Build from the reference's key config: comma keys, semicolon order columns.
+        ``query_type`` ``ROW_NUM`` selects the window dedup; any other name, the
+        aggregate form (the reference's default and fallback)."""
         common = common or {}
         data = table_keys.get("DATA") or {}
         flag = table_keys.get("ERROR_IF_PARTITION_COLUMN_HAS_NULL") or \
@@ -104,6 +106,7 @@ class TableSpec:
             partition_field=(data.get("PARTITION_FIELD") or None),
             partition_unit=(data.get("PARTITION_TYPE") or "DAY"),
             null_partition="allow" if str(flag) == "False" else "error",
+            dedup="window" if str(query_type).upper() == "ROW_NUM" else "agg",
         )
 
 

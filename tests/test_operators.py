@@ -27,6 +27,9 @@ def test_type_map_and_config():
                                  {"DO_NOT_UPDATE_COLUMNS": "created, load_id"})
     assert spec.primary_keys == ("a", "b") and spec.ordering == ("x", "y")
     assert spec.null_partition == "allow" and spec.never_update == ("created", "load_id")
+    assert spec.dedup == "agg"
+    assert TableSpec.from_config({"PRIMARY_KEYS": "a"}, query_type="ROW_NUM").dedup == "window"
+    assert TableSpec.from_config({"PRIMARY_KEYS": "a"}, query_type="OTHER").dedup == "agg"  # fallback
 
 
 def test_safe_cast_and_null_literal(spark):
