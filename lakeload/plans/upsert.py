@@ -17,8 +17,9 @@ from typing import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.scalars import partition_value
 from ..operators.dedup import latest
-from ..operators.merge import (check_partition_nulls, merge_rows, partition_value, split_scope,
+from ..operators.merge import (check_partition_nulls, merge_rows, split_scope,
                                touched_partitions, touched_partitions_frame)
 from ..operators.project import filter_extra, filter_window
 from ..session import hadoop_fs

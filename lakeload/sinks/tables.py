@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators.merge import partition_value
+from ..functions.scalars import partition_value
 from ..session import hadoop_fs
 from ..spec import spark_type
 

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators.merge import partition_value
+from ..functions.scalars import partition_value
 from ..operators.project import add_audit_columns, safe_cast_all, schema_fields
 from ..sources.files import drop_leading_lines, parse_delimited
 from ..spec import DEFAULT_ZONE, spark_type
