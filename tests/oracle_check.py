@@ -73,6 +73,8 @@ def type_diffs(df, res):
 
 def duck(sf_dir):
     con = duckdb.connect()
+    if os.environ.get("CHECK_DUCK_TZ"):  # the oracle must not depend on DuckDB's zone either
+        con.execute(f"SET TimeZone = '{os.environ['CHECK_DUCK_TZ']}'")
     for t in TABLES:
         p = os.path.join(sf_dir, f"{t}.parquet")
         if os.path.exists(p):
