@@ -115,7 +115,6 @@ class LoadSpec:
     """Settings shared by all tables of a load (common config)."""
 
     audit_column: str = "last_ingestion_utc_time"
-    audit_exprs: tuple[str, ...] = ()
     zone: str = DEFAULT_ZONE
     raw_partition_column: str | None = None  # raw table's directory key derived from the audit column
     raw_partition_unit: str = "DAY"
