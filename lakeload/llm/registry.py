@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+from lakeload.llm.fingerprints import op1_syncmer_fingerprints
 from lakeload.llm.mixing import OP7_SQL, op7_mix_sources
+from lakeload.llm.secret_scan import op8_secret_scan
 from lakeload.llm.sharding import op2_byte_shards
 
 QUERIES = {
+    "op1_syncmer_fingerprints": op1_syncmer_fingerprints,
     "op2_byte_shards": op2_byte_shards,
     "op7_mix_sources": op7_mix_sources,
+    "op8_secret_scan": op8_secret_scan,
 }
 
 ORACLE = {
