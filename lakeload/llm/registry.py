@@ -3,17 +3,22 @@
 from __future__ import annotations
 
 from lakeload.llm.fingerprints import op1_syncmer_fingerprints
+from lakeload.llm.license_scan import op3_license_scan
 from lakeload.llm.mixing import OP7_SQL, op7_mix_sources
 from lakeload.llm.secret_scan import op8_secret_scan
 from lakeload.llm.sharding import op2_byte_shards
+from lakeload.llm.topk_search import OP5_SQL, op5_threshold_topk
 
 QUERIES = {
     "op1_syncmer_fingerprints": op1_syncmer_fingerprints,
     "op2_byte_shards": op2_byte_shards,
+    "op3_license_scan": op3_license_scan,
+    "op5_threshold_topk": op5_threshold_topk,
     "op7_mix_sources": op7_mix_sources,
     "op8_secret_scan": op8_secret_scan,
 }
 
 ORACLE = {
+    "op5_threshold_topk": OP5_SQL,
     "op7_mix_sources": OP7_SQL,
 }
