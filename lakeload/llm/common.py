@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeload.session import ensure_checkpoint_dir, scratch_dir
+from lakeload.session import scratch_dir
 
 
 def read_table(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -28,11 +28,15 @@ def shuffle_width(spark: SparkSession) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
-def with_checkpoint_dir(spark: SparkSession) -> SparkSession:
-    ensure_checkpoint_dir(spark)
-    return spark
-
-
 def long_id(name: str = "doc_id"):
     """The id as a long; NULL ids stay NULL."""
     return F.col(name).cast("long")
+
+
+#: Bytes of a text to words: A-Z become a-z, every other ASCII byte that is no letter or digit a blank.
+_BYTES = bytes(b if 0x30 <= b <= 0x39 or 0x61 <= b <= 0x7A or b >= 0x80 else b + 32 if 0x41 <= b <= 0x5A else 32 for b in range(256))
+
+
+def words_of(text: str | None) -> list[bytes]:
+    """Maximal runs of a-z, 0-9 and characters beyond ASCII after lower-casing A-Z, as UTF-8."""
+    return (text or "").encode("utf-8", "surrogatepass").translate(_BYTES).split()

@@ -25,7 +25,7 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 
-from lakeload.llm.common import long_id, read_table
+from lakeload.llm.common import long_id, read_table, words_of
 
 # Base phrases and labels of the contract.
 BASE = {
@@ -65,13 +65,6 @@ MIN_MATCH = 3
 MAX_GAP = 8
 COVER = 0.8
 
-#: Bytes of the text to words: A-Z become a-z, every other ASCII non-word byte a blank.
-_BYTES = bytes(b if 0x30 <= b <= 0x39 or 0x61 <= b <= 0x7A or b >= 0x80 else b + 32 if 0x41 <= b <= 0x5A else 32 for b in range(256))
-
-
-def words_of(text: str | None) -> list[bytes]:
-    return (text or "").encode("utf-8", "surrogatepass").translate(_BYTES).split()
-
 
 class TemplateAutomaton:
     """Generalised suffix automaton of word sequences, with the places and base phrases of each state."""

@@ -8,12 +8,14 @@ from lakeload.llm.mixing import OP7_SQL, op7_mix_sources
 from lakeload.llm.secret_scan import op8_secret_scan
 from lakeload.llm.sharding import op2_byte_shards
 from lakeload.llm.topk_search import OP5_SQL, op5_threshold_topk
+from lakeload.llm.toxicity import op6_toxic_segments
 
 QUERIES = {
     "op1_syncmer_fingerprints": op1_syncmer_fingerprints,
     "op2_byte_shards": op2_byte_shards,
     "op3_license_scan": op3_license_scan,
     "op5_threshold_topk": op5_threshold_topk,
+    "op6_toxic_segments": op6_toxic_segments,
     "op7_mix_sources": op7_mix_sources,
     "op8_secret_scan": op8_secret_scan,
 }
