@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from lakeload.llm.bpe import op10_bpe_transducer
 from lakeload.llm.fingerprints import op1_syncmer_fingerprints
 from lakeload.llm.license_scan import op3_license_scan
 from lakeload.llm.mixing import OP7_SQL, op7_mix_sources
@@ -18,6 +19,7 @@ QUERIES = {
     "op6_toxic_segments": op6_toxic_segments,
     "op7_mix_sources": op7_mix_sources,
     "op8_secret_scan": op8_secret_scan,
+    "op10_bpe_transducer": op10_bpe_transducer,
 }
 
 ORACLE = {
