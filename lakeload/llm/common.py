@@ -23,6 +23,21 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def dealt_once(df: DataFrame, parts: int, key: str) -> DataFrame:
+    """``df`` hash-partitioned by ``key`` and checkpointed, so that later groupings by it need no shuffle.
+
+    A checkpoint keeps its partitioning only if it was planned without adaptive execution, which is
+    therefore off while this one table is written.
+    """
+    conf, name = df.sparkSession.conf, "spark.sql.adaptive.enabled"
+    before = conf.get(name)
+    conf.set(name, "false")
+    try:
+        return df.repartition(parts, key).checkpoint()
+    finally:
+        conf.set(name, before)
+
+
 def shuffle_width(spark: SparkSession) -> int:
     """Partitions that the session gives to a shuffle; every bucket count here follows it."""
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))

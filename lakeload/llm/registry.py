@@ -6,6 +6,7 @@ from lakeload.llm.bpe import op10_bpe_transducer
 from lakeload.llm.fingerprints import op1_syncmer_fingerprints
 from lakeload.llm.license_scan import op3_license_scan
 from lakeload.llm.mixing import OP7_SQL, op7_mix_sources
+from lakeload.llm.repeats import OP9_SQL, op9_repeated_passages
 from lakeload.llm.secret_scan import op8_secret_scan
 from lakeload.llm.sharding import op2_byte_shards
 from lakeload.llm.topk_search import OP5_SQL, op5_threshold_topk
@@ -19,10 +20,12 @@ QUERIES = {
     "op6_toxic_segments": op6_toxic_segments,
     "op7_mix_sources": op7_mix_sources,
     "op8_secret_scan": op8_secret_scan,
+    "op9_repeated_passages": op9_repeated_passages,
     "op10_bpe_transducer": op10_bpe_transducer,
 }
 
 ORACLE = {
     "op5_threshold_topk": OP5_SQL,
     "op7_mix_sources": OP7_SQL,
+    "op9_repeated_passages": OP9_SQL,
 }
