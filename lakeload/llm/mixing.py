@@ -88,6 +88,32 @@ def mix(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, max_epochs: int
             .select("doc_id", "source", "text_hash", "size", "source_size", "target", F.col("taken").cast("long").alias("taken")))
 
 
+def take(docs: DataFrame, **options) -> DataFrame:
+    """The mix itself: a row per whole copy that it takes of a document, and one of the first words for a part.
+
+    A cut text is its first words joined by single blanks; ``n_chars`` follows. Rows with equal id, source and
+    text get one of their shares each.
+    """
+    keys = ["doc_id", "source", "text_hash"]
+    shares = (mix(docs, **options).groupBy(*keys)
+              .agg(F.sort_array(F.collect_list(F.struct("taken", "size")), asc=False).alias("shares")))
+    rows = docs.withColumn("__id", long_id()).withColumn("__source", F.col("source").cast("string")) \
+        .withColumn("__hash", F.xxhash64(F.coalesce(F.col("text"), F.lit(""))))
+    same = Window.partitionBy("__id", "__source", "__hash").orderBy(F.lit(1))
+    r = rows.withColumn("__n", F.row_number().over(same)).alias("r")
+    joined = r.join(shares.alias("s"), F.expr("r.__id <=> s.doc_id AND r.__source <=> s.source AND r.__hash = s.text_hash"))
+    joined = joined.withColumn("__share", F.get(F.col("s.shares"), F.col("r.__n") - 1))
+    taken, size = F.col("__share.taken"), F.col("__share.size")
+    whole, rest = F.floor(taken / size), taken % size
+    copies = F.when((size > 0) & (taken > 0), F.sequence(F.lit(1).cast("long"), F.ceil(taken / size))).otherwise(F.array().cast("array<bigint>"))
+    joined = joined.withColumn("__copy", F.explode(copies))
+    cut = F.col("__copy") > whole
+    text = F.when(cut, F.array_join(F.slice(F.regexp_extract_all(F.col("r.text"), F.lit(WORD), F.lit(0)), 1, rest.cast("int")), " ")).otherwise(F.col("r.text"))
+    out = [text.alias(c) if c == "text" else F.when(cut, F.char_length(text)).otherwise(F.col("r.n_chars")).cast(t).alias(c)
+           if c == "n_chars" else F.col(f"r.`{c}`") for c, t in docs.dtypes]
+    return joined.select(*out)
+
+
 def op7_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mix(read_table(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken")

@@ -103,6 +103,32 @@ def scan(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     return parts, link_spans(parts)
 
 
+MASK = "[SECRET]"
+
+
+def mask_secrets(docs: DataFrame) -> DataFrame:
+    """``docs`` with every reported span of ``text`` replaced by MASK (touching spans by one) and ``n_chars`` to match."""
+    _, spans = scan(docs)
+    so_far = Window.partitionBy("doc_id", "text_hash").orderBy("start", "end").rowsBetween(Window.unboundedPreceding, -1)
+    up_to = Window.partitionBy("doc_id", "text_hash").orderBy("start", "end")
+    runs = (spans.withColumn("reach", F.max("end").over(so_far))
+            .withColumn("run", F.sum(F.when(F.col("start") <= F.col("reach"), 0).otherwise(1)).over(up_to))
+            .groupBy("doc_id", "text_hash", "run").agg(F.min("start").alias("start"), F.max("end").alias("end")))
+    cuts = (runs.groupBy("doc_id", "text_hash").agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("cuts"))
+            .withColumn("cuts", F.concat(F.col("cuts"), F.array(F.struct(F.lit(None).cast("long").alias("start"), F.lit(None).cast("long").alias("end"))))))
+    d = docs.withColumn("__hash", F.xxhash64(F.coalesce(F.col("text"), F.lit("")))).alias("d")
+    joined = d.join(cuts.alias("c"), F.expr("cast(d.doc_id AS bigint) <=> c.doc_id AND d.__hash = c.text_hash"), "left")
+    # the pieces between the spans; the last cut stands for the end of the text
+    piece = lambda x, i: F.substring(
+        F.col("d.text"),
+        F.coalesce(F.when(i > 0, F.get(F.col("c.cuts"), i - 1)["end"]), F.lit(0)).cast("int") + 1,
+        (F.coalesce(x["start"], F.char_length("d.text").cast("long")) - F.coalesce(F.when(i > 0, F.get(F.col("c.cuts"), i - 1)["end"]), F.lit(0))).cast("int"))
+    masked = F.when(F.col("c.cuts").isNull(), F.col("d.text")).otherwise(F.concat_ws(MASK, F.transform(F.col("c.cuts"), piece)))
+    out = [masked.alias(c) if c == "text" else F.when(F.col("c.cuts").isNull(), F.col("d.n_chars")).otherwise(F.char_length(masked)).cast(t).alias(c)
+           if c == "n_chars" else F.col(f"d.`{c}`") for c, t in docs.dtypes]
+    return joined.select(*out)
+
+
 def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     parts, spans = scan(read_table(spark, sf_dir, "documents"))
     name = F.element_at(F.array(*[F.lit(k) for k in KINDS]), F.col("kind") + 1)
