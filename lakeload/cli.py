@@ -67,8 +67,7 @@ def cmd_upsert(a) -> None:
     else:
         res = run_upsert(spark, raw, a.snapshot, spec, load, a.start_run_id, a.end_run_id,
                          whole_table=a.whole_table)
-    print(json.dumps({"touched": [str(t) for t in (res.touched or [])],
-                      "rewritten_partitions": res.rewritten_partitions, "path": res.path}))
+    print(json.dumps({"partitions": res.partitions, "rewritten_partitions": res.rewritten_partitions, "path": res.path}))
 
 
 def cmd_land(a) -> None:

@@ -10,27 +10,26 @@ declarative plan:
     out   = insert (no target) | update (both sides, guard true) | keep target
     rows with a NULL key never match: target ones pass through, source ones insert
 
-Splitting NULL keys off before the join keeps a NULL "hot key" (which can hold
-a large share of rows) out of the join's single partition. The touched set is a
-short list of partition values from the slice (one small action); past
-``max_literals`` values the scope becomes a semi-join instead of an IN list.
+The target's NULL keys are split off before the join, so that a NULL "hot key" (which
+can hold a large share of rows) stays out of the join's single partition. The source
+needs no such split: it holds one row per key already, and an outer join never matches
+NULLs. The touched set is a frame of distinct partition values, joined to the target
+whatever its size; its two bounds also go to the scan as a range filter.
 """
 
 from __future__ import annotations
 
-import datetime as _dt
 from functools import reduce
 from typing import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.scalars import ntz_lit, partition_key
+from ..functions.scalars import ntz_lit, partition_key, utc_ntz
+from ..session import written
 from ..spec import NULL_PARTITION_DEFAULT, TableSpec, spark_type
 from .project import q
 
-MAX_LITERALS = 10_000
-
 
 def check_partition_nulls(df: DataFrame, spec: TableSpec) -> DataFrame:
     """M8: under the ``error`` policy a NULL partition value fails the job. The check
@@ -48,22 +47,15 @@ def touched_partitions_frame(source: DataFrame, spec: TableSpec) -> DataFrame:
     With NULL partitions allowed, NULL becomes 1970-01-01."""
     p = q(spec.partition_field)
     if spec.null_partition == "allow":
-        p = F.coalesce(p.cast("timestamp_ntz"), ntz_lit(NULL_PARTITION_DEFAULT))
+        p = F.coalesce(utc_ntz(p), ntz_lit(NULL_PARTITION_DEFAULT))
     return check_partition_nulls(source, spec).select(
         partition_key(p, spec.partition_unit).alias("partition_key")).distinct()
 
 
-def touched_partitions(source: DataFrame, spec: TableSpec,
-                       max_literals: int = MAX_LITERALS) -> list | None:
-    """M7: the touched partition keys as a list, or None when more than
-    ``max_literals`` (callers then scope with a semi-join). At most
-    ``max_literals + 1`` small rows reach the driver."""
-    if not spec.partition_field:
-        return None
-    rows = touched_partitions_frame(source, spec).limit(max_literals + 1).collect()
-    if len(rows) > max_literals:
-        return None
-    return sorted(r[0] for r in rows)
+def touched_bounds(touched: DataFrame) -> tuple | None:
+    """Smallest and largest touched partition key (one row to the driver), or None if there is none."""
+    lo, hi = touched.agg(F.min("partition_key"), F.max("partition_key")).first()
+    return None if lo is None else (lo, hi)
 
 
 def _scope_key(target: DataFrame, spec: TableSpec) -> tuple[Column, Column]:
@@ -75,42 +67,42 @@ def _scope_key(target: DataFrame, spec: TableSpec) -> tuple[Column, Column]:
     return partition_key(q(spec.partition_field), spec.partition_unit), q(spec.partition_field).isNull()
 
 
-def _to_pc_value(v, spec: TableSpec):
-    if spec.partition_unit == "HOUR":
-        return int(v.strftime("%Y%m%d%H"))
-    return v.date() if isinstance(v, _dt.datetime) else v
+def scope_value(key: Column, spec: TableSpec, physical: bool) -> Column:
+    """A touched key in the type that it is compared in: the partition column's, or as is."""
+    if not physical:
+        return key
+    return F.date_format(key, "yyyyMMddHH").cast("int") if spec.partition_unit == "HOUR" else F.to_date(key)
 
 
-def split_scope(target: DataFrame, spec: TableSpec, touched: Sequence | None,
-                touched_frame: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
-    """M6: (target rows the merge may match, target rows left as they are)."""
+def split_scope(target: DataFrame, spec: TableSpec, touched: DataFrame,
+                bounds: tuple | None = None) -> tuple[DataFrame, DataFrame]:
+    """M6: (target rows the merge may match, target rows left as they are).
+
+    ``touched`` is a frame as from ``touched_partitions_frame``. Its ``bounds``, where
+    known, limit the scan of the first part (``PartitionFilters`` on a partition column).
+    """
     if not spec.partition_field:
         return target, target.limit(0)
     key, is_null = _scope_key(target, spec)
     physical = bool(spec.partition_column and spec.partition_column in target.columns)
     allow = spec.null_partition == "allow"
-    if touched is not None:
-        # partition-column values are dates / ints; truncated keys are timestamp_ntz
-        # literals built from text, so the IN list never depends on the session zone
-        values = [F.lit(_to_pc_value(v, spec)) for v in touched] if physical else [ntz_lit(v) for v in touched]
-        pred = key.isin(*values) if values else F.lit(False)
-        if allow:
-            pred = pred | is_null
-        pred = F.coalesce(pred, F.lit(False))
-        return target.where(pred), target.where(~pred)
-    # large touched set: semi / anti join against the distinct keys
-    tf = touched_frame
-    if physical:
-        tf = tf.select((F.date_format("partition_key", "yyyyMMddHH").cast("int")
-                        if spec.partition_unit == "HOUR" else F.to_date("partition_key")).alias("partition_key"))
-    keyed = target.withColumn("__scope_key", key)
-    cond = F.col("__scope_key") == tf["partition_key"]
-    inside = keyed.join(tf, cond, "left_semi")
-    outside = keyed.join(tf, cond, "left_anti")
+    near = target
+    if bounds:
+        lo, hi = (scope_value(ntz_lit(b), spec, physical) for b in bounds)
+        near = target.where(key.between(lo, hi) | is_null if allow else key.between(lo, hi))
+    keys = touched.select(scope_value(F.col("partition_key"), spec, physical).alias("__touched"))
+    same = F.col("__scope_key") == F.col("__touched")
     if allow:
-        inside = inside.unionByName(keyed.where(is_null))
-        outside = outside.where(~is_null)
-    return inside.drop("__scope_key"), outside.drop("__scope_key")
+        # one pass over the target: NULL partitions are always in scope
+        marked = keys.withColumn("__in", F.lit(True))
+        inside = near.withColumn("__scope_key", key).join(marked, same, "left").where(F.col("__in") | is_null)
+        inside = inside.drop("__in", "__touched")
+    else:
+        inside = near.withColumn("__scope_key", key).join(keys, same, "left_semi")
+    rest = target.withColumn("__scope_key", key).join(keys, same, "left_anti")
+    if allow:
+        rest = rest.where(~is_null)
+    return inside.drop("__scope_key"), rest.drop("__scope_key")
 
 
 def guard_explicit(t: Column, s: Column, col: str) -> Column:
@@ -182,11 +174,9 @@ def merge_rows(target_in: DataFrame, source: DataFrame, spec: TableSpec,
     tkey = [q(k) for k in keys]
 
     t_nullkey = target_in.where(_any_null(tkey))
-    s_nullkey = source.where(_any_null(skey))
-
     t = target_in.where(~_any_null(tkey)).select(
         F.struct(*[q(c) for c in tcols]).alias("t"), *[k.alias(f"__tk{i}") for i, k in enumerate(tkey)])
-    s = source.where(~_any_null(skey)).select(
+    s = source.select(
         F.struct(*[q(c) for c in source.columns]).alias("s"), *[k.alias(f"__sk{i}") for i, k in enumerate(skey)])
     if any(k in spec.casts for k in keys):
         # Casting the keys can make two deduplicated source rows equal. The count
@@ -194,7 +184,8 @@ def merge_rows(target_in: DataFrame, source: DataFrame, spec: TableSpec,
         # in the source struct that every output branch reads.
         n = F.count(F.lit(1)).over(Window.partitionBy(*[F.col(f"__sk{i}") for i in range(len(keys))]))
         msg = F.lit("more than one source row per key after the key casts")
-        s = s.withColumn("s", F.when(n > 1, F.raise_error(msg)).otherwise(F.col("s")))
+        whole = ~_any_null([F.col(f"__sk{i}") for i in range(len(keys))])
+        s = s.withColumn("s", F.when(whole & (n > 1), F.raise_error(msg)).otherwise(F.col("s")))
     cond = [F.col(f"__tk{i}") == F.col(f"__sk{i}") for i in range(len(keys))]
     joined = t.join(s, cond, "full_outer")
 
@@ -206,27 +197,21 @@ def merge_rows(target_in: DataFrame, source: DataFrame, spec: TableSpec,
         F.when(tc.isNull(), ins[c]).when(sc.isNotNull() & guard, upd[c]).otherwise(tc[c]).alias(c)
         for c in tcols])
 
-    s_struct = F.struct(*[q(c) for c in source.columns])
-    inserted_null = s_nullkey.select(s_struct.alias("s")).select(
-        *[ins[c].alias(c) for c in tcols])
-    return merged.unionByName(t_nullkey).unionByName(inserted_null)
+    return merged.unionByName(t_nullkey)
 
 
 def merge_upsert(target: DataFrame, source: DataFrame, spec: TableSpec,
-                 columns: Sequence[str] | None = None, touched: Sequence | None = None,
+                 columns: Sequence[str] | None = None, touched: DataFrame | None = None,
                  source_slice: DataFrame | None = None, scope: str = "touched") -> DataFrame:
     """M1: the whole new snapshot (rows outside the scope pass through unchanged).
 
     ``touched`` defaults to the partitions of ``source_slice`` (the un-deduplicated
-    slice), else of ``source``. ``scope="all"`` matches against every target row.
+    slice), else of ``source``; they are written to a small scratch table, so that the
+    merge itself reads the slice once. ``scope="all"`` matches against every target row.
     """
     if scope == "all" or not spec.partition_field:
         return merge_rows(target, source, spec, columns)
-    slice_df = source_slice if source_slice is not None else source
-    tf = None
     if touched is None:
-        touched = touched_partitions(slice_df, spec)
-        if touched is None:
-            tf = touched_partitions_frame(slice_df, spec)
-    inside, rest = split_scope(target, spec, touched, tf)
+        touched = written(touched_partitions_frame(source if source_slice is None else source_slice, spec), "touched")
+    inside, rest = split_scope(target, spec, touched, touched_bounds(touched))
     return merge_rows(inside, source, spec, columns).unionByName(rest)

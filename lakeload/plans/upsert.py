@@ -1,17 +1,21 @@
 """Raw slice -> snapshot upsert, end to end.
 
     filter_window (pushed to the scan) -> filter_extra -> check_partition_nulls (lazy)
-    -> touched_partitions (one small action) -> latest per key -> merge_rows on the
+    -> touched partitions (a small scratch table) -> latest per key -> merge_rows on the
     in-scope target rows -> write only the touched partitions (stage, then swap)
 
 Rows of untouched partitions are neither read nor rewritten. The write stages the
 new partitions under a fresh folder next to the table and then swaps whole
-partition directories, so a plan never overwrites a path it is reading.
+partition directories, so a plan never overwrites a path it is reading. Every staged
+folder reaches the table: those in scope replace the old ones, and rows that land
+outside the scope (no partition value in the column list, a cast that moves it) are
+added to what their partition holds.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+import uuid
+from dataclasses import dataclass, field
 from typing import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,12 +23,15 @@ from pyspark.sql import functions as F
 
 from ..functions.scalars import partition_value
 from ..operators.dedup import latest
-from ..operators.merge import (check_partition_nulls, merge_rows, split_scope,
-                               touched_partitions, touched_partitions_frame)
-from ..operators.project import filter_extra, filter_window
-from ..session import hadoop_fs
+from ..operators.merge import (check_partition_nulls, merge_rows, scope_value, split_scope,
+                               touched_bounds, touched_partitions_frame)
+from ..operators.project import filter_extra, filter_window, q
+from ..session import hadoop_fs, written
+from ..sinks.swap import add_files, folders, replace_folders
 from ..spec import LoadSpec, TableSpec
 
+NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"   # fixed value: the folder name of a NULL partition
+
 
 def source_slice(raw: DataFrame, spec: TableSpec, load: LoadSpec, start_run_id: str | None,
                  end_run_id: str | None, whole_table: bool = False) -> DataFrame:
@@ -44,17 +51,17 @@ def incremental_merge(raw: DataFrame, target: DataFrame, spec: TableSpec, load:
     src = latest(sl, spec.primary_keys, spec.ordering, spec.dedup)
     if not spec.partition_field:
         return merge_rows(target, src, spec, columns)
-    touched = touched_partitions(sl, spec)
-    tf = touched_partitions_frame(sl, spec) if touched is None else None
-    inside, rest = split_scope(target, spec, touched, tf)
+    touched = written(touched_partitions_frame(sl, spec), "touched")
+    inside, rest = split_scope(target, spec, touched, touched_bounds(touched))
     return merge_rows(inside, src, spec, columns).unionByName(rest)
 
 
 @dataclass
 class UpsertResult:
-    touched: list | None
-    rewritten_partitions: int
-    path: str
+    """``partitions``: the partition folders that got new content (empty for a table without any)."""
+    partitions: list[str] = field(default_factory=list)
+    rewritten_partitions: int = 0
+    path: str = ""
     plan: str | None = None
 
 
@@ -66,23 +73,22 @@ def explain_text(df: DataFrame, mode: str = "formatted") -> str:
 def dry_run_upsert(raw: DataFrame, target: DataFrame, spec: TableSpec, load: LoadSpec,
                    start_run_id: str | None, end_run_id: str | None,
                    columns: Sequence[str] | None = None, whole_table: bool = False,
-                   touched: Sequence | None = None) -> UpsertResult:
-    """The upsert's physical plan without running anything (no action, no write):
-    the touched set stays a lazy semi-join, as the reference's dry run only prints
-    its statements. Given a ``touched`` list, the plan is the one a run executes
-    (literal partition filters)."""
+                   touched: DataFrame | None = None) -> UpsertResult:
+    """The upsert's physical plan without running anything (no action, no write), as the
+    reference's dry run only prints its statements. Given the ``touched`` frame of a run,
+    the plan is the one a run executes (range filter on the partition column)."""
     sl = source_slice(raw, spec, load, start_run_id, end_run_id, whole_table)
     src = latest(sl, spec.primary_keys, spec.ordering, spec.dedup)
     if spec.buckets:  # as run_upsert_bucketed: the slice joins the snapshot's buckets
         src = src.repartition(spec.buckets, *[F.col(k) for k in spec.primary_keys])
     if spec.partition_field:
-        inside, _ = split_scope(target, spec, touched,
-                                touched_partitions_frame(sl, spec) if touched is None else None)
+        inside, _ = split_scope(target, spec, touched_partitions_frame(sl, spec) if touched is None else touched,
+                                None if touched is None else touched_bounds(touched))
     else:
         inside = target
     merged = merge_rows(inside.select(*[c for c in target.columns if c != spec.partition_column]), src, spec,
                         columns)
-    return UpsertResult(None, 0, "", explain_text(merged))
+    return UpsertResult(plan=explain_text(merged))
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
@@ -90,36 +96,40 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
-def _swap(spark: SparkSession, staged: str, target: str, part_dirs: Sequence[str] | None) -> int:
-    """Move staged partition folders (or the whole table) into place."""
-    fs, tgt = hadoop_fs(spark, target)
-    jvm = spark.sparkContext._jvm
-    Path = jvm.org.apache.hadoop.fs.Path
-    if part_dirs is None:
-        if fs.exists(tgt):
-            fs.delete(tgt, True)
-        fs.rename(Path(staged), tgt)
-        return 1
-    if not fs.exists(tgt):
-        fs.mkdirs(tgt)
-    moved = 0
-    for d in part_dirs:
-        dst = Path(f"{target}/{d}")
-        if fs.exists(dst):
-            fs.delete(dst, True)
-        src = Path(f"{staged}/{d}")
-        if fs.exists(src):
-            fs.rename(src, dst)
-            moved += 1
-    return moved
-
-
-def _part_dir(spec: TableSpec, value) -> str:
-    if value is None:
-        return f"{spec.partition_column}=__HIVE_DEFAULT_PARTITION__"
-    if spec.partition_unit == "HOUR":
-        return f"{spec.partition_column}={value.strftime('%Y%m%d%H')}"
-    return f"{spec.partition_column}={value.date().isoformat()}"
+def _folder_values(df: DataFrame, spec: TableSpec) -> set[str]:
+    """Folder names of the distinct partition values of ``df``'s partition column."""
+    pc = spec.partition_column
+    return {f"{pc}={NULL_FOLDER if r[0] is None else r[0]}" for r in df.select(q(pc).cast("string")).distinct().collect()}
+
+
+def _commit(spark: SparkSession, staged: str, target: str, spec: TableSpec, touched: DataFrame) -> tuple[list[str], list[str]]:
+    """Bring all staged partitions to the table: (folders with new content, folders taken away).
+
+    The driver sees folder names only, of the staged partitions and of those in scope
+    that the merge has emptied.
+    """
+    pc, allow = spec.partition_column, spec.null_partition == "allow"
+    new = folders(spark, staged)
+    scope = touched.select(scope_value(F.col("partition_key"), spec, True).alias(pc))
+    in_scope = _folder_values(scope.join(_staged_values(spark, new, pc, scope.schema[0].dataType), pc, "left_semi"), spec) if new else set()
+    emptied = scope.join(_staged_values(spark, new, pc, scope.schema[0].dataType), pc, "left_anti") if new else scope
+    gone = _folder_values(emptied, spec)
+    if allow:
+        null = f"{pc}={NULL_FOLDER}"
+        (in_scope if null in new else gone).add(null)
+    there = set(folders(spark, target))
+    moves = [(f"{staged}/{d}", f"{target}/{d}") for d in new if d in in_scope or d not in there]
+    moves += [(None, f"{target}/{d}") for d in sorted(gone & there)]
+    replace_folders(spark, moves, target)
+    for d in new:
+        if d not in in_scope and d in there:
+            add_files(spark, f"{staged}/{d}", f"{target}/{d}")
+    return new, sorted(gone & there)
+
+
+def _staged_values(spark: SparkSession, names: Sequence[str], pc: str, dtype) -> DataFrame:
+    values = [(n.split("=", 1)[1],) for n in names if not n.endswith(f"={NULL_FOLDER}")]
+    return spark.createDataFrame(values, "v string").select(F.col("v").cast(dtype).alias(pc))
 
 
 def run_upsert(spark: SparkSession, raw: DataFrame, snapshot_path: str, spec: TableSpec,
@@ -131,8 +141,6 @@ def run_upsert(spark: SparkSession, raw: DataFrame, snapshot_path: str, spec: Ta
     The snapshot is partitioned by ``spec.partition_column`` (derived from the
     partition field) when the spec has a partition field. The first run creates it.
     """
-    import uuid
-
     staged = f"{staging_root or snapshot_path.rstrip('/') + '_staging'}/{uuid.uuid4().hex[:12]}"
     sl = source_slice(raw, spec, load, start_run_id, end_run_id, whole_table)
     src = latest(sl, spec.primary_keys, spec.ordering, spec.dedup)
@@ -148,24 +156,18 @@ def run_upsert(spark: SparkSession, raw: DataFrame, snapshot_path: str, spec: Ta
     if not spec.partition_field:
         out = merge_rows(target.select(*data_cols), src, spec, columns)
         out.write.mode("overwrite").parquet(staged)
-        return UpsertResult(None, _swap(spark, staged, snapshot_path, None), snapshot_path)
+        n = replace_folders(spark, [(staged, snapshot_path)], snapshot_path.rstrip("/").rpartition("/")[0])
+        return UpsertResult([], n, snapshot_path)
 
-    touched = touched_partitions(sl, spec)
-    tf = touched_partitions_frame(sl, spec) if touched is None else None
-    inside, _rest = split_scope(target, spec, touched, tf)
+    touched = written(touched_partitions_frame(sl, spec), "touched")
+    inside, _rest = split_scope(target, spec, touched, touched_bounds(touched))
     merged = merge_rows(inside.select(*data_cols), src, spec, columns)
     merged = merged.withColumn(pc, partition_value(F.col(spec.partition_field), spec.partition_unit))
     # co-locate rows of one partition before the write; ``rebalance`` lets AQE split
     # a hot partition (one day holding a third of the rows) over several tasks/files
     merged.hint("rebalance", pc).write.mode("overwrite").partitionBy(pc).parquet(staged)
-    if touched is None:
-        touched = [r[0] for r in tf.toLocalIterator()]
-    dirs = {_part_dir(spec, v) for v in touched}
-    if spec.null_partition == "allow":
-        dirs.add(_part_dir(spec, None))
-    # rows whose partition value moved land in partitions of the source slice, which
-    # are all touched; every rewritten partition was read in full above
-    return UpsertResult(touched, _swap(spark, staged, snapshot_path, sorted(dirs)), snapshot_path)
+    new, _ = _commit(spark, staged, snapshot_path, spec, touched)
+    return UpsertResult(new, len(new), snapshot_path)
 
 
 def _table_location(spark: SparkSession, table: str) -> str:
@@ -181,11 +183,9 @@ def run_upsert_bucketed(spark: SparkSession, raw: DataFrame, table: str, spec: T
     The snapshot is read as a bucketed scan, already hash-partitioned on the keys,
     so the merge join never shuffles it; only the deduplicated slice (one row per
     key) is repartitioned into the bucket count. New partitions are written to a
-    staging table with the same bucket layout, swapped in by directory, and the
-    table's partition list is recovered from the folders.
+    staging table with the same bucket layout and swapped in by directory; the table's
+    partition list is told of the folders that changed, and of no others.
     """
-    import uuid
-
     if not (spec.buckets and spec.partition_field and spec.partition_column):
         raise ValueError("run_upsert_bucketed needs buckets, partition_field and partition_column")
     keys, pc, n = list(spec.primary_keys), spec.partition_column, spec.buckets
@@ -208,21 +208,23 @@ def run_upsert_bucketed(spark: SparkSession, raw: DataFrame, table: str, spec: T
     target = spark.table(table)
     data_cols = [c for c in target.columns if c != pc]
 
-    touched = touched_partitions(sl, spec)
-    tf = touched_partitions_frame(sl, spec) if touched is None else None
-    inside, _rest = split_scope(target, spec, touched, tf)
+    touched = written(touched_partitions_frame(sl, spec), "touched")
+    inside, _rest = split_scope(target, spec, touched, touched_bounds(touched))
     merged = merge_rows(inside.select(*data_cols), src_b, spec, columns)
     merged = merged.withColumn(pc, partition_value(F.col(spec.partition_field), spec.partition_unit))
     staging = f"{table}__staging_{uuid.uuid4().hex[:10]}"
     staged = f"{location.rstrip('/')}_staging/{uuid.uuid4().hex[:12]}"
     write_bucketed(merged, staging, staged, "errorifexists")
     spark.sql(f"DROP TABLE {staging}")  # external: the files stay for the swap
-    if touched is None:
-        touched = [r[0] for r in tf.toLocalIterator()]
-    dirs = {_part_dir(spec, v) for v in touched}
-    if spec.null_partition == "allow":
-        dirs.add(_part_dir(spec, None))
-    moved = _swap(spark, staged, location, sorted(dirs))
-    spark.sql(f"ALTER TABLE {table} RECOVER PARTITIONS")
+    new, gone = _commit(spark, staged, location.rstrip("/"), spec, touched)
+    for verb, names in (("ADD IF NOT EXISTS", new), ("DROP IF EXISTS", gone)):
+        parts = [f"PARTITION ({_partition_spec(n)})" for n in names]
+        if parts:
+            spark.sql(f"ALTER TABLE {table} {verb} " + (" " if verb.startswith("ADD") else ", ").join(parts))
     spark.catalog.refreshTable(table)
-    return UpsertResult(touched, moved, location)
+    return UpsertResult(new, len(new), location)
+
+
+def _partition_spec(folder: str) -> str:
+    name, value = folder.split("=", 1)
+    return f"`{name}` = " + ("NULL" if value == NULL_FOLDER else f"'{value}'")

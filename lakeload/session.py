@@ -3,7 +3,8 @@
 Every job is a plain Spark job: UTC session zone, ANSI casts, AQE with skew-join
 and partition coalescing, dynamic partition overwrite. Scratch output (staging
 for partition swaps, read-back checks) goes under ``spark.checkpoint.dir``, the
-shared folder the cluster names; a local one is set only when it is unset.
+shared folder the cluster names; a temporary one is set only where it is unset and
+the master is local (tests), where driver and executors are one process.
 """
 
 from __future__ import annotations
@@ -12,7 +13,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 DEFAULT_CONF = {
     "spark.sql.session.timeZone": "UTC",
@@ -45,9 +46,14 @@ def get_session(master: str | None = None, app_name: str = "lakeload",
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder; set a local one only when none is configured."""
+    """Return the shared checkpoint folder. Where none is configured, a local master
+    gets a temporary folder; on a cluster that is an error, as executors do not share
+    the driver's disk."""
     path = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not path:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         path = tempfile.mkdtemp(prefix="lakeload-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
     if not spark.sparkContext.getCheckpointDir():
@@ -61,6 +67,14 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     return f"{base}/lakeload/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to a fresh scratch folder and read back: lineage ends there, and
+    plans that use it twice compute it once."""
+    path = scratch_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def hadoop_fs(spark: SparkSession, path: str):
     """Hadoop FileSystem and Path for ``path`` (works for file:, hdfs:, s3a:, gs:)."""
     jvm = spark.sparkContext._jvm

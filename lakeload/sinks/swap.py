@@ -1,0 +1,67 @@
+"""Put staged folders in the place of existing ones, without a moment in which neither exists.
+
+Each old folder is first renamed aside, then the staged one takes its place; every
+rename's result is checked. If a step fails, all earlier ones are undone and the error
+is raised, so a reader finds either the old data or the new. The set-aside folders
+(hidden from readers by their leading ``_``) go last.
+"""
+
+from __future__ import annotations
+
+import uuid
+from typing import Sequence
+
+from pyspark.sql import SparkSession
+
+from ..session import hadoop_fs
+
+
+def _move(fs, a, b) -> None:
+    fs.mkdirs(b.getParent())
+    if not fs.rename(a, b):
+        raise OSError(f"could not rename {a} to {b}")
+
+
+def replace_folders(spark: SparkSession, moves: Sequence[tuple[str | None, str]], aside_root: str) -> int:
+    """``moves`` are (staged, target); a staged of None takes the target away. Returns
+    how many targets got new content."""
+    fs, root = hadoop_fs(spark, aside_root)
+    Path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    aside = Path(root, f"_replaced_{uuid.uuid4().hex[:12]}")
+    undo = []
+    try:
+        for i, (staged, target) in enumerate(moves):
+            dst = Path(target)
+            if fs.exists(dst):
+                old = Path(aside, str(i))
+                _move(fs, dst, old)
+                undo.append((old, dst))
+            if staged is not None:
+                _move(fs, Path(staged), dst)
+                undo.append((dst, Path(staged)))
+    except Exception:
+        for a, b in reversed(undo):
+            _move(fs, a, b)
+        if fs.exists(aside) and not len(fs.listStatus(aside)):
+            fs.delete(aside, False)
+        raise
+    if fs.exists(aside):
+        fs.delete(aside, True)
+    return sum(staged is not None for staged, _ in moves)
+
+
+def add_files(spark: SparkSession, staged: str, target: str) -> None:
+    """Move the staged folder's files into ``target`` beside what it holds."""
+    fs, src = hadoop_fs(spark, staged)
+    Path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    fs.mkdirs(Path(target))
+    for f in fs.listStatus(src):
+        _move(fs, f.getPath(), Path(target, f.getPath().getName()))
+
+
+def folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the ``key=value`` folders directly under ``path``."""
+    fs, p = hadoop_fs(spark, path)
+    if not fs.exists(p):
+        return []
+    return sorted(f.getPath().getName() for f in fs.listStatus(p) if f.isDirectory() and "=" in f.getPath().getName())

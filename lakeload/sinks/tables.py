@@ -9,6 +9,7 @@ overwrites the files it reads.
 
 from __future__ import annotations
 
+import json
 import uuid
 from typing import Iterator, Mapping, Sequence
 
@@ -20,6 +21,7 @@ from pyspark.sql import types as T
 from ..functions.scalars import partition_value
 from ..session import hadoop_fs
 from ..spec import spark_type
+from .swap import replace_folders
 
 
 def partition_column_name(field: str) -> str:
@@ -60,18 +62,77 @@ def pick_clustering(table_cfg: Mapping | None, common_cfg: Mapping) -> Sequence[
     return common_cfg.get("CLUSTERING_FIELDS")
 
 
-def append_with_new_fields(df: DataFrame, path: str, **kw) -> None:
-    """K2/K3: append a frame that may carry new top-level columns or new struct
-    members; readers use ``read_evolved`` to see the widened schema (old rows NULL)."""
-    append_raw(df, path, **kw)
-
-
-append_with_new_struct_fields = append_with_new_fields
+def check_additive(old: T.DataType, new: T.DataType, path: str = "") -> T.DataType:
+    """K2/K3: the widened type of a table when a batch of type ``new`` is appended: fields
+    may be added at any depth; a field that both have must keep its type."""
+    if isinstance(old, T.StructType) and isinstance(new, T.StructType):
+        known = {f.name: f for f in old.fields}
+        added = [f for f in new.fields if f.name not in known]
+        later = {f.name: f.dataType for f in new.fields}
+        kept = [T.StructField(f.name, check_additive(f.dataType, later[f.name], f"{path}{f.name}.") if f.name in later
+                              else f.dataType, True) for f in old.fields]
+        return T.StructType(kept + [T.StructField(f.name, f.dataType, True) for f in added])
+    if isinstance(old, T.ArrayType) and isinstance(new, T.ArrayType):
+        return T.ArrayType(check_additive(old.elementType, new.elementType, path), True)
+    if isinstance(old, T.MapType) and isinstance(new, T.MapType):
+        return T.MapType(check_additive(old.keyType, new.keyType, path), check_additive(old.valueType, new.valueType, path), True)
+    if old != new:
+        raise ValueError(f"field {path.rstrip('.')} is {old.simpleString()} in the table and {new.simpleString()} in the batch")
+    return old
+
+
+SCHEMA_FILE = "_schema.json"     # readers of data files skip names with a leading underscore
+
+
+def _kept_schema(spark: SparkSession, path: str) -> T.StructType | None:
+    """The table's widened schema from its schema file, or from the data of a table without one."""
+    fs, file = hadoop_fs(spark, f"{path.rstrip('/')}/{SCHEMA_FILE}")
+    if fs.exists(file):
+        stream = fs.open(file)
+        text = spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        stream.close()
+        return T.StructType.fromJson(json.loads(text))
+    if fs.exists(file.getParent()) and any(not f.getPath().getName().startswith(("_", ".")) for f in fs.listStatus(file.getParent())):
+        return spark.read.option("mergeSchema", "true").parquet(path).schema
+    return None
+
+
+def _keep_schema(spark: SparkSession, path: str, schema: T.StructType) -> None:
+    """Write beside, then rename into place, so that readers see one whole file or the other."""
+    fs, file = hadoop_fs(spark, f"{path.rstrip('/')}/{SCHEMA_FILE}")
+    Path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    part = Path(f"{file}.{uuid.uuid4().hex[:8]}")
+    out = fs.create(part)
+    out.write(bytearray(schema.json().encode()))
+    out.close()
+    if fs.exists(file):
+        fs.delete(file, False)
+    if not fs.rename(part, file):
+        raise OSError(f"could not rename {part} to {file}")
+
+
+def append_with_new_fields(df: DataFrame, path: str, partition_field: str | None = None,
+                           partition_unit: str | None = None, **kw) -> None:
+    """K2: append a batch that may bring new top-level columns. The batch is compared with
+    the table's schema before anything is written; a changed type raises, nested ones
+    too. The widened schema is kept with the table, so readers open no footers for it."""
+    spark = df.sparkSession
+    whole, _ = with_partition(df, partition_field, partition_unit)
+    old = _kept_schema(spark, path)
+    new = T.StructType([T.StructField(f.name, f.dataType, True) for f in whole.schema.fields])
+    widened = check_additive(old, new) if old is not None else new
+    append_raw(df, path, partition_field, partition_unit, **kw)
+    _keep_schema(spark, path, widened)
+
+
+def append_with_new_struct_fields(df: DataFrame, path: str, **kw) -> None:
+    """K3: the same for batches whose structs (also within arrays and maps) bring new members."""
+    append_with_new_fields(df, path, **kw)
 
 
 def read_evolved(spark: SparkSession, path: str) -> DataFrame:
-    """Read with parquet schema merging: added columns and struct members appear."""
-    return spark.read.option("mergeSchema", "true").parquet(path)
+    """Read with the widened schema (older rows have NULL in later columns and members)."""
+    return spark.read.schema(_kept_schema(spark, path)).parquet(path)
 
 
 def union_evolved(old: DataFrame, new: DataFrame) -> DataFrame:
@@ -94,14 +155,6 @@ def create_table_as(spark: SparkSession, df: DataFrame, table: str, path: str |
     return spark.table(table)
 
 
-def _swap_dir(spark: SparkSession, staged: str, path: str) -> None:
-    fs, tgt = hadoop_fs(spark, path)
-    Path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
-    if fs.exists(tgt):
-        fs.delete(tgt, True)
-    fs.rename(Path(staged), tgt)
-
-
 def full_load(spark: SparkSession, df: DataFrame, path: str, fmt: str = "parquet",
               partition_by: Sequence[str] = ()) -> None:
     """K5: replace the destination with the query result (staged, then swapped)."""
@@ -110,7 +163,7 @@ def full_load(spark: SparkSession, df: DataFrame, path: str, fmt: str = "parquet
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.save(staged)
-    _swap_dir(spark, staged, path)
+    replace_folders(spark, [(staged, path)], path.rstrip("/").rpartition("/")[0])
 
 
 def create_empty(spark: SparkSession, schema: T.StructType | str, table: str, path: str | None = None,
@@ -132,7 +185,7 @@ def add_columns(spark: SparkSession, table: str, columns: Mapping[str, str]) ->
     spark.catalog.refreshTable(table)
     after = spark.table(table)
     if len(after.columns) != before + len(columns):
-        raise RuntimeError("Failed to update table schema")
+        raise RuntimeError(f"{table}: the added columns are not in the table's schema")
     return after
 
 

@@ -20,16 +20,16 @@ def upsert_plans(spark, sf_dir: str):
     import uuid
 
     from lakeload.plans import fixtures as fx
-    from lakeload.operators.merge import touched_partitions
+    from lakeload.operators.merge import touched_partitions_frame
     from lakeload.plans.upsert import dry_run_upsert, run_upsert, run_upsert_bucketed, source_slice
-    from lakeload.session import scratch_dir
+    from lakeload.session import scratch_dir, written
     from lakeload.spec import TableSpec
     orders = fx.read(spark, sf_dir, "orders")
     spec = TableSpec(**{**fx.ORDERS_SPEC.__dict__, "partition_unit": "MONTH",
                         "partition_column": "o_orderdate_part"})
     path = scratch_dir(spark, "plans_snapshot")
     run_upsert(spark, orders, path, spec, fx.ORDERS_LOAD, "19900101000000", "19970531235959")
-    touched = touched_partitions(source_slice(orders, spec, fx.ORDERS_LOAD, fx.INC_START, fx.INC_END), spec)
+    touched = written(touched_partitions_frame(source_slice(orders, spec, fx.ORDERS_LOAD, fx.INC_START, fx.INC_END), spec), "touched")
     yield "run_upsert (parquet snapshot, second window)", dry_run_upsert(
         orders, spark.read.parquet(path), spec, fx.ORDERS_LOAD, fx.INC_START, fx.INC_END, touched=touched).plan
     bspec = TableSpec(**{**spec.__dict__, "buckets": 8})

@@ -94,17 +94,36 @@ def test_partition_nulls_error_policy(spark):
     spec = snapshot_spec(null_partition="error")
     with pytest.raises(Exception, match="NULL"):
         merge.check_partition_nulls(src, spec).collect()
-    allowed = merge.touched_partitions(src, snapshot_spec())
-    assert allowed == [D(1970, 1, 1)]
+    allowed = merge.touched_partitions_frame(src, snapshot_spec())
+    assert rows(allowed) == [(D(1970, 1, 1),)] and merge.touched_bounds(allowed) == (D(1970, 1, 1), D(1970, 1, 1))
 
 
-def test_touched_partitions_fallback_to_semi_join(spark):
-    target = frame(spark, [(1, "t", D(2021, 1, 1), 1), (2, "t", D(2022, 1, 1), 1)])
-    source = frame(spark, [(1, "s", D(2021, 3, 1), 2)])
-    spec = snapshot_spec(null_partition="error")
-    assert merge.touched_partitions(source, spec, max_literals=0) is None
-    inside, rest = merge.split_scope(target, spec, None, merge.touched_partitions_frame(source, spec))
-    assert rows(inside, "k") == [(1,)] and rows(rest, "k") == [(2,)]
+@pytest.mark.parametrize("with_bounds", [False, True])
+def test_split_scope_is_one_form_for_any_number_of_keys(spark, with_bounds):
+    target = frame(spark, [(1, "t", D(2021, 1, 1), 1), (2, "t", D(2022, 1, 1), 1), (3, "t", D(2023, 1, 1), 1), (4, "t", None, 1)])
+    source = frame(spark, [(1, "s", D(2021, 3, 1), 2), (3, "s", D(2023, 3, 1), 2)])
+    for policy, more in (("error", []), ("allow", [(4,)])):
+        spec = snapshot_spec(null_partition=policy)
+        touched = merge.touched_partitions_frame(source, spec)
+        inside, rest = merge.split_scope(target, spec, touched, merge.touched_bounds(touched) if with_bounds else None)
+        assert rows(inside, "k") == [(1,), (3,)] + more
+        assert rows(inside.unionByName(rest), "k") == [(1,), (2,), (3,), (4,)]
+
+
+def test_scope_filters_reach_the_scan_and_the_slice_is_read_once(spark):
+    from lakeload.plans.upsert import dry_run_upsert
+    from lakeload.session import written
+    spec = snapshot_spec(null_partition="error", partition_unit="MONTH", partition_column="o_part")
+    path, raw_path = scratch_dir(spark, "t_scope"), scratch_dir(spark, "t_scope_raw")
+    frame(spark, [(k, f"v{k}", D(2023, 1 + k % 12, 1), k) for k in range(60)]).write.parquet(raw_path)
+    raw = spark.read.parquet(raw_path)
+    run_upsert(spark, raw, path, spec, LoadSpec(audit_column="o"), "20221231000000", "20231231235959")
+    touched = written(merge.touched_partitions_frame(raw, spec), "t_touched")
+    plan = dry_run_upsert(raw, spark.read.parquet(path), spec, LoadSpec(audit_column="o"), "20221231000000",
+                          "20231231235959", touched=touched).plan
+    assert "PartitionFilters: [isnotnull(o_part" in plan and "(o_part" in plan
+    scans = [ln for ln in plan.splitlines() if ln.startswith("Location") and "t_scope_raw" in ln]
+    assert len(scans) == 1
 
 
 def test_merge_is_idempotent(spark):
@@ -131,7 +150,7 @@ def test_run_upsert_rewrites_only_touched_partitions(spark):
     first = spark.createDataFrame(first.collect(), first.schema)  # a frame listed before a swap goes stale
     assert first.count() == 60
     res = run_upsert(spark, raw, path, spec, load, "20230701000000", "20230731235959")
-    assert [d.month for d in res.touched] == [7]
+    assert res.partitions == ["o_part=2023-07-01"]
     out = spark.read.parquet(path)
     lazy = incremental_merge(raw, first, spec, load, "20230701000000", "20230731235959")
     assert rows(out.drop("o_part")) == rows(lazy)
@@ -189,3 +208,51 @@ def test_run_upsert_hourly_partitions(spark):
     out = spark.read.parquet(path)
     assert out.count() == 20 and dict(out.dtypes)["o_hour"] == "int"
     assert sorted(r[0] for r in out.select("o_hour").distinct().collect()) == [2023010100 + h for h in range(5)]
+
+
+def test_run_upsert_without_the_partition_field_keeps_its_inserts(spark):
+    load = LoadSpec(audit_column="o")
+    for policy in ("error", "allow"):
+        spec = snapshot_spec(null_partition=policy, partition_unit="MONTH", partition_column="o_part")
+        raw = frame(spark, [(k, f"v{k}", D(2023, 1 + k % 3, 1), k) for k in range(9)])
+        path = scratch_dir(spark, "t_columns")
+        run_upsert(spark, raw, path, spec, load, "20221231000000", "20231231235959")
+        more = frame(spark, [(1, "w1", D(2023, 2, 5), 50), (100, "w100", D(2023, 2, 5), 51), (101, "w101", D(2023, 2, 5), 52)])
+        before = spark.createDataFrame(spark.read.parquet(path).drop("o_part").collect(), raw.schema)
+        res = run_upsert(spark, more, path, spec, load, "20221231000000", "20231231235959", columns=["k", "v", "n"])
+        lazy = incremental_merge(more, before, spec, load, "20221231000000", "20231231235959", columns=["k", "v", "n"])
+        out = spark.read.parquet(path)
+        assert rows(out.drop("o_part"), *before.columns) == rows(lazy)
+        assert out.where("k >= 100 AND o_part IS NULL").count() == 2
+        assert "o_part=__HIVE_DEFAULT_PARTITION__" in res.partitions
+        # a later run adds to the NULL partition instead of replacing it
+        more = frame(spark, [(200, "x", D(2023, 2, 6), 60)])
+        run_upsert(spark, more, path, spec, load, "20221231000000", "20231231235959", columns=["k", "v", "n"])
+        assert rows(spark.read.parquet(path).where("o_part IS NULL"), "k") == [(100,), (101,), (200,)]
+
+
+def test_run_upsert_with_a_cast_that_moves_the_partition(spark):
+    load = LoadSpec(audit_column="o")
+    spec = snapshot_spec(null_partition="error", partition_unit="HOUR", partition_column="o_part")
+    path = scratch_dir(spark, "t_moving")
+    first = frame(spark, [(1, "a", D(2023, 1, 1, 0), 1), (2, "b", D(2023, 1, 1, 7), 2)])
+    run_upsert(spark, first, path, spec, load, "20221230000000", "20231231235959")
+    moving = TableSpec(**{**spec.__dict__, "casts": {"o": "DATE"}})       # 09:00 becomes 00:00
+    run_upsert(spark, frame(spark, [(3, "c", D(2023, 1, 1, 9), 3)]), path, moving, load, "20221230000000", "20231231235959")
+    out = spark.read.parquet(path)
+    assert rows(out, "k", "o_part") == [(1, 2023010100), (2, 2023010107), (3, 2023010100)]
+
+
+def test_swap_restores_the_old_data_when_a_rename_fails(spark, tmp_path):
+    from lakeload.sinks.swap import replace_folders
+    for d in ("t/a", "t/b", "s/a"):
+        (tmp_path / d).mkdir(parents=True)
+        (tmp_path / d / "x").write_text(d)
+    moves = [(f"{tmp_path}/s/a", f"{tmp_path}/t/a"), (f"{tmp_path}/s/missing", f"{tmp_path}/t/b")]
+    with pytest.raises(Exception):
+        replace_folders(spark, moves, f"{tmp_path}/t")
+    assert (tmp_path / "t/a/x").read_text() == "t/a" and (tmp_path / "t/b/x").read_text() == "t/b"
+    assert (tmp_path / "s/a/x").read_text() == "s/a"
+    assert replace_folders(spark, [moves[0], (None, f"{tmp_path}/t/b")], f"{tmp_path}/t") == 1
+    assert (tmp_path / "t/a/x").read_text() == "s/a" and not (tmp_path / "t/b").exists()
+    assert [p.name for p in (tmp_path / "t").iterdir()] == ["a"]
