@@ -60,6 +60,12 @@ def _utc_wall_clock(instant: Column) -> Column:
     return F.timestamp_add("MICROSECOND", F.unix_micros(instant), _epoch_ntz())
 
 
+def ntz_to_instant(wall: Column) -> Column:
+    """A UTC wall clock (timestamp_ntz) as an instant. Goes through the text, as Spark's
+    differences and formats of timestamp_ntz read it in the session zone first."""
+    return F.concat(wall.cast("string"), F.lit("Z")).cast("timestamp")
+
+
 def run_id_to_epoch_ms(col, zone: str = DEFAULT_ZONE, gap: str = "daylight") -> Column:
     """run id read in ``zone`` -> epoch milliseconds as text.
 
@@ -86,14 +92,15 @@ def run_sequence(ts, freq_min: int) -> Column:
     index passes the end of the day grid (frequencies that do not divide 1440).
     """
     t = _c(ts).cast("timestamp_ntz")
-    sod = F.timestamp_diff("SECOND", F.date_trunc("DAY", t).cast("timestamp_ntz"), t)
+    sod = F.hour(t) * 3600 + F.minute(t) * 60 + F.second(t)
     seq = F.floor(sod / F.lit(freq_min * 60)).cast("int") + 1
     return F.when(seq * F.lit(freq_min) <= 1440, seq)
 
 
 def elapsed_sequences(start, end, step_min: int) -> Column:
     """(end - start) / step as a fractional count."""
-    return F.timestamp_diff("MICROSECOND", _c(start), _c(end)).cast("double") / F.lit(step_min * 60e6)
+    a, b = (F.unix_micros(ntz_to_instant(utc_ntz(x))) for x in (start, end))
+    return (b - a).cast("double") / F.lit(step_min * 60e6)
 
 
 def _json_path(path) -> str:
@@ -152,13 +159,25 @@ def truncate(col, n: int = 4000) -> Column:
     return F.when(F.octet_length(c) <= n, c).otherwise(F.substring(c, 1, n))
 
 
+def utc_ntz(col) -> Column:
+    """A time column as UTC wall clock (timestamp_ntz): an instant is converted, other
+    flavours keep their wall clock. ``typeof`` folds, so one branch remains in the plan."""
+    c = _c(col)
+    return F.when(F.typeof(c) == F.lit("timestamp"), _utc_wall_clock(c.cast("timestamp"))) \
+        .otherwise(c.cast("timestamp_ntz"))
+
+
 def partition_key(ts, unit: str) -> Column:
     """truncate a time column to its partition unit, as UTC wall clock (timestamp_ntz).
 
-    ``date_trunc`` yields a session-zone timestamp; casting back to timestamp_ntz keeps
-    the wall clock, so the key is the same whatever the input's timestamp flavour.
+    Instants are read in UTC first, and the truncation works on dates (and hours of a
+    wall clock), so neither step sees the session zone.
     """
-    return F.date_trunc(unit.upper(), _c(ts)).cast("timestamp_ntz")
+    wall, unit = utc_ntz(ts), unit.upper()
+    if unit == "HOUR":
+        return F.make_timestamp_ntz(F.year(wall), F.month(wall), F.day(wall), F.hour(wall), F.lit(0), F.lit(0))
+    day = F.to_date(wall)
+    return (day if unit == "DAY" else F.trunc(day, unit)).cast("timestamp_ntz")
 
 
 def partition_value(col, unit: str) -> Column:

@@ -44,7 +44,9 @@ FUNCTIONS = {
         "CASE WHEN octet_length(t) <= n THEN t ELSE substring(t, 1, n) END"),
     "partition_key": (
         "ts TIMESTAMP_NTZ, unit STRING", "TIMESTAMP_NTZ",
-        "CAST(date_trunc(unit, ts) AS TIMESTAMP_NTZ)"),
+        "CASE WHEN upper(unit) = 'HOUR' THEN make_timestamp_ntz(year(ts), month(ts), day(ts), hour(ts), 0, 0) "
+        "WHEN upper(unit) = 'DAY' THEN CAST(to_date(ts) AS TIMESTAMP_NTZ) "
+        "ELSE CAST(trunc(to_date(ts), unit) AS TIMESTAMP_NTZ) END"),
 }
 
 

@@ -35,42 +35,41 @@ def broadcast_if_small(df: DataFrame, max_bytes: int = BROADCAST_MAX_BYTES) -> D
 def catalog_join(jobs: DataFrame, dependency: DataFrame, details: DataFrame, servers: DataFrame,
                  logic: DataFrame, systems: DataFrame, chain_name: str) -> DataFrame:
     """Jobs of one scheduler chain with dependency, details, both servers, logic
-    module and system. LEFT dependency and details, INNER the rest; the dependency
-    activity filter runs after the left join, as in the reference (a job whose only
-    dependency is inactive drops out). The two activity flags are aliased apart."""
-    a1 = jobs.alias("a1")
-    # dependency / detail rows are job metadata: broadcast them when the size check
-    # allows (a LEFT join cannot split a skewed right side; a broadcast has no skew)
-    ajd = broadcast_if_small(dependency).alias("ajd")
-    ad = broadcast_if_small(details).alias("ad")
-    ass = broadcast_if_small(servers).alias("ass")
-    ast = broadcast_if_small(servers).alias("ast")
-    lm = broadcast_if_small(logic).alias("lm")
-    aps = broadcast_if_small(systems).alias("aps")
-    j = (a1.where((F.col("a1.scheduler_chain_name") == F.lit(chain_name)) & (F.col("a1.is_active") == "Y"))
-         .join(ajd, F.col("a1.job_key") == F.col("ajd.job_key"), "left")
-         .join(ad, F.col("a1.job_key") == F.col("ad.job_key"), "left")
-         .join(ass, F.col("ad.source_application_server_key") == F.col("ass.application_server_key"), "inner")
-         .join(ast, F.col("ad.target_application_server_key") == F.col("ast.application_server_key"), "inner")
-         .join(lm, F.col("a1.logic_module_key") == F.col("lm.logic_module_key"), "inner")
-         .join(aps, F.col("a1.application_system_key") == F.col("aps.application_system_key"), "inner")
-         .where((F.col("ajd.is_active") == "Y") | F.col("ajd.is_active").isNull()))
-    return j.select(
-        F.col("a1.job_key").alias("job_key"), F.col("a1.job_name").alias("job_name"),
-        F.col("a1.application_system_key").alias("application_system_key"),
-        F.col("a1.job_frequency_code").alias("job_frequency_code"),
-        F.col("ad.data_entity_key").alias("data_entity_key"),
-        F.col("ad.source_application_server_key").alias("source_application_server_key"),
-        F.col("ad.target_application_server_key").alias("target_application_server_key"),
-        F.col("ajd.related_job_key").alias("related_job_key"),
-        F.col("a1.is_active").alias("job_is_active"), F.col("ajd.is_active").alias("dependency_is_active"),
-        F.col("a1.scheduler_job_name").alias("scheduler_job_name"),
-        F.col("a1.job_attributes").alias("job_attributes"),
-        F.col("ass.server_attributes").alias("source_server_attributes"),
-        F.col("ast.server_attributes").alias("target_server_attributes"),
-        F.col("aps.system_attributes").alias("system_attributes"),
-        F.col("lm.logic_module_type_code").alias("job_type"),
-        F.col("lm.logic_body").alias("logic_attributes"))
+    module and system; the two activity flags are named apart.
+
+    A job with dependencies keeps a row for each that is active or has no flag (none, if
+    all are inactive); a job without any keeps one row with no dependency. The first
+    kind is an inner join, which adaptive execution can split where one job has a large
+    share of the dependencies; the second is an anti-join on distinct keys. Details
+    without both servers, a module and a system drop out, so that they are inner joins.
+    """
+    chain = jobs.where((q("scheduler_chain_name") == chain_name) & (q("is_active") == "Y"))
+    chain = chain.withColumnRenamed("is_active", "job_is_active")
+    usable = dependency.where(F.coalesce(q("is_active"), F.lit("Y")) == "Y").select(
+        "job_key", "related_job_key", q("is_active").alias("dependency_is_active"))
+    none = [F.lit(None).cast(usable.schema[c].dataType).alias(c) for c in ("related_job_key", "dependency_is_active")]
+    alone = chain.join(dependency.select("job_key").distinct(), "job_key", "left_anti").select("*", *none)
+    tied = chain.join(broadcast_if_small(usable), "job_key").unionByName(alone)
+
+    def server(side: str) -> DataFrame:
+        return broadcast_if_small(servers.select(q("application_server_key").alias(f"{side}_application_server_key"),
+                                                 q("server_attributes").alias(f"{side}_server_attributes")))
+    placed = details.select("job_key", "data_entity_key", "source_application_server_key", "target_application_server_key")
+    module = logic.select("logic_module_key", q("logic_module_type_code").alias("job_type"), q("logic_body").alias("logic_attributes"))
+    out = (tied.join(broadcast_if_small(placed), "job_key")
+           .join(server("source"), "source_application_server_key")
+           .join(server("target"), "target_application_server_key")
+           .join(broadcast_if_small(module), "logic_module_key")
+           .join(broadcast_if_small(systems.select("application_system_key", "system_attributes")), "application_system_key"))
+    return out.select(*CATALOG_COLUMNS)
+
+
+# The columns that the rest of the catalog code reads.
+CATALOG_COLUMNS = ("job_key", "job_name", "application_system_key", "job_frequency_code", "data_entity_key",
+                   "source_application_server_key", "target_application_server_key", "related_job_key",
+                   "job_is_active", "dependency_is_active", "scheduler_job_name", "job_attributes",
+                   "source_server_attributes", "target_server_attributes", "system_attributes", "job_type",
+                   "logic_attributes")
 
 
 def exclude_listed(df: DataFrame, listed: DataFrame, key: str, listed_key: str | None = None) -> DataFrame:

@@ -6,6 +6,8 @@ target server < logic < job < run). The documents become path rows
 are leaves - and the winning value of a path is the one of the highest layer
 (``max_by`` per (entity, path), a partial aggregate). A path that is an object in
 one layer and a leaf in another is a conflict (L2).
+
+A path is an array of keys, so a key that holds a dot stays one key.
 """
 
 from __future__ import annotations
@@ -13,6 +15,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import written
+
 # Layer order of the reference's attribute merge, lowest first.
 LAYER_ORDER = ("system", "source_server", "target_server", "logic", "job", "run")
 
@@ -23,44 +27,54 @@ def layer_rank(name_col) -> F.Column:
 
 
 def _kind(value) -> F.Column:
-    t = F.ltrim(value)
-    return F.when(t.startswith("{"), F.lit("object")).when(t.startswith("["), F.lit("list")) \
+    """Kind of a VARIANT value by its own type, never by its text."""
+    t = F.schema_of_variant(value)
+    return F.when(t.startswith("OBJECT"), F.lit("object")).when(t.startswith("ARRAY"), F.lit("list")) \
         .otherwise(F.lit("scalar"))
 
 
-def _entries(json_text, prefix=None):
-    """Key/value pairs of a JSON object text as ``array<struct<path, value>>``."""
-    kv = F.map_entries(F.from_json(json_text, "map<string,string>"))
-    return F.transform(kv, lambda e: F.struct(
-        (e["key"] if prefix is None else F.concat(prefix, F.lit("."), e["key"])).alias("path"),
-        e["value"].alias("value")))
-
-
 def attribute_paths(attrs: DataFrame, entity: str = "entity", layer: str = "layer",
-                    doc: str = "attributes", max_depth: int = 8) -> DataFrame:
+                    doc: str = "attributes") -> DataFrame:
     """All paths of the JSON documents: ``entity, layer, path, kind, value``.
 
-    One pass per row: level ``i + 1`` is computed from level ``i`` (the object
-    values opened with ``from_json(..., map<string,string>)``), each level a column
-    of its own, then all levels are exploded once. Nested values arrive as their
-    JSON text, so lists and scalars are leaves.
+    Documents are parsed once. Each round opens the objects of one level with
+    ``variant_explode`` and writes the level to a scratch table; rounds go on until a
+    level holds no object, so documents may nest as deep as they like. A document that
+    is NULL or no object has no paths; one that is no JSON, or repeats a key, raises.
     """
-    df = attrs.select(F.col(entity).alias("entity"), F.col(layer).alias("layer"),
-                      _entries(F.col(doc)).alias("__l0"))
-    for i in range(1, max_depth):
-        prev = F.col(f"__l{i - 1}")
-        objects = F.filter(prev, lambda e: _kind(e["value"]) == "object")
-        df = df.withColumn(f"__l{i}", F.flatten(F.transform(objects, lambda e: _entries(e["value"], e["path"]))))
-    levels = F.concat(*[F.col(f"__l{i}") for i in range(max_depth)])
-    return df.select("entity", "layer", F.explode(levels).alias("__p")).select(
-        "entity", "layer", F.col("__p.path").alias("path"), _kind(F.col("__p.value")).alias("kind"),
-        F.col("__p.value").alias("value"))
+    tvf = attrs.sparkSession.tvf
+    level = attrs.select(F.col(entity).alias("entity"), F.col(layer).alias("layer"),
+                         F.array().cast("array<string>").alias("path"), F.parse_json(F.col(doc)).alias("v"))
+    level = level.where(_kind(F.col("v")) == "object")
+    out = None
+    while True:
+        opened = level.lateralJoin(tvf.variant_explode(F.col("v").outer()).select("key", F.col("value").alias("item")))
+        opened = written(opened.select("entity", "layer", F.concat("path", F.array("key")).alias("path"),
+                                       _kind(F.col("item")).alias("kind"), F.col("item").alias("v")), "layer_paths")
+        rows = opened.select("entity", "layer", "path", "kind", _text(F.col("v"), F.col("kind")).alias("value"))
+        out = rows if out is None else out.unionByName(rows)
+        level = opened.where(F.col("kind") == "object").select("entity", "layer", "path", "v")
+        if level.isEmpty():
+            return out
+
+
+def _text(v, kind) -> F.Column:
+    """A scalar's text, or the JSON text of a list or object."""
+    return F.when(kind == "scalar", v.cast("string")).otherwise(F.to_json(v))
+
+
+def _empty(rows: DataFrame) -> F.Column:
+    return (F.col("kind") == "object") & (F.col("value") == "{}")
 
 
 def resolve_layers(attrs: DataFrame, **kw) -> DataFrame:
     """L1: per entity and leaf path, the value of the highest layer holding it.
-    Later layers replace lists whole; objects merge key by key."""
-    leaves = attribute_paths(attrs, **kw).where(F.col("kind") != "object")
+    Later layers replace lists whole; objects merge key by key. An object that is
+    empty in every layer is a leaf, ``{}``."""
+    paths = attribute_paths(attrs, **kw)
+    filled = paths.where((F.col("kind") == "object") & ~_empty(paths)).select("entity", "path").distinct()
+    bare = paths.where(_empty(paths)).join(filled, ["entity", "path"], "left_anti")
+    leaves = paths.where(F.col("kind") != "object").unionByName(bare.select(*paths.columns))
     return leaves.groupBy("entity", "path").agg(
         F.max_by("value", "layer").alias("value"), F.max("layer").alias("layer"))
 
@@ -72,5 +86,5 @@ def layer_conflicts(attrs: DataFrame, **kw) -> DataFrame:
             .agg(F.count_if(F.col("kind") == "object").alias("objects"),
                  F.count_if(F.col("kind") != "object").alias("leaves"))
             .where((F.col("objects") > 0) & (F.col("leaves") > 0))
-            .select("entity", "path", F.concat(F.lit("Cannot merge configs for key: "),
-                                               F.element_at(F.split("path", r"\."), -1)).alias("error")))
+            .select("entity", "path", F.concat(F.lit("layers disagree whether this key is an object: "),
+                                               F.element_at("path", -1)).alias("error")))

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.scalars import partition_value, run_id_to_instant, run_id_to_utc_ntz
+from ..functions.scalars import ntz_to_instant, partition_value, run_id_to_instant, run_id_to_utc_ntz
 from ..spec import DEFAULT_ZONE, spark_type
 
 
@@ -48,6 +48,18 @@ def null_literal(df: DataFrame, cols: Iterable[str], marker: str = "NULL") -> Da
     ])
 
 
+# An explicit zone at the end of a time text: Z, an offset, or a region after the clock.
+ZONE_SUFFIX = r"\d{1,2}:\d{2}(:\d{2}(\.\d+)?)?\s*(Z|UTC|GMT|[+-]\d{1,2}(:?\d{2})?|[A-Za-z]+/[A-Za-z_/]+)\s*$"
+
+
+def try_instant(c: Column) -> Column:
+    """``try_cast`` to an instant; a text that names no zone is read as UTC, whatever
+    the session zone."""
+    as_utc = ntz_to_instant(c.try_cast("timestamp_ntz"))
+    plain = (F.typeof(c) == F.lit("string")) & ~c.cast("string").rlike(ZONE_SUFFIX)
+    return F.when(plain, as_utc).otherwise(c.try_cast("timestamp"))
+
+
 def safe_cast_all(df: DataFrame, schema_json, null_marker: bool = True,
                   only_non_text: bool = False) -> DataFrame:
     """``try_cast`` every schema column to its declared type; bad cells become NULL.
@@ -64,7 +76,7 @@ def safe_cast_all(df: DataFrame, schema_json, null_marker: bool = True,
         if null_marker and is_text_type(typ):
             c = F.when(c == F.lit("NULL"), F.lit(None)).otherwise(c)
         if not (only_non_text and typ.upper() == "STRING"):
-            c = c.try_cast(spark_type(typ))
+            c = try_instant(c) if spark_type(typ) == "timestamp" else c.try_cast(spark_type(typ))
         out.append(c.alias(clean_name(name)))
     out += [q(c) for c in df.columns if c not in names]
     return df.select(*out)

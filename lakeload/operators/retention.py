@@ -38,12 +38,11 @@ def retention_candidates(inventory: DataFrame, rules: DataFrame, now) -> DataFra
     ``connection_pool``, sits in the rule's folder (or below it for recursive
     folders) and was modified more than ``retention_days`` before ``now``."""
     files = inventory.select(_plain_path(F.col("path")).alias("file"), "modificationTime")
-    parts = F.split(F.regexp_extract("file", r"^(.*)/[^/]*$", 1), "/")
-    ancestors = F.transform(F.sequence(F.lit(2), F.size(parts)),
-                            lambda i: F.struct(F.array_join(F.slice(parts, 1, i), "/").alias("dir"),
+    parts = F.split(F.regexp_extract("file", r"^(.*)/[^/]*$", 1), "/")   # of "/a/b": "", "a"
+    ancestors = F.transform(F.sequence(F.lit(1), F.size(parts)),
+                            lambda i: F.struct(F.when(i == 1, F.lit("/")).otherwise(F.array_join(F.slice(parts, 1, i), "/")).alias("dir"),
                                                (i == F.size(parts)).alias("is_parent")))
-    expanded = files.where(F.size(parts) >= 2).select("file", "modificationTime",
-                                                      F.explode(ancestors).alias("a"))
+    expanded = files.select("file", "modificationTime", F.explode(ancestors).alias("a"))
     r = broadcast_if_small(rules)
     j = expanded.join(r, F.col("a.dir") == r["directory"])
     cutoff = F.lit(now).cast("timestamp") - F.make_dt_interval(F.col("retention_days"))

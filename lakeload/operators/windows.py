@@ -38,8 +38,9 @@ def strftime_format(ts: Column, fmt: Column) -> Column:
 custom_run_id = strftime_format
 
 
-def window_grid(requests: DataFrame) -> DataFrame:
-    """Every run id of each request.
+def window_grid(requests: DataFrame, keep_empty: bool = False) -> DataFrame:
+    """Every run id of each request. With ``keep_empty`` a request whose grid is empty
+    (its refresh is longer than its slot) keeps one row, with NULL seq and run id.
 
     Request columns: ``job_key, seq_max, seq_num, refresh, run_date (yyyyMMdd)``,
     optional ``schedule`` (``WEEKLY`` counts 7 days) and ``run_id_format``.
@@ -55,8 +56,9 @@ def window_grid(requests: DataFrame) -> DataFrame:
     n = F.floor(((F.lit(24.0) * days * 60) / q("seq_max")) / q("refresh")).cast("int")
     start_us = F.round((F.lit(1440.0) / q("seq_max")) * (q("seq_num") - 1) * F.lit(60e6)).cast("bigint")
     day = F.to_timestamp_ntz(q("run_date"), F.lit("yyyyMMdd"))
+    explode = F.explode_outer if keep_empty else F.explode
     grid = requests.withColumn(
-        "seq", F.explode(F.when(n >= 1, F.sequence(F.lit(1), n)).otherwise(F.array().cast("array<int>"))))
+        "seq", explode(F.when(n >= 1, F.sequence(F.lit(1), n)).otherwise(F.array().cast("array<int>"))))
     offset = start_us + F.col("seq").cast("bigint") * q("refresh").cast("bigint") * 60_000_000 - 1_000_000
     grid = grid.withColumn("run_ts", F.timestamp_add("MICROSECOND", offset, day))
     return grid.withColumn("run_id", strftime_format(F.col("run_ts"), fmt))
@@ -71,12 +73,14 @@ def current_window(grid: DataFrame, now_run_id: str) -> DataFrame:
     g = grid.withColumn("__first_gt", F.min(F.when(q("run_id") > now, q("seq"))).over(w))
     g = g.withColumn("__pick", F.coalesce(
         F.max(F.when(q("seq") < F.coalesce(F.col("__first_gt"), F.lit(1 << 30)), q("seq"))).over(w), F.lit(1)))
-    keep = (q("seq_max") != 1) | (q("seq") == F.col("__pick"))
+    keep = (q("seq_max") != 1) | (q("seq") == F.col("__pick")) | q("seq").isNull()
     return g.where(keep).drop("__first_gt", "__pick")
 
 
 def pending_windows(grid: DataFrame, last_run: DataFrame) -> DataFrame:
-    """Run ids still to process per job, or one status row when none are.
+    """Run ids still to process per job, or one status row when none are; every job of
+    the grid has at least one row. Build the grid with ``keep_empty``: a job without any
+    run id then gets ``ERROR_EMPTY_GRID``.
 
     ``last_run``: ``job_key, status, last_run_id`` (at most one row per job). Rules:
     no last run -> all ids; FAILED -> from the failed id inclusive, rerun ``Y``;
@@ -95,7 +99,8 @@ def pending_windows(grid: DataFrame, last_run: DataFrame) -> DataFrame:
     n = F.max(q("seq")).over(w)
     g = g.withColumn("__idx", idx).withColumn("__n", n)
     st, i, seq = F.col("__st"), F.col("__idx"), q("seq")
-    status = (F.when(~present, F.lit("PENDING"))
+    status = (F.when(seq.isNull(), F.lit("ERROR_EMPTY_GRID"))
+              .when(~present, F.lit("PENDING"))
               .when(~complete, F.lit("ERROR_MISSING_STATUS_OR_RUN_ID"))
               .when(i.isNull(), F.lit("ERROR_UNKNOWN_LAST_RUN_ID"))
               .when(st == "FAILED", F.when(seq >= i, F.lit("PENDING")).otherwise(F.lit("DONE")))
@@ -116,9 +121,13 @@ def pending_windows(grid: DataFrame, last_run: DataFrame) -> DataFrame:
                   .otherwise(F.max(F.when(F.col("__status") != "PENDING", F.col("__status"))).over(w)))
     g = g.withColumn("__job_status", job_status)
     # a row is either a pending run id or the one status row of a job without any
-    # (never both), so one filter replaces a union of two passes over the grid
+    # (never both), so one filter replaces a union of two passes over the grid. The
+    # status sits on the first row that the job still has: its grid may be cut to one
+    # later run id, or be empty
     pending_row = pend & ~F.col("__skip")
-    status_row = (q("seq") == 1) & F.col("__job_status").isNotNull()
+    first_row = q("seq").isNull() | (q("seq") == F.min(q("seq")).over(w))
+    g = g.withColumn("__first_row", first_row)
+    status_row = F.col("__first_row") & F.col("__job_status").isNotNull()
     return g.where(pending_row | status_row).select(
         "job_key", F.when(pending_row, q("seq")).alias("seq"), F.when(pending_row, q("run_id")).alias("run_id"),
         rerun.alias("rerun_indicator"),

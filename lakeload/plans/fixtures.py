@@ -286,3 +286,18 @@ def layered_attributes(part: DataFrame, conflicts: bool = False) -> DataFrame:
            .when(layer == 4, F.concat(F.lit('{"spec": {"type": "'), t, F.lit('"}}')))
            .otherwise(last))
     return part.select(F.floor(k / 6).alias("entity"), layer.alias("layer"), doc.alias("attributes"))
+
+
+def odd_attributes(part: DataFrame) -> DataFrame:
+    """Documents with texts that look like objects, dotted keys, empty objects and 3 or 12 levels."""
+    b, size = F.col("p_brand"), F.col("p_size").cast("string")
+    low = F.concat(F.lit('{"text": "{'), b, F.lit('}", "dot.ted": '), size,
+                   F.lit(', "dot": {"ted": 0}, "bare": {}, "filled": {}}'))
+
+    def nested(depth: int):
+        opened = "".join(f'"n": {i}, "k{i + 1}": ' + ("{" if i + 1 < depth else "") for i in range(depth))
+        return F.concat(F.lit('{"filled": {"x": ["'), b, F.lit('"]}, ' + opened + '"'), b, F.lit('"' + "}" * depth))
+    high = F.when(F.col("p_partkey") % 2 == 0, nested(12)).otherwise(nested(3))
+    docs = F.explode(F.array(F.struct(F.lit(0).alias("layer"), low.alias("attributes")),
+                             F.struct(F.lit(1).alias("layer"), high.alias("attributes"))))
+    return part.select(F.col("p_partkey").alias("entity"), docs.alias("d")).select("entity", "d.layer", "d.attributes")

@@ -215,7 +215,7 @@ def m6_scope_partitions(spark, sf):
     lo, hi = project.window_bounds(o, "o_orderdate", fx.INC_START, fx.INC_END)
     sl = o.where(F.col("o_orderdate").between(lo, hi) | F.col("o_orderdate").isNull())
     spec = _null_spec()
-    inside, _ = merge.split_scope(snap, spec, merge.touched_partitions(sl, spec))
+    inside, _ = merge.split_scope(snap, spec, merge.touched_partitions_frame(sl, spec))
     return inside
 
 
@@ -369,24 +369,27 @@ def catalog_frames(spark, sf):
                 logic=fx.logic_modules(fx.read(spark, sf, "region")), systems=fx.systems(nation))
 
 
+# the rule in parts: a job with dependencies keeps those that are active or unflagged, one
+# without any keeps a row with none; then details with both servers, module and system
 J1_SQL = f"""
-WITH {CATALOG_SQL}
-SELECT a1.job_key AS job_key, a1.job_name AS job_name, a1.application_system_key AS application_system_key,
-  a1.job_frequency_code AS job_frequency_code, ad.data_entity_key AS data_entity_key,
-  ad.source_application_server_key AS source_application_server_key,
-  ad.target_application_server_key AS target_application_server_key, ajd.related_job_key AS related_job_key,
-  a1.is_active AS job_is_active, ajd.is_active AS dependency_is_active, a1.scheduler_job_name AS scheduler_job_name,
-  a1.job_attributes AS job_attributes, ass.server_attributes AS source_server_attributes,
-  ast.server_attributes AS target_server_attributes, aps.system_attributes AS system_attributes,
-  lm.logic_module_type_code AS job_type, lm.logic_body AS logic_attributes
-FROM jobs a1
-LEFT JOIN deps ajd ON a1.job_key = ajd.job_key
-LEFT JOIN details ad ON a1.job_key = ad.job_key
-JOIN servers ass ON ad.source_application_server_key = ass.application_server_key
-JOIN servers ast ON ad.target_application_server_key = ast.application_server_key
-JOIN logic lm ON a1.logic_module_key = lm.logic_module_key
-JOIN systems aps ON a1.application_system_key = aps.application_system_key
-WHERE a1.scheduler_chain_name = '{fx.CHAIN}' AND a1.is_active = 'Y' AND (ajd.is_active = 'Y' OR ajd.is_active IS NULL)
+WITH {CATALOG_SQL},
+chain AS (SELECT * FROM jobs WHERE is_active = 'Y' AND scheduler_chain_name = '{fx.CHAIN}'),
+tied AS (
+  SELECT job_key, related_job_key, is_active AS dependency_is_active FROM deps WHERE coalesce(is_active, 'Y') = 'Y'
+  UNION ALL
+  SELECT job_key, NULL, NULL FROM chain WHERE job_key NOT IN (SELECT job_key FROM deps)),
+placed AS (
+  SELECT d.job_key, d.data_entity_key, d.source_application_server_key, d.target_application_server_key,
+    s.server_attributes AS source_server_attributes, t.server_attributes AS target_server_attributes
+  FROM details d, servers s, servers t
+  WHERE s.application_server_key = d.source_application_server_key
+    AND t.application_server_key = d.target_application_server_key)
+SELECT job_key, application_system_key, job_name, scheduler_job_name, job_attributes, job_frequency_code,
+  chain.is_active AS job_is_active, dependency_is_active, related_job_key, data_entity_key,
+  source_application_server_key, source_server_attributes, target_application_server_key, target_server_attributes,
+  logic_module_type_code AS job_type, logic_body AS logic_attributes, system_attributes
+FROM chain JOIN tied USING (job_key) JOIN placed USING (job_key)
+  JOIN logic USING (logic_module_key) JOIN systems USING (application_system_key)
 """
 
 
@@ -780,17 +783,31 @@ def s6_scan_connector(spark, sf):
         "FROM {source} GROUP BY l_returnflag, l_linestatus")
 
 
-@register("s8_file_inventory")
+def _relative(root: str):
+    """A listed path or folder below ``root``."""
+    plain = root.split(":", 1)[1].lstrip("/") if ":" in root else root.lstrip("/")
+    return lambda c: F.regexp_replace(c, r"^.*?" + plain + "/?", "")
+
+
+@register("s8_file_inventory", """SELECT DISTINCT 'o_orderstatus=' || o_orderstatus || '/o_orderpriority=' || o_orderpriority AS folder
+FROM orders""")
 def s8_file_inventory(spark, sf):
-    inv = inventory.file_inventory(spark, sf, ".parquet")
-    return inv.withColumn("modificationTime", F.col("modificationTime").cast("timestamp_ntz"))
+    """S8 over a tree written from ``orders``: folders that hold at least one whole data file."""
+    d = scratch_dir(spark, "s8")
+    o = fx.read(spark, sf, "orders").withColumn("o_orderpriority", F.col("o_orderpriority"))
+    o.hint("rebalance", "o_orderstatus", "o_orderpriority").write.partitionBy("o_orderstatus", "o_orderpriority").parquet(d)
+    inv = inventory.file_inventory(spark, d, ".parquet").where((F.col("length") > 0) & F.col("modificationTime").isNotNull())
+    folder = F.regexp_extract(_relative(d)(F.col("path")), r"^(.*)/[^/]*$", 1)
+    return inv.select(F.url_decode(F.replace(folder, F.lit("+"), F.lit("%2B"))).alias("folder")).distinct()
 
 
-@register("s9_distinct_folders")
+@register("s9_distinct_folders", """SELECT DISTINCT 'l_returnflag=' || l_returnflag || '/l_linestatus=' || l_linestatus AS folder
+FROM lineitem""")
 def s9_distinct_folders(spark, sf):
     d = scratch_dir(spark, "s9")
     fx.read(spark, sf, "lineitem").write.partitionBy("l_returnflag", "l_linestatus").parquet(d)
-    return inventory.distinct_folders(inventory.file_inventory(spark, d, ".parquet"))
+    found = inventory.distinct_folders(inventory.file_inventory(spark, d, ".parquet"))
+    return found.select(_relative(d)(F.col("folder")).alias("folder"))
 
 
 # ---------------------------------------------------------------- K1-K12
@@ -978,36 +995,38 @@ def w3_current_window(spark, sf):
     return windows.current_window(g, W3_NOW).select("job_key", "seq", "run_id")
 
 
+# per job: its ids in grid order, its last run, what is pending by the rules, then one
+# row per pending id or one status row; every requested job must be there
 W4_SQL = CURRENT_SQL + """,
 lr AS (SELECT job_key, CASE job_key % 6 WHEN 1 THEN 'FAILED' WHEN 2 THEN 'COMPLETED' WHEN 3 THEN 'COMPLETED'
       WHEN 4 THEN 'COMPLETED' END AS status,
     CASE WHEN job_key % 6 = 4 THEN '19000101000000' ELSE run_id END AS last_run_id
   FROM (SELECT *, max(seq) OVER (PARTITION BY job_key) AS n FROM cur)
   WHERE seq = CASE job_key % 6 WHEN 1 THEN 2 WHEN 2 THEN 1 WHEN 3 THEN n WHEN 4 THEN 1 WHEN 5 THEN 1 END),
-j AS (SELECT c.*, lr.status AS st, lr.last_run_id AS lid, lr.job_key IS NOT NULL AS present
-  FROM cur c LEFT JOIN lr ON c.job_key = lr.job_key),
-j2 AS (SELECT *, min(CASE WHEN run_id = lid THEN seq END) OVER (PARTITION BY job_key) AS idx FROM j),
-j3 AS (SELECT *, CASE WHEN NOT present THEN 'PENDING'
-      WHEN st IS NULL OR lid IS NULL THEN 'ERROR_MISSING_STATUS_OR_RUN_ID'
-      WHEN idx IS NULL THEN 'ERROR_UNKNOWN_LAST_RUN_ID'
-      WHEN st = 'FAILED' THEN CASE WHEN seq >= idx THEN 'PENDING' ELSE 'DONE' END
-      WHEN st = 'COMPLETED' THEN CASE WHEN seq > idx THEN 'PENDING' ELSE 'DONE' END
-      ELSE 'ERROR_UNKNOWN_STATUS' END AS rs,
-    CASE WHEN present AND st = 'FAILED' AND lid IS NOT NULL THEN 'Y' ELSE 'N' END AS rerun FROM j2),
-j4 AS (SELECT *, arg_min(CASE WHEN rs = 'PENDING' THEN run_id END, CASE WHEN rs = 'PENDING' THEN seq END)
-    OVER (PARTITION BY job_key) AS first_p,
-    max(CASE WHEN rs = 'PENDING' THEN 1 ELSE 0 END) OVER (PARTITION BY job_key) AS anyp,
-    max(CASE WHEN rs <> 'PENDING' THEN rs END) OVER (PARTITION BY job_key) AS other FROM j3),
-j5 AS (SELECT *, coalesce(first_p > min_run_id_to_process, false) AS skip FROM j4)"""
+facts AS (SELECT r.job_key, r.min_run_id_to_process AS floor_id, lr.job_key IS NOT NULL AS has_last, lr.status, lr.last_run_id,
+    (SELECT count(*) FROM cur c WHERE c.job_key = r.job_key) AS ids,
+    (SELECT min(c.seq) FROM cur c WHERE c.job_key = r.job_key AND c.run_id = lr.last_run_id) AS at
+  FROM req r LEFT JOIN lr ON lr.job_key = r.job_key),
+todo AS (SELECT c.job_key, c.seq, c.run_id FROM cur c JOIN facts f ON f.job_key = c.job_key
+  WHERE NOT f.has_last OR (f.status = 'FAILED' AND c.seq >= f.at) OR (f.status = 'COMPLETED' AND c.seq > f.at)),
+head AS (SELECT job_key, arg_min(run_id, seq) AS first_id FROM todo GROUP BY job_key),
+verdict AS (SELECT f.job_key,
+    CASE WHEN f.has_last AND f.status = 'FAILED' AND f.last_run_id IS NOT NULL THEN 'Y' ELSE 'N' END AS rerun,
+    CASE WHEN f.ids = 0 THEN 'ERROR_EMPTY_GRID'
+      WHEN h.first_id > f.floor_id THEN 'SKIPPED'
+      WHEN h.first_id IS NOT NULL THEN 'PENDING'
+      WHEN f.status IS NULL OR f.last_run_id IS NULL THEN 'ERROR_MISSING_STATUS_OR_RUN_ID'
+      WHEN f.at IS NULL THEN 'ERROR_UNKNOWN_LAST_RUN_ID'
+      WHEN f.status NOT IN ('FAILED', 'COMPLETED') THEN 'ERROR_UNKNOWN_STATUS' ELSE 'DONE' END AS status
+  FROM facts f LEFT JOIN head h ON h.job_key = f.job_key)"""
 
 
 @register("w4_pending_windows", f"""WITH {W4_SQL}
-SELECT job_key, seq, run_id, rerun AS rerun_indicator, 'PENDING' AS status FROM j5 WHERE rs = 'PENDING' AND NOT skip
-UNION ALL
-SELECT job_key, CAST(NULL AS INTEGER), CAST(NULL AS VARCHAR), rerun,
-  CASE WHEN skip THEN 'SKIPPED' ELSE other END FROM j5 WHERE seq = 1 AND (skip OR anyp = 0)""")
+SELECT v.job_key, t.seq, t.run_id, v.rerun AS rerun_indicator, v.status
+FROM verdict v LEFT JOIN todo t ON t.job_key = v.job_key AND v.status = 'PENDING'""")
 def w4_pending_windows(spark, sf):
-    g = windows.current_window(windows.window_grid(fx.window_requests(fx.read(spark, sf, "customer"))), W3_NOW)
+    g = windows.window_grid(fx.window_requests(fx.read(spark, sf, "customer")), keep_empty=True)
+    g = windows.current_window(g, W3_NOW)
     return windows.pending_windows(g, fx.last_runs(g))
 
 
@@ -1168,36 +1187,70 @@ def n4_all_stats(spark, sf):
 
 LAYER_ROWS_SQL = """lp AS (SELECT p_partkey // 6 AS entity, CAST(p_partkey % 6 AS INTEGER) AS layer, * FROM part),
 lrows AS (
-  SELECT entity, layer, 'brand' AS path, p_brand AS value FROM lp WHERE layer IN (0, 1, 3)
-  UNION ALL SELECT entity, layer, 'spec.type', p_type FROM lp WHERE layer IN (0, 4)
-  UNION ALL SELECT entity, layer, 'spec.size', CAST(p_size AS VARCHAR) FROM lp WHERE layer IN (0, 2)
-  UNION ALL SELECT entity, layer, 'tags', '[' || p_size || ',' || p_size || ']' FROM lp WHERE layer = 3
-  UNION ALL SELECT entity, layer, 'size_class', CASE WHEN p_size > 25 THEN 'L' ELSE 'S' END FROM lp WHERE layer = 5)"""
+  SELECT entity, layer, ['brand'] AS path, p_brand AS value FROM lp WHERE layer IN (0, 1, 3)
+  UNION ALL SELECT entity, layer, ['spec', 'type'], p_type FROM lp WHERE layer IN (0, 4)
+  UNION ALL SELECT entity, layer, ['spec', 'size'], CAST(p_size AS VARCHAR) FROM lp WHERE layer IN (0, 2)
+  UNION ALL SELECT entity, layer, ['tags'], '[' || p_size || ',' || p_size || ']' FROM lp WHERE layer = 3
+  UNION ALL SELECT entity, layer, ['size_class'], CASE WHEN p_size > 25 THEN 'L' ELSE 'S' END FROM lp WHERE layer = 5)"""
 
 
 @register("l1_resolve_layers", f"""WITH {LAYER_ROWS_SQL}
-SELECT entity, path, arg_max(value, layer) AS value, max(layer) AS layer FROM lrows GROUP BY entity, path""")
+SELECT entity, array_to_string(path, '/') AS path, arg_max(value, layer) AS value, max(layer) AS layer
+FROM lrows GROUP BY ALL""")
 def l1_resolve_layers(spark, sf):
-    return layers.resolve_layers(fx.layered_attributes(fx.read(spark, sf, "part")))
+    return _slashed(layers.resolve_layers(fx.layered_attributes(fx.read(spark, sf, "part"))))
+
+
+def _slashed(df):
+    """The path array as one text (no key here holds a slash)."""
+    return df.withColumn("path", F.array_join("path", "/"))
+
+
+@register("l1_resolve_layers_odd", """WITH o AS (SELECT p_partkey AS entity, p_brand AS b, p_size AS s,
+    CASE WHEN p_partkey % 2 = 0 THEN 12 ELSE 3 END AS depth FROM part),
+k AS (SELECT entity, b, s, depth, [('k' || i) FOR i IN range(1, depth + 1)] AS ks FROM o),
+r AS (
+  SELECT entity, 0 AS layer, ['text'] AS path, '{' || b || '}' AS value FROM k
+  UNION ALL SELECT entity, 0, ['dot.ted'], CAST(s AS VARCHAR) FROM k
+  UNION ALL SELECT entity, 0, ['dot', 'ted'], '0' FROM k
+  UNION ALL SELECT entity, 0, ['bare'], '{}' FROM k
+  UNION ALL SELECT entity, 1, ['filled', 'x'], '["' || b || '"]' FROM k
+  UNION ALL SELECT entity, 1, list_append(ks[1:i], 'n'), CAST(i AS VARCHAR) FROM k, unnest(range(0, depth)) AS t(i)
+  UNION ALL SELECT entity, 1, ks, b FROM k)
+SELECT entity, array_to_string(path, '/') AS path, value, layer FROM r""")
+def l1_resolve_layers_odd(spark, sf):
+    """Values that look like objects, dotted keys, empty objects, and nesting of 3 or 12 levels."""
+    return _slashed(layers.resolve_layers(fx.odd_attributes(fx.read(spark, sf, "part"))))
 
 
 @register("l2_layer_conflicts", """WITH lp AS (SELECT p_partkey // 6 AS entity, p_partkey % 6 AS layer, * FROM part)
-SELECT DISTINCT a.entity, 'spec' AS path, 'Cannot merge configs for key: spec' AS error
+SELECT DISTINCT a.entity, 'spec' AS path, 'layers disagree whether this key is an object: spec' AS error
 FROM lp a JOIN lp b ON a.entity = b.entity
 WHERE a.layer = 5 AND a.p_size > 40 AND b.layer IN (0, 2, 4)""")
 def l2_layer_conflicts(spark, sf):
-    return layers.layer_conflicts(fx.layered_attributes(fx.read(spark, sf, "part"), conflicts=True))
+    return _slashed(layers.layer_conflicts(fx.layered_attributes(fx.read(spark, sf, "part"), conflicts=True)))
 
 
 # ---------------------------------------------------------------- R1
 
-@register("r1_retention_candidates")
+@register("r1_retention_candidates", """WITH keep AS (SELECT o_orderkey, o_custkey, date_part('year', o_orderdate) AS y,
+    o_orderstatus AS s FROM orders)
+SELECT DISTINCT 'plain/' || y || '_dly.txt' AS file FROM keep
+UNION SELECT DISTINCT 'deep/' || s || '/' || y || '_dly.txt' FROM keep""")
 def r1_retention_candidates(spark, sf):
-    inv = inventory.file_inventory(spark, sf)
-    base = sf.rstrip("/")
-    config = {".parquet": {"directories": [base], "recursive_directories": [], "retention_days": 10},
-              "_dly.txt": {"directories": [base], "recursive_directories": [base], "retention_days": 10}}
-    return retention.retention_candidates(inv, retention.rules_frame(spark, config), "2100-01-01 00:00:00")
+    """R1 on an inventory derived from ``orders``: files in a plain rule's folder and below a
+    recursive rule's one; protected names, other suffixes, other folders and files below a
+    plain rule's folder stay."""
+    o = fx.read(spark, sf, "orders").select(F.year("o_orderdate").cast("string").alias("y"), F.col("o_orderstatus").alias("s")).distinct()
+    name = F.concat("y", F.lit("_dly.txt"))
+    paths = F.array(F.concat(F.lit("file:/lake/plain/"), name), F.concat(F.lit("file:/lake/plain/below/"), name),
+                    F.concat(F.lit("file:/lake/deep/"), "s", F.lit("/"), name), F.concat(F.lit("file:/lake/other/"), name),
+                    F.concat(F.lit("file:/lake/deep/"), "s", F.lit("/connection_pool_"), name),
+                    F.concat(F.lit("file:/lake/plain/"), "y", F.lit(".csv")))
+    inv = o.select(F.explode(paths).alias("path")).withColumn("modificationTime", F.to_timestamp(F.lit("2020-01-01 00:00:00")))
+    config = {"_dly.txt": {"directories": ["/lake/plain"], "recursive_directories": ["/lake/deep"], "retention_days": 10}}
+    got = retention.retention_candidates(inv, retention.rules_frame(spark, config), "2100-01-01 00:00:00")
+    return got.select(F.regexp_replace("file", "^/lake/", "").alias("file"))
 
 
 # ---------------------------------------------------------------- streaming landing (S1 + P1 + P4 + K1)
@@ -1303,3 +1356,62 @@ def p6_filter_window_partitioned(spark, sf):
     sinks.append_raw(fx.read(spark, sf, "orders"), d, "o_orderdate", "MONTH")
     return project.filter_window(spark.read.parquet(d), "o_orderdate", fx.INC_START, fx.INC_END,
                                  partition_column="o_orderdate_part", partition_unit="MONTH")
+
+
+# ---------------------------------------------------------------- TIMESTAMP (instant) columns
+
+INSTANT_ORDERS = "(SELECT *, epoch_us(o_orderdate) + o_orderkey % 86400 * 1000000 AS us FROM orders)"
+
+
+def _instant_orders(spark, sf):
+    """``orders`` with an instant spread over the day, and no other time column."""
+    o = fx.read(spark, sf, "orders")
+    loaded = F.timestamp_add("SECOND", F.col("o_orderkey") % 86400, scalars.ntz_to_instant(F.col("o_orderdate")))
+    return o.select("o_orderkey", loaded.alias("loaded"))
+
+
+@register("f9_partition_key_instant", f"""SELECT o_orderkey, date_trunc('hour', make_timestamp(us)) AS p_hour,
+  date_trunc('day', make_timestamp(us)) AS p_day, date_trunc('month', make_timestamp(us)) AS p_month,
+  date_trunc('year', make_timestamp(us)) AS p_year FROM {INSTANT_ORDERS}""")
+def f9_partition_key_instant(spark, sf):
+    """F9 on TIMESTAMP columns: UTC units whatever the session zone."""
+    return _instant_orders(spark, sf).select("o_orderkey", *[
+        scalars.partition_key("loaded", u).alias(f"p_{u.lower()}") for u in ("HOUR", "DAY", "MONTH", "YEAR")])
+
+
+@register("p6_filter_window_instant", f"""SELECT o_orderkey, CAST(make_timestamp(us) AS DATE) AS loaded_part
+FROM {INSTANT_ORDERS} WHERE make_timestamp(us) BETWEEN {bound(fx.INC_START)} AND {bound(fx.INC_END)}""")
+def p6_filter_window_instant(spark, sf):
+    """P6 with a partition filter on a raw table partitioned by the day of a TIMESTAMP column (K1)."""
+    d = scratch_dir(spark, "p6i")
+    sinks.append_raw(_instant_orders(spark, sf), d, "loaded", "DAY")
+    out = project.filter_window(spark.read.parquet(d), "loaded", fx.INC_START, fx.INC_END, partition_column="loaded_part")
+    return out.select("o_orderkey", "loaded_part")
+
+
+@register("upsert_columns_null_partitions", f"""WITH {NULL_SNAP_CTE},
+sl AS (SELECT * FROM {NULL_SLICE}),
+src AS ({latest_sql('sl', 'o_custkey', 'o_orderdate, o_orderkey', ORDER_COLS)}),
+touched AS (SELECT DISTINCT date_trunc('year', coalesce(o_orderdate, TIMESTAMP '1970-01-01')) AS p FROM sl),
+tin AS (SELECT * FROM snap WHERE date_trunc('year', o_orderdate) IN (SELECT p FROM touched) OR o_orderdate IS NULL),
+trest AS (SELECT * FROM snap EXCEPT ALL SELECT * FROM tin)
+SELECT * FROM trest
+UNION ALL SELECT t.* FROM tin t WHERE NOT EXISTS (SELECT 1 FROM src s WHERE s.o_custkey = t.o_custkey)
+UNION ALL SELECT t.o_orderkey, t.o_custkey, t.o_orderstatus, CASE WHEN {DEFAULT_GUARD} THEN s.o_totalprice ELSE t.o_totalprice END,
+  t.o_orderdate, t.o_orderpriority FROM tin t JOIN src s ON s.o_custkey = t.o_custkey
+UNION ALL SELECT NULL, s.o_custkey, NULL, s.o_totalprice, NULL, NULL FROM src s
+  WHERE NOT EXISTS (SELECT 1 FROM tin t WHERE t.o_custkey = s.o_custkey)""")
+def upsert_columns_null_partitions(spark, sf):
+    """The writing path with a column list that lacks the partition field: inserted rows
+    have no partition and must still reach the snapshot."""
+    from .upsert import run_upsert
+    o = fx.orders_with_nulls(fx.read(spark, sf, "orders"))
+    cut = F.lit("1998-01-01").cast("timestamp_ntz")
+    lo, hi = project.window_bounds(o, "o_orderdate", fx.INC_START, fx.INC_END)
+    spec = _null_spec(partition_column="o_orderdate_part")
+    path = scratch_dir(spark, "upsert_columns")
+    run_upsert(spark, o.where((F.col("o_orderdate") < cut) | F.col("o_orderdate").isNull()), path, spec, fx.ORDERS_LOAD,
+               None, None, whole_table=True)
+    run_upsert(spark, o.where(F.col("o_orderdate").between(lo, hi) | F.col("o_orderdate").isNull()), path, spec, fx.ORDERS_LOAD,
+               None, None, columns=["o_custkey", "o_totalprice"], whole_table=True)
+    return spark.read.parquet(path).drop("o_orderdate_part")

@@ -7,8 +7,10 @@ a separate ``safe_cast_all`` step, as in the reference's external-table load.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from typing import Mapping, Sequence
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -36,10 +38,10 @@ def scan_delimited(spark: SparkSession, path: str | Sequence[str], schema_json,
     """S1 (+S5): delimited files, every column STRING, ``header_rows`` leading lines of
     each file skipped, optional typed hive directory keys.
 
-    One header row uses the CSV reader's own ``header`` option. More rows are cut
-    inside the scan tasks, with no shuffle: the leading lines of a file always sit
-    in its first split, and a split's lines reach the task in file order, so only
-    first-split rows pass through an Arrow-batched counter of lines per file.
+    Blank lines are skipped, whatever the header. One header row uses the CSV reader's own
+    ``header`` option. More rows are cut in one scan without a shuffle: the leading lines of
+    a file sit in its first split, whose lines reach the task in file order, so each line
+    gets its number there; only a hash of the file's name goes through Python for that.
     """
     schema = string_schema(schema_json, keys)
     opts = _csv_options(delimiter)
@@ -57,13 +59,13 @@ def scan_delimited(spark: SparkSession, path: str | Sequence[str], schema_json,
 
 
 def drop_leading_lines(lines: DataFrame, n: int) -> DataFrame:
-    """Drop the first ``n`` lines of every file from a text frame carrying
-    ``__file`` (file path) and ``__block`` (split start) columns; no shuffle."""
-    if n <= 0:
-        return lines.drop("__block")
-    first = lines.where(F.col("__block") == 0).drop("__block")
-    return first.mapInPandas(_skip_leading_lines(n), first.schema) \
-        .unionByName(lines.where(F.col("__block") > 0).drop("__block"))
+    """Drop the first ``n`` lines of every file, and blank lines, from a text frame that
+    carries ``__file`` (file path) and ``__block`` (split start); one pass, no shuffle."""
+    if n > 0:
+        # order-dependent, so the optimizer must not move it past other steps
+        number = _line_number.asNondeterministic()(F.when(F.col("__block") == 0, F.pmod(F.xxhash64("__file"), F.lit(1 << 52))))
+        lines = lines.withColumn("__line", number).where(F.col("__line").isNull() | (F.col("__line") >= n)).drop("__line")
+    return lines.where(F.trim("value") != "").drop("__block")
 
 
 def parse_delimited(lines: DataFrame, schema_json, delimiter: str, keep: Sequence[str] = ()) -> DataFrame:
@@ -75,17 +77,15 @@ def parse_delimited(lines: DataFrame, schema_json, delimiter: str, keep: Sequenc
     return parsed.select("__r.*", *keep)
 
 
-def _skip_leading_lines(n: int):
-    """Per task: drop the first ``n`` lines of every file (lines arrive in file order)."""
-    def run(batches):
-        seen: dict[str, int] = {}
-        for pdf in batches:
-            pos = pdf.groupby("__file", sort=False).cumcount() + pdf["__file"].map(seen).fillna(0).astype("int64")
-            counts = pdf["__file"].value_counts()
-            for f, c in counts.items():
-                seen[f] = seen.get(f, 0) + int(c)
-            yield pdf[pos.to_numpy() >= n]
-    return run
+@F.pandas_udf(T.LongType())
+def _line_number(files: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    """0-based number of each line within its file; NULL where the file is NULL."""
+    seen: dict[int, int] = {}
+    for f in files:
+        numbers = f.groupby(f, sort=False).cumcount() + f.map(seen).fillna(0)
+        for file, n in f.value_counts().items():
+            seen[file] = seen.get(file, 0) + int(n)
+        yield numbers.where(f.notna()).astype("Int64")
 
 
 def scan_ndjson(spark: SparkSession, path: str | Sequence[str], schema_json,

@@ -9,11 +9,14 @@ schema types, audit columns - and is appended to the raw table.
 
 Replays are idempotent: every micro-batch overwrites its own ``load_batch``
 partition (dynamic partition overwrite), so a batch re-run after a failure
-replaces its earlier partial output instead of duplicating it.
+replaces its earlier partial output instead of duplicating it. The partition names
+the stream by the id in its checkpoint and the batch by its number, so streams with
+checkpoints of their own never overwrite each other's batches.
 """
 
 from __future__ import annotations
 
+import json
 from typing import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -29,7 +32,7 @@ BATCH_COLUMN = "load_batch"
 INGESTION_COLUMN = "last_ingestion_utc_time"
 
 
-def land_batch(batch: DataFrame, epoch_id: int, raw_path: str, schema_json, delimiter: str,
+def land_batch(batch: DataFrame, batch_key: str, raw_path: str, schema_json, delimiter: str,
                header_rows: int, audit_exprs: Sequence[str], source_timezone: str,
                partition_field: str | None, partition_unit: str | None) -> None:
     """One micro-batch of text lines (with file metadata) -> typed raw rows."""
@@ -38,7 +41,7 @@ def land_batch(batch: DataFrame, epoch_id: int, raw_path: str, schema_json, deli
     typed = safe_cast_all(parsed, schema_json)
     cols = [n.replace(" ", "_") for n, _ in schema_fields(schema_json)]
     out = add_audit_columns(typed, audit_exprs, source_timezone, schema_cols=cols).withColumn(
-        BATCH_COLUMN, F.lit(epoch_id).cast("bigint"))
+        BATCH_COLUMN, F.lit(batch_key))
     parts = [BATCH_COLUMN]
     if partition_field and partition_unit:
         out = out.withColumn(f"{partition_field}_part", partition_value(F.col(partition_field), partition_unit))
@@ -47,6 +50,11 @@ def land_batch(batch: DataFrame, epoch_id: int, raw_path: str, schema_json, deli
         .partitionBy(*parts).parquet(raw_path))
 
 
+def stream_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id that Spark keeps in a started query's checkpoint."""
+    return json.loads(spark.read.text(f"{checkpoint.rstrip('/')}/metadata").first()[0])["id"]
+
+
 def land_files_stream(spark: SparkSession, source_dir: str, raw_path: str, checkpoint: str, schema_json,
                       delimiter: str = "|", header_rows: int = 0, audit_exprs: Sequence[str] = (),
                       source_timezone: str = DEFAULT_ZONE, partition_field: str | None = None,
@@ -68,7 +76,7 @@ def land_files_stream(spark: SparkSession, source_dir: str, raw_path: str, check
         ingestion.cast("timestamp_ntz").alias(INGESTION_COLUMN))
 
     def run(batch: DataFrame, epoch_id: int) -> None:
-        land_batch(batch, epoch_id, raw_path, schema_json, delimiter, header_rows, audit_exprs,
+        land_batch(batch, f"{stream_id(spark, checkpoint)}-{epoch_id}", raw_path, schema_json, delimiter, header_rows, audit_exprs,
                    source_timezone, partition_field, partition_unit)
 
     writer = lines.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)

@@ -270,13 +270,32 @@ def test_layers_resolve_and_conflicts(spark):
     docs = [(1, 0, json.dumps({"a": {"x": 1, "y": 2}, "l": [1, 2]})), (1, 3, json.dumps({"a": {"x": 9}, "l": [3]})),
             (2, 0, json.dumps({"a": {"x": 1}})), (2, 4, json.dumps({"a": "flat"}))]
     attrs = spark.createDataFrame(docs, "entity int, layer int, attributes string")
-    got = {(r["entity"], r["path"]): r["value"] for r in layers.resolve_layers(attrs).collect()}
+    got = {(r["entity"], ".".join(r["path"])): r["value"] for r in layers.resolve_layers(attrs).collect()}
     assert got[(1, "a.x")] == "9" and got[(1, "a.y")] == "2" and got[(1, "l")] == "[3]"
     conf = layers.layer_conflicts(attrs).collect()
-    assert [(r["entity"], r["path"]) for r in conf] == [(2, "a")]
+    assert [(r["entity"], r["path"]) for r in conf] == [(2, ["a"])]
     assert layers.layer_rank(F.lit("job")) is not None
 
 
+def test_layers_of_odd_documents(spark):
+    deep = 1
+    for i in range(12, 0, -1):
+        deep = {f"k{i}": deep, "s": i}
+    docs = [(1, 0, '{"a":"{x}","b":1}'), (2, 0, '{"c":{},"b":1}'), (3, 0, '{"a.b":1,"a":{"b":2}}'), (4, 0, json.dumps(deep)),
+            (5, 0, '{"c":{}}'), (5, 1, '{"c":{"x":[1, {"y":2}]}}'), (6, 0, None), (7, 0, "[1]"), (8, 0, "{}")]
+    attrs = spark.createDataFrame(docs, "entity int, layer int, attributes string")
+    got = {}
+    for r in layers.resolve_layers(attrs).collect():
+        got.setdefault(r["entity"], {})[tuple(r["path"])] = r["value"]
+    assert got[1] == {("a",): "{x}", ("b",): "1"}
+    assert got[2] == {("c",): "{}", ("b",): "1"}
+    assert got[3] == {("a.b",): "1", ("a", "b"): "2"}
+    keys = [f"k{i}" for i in range(1, 13)]
+    assert got[4] == {tuple(keys[:i] + ["s"]): str(i + 1) for i in range(12)} | {tuple(keys): "1"}
+    assert got[5] == {("c", "x"): '[1,{"y":2}]'}
+    assert set(got) == {1, 2, 3, 4, 5}
+
+
 def test_header_rows_with_files_split_across_tasks(spark):
     d = scratch_dir(spark, "t_split")
     df = spark.createDataFrame([(str(i), "x" * 20) for i in range(400)], "a string, b string").repartition(2)
@@ -300,10 +319,131 @@ def test_stream_landing_batch_replay_is_idempotent(spark):
                                   "value string, __file string, __block bigint, last_ingestion_utc_time timestamp_ntz"
                                   ).coalesce(1)  # one file's first split is read by one task, in order
     schema = [("id", "INT64"), ("name", "STRING")]
-    for _ in range(2):  # the same epoch twice: the second run replaces the first
-        land_batch(lines, 7, raw, schema, "|", 1, ["upper(name) AS up"], "PST8PDT", None, None)
+    for _ in range(2):  # the same batch twice: the second run replaces the first
+        land_batch(lines, "s-7", raw, schema, "|", 1, ["upper(name) AS up"], "PST8PDT", None, None)
     out = spark.read.parquet(raw)
-    assert rows(out, "id", "up", "load_batch") == [(1, "A", 7), (2, "B", 7)]
+    assert rows(out, "id", "up", "load_batch") == [(1, "A", "s-7"), (2, "B", "s-7")]
+
+
+def test_two_streams_into_one_raw_path_keep_all_rows(spark, tmp_path):
+    from lakeload.streaming.landing import land_files_stream
+    raw, schema = scratch_dir(spark, "t_two_raw"), [("id", "INT64"), ("name", "STRING")]
+
+    def land(name, ids):
+        (tmp_path / name).mkdir(exist_ok=True)
+        (tmp_path / name / f"{min(ids)}.txt").write_text("id|name\nx|y\n\n" + "".join(f"{i}|n{i}\n" for i in ids))
+        land_files_stream(spark, str(tmp_path / name), raw, f"{tmp_path}/{name}_ckpt", schema, "|", header_rows=2).awaitTermination()
+    land("one", range(10))
+    land("two", range(10, 17))
+    land("one", range(20, 23))
+    assert rows(spark.read.parquet(raw), "id") == [(i,) for i in sorted(map(str, [*range(17), 20, 21, 22]))] or \
+        sorted(r["id"] for r in spark.read.parquet(raw).collect()) == [*range(17), 20, 21, 22]
+
+
+@pytest.mark.parametrize("header_rows", [0, 1, 2, 3])
+def test_blank_lines_are_skipped_whatever_the_header(spark, tmp_path, header_rows):
+    (tmp_path / "f.txt").write_text("".join(f"h{i}|x\n" for i in range(header_rows)) + "1|a\n\n2|b\n   \n3|c\n")
+    out = files.scan_delimited(spark, str(tmp_path), [("id", "INT64"), ("name", "STRING")], "|", header_rows)
+    assert rows(out) == [("1", "a"), ("2", "b"), ("3", "c")]
+    if header_rows > 1:
+        mode = spark.sparkContext._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("simple")
+        assert out._jdf.queryExecution().explainString(mode).count("FileScan text") == 1
+
+
+def test_appends_may_add_fields_but_not_change_types(spark):
+    d = scratch_dir(spark, "t_additive")
+    first = spark.createDataFrame([(1, (1, [("p",)]))], "id bigint, s struct<x:int,l:array<struct<p:string>>>")
+    sinks.append_with_new_fields(first, d)
+    for bad in ("id string, s struct<x:int,l:array<struct<p:string>>>", "id bigint, s struct<x:string,l:array<struct<p:string>>>",
+                "id bigint, s struct<x:int,l:array<struct<p:int>>>", "id bigint, s int"):
+        with pytest.raises(ValueError, match="in the table and"):
+            sinks.append_with_new_struct_fields(spark.createDataFrame([], bad), d)
+    more = spark.createDataFrame([(2, (2, [("q", 5)], "n"))], "id bigint, s struct<x:int,l:array<struct<p:string,w:int>>,y:string>")
+    sinks.append_with_new_struct_fields(more, d)
+    sinks.append_with_new_fields(spark.createDataFrame([(3, "e")], "id bigint, extra string"), d)
+    out = sinks.read_evolved(spark, d)
+    assert rows(out.select("id", "s.y", F.col("s.l").getItem(0)["w"].alias("w"), "extra")) == [(1, None, None, None), (2, "n", 5, None), (3, None, None, "e")]
+
+
+def test_pending_windows_give_every_job_a_row(spark):
+    # one id a day; jobs 1-3 ran before, 4 has an empty grid (refresh longer than its slot), 5 is new but skipped
+    reqs = req(spark, [(k, 48 if k == 4 else 1, 1, 60, "20240115", "DAILY", None) for k in range(1, 6)])
+    reqs = reqs.withColumn("min_run_id_to_process", F.when(F.col("job_key") == 5, F.lit("20240101000000")).otherwise(F.lit("9")))
+    g = windows.current_window(windows.window_grid(reqs, keep_empty=True), "20240115120000")
+    now = g.where("job_key = 1").first()["run_id"]
+    assert g.where("job_key = 1").first()["seq"] > 1
+    last = spark.createDataFrame([(1, "COMPLETED", now), (2, "COMPLETED", "20230101000000"), (3, "FAILED", now), (4, "COMPLETED", now)],
+                                 "job_key bigint, status string, last_run_id string")
+    got = sorted((r["job_key"], r["run_id"], r["status"]) for r in windows.pending_windows(g, last).collect())
+    assert got == [(1, None, "DONE"), (2, None, "ERROR_UNKNOWN_LAST_RUN_ID"), (3, now, "PENDING"), (4, None, "ERROR_EMPTY_GRID"), (5, None, "SKIPPED")]
+
+
+def test_texts_without_a_zone_are_utc_in_any_session(spark):
+    df = spark.createDataFrame([("2024-03-10 02:30:00",), ("2024-01-01T05:00:00+02:00",), ("2024-01-01 00:00:00Z",), ("2024-01-01",), ("x",)], "t string")
+    want = [1710037800, 1704078000, 1704067200, 1704067200, None]
+    for zone in ("UTC", "America/Los_Angeles"):
+        old = spark.conf.get("spark.sql.session.timeZone")
+        spark.conf.set("spark.sql.session.timeZone", zone)
+        try:
+            out = project.safe_cast_all(df, [("t", "TIMESTAMP")])
+            assert [r[0] for r in out.select(F.unix_seconds("t")).collect()] == want
+        finally:
+            spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_checksums_equal_zlib_over_all_rows(spark):
+    import zlib
+
+    from lakeload.plans import fixtures as fx
+    sf = "/root/testdata/sf0.001"
+    docs = fx.read(spark, sf, "documents").select("text", scalars.checksum("text").alias("c")).collect()
+    assert docs and all(r["c"] == zlib.crc32(r["text"].encode()) for r in docs)
+    stats = jobstats.all_stats(fx.job_statistics(fx.read(spark, sf, "lineitem")))
+    seen = 0
+    for r in stats.toLocalIterator():
+        assert int(r["checksum"]) == zlib.crc32(r["query"].encode()) or len(r["query"]) >= 4000
+        seen += 1
+    assert seen == stats.count()
+
+
+def test_a_connector_gets_its_query(spark, tmp_path):
+    from pyspark.sql.datasource import DataSource, DataSourceReader
+
+    class Numbers(DataSource):
+        @classmethod
+        def name(cls):
+            return "numbers_by_query"
+
+        def schema(self):
+            return "n int, q string"
+
+        def reader(self, schema):
+            return Reader(self.options)
+
+    class Reader(DataSourceReader):
+        def __init__(self, options):
+            self.options = options
+
+        def read(self, partition):
+            for n in range(int(self.options["query"].split()[-1])):
+                yield n, self.options["query"]
+    spark.dataSource.register(Numbers)
+    out = connectors.scan_connector(spark, "numbers_by_query", {}, "SELECT n FROM numbers LIMIT 3", takes_query=True)
+    assert rows(out, "n") == [(0,), (1,), (2,)]
+
+
+def test_retention_at_the_root(spark):
+    inv = spark.createDataFrame([("file:/x_dly.txt", D(2020, 1, 1)), ("file:/a/y_dly.txt", D(2020, 1, 1))], "path string, modificationTime timestamp")
+    for where, want in (("directories", ["/x_dly.txt"]), ("recursive_directories", ["/a/y_dly.txt", "/x_dly.txt"])):
+        rules = retention.rules_frame(spark, {"_dly.txt": {where: ["/"], "retention_days": 1}})
+        assert sorted(r["file"] for r in retention.retention_candidates(inv, rules, "2024-01-01 00:00:00").collect()) == want
+
+
+def test_bound_parameters_leave_literals_and_casts_alone():
+    got = connectors.bind_params("SELECT ':a', \"x:a\", '12:30:00', b::a, :a FROM t WHERE c = :b", {"a": 1, "b": "o'x"})
+    assert got == "SELECT ':a', \"x:a\", '12:30:00', b::a, 1 FROM t WHERE c = 'o''x'"
+    with pytest.raises(ValueError, match="num_partitions"):
+        connectors.jdbc_options("jdbc:x", "SELECT 1", partition_column="id")
 
 
 def test_audit_catalog_tables_and_clustering_choice(spark):

@@ -42,10 +42,12 @@ def test_query_matches_oracle(spark, con, name):
 
 @pytest.mark.parametrize("name", ["m1_merge_upsert", "m3_guard_default", "m6_scope_partitions",
                                   "m7_touched_partitions_nulls", "j3_without_committed_run", "n4_all_stats",
-                                  "w6_catch_up", "f1_epoch_ms_to_run_id", "s2_scan_ndjson", "k1_append_raw"])
-def test_results_do_not_depend_on_session_zone(spark, con, name):
+                                  "w6_catch_up", "f1_epoch_ms_to_run_id", "s2_scan_ndjson", "k1_append_raw",
+                                  "f9_partition_key", "f9_partition_key_instant", "p6_filter_window_instant"])
+@pytest.mark.parametrize("zone", ["America/New_York", "America/Los_Angeles"])
+def test_results_do_not_depend_on_session_zone(spark, con, name, zone):
     old = spark.conf.get("spark.sql.session.timeZone")
-    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    spark.conf.set("spark.sql.session.timeZone", zone)
     try:
         df = QUERIES[name](spark, SF)
         got = [tuple(r) for r in df.collect()]
