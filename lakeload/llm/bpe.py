@@ -24,6 +24,7 @@ import heapq
 import json
 import mmap
 import uuid
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,12 +34,12 @@ from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeload.llm.common import long_id, read_table
+from lakeload.llm.common import long_id, read_table, stored
 from lakeload.session import hadoop_fs, scratch_dir
 
 LEXICON = 1 << 16
 LONGEST = 32
-REMEMBER = 200_000
+REMEMBER = 400_000
 # Fixed value: the pattern that byte-level BPE tokenizers cut texts with.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
@@ -62,30 +63,59 @@ def read_tokenizer(path: str) -> dict:
     tokens = {i: raw[t] for t, i in vocab.items()} | {i: t.encode() for t, i in special.items()}
     return {"tokens": [tokens.get(i, b"") for i in range(max(tokens) + 1)],
             "bytes": [vocab[c] for c in sorted(alphabet, key=alphabet.get)],
-            "merges": {(vocab[a], vocab[b]): (rank, vocab[a + b]) for rank, (a, b) in enumerate(pairs)},
+            "merges": {(vocab[a], vocab[b]): rank + 1 << 17 | vocab[a + b] for rank, (a, b) in enumerate(pairs)},
             "special": special}
 
 
+NO_PAIR = 1 << 60
+SHORT = 64            # bytes up to which a plain list of neighbouring pairs beats a heap
+
+
 def merge_word(word: bytes, tok: dict) -> list[int]:
-    """Ids of one pre-token: merge the lowest-ranked neighbouring pair, leftmost first, until none is left."""
-    merges = tok["merges"]
+    """Ids of one pre-token: merge the lowest-ranked neighbouring pair, leftmost first, until none is left.
+
+    ``merges`` gives rank << 17 | new id, so that the smallest value is the lowest rank.
+    """
+    if len(word) > SHORT:
+        return _merge_long(word, tok)
+    pair, by_byte = tok["merges"].get, tok["bytes"]
+    ids = [by_byte[b] for b in word]
+    values = [pair(p, NO_PAIR) for p in zip(ids, ids[1:])]
+    while values:
+        best = min(values)
+        if best == NO_PAIR:
+            break
+        i = values.index(best)
+        ids[i:i + 2] = [best & 0x1FFFF]
+        del values[i]
+        if i < len(values):
+            values[i] = pair((ids[i], ids[i + 1]), NO_PAIR)
+        if i:
+            values[i - 1] = pair((ids[i - 1], ids[i]), NO_PAIR)
+    return ids
+
+
+def _merge_long(word: bytes, tok: dict) -> list[int]:
+    """The same with a heap of pairs and a linked list of pieces, near-linear in the length."""
+    pair = tok["merges"].get
     ids = [tok["bytes"][b] for b in word]
     n = len(ids)
     after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-    heap = [(m[0], i, m[1], ids[i], ids[i + 1]) for i in range(n - 1) if (m := merges.get((ids[i], ids[i + 1])))]
+    heap = [(m, i, ids[i], ids[i + 1]) for i in range(n - 1) if (m := pair((ids[i], ids[i + 1])))]
     heapq.heapify(heap)
     while heap:
-        _, i, new, left, right = heapq.heappop(heap)
+        best, i, left, right = heapq.heappop(heap)
         j = after[i]
         if ids[i] != left or j >= n or ids[j] != right:
             continue                                   # one of the two has merged meanwhile
+        new = best & 0x1FFFF
         ids[i], ids[j], after[i] = new, -1, after[j]
         if after[j] < n:
             before[after[j]] = i
-            if m := merges.get((new, ids[after[j]])):
-                heapq.heappush(heap, (m[0], i, m[1], new, ids[after[j]]))
-        if before[i] >= 0 and (m := merges.get((ids[before[i]], new))):
-            heapq.heappush(heap, (m[0], before[i], m[1], ids[before[i]], new))
+            if m := pair((new, ids[after[j]])):
+                heapq.heappush(heap, (m, i, new, ids[after[j]]))
+        if before[i] >= 0 and (m := pair((ids[before[i]], new))):
+            heapq.heappush(heap, (m, before[i], ids[before[i]], new))
     return [x for x in ids if x >= 0]
 
 
@@ -153,35 +183,47 @@ class Transducer:
             held = mmap.mmap(f.fileno(), 0, access=mmap.ACCESS_READ)
         sizes = np.frombuffer(held, np.uint64, 7).tolist()
         starts = np.cumsum([56, *sizes]).tolist()
-        arrays = [np.frombuffer(held, np.uint32, size // 4, at) for at, size in zip(starts, sizes[:5])]
-        first, target, out, offsets, ids = arrays
-        final = np.frombuffer(held, np.uint8, sizes[5], starts[5])
-        self = cls(first, final, held, target, out, offsets, ids)
+        view = memoryview(held)
+        first, target, out, offsets, ids = (view[at:at + size].cast("I") for at, size in zip(starts, sizes[:5]))
+        self = cls(first, view[starts[5]:starts[6]], held, target, out, offsets, ids)
         self.label_at = starts[6]
         return self
 
     label_at = 0
 
-    def find(self, word: bytes) -> np.ndarray | None:
+    def find(self, word: bytes):
         """The word's ids, or None if the lexicon lacks it."""
+        first, target, out, find, at = self.first, self.target, self.out, self.label.find, self.label_at
         state, number = len(self.final) - 1, 0
-        first, label, at = self.first, self.label, self.label_at
-        for b in word:
-            arc = label.find(b.to_bytes(), at + int(first[state]), at + int(first[state + 1])) - at
+        for i in range(len(word)):
+            arc = find(word[i:i + 1], at + first[state], at + first[state + 1]) - at
             if arc < 0:
                 return None
-            number += int(self.out[arc])
-            state = int(self.target[arc])
+            number += out[arc]
+            state = target[arc]
         if not self.final[state]:
             return None
         return self.ids[self.offsets[number]:self.offsets[number + 1]]
 
 
 def frequent_words(docs: DataFrame, most: int = LEXICON) -> list[str]:
-    """The ``most`` commonest words of all texts, each with the blank before it (driver: that many words)."""
+    """At most ``most`` of the commonest words of all texts, each with the blank before it.
+
+    Counts are grouped into levels of a sixteenth of an octave; the driver sees the sizes of the levels (a few
+    hundred rows), and then the words of as many top levels as hold ``most`` words at most.
+    """
     words = docs.select(F.explode(F.regexp_extract_all(F.coalesce(F.col("text"), F.lit("")), F.lit(r" ?\p{L}{2,}"), F.lit(0))).alias("w"))
-    counted = words.groupBy("w").count().where(F.octet_length("w") <= LONGEST)
-    return [r["w"] for r in counted.orderBy(F.desc("count"), "w").limit(most).collect()]
+    counted = words.groupBy("w").count().where((F.octet_length("w") <= LONGEST) & (F.col("count") > 1))
+    counted = stored(counted.select("w", F.floor(F.log2("count") * 16).cast("int").alias("level")), "bpe_words")
+    left, least = most, None
+    for r in counted.groupBy("level").count().orderBy(F.desc("level")).collect():
+        left -= r["count"]
+        if left < 0:
+            break
+        least = r["level"]
+    if least is None:
+        return []
+    return [r["w"] for r in counted.where(F.col("level") >= least).select("w").collect()]
 
 
 def ship_lexicon(spark: SparkSession, words: list[str], tok: dict) -> str:
@@ -202,61 +244,55 @@ def ship_lexicon(spark: SparkSession, words: list[str], tok: dict) -> str:
     return name
 
 
-def encoder(spark: SparkSession, tok: dict, lexicon: str):
-    """Pandas UDF: text to its ids as little-endian unsigned 32-bit integers."""
-    held = spark.sparkContext.broadcast({k: tok[k] for k in ("bytes", "merges", "special")})  # one vocabulary
+def text_encoder(tok: dict, lex: Transducer):
+    """Function from a text to its ids as little-endian unsigned 32-bit integers."""
+    cut = regex.compile(PATTERN).findall
+    special = tok["special"]
+    at_special = regex.compile("(" + "|".join(regex.escape(s) for s in sorted(special, key=len, reverse=True)) + ")").split if special else None
+    known: dict[str, bytes] = {}
+    seen = known.get
 
-    @F.pandas_udf("binary")
-    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        own = held.value
-        cut = regex.compile(PATTERN).findall
-        special = own["special"]
-        at_special = regex.compile("(" + "|".join(regex.escape(s) for s in sorted(special, key=len, reverse=True)) + ")").split if special else None
-        lex = Transducer.mapped(SparkFiles.get(lexicon))
-        known: dict[str, bytes] = {}
-
-        def ids_of(word: str) -> bytes:
-            raw = word.encode("utf-8", "surrogatepass")
-            ids = lex.find(raw)
-            got = ids.tobytes() if ids is not None else np.array(merge_word(raw, own), np.uint32).tobytes()
-            if len(word) <= LONGEST:
-                if len(known) >= REMEMBER:
-                    known.clear()
-                known[word] = got
-            return got
-
-        def encode(text: str) -> bytes:
-            seen = known.get
-            return b"".join([seen(w) or ids_of(w) for w in cut(text)])
-
-        def whole(text: str | None) -> bytes:
-            text = text or ""
-            if at_special is None or not any(s in text for s in special):
-                return encode(text)
-            return b"".join(np.uint32(special[p]).tobytes() if p in special else encode(p) for p in at_special(text))
-        for texts in batches:
-            yield texts.map(whole, na_action=None)
-    return run
+    def ids_of(word: str) -> bytes:
+        raw = word.encode("utf-8", "surrogatepass")
+        got = array("I", lex.find(raw) or merge_word(raw, tok)).tobytes()
+        if len(word) <= LONGEST:
+            if len(known) >= REMEMBER:
+                known.clear()
+            known[word] = got
+        return got
+
+    def encode(text: str) -> bytes:
+        return b"".join([seen(w) or ids_of(w) for w in cut(text)])
 
+    def whole(text: str | None) -> bytes:
+        text = text or ""
+        if at_special is None or not any(s in text for s in special):
+            return encode(text)
+        return b"".join(array("I", [special[p]]).tobytes() if p in special else encode(p) for p in at_special(text))
+    return whole
 
-def decoder(spark: SparkSession, tok: dict):
-    """Pandas UDF: packed ids back to text."""
-    held = spark.sparkContext.broadcast(tok["tokens"])
 
-    @F.pandas_udf("string")
-    def run(packed: pd.Series) -> pd.Series:
-        token = held.value.__getitem__
-        return packed.map(lambda ids: b"".join(map(token, np.frombuffer(ids, np.uint32).tolist())).decode("utf-8", "replace"))
-    return run
+def decode(packed: bytes, tokens: list[bytes]) -> str:
+    """Text of packed ids; bytes that are no UTF-8 become replacement characters."""
+    return b"".join(map(tokens.__getitem__, memoryview(packed).cast("I").tolist())).decode("utf-8", "replace")
 
 
 def with_ids(docs: DataFrame, path: str, lexicon_words: int = LEXICON) -> DataFrame:
-    """``docs`` with ``ids`` (packed, of its column ``text``) and ``decoded``."""
+    """``docs`` with ``ids`` (packed, of its column ``text``) and ``decoded`` (from those ids)."""
     spark = docs.sparkSession
     tok = read_tokenizer(path)
     lexicon = ship_lexicon(spark, frequent_words(docs, lexicon_words), tok)
-    packed = docs.withColumn("ids", encoder(spark, tok, lexicon)(F.col("text")))
-    return packed.withColumn("decoded", decoder(spark, tok)(F.col("ids")))
+    held = spark.sparkContext.broadcast(tok)             # one vocabulary
+
+    @F.pandas_udf("ids binary, decoded string")
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        own = held.value
+        encode = text_encoder(own, Transducer.mapped(SparkFiles.get(lexicon)))
+        for texts in batches:
+            ids = [encode(t) for t in texts]
+            yield pd.DataFrame({"ids": ids, "decoded": [decode(i, own["tokens"]) for i in ids]})
+    coded = docs.withColumn("__coded", run(F.col("text")))
+    return coded.withColumn("ids", F.col("__coded.ids")).withColumn("decoded", F.col("__coded.decoded")).drop("__coded")
 
 
 def digests(encoded: DataFrame) -> DataFrame:

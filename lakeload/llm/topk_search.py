@@ -14,7 +14,7 @@ one local score, and a candidate's score is the sum of its local scores.
 Queries are a stated set, dealt into blocks of about ``BLOCK``; candidates are dealt into chunks by a hash of
 their id. A (block, chunk) pair is one group of one task, of bounded size however many rows there are; no
 driver sees a vector. Local products are exact in float64 while all sums stay under 2**53; beyond that,
-Python integers are used.
+Python integers are used. A score beyond 64 bits fails the job.
 
 Defined results: rows with a NULL id take no part, nor do vectors that are NULL or hold NULL or non-finite
 components; rows with one id count once (the smallest vector in array order), and a query never meets its own
