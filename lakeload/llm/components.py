@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from lakeload.llm.common import stored
@@ -26,16 +26,33 @@ def _star(edges: DataFrame, small: bool) -> DataFrame:
 def components(links: DataFrame) -> DataFrame:
     """(node, root) for every node of ``links`` (a, b); the root is the smallest node of its component.
 
-    Each round shortens paths by a constant factor; the driver sees one checksum a round. Hubs are only ever
-    aggregated (partial minima) or joined, never collected.
+    Each round shortens paths by a constant factor and is one job; a checksum observed while it writes tells
+    when nothing changes any more. Hubs are only ever aggregated (partial minima) or joined, never collected.
     """
-    edges = stored(links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct(), "links")
+    edges = links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct()
     seen = None
     while True:
-        sums = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if sums == seen or not sums[0]:
+        sums = Observation()
+        edges = _star(_star(edges, small=False), small=True)
+        edges = stored(edges.observe(sums, F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("a", "b")).alias("x"),
+                                     F.sum(F.pmod(F.xxhash64("b", "a"), F.lit(1 << 30))).alias("s")), "components")
+        if sums.get == seen or not sums.get["n"]:
             break
-        seen = sums
-        edges = stored(_star(stored(_star(edges, small=False), "large_star"), small=True), "small_star")
+        seen = sums.get
     roots = edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
     return roots.unionByName(edges.select(F.col("b").alias("node"), F.col("b").alias("root"))).distinct()
+
+
+def nearby_roots(links: DataFrame, hops: int = 3) -> DataFrame:
+    """(node, root) by ``hops`` steps of taking the smallest label around, in one job.
+
+    Nodes with one root are connected; nodes far apart in one component may still differ. Enough where labels only
+    save work, as links mostly run from a node to a common head.
+    """
+    edges = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).where("a <> b").distinct()
+    roots = edges.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("root")).withColumn("root", F.least("node", "root"))
+    for _ in range(hops - 1):
+        own = roots.select(F.col("node").alias("b"), "root")
+        roots = (edges.join(own, "b").groupBy(F.col("a").alias("node")).agg(F.min("root").alias("root"))
+                 .withColumn("root", F.least("node", "root")))
+    return stored(roots, "nearby_roots")

@@ -13,10 +13,19 @@ next are later than every slot's minimum, so a text costs about its runs plus SL
 
 Bands. ``BANDS`` keys of ``ROWS`` slots each: a pair at likeness 0.8 shares no key with probability 3e-6.
 
-Links. Exact copies fall together first. Texts of one key make no pairs among themselves: each is verified
-against up to three heads of its key (by id and by two hashes). Components of these links leave few keys with more
-than one class; there, and only there, texts of different classes are paired, if their sizes allow the likeness
-and they were not compared before. So every pair that shares a key is compared, or is in one class already.
+Links. Exact copies fall together first. Then every text of a key is compared with the key's head p only, the one that
+shares most keys with others, and what is linked so far forms classes. Keys of one class are done. In other keys a link
+between classes may still be missing:
+
+* Let x and y be linked. Their sizes say how many runs they share at least, and of these no more lie within p than x, or
+  y, shares with p; so they share a known number of runs beyond p (0, if both are close to p).
+* In a key of at most ``PAIRWISE`` texts (a fixed block) this is tested pair by pair, across classes only, after sizes
+  and a sketch of the signatures (four bits a slot, six standard errors of room). What passes is compared.
+* In a larger key, it is enough to look at x's runs beyond p, rarest in the group first, all but that number less one:
+  linked texts have one of these in common and meet in a smaller group (p, run). Texts close to p are compared if both
+  are, which happens only if y is smaller than p. The smaller groups get heads in turn, and then the same test.
+
+So every link between texts that share a key is found, or joins one class already, while no key emits its pairs.
 
 Verification counts the runs of words themselves, not hashes. Compressed texts are shuffled once, to the texts that
 have a candidate; heads that many texts share are split by adaptive skew joins.
@@ -34,12 +43,13 @@ from functools import lru_cache
 
 import numpy as np
 import pandas as pd
+import xxhash
 import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lakeload.llm.common import long_id, read_table, stored
-from lakeload.llm.components import components
+from lakeload.llm.common import long_id, read_table, release, stored
+from lakeload.llm.components import components, nearby_roots
 from lakeload.llm.wordhash import BASES, U, compressed, mix, powers, rolling, word_hashes
 
 RUN = 5
@@ -47,6 +57,9 @@ LIKENESS = 0.8
 BANDS, ROWS = 32, 5
 SLOTS = BANDS * ROWS
 STEP = U(0x9E3779B97F4A7C15)
+PAIRWISE = 2048
+SKETCH = SLOTS // 16          # longs of 16 slots
+LEAST_EQUAL = 100             # of 160 slots; linked texts have 130 or more on average, with a standard error of 5
 
 
 def text_key(text):
@@ -103,12 +116,30 @@ def band_keys(signatures: np.ndarray, bands: int = BANDS) -> np.ndarray:
     return mix(mixed + np.arange(1, bands + 1, dtype=U)[None, :]).view(np.int64)
 
 
+def sketches(signatures: np.ndarray) -> np.ndarray:
+    """Four bits of each slot, sixteen slots a long."""
+    bits = mix(np.ascontiguousarray(signatures).view(U)) & U(15)
+    shifts = U(4) * np.arange(16, dtype=U)
+    return (bits.reshape(len(signatures), -1, 16) << shifts).sum(axis=2, dtype=U).view(np.int64)
+
+
+def equal_slots(a: str, b: str):
+    """How many slots of two sketches agree: slots less the nibbles that differ."""
+    differ = F.lit(0)
+    for i in range(SKETCH):
+        x = F.get(a, F.lit(i)).bitwiseXOR(F.get(b, F.lit(i)))
+        x = x.bitwiseOR(F.shiftrightunsigned(x, 1))
+        x = x.bitwiseOR(F.shiftrightunsigned(x, 2))
+        differ = differ + F.bit_count(x.bitwiseAND(F.lit(0x1111111111111111)))
+    return F.lit(SLOTS) - differ
+
+
 def signed(docs: DataFrame) -> DataFrame:
-    """(doc_id, k, size, keys) per row: text identity, number of runs, band keys (none for an empty text)."""
+    """(doc_id, k, size, keys, sketch) per row: text identity, number of runs, band keys (none for an empty text)."""
     rows = (docs.select(long_id().alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
             .select("doc_id", text_key(F.col("text")).alias("k"), "text"))
 
-    @F.pandas_udf("size long, keys array<long>")
+    @F.pandas_udf("size long, keys array<long>, sketch array<long>")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for texts in batches:
             distinct = list(dict.fromkeys(texts))       # copies within a batch are signed once
@@ -121,13 +152,15 @@ def signed(docs: DataFrame) -> DataFrame:
                     having.append(i)
                     signs.append(signature(runs, weights))
             keys: list = [[] for _ in distinct]
+            sketch: list = [[] for _ in distinct]
             if signs:
-                for i, own in zip(having, band_keys(np.array(signs))):
-                    keys[i] = own
+                signs = np.array(signs)
+                for i, own, short in zip(having, band_keys(signs), sketches(signs)):
+                    keys[i], sketch[i] = own, short
             place = {t: i for i, t in enumerate(distinct)}
             at = [place[t] for t in texts]
-            yield pd.DataFrame({"size": [sizes[i] for i in at], "keys": [keys[i] for i in at]})
-    return rows.select("doc_id", "k", run("text").alias("s")).select("doc_id", "k", "s.size", "s.keys")
+            yield pd.DataFrame({"size": [sizes[i] for i in at], "keys": [keys[i] for i in at], "sketch": [sketch[i] for i in at]})
+    return rows.select("doc_id", "k", run("text").alias("s")).select("doc_id", "k", "s.size", "s.keys", "s.sketch")
 
 
 def runs_of(text: bytes) -> Counter:
@@ -143,59 +176,147 @@ def likeness(a: Counter, b: Counter) -> float:
     return both / every if every else 1.0
 
 
-def verified(pairs: DataFrame, texts: DataFrame, least: float = LIKENESS) -> DataFrame:
-    """The (a, b) of ``pairs`` whose texts are alike enough."""
-    left, right = texts.select(F.col("node").alias("a"), F.col("packed").alias("x")), texts.select(F.col("node").alias("b"), F.col("packed").alias("y"))
+def beyond(x: Counter, p: Counter) -> list[int]:
+    """Hashes of x's runs (with their occurrence) that p lacks."""
+    return [xxhash.xxh64_intdigest(b" ".join(run), seed=i) - (1 << 63)
+            for run, n in x.items() if n > p[run] for i in range(p[run] + 1, n + 1)]
+
 
-    @F.pandas_udf("boolean")
-    def alike(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+def compared(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """(node, head, alike, shared, more) of the (node, head, wide) ``pairs``: likeness, runs in common, and, where
+    ``wide``, the node's runs beyond the head."""
+    left = texts.select("node", F.col("packed").alias("x"))
+    right = texts.select(F.col("node").alias("head"), F.col("packed").alias("y"))
+
+    @F.pandas_udf("alike double, shared long, more array<long>")
+    def run(batches: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
         undo = zstandard.ZstdDecompressor()
 
         @lru_cache(maxsize=64)                           # heads come again and again
         def counted(packed: bytes) -> Counter:
             return runs_of(undo.decompress(packed))
-        for x, y in batches:
-            yield pd.Series([likeness(counted(p), counted(q)) >= least for p, q in zip(x, y)], dtype=bool)
-    return pairs.join(left, "a").join(right, "b").where(alike("x", "y")).select("a", "b")
+        for xs, ys, wides in batches:
+            out = []
+            for x, y, wide in zip(xs, ys, wides):
+                node, head = counted(x), counted(y)
+                out.append((likeness(node, head), sum((node & head).values()), beyond(node, head) if wide else None))
+            yield pd.DataFrame(out, columns=["alike", "shared", "more"])
+    joined = pairs.join(left, "node").join(right, "head").select("node", "head", run("x", "y", "wide").alias("c"))
+    return joined.select("node", "head", "c.alike", "c.shared", "c.more")
+
+
+def with_heads(groups: DataFrame) -> DataFrame:
+    """(key, node, n, head) of (key, node, n) groups, without the heads' own rows; a key's head is its node with the
+    largest groups in sum."""
+    degrees = groups.groupBy("node").agg(F.sum("n").alias("degree"))
+    heads = groups.join(degrees, "node").groupBy("key").agg(F.max_by("node", F.struct(F.col("degree"), -F.col("node"))).alias("head"))
+    return groups.join(heads, "key").where("node <> head")
+
+
+def distinct_groups(groups: DataFrame) -> DataFrame:
+    """(key, node, n): one of the keys that hold the same set of nodes, of each set of at least two."""
+    sets = groups.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("node")).alias("s1"),
+                                     F.bit_xor(F.xxhash64("node", F.lit(1))).alias("s2"))
+    kept = sets.where("n > 1").groupBy("n", "s1", "s2").agg(F.min("key").alias("key")).select("key", "n")
+    return groups.join(kept, "key").select("key", "node", "n")
+
+
+def of_several_classes(groups: DataFrame, roots: DataFrame) -> DataFrame:
+    """The rows of (key, node, ...) ``groups`` whose key holds more than one class, with the node's ``root``."""
+    held = groups.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    split = held.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("key")
+    return held.join(split, "key")
+
+
+def pairs_across(held: DataFrame, facts: DataFrame, least: float) -> DataFrame:
+    """(node, head) pairs of different classes in the groups ``held`` (key, node, root, shared, more) that may be linked."""
+    rows = held.join(facts, "node").select("key", "node", "root", "size", "sketch", "shared", "more")
+    x, y = rows.alias("x"), rows.select(*[F.col(c).alias(f"{c}_") for c in rows.columns]).alias("y")
+    allowed = F.expr(f"key = key_ AND node < node_ AND root <> root_ AND size >= {least} * size_ AND size_ >= {least} * size")
+    needed = least / (1 + least) * (F.col("size") + F.col("size_")) - F.least("shared", "shared_") - 1e-9
+    beyond_head = F.size(F.array_intersect("more", "more_")) >= needed
+    return x.join(y, allowed & (equal_slots("sketch", "sketch_") >= LEAST_EQUAL) & beyond_head).select("node", F.col("node_").alias("head")).distinct()
+
+
+def beyond_heads(placed: DataFrame, seen: DataFrame, roots: DataFrame, facts: DataFrame, least: float) -> tuple[DataFrame, DataFrame]:
+    """For large groups with several classes: ((key, node, n) groups by run beyond the head, pairs with smaller texts)."""
+    sizes = facts.select("node", "size")
+    held = of_several_classes(placed.join(seen, ["node", "head"]), roots).join(sizes, "node")
+    held = held.join(sizes.select(F.col("node").alias("head"), F.col("size").alias("head_size")), "head")
+    least_size = held.groupBy("key").agg(F.least(F.min("size"), F.min("head_size")).alias("least_size"))
+    held = stored(held.join(least_size, "key"), "near_large")
+    # linked texts share at least so many runs, and so many of them beyond the head
+    common = F.ceil(least / (1 + least) * (F.col("size") + F.greatest(F.col("least_size"), least * F.col("size"))) - 1e-9)
+    looks = F.size("more") - F.greatest(common - F.col("shared"), F.lit(1)) + 1
+    runs = held.select("key", "node", "root", looks.alias("looks"), F.explode("more").alias("run"))
+    often = runs.groupBy("key", "run").agg(F.count(F.lit(1)).alias("often"), F.min("root").alias("lo"), F.max("root").alias("hi"))
+    rarest = Window.partitionBy("key", "node").orderBy("often", "run")
+    runs = runs.join(often, ["key", "run"]).withColumn("place", F.row_number().over(rarest)).where("place <= looks AND lo <> hi")
+    runs = runs.select(F.xxhash64("key", "run").alias("key"), "node").distinct()
+    groups = distinct_groups(stored(runs, "near_runs"))
+
+    # what a link x - y within p implies for their likeness to p, y being smaller than p
+    x = held.where(F.col("alike") < least).select("key", "head_size", F.col("node").alias("x"), F.col("root").alias("xr"), F.col("size").alias("xs"), F.col("alike").alias("xa"))
+    y = held.where("size < head_size").select("key", F.col("node").alias("y"), F.col("root").alias("yr"), F.col("size").alias("ys"), F.col("alike").alias("ya"))
+    shared = least / (1 + least) * (F.col("xs") + F.col("ys"))
+    bound = lambda size: shared / (size + F.col("head_size") - shared) - 1e-9
+    near = x.join(y, "key").where((F.col("xr") != F.col("yr")) & (F.col("xa") >= bound(F.col("xs"))) & (F.col("ya") >= bound(F.col("ys")))
+                                  & (F.col("xs") >= least * F.col("ys")) & (F.col("ys") >= least * F.col("xs")))
+    return groups, near.select(F.least("x", "y").alias("node"), F.greatest("x", "y").alias("head")).distinct()
 
 
 def near_classes(docs: DataFrame, least: float = LIKENESS) -> DataFrame:
     """(doc_id, k, class_id, root) for every row; k identifies the text, root the class."""
     rows = stored(signed(docs), "near_signed")
-    texts = stored(rows.groupBy("k").agg(F.min("doc_id").alias("doc_id"), F.first("size").alias("size"), F.first("keys").alias("keys"))
-                   .withColumn("node", F.monotonically_increasing_id()), "near_texts")
-
-    # keys that at least two texts share, with up to three heads each
-    members = texts.select("node", "size", F.explode("keys").alias("key"))
-    turn = lambda i: F.xxhash64("node", F.lit(i))
-    heads = (members.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("h0"),
-                                        F.min_by("node", turn(1)).alias("h1"), F.min_by("node", turn(2)).alias("h2"))
-             .where("n > 1"))
-    shared = stored(members.join(heads, "key").select("key", "node", "size", F.array_distinct(F.array("h0", "h1", "h2")).alias("heads")), "near_members")
-    pairs = (shared.select("node", F.explode("heads").alias("head")).where("node <> head")
-             .select(F.least("node", "head").alias("a"), F.greatest("node", "head").alias("b")).distinct())
-    pairs = stored(pairs, "near_pairs")
+    texts = rows.groupBy("k").agg(F.min("doc_id").alias("doc_id"), *[F.first(c).alias(c) for c in ("size", "keys", "sketch")])
+    texts = stored(texts.withColumn("node", F.monotonically_increasing_id()), "near_texts")
+    groups = stored(distinct_groups(texts.select("node", F.explode("keys").alias("key"))), "near_groups")
 
     # compressed texts of the candidates: the one shuffle of texts
-    wanted = texts.join(shared.select("node").distinct(), "node", "left_semi").select("k", "node")
+    wanted = texts.join(groups.select("node").distinct(), "node", "left_semi")
+    facts = stored(wanted.select("node", "size", "sketch"), "near_facts")
     source = docs.select(F.coalesce(F.col("text"), F.lit("")).alias("text")).select(text_key(F.col("text")).alias("k"), compressed(F.col("text")).alias("packed"))
-    packed = source.join(wanted, "k").groupBy("node").agg(F.first("packed").alias("packed"))
+    packed = source.join(wanted.select("k", "node"), "k").groupBy("node").agg(F.first("packed").alias("packed"))
     packed = stored(packed, "near_packed")
-    links = stored(verified(pairs, packed, least), "near_links")
-
-    # keys that still hold several classes: compare across classes what has not been compared
-    first = components(links)
-    held = shared.join(first, "node", "left").select("key", "node", "size", F.coalesce("root", "node").alias("root"))
-    split = held.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("key")
-    held = stored(held.join(split, "key"), "near_split")
-    x, y = held.alias("x"), held.alias("y")
-    across = (x.join(y, F.expr(f"x.key = y.key AND x.node < y.node AND x.root <> y.root "
-                               f"AND x.size >= {least} * y.size AND y.size >= {least} * x.size"))
-              .select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct())
-    across = across.join(pairs, ["a", "b"], "left_anti")
-    final = components(links.unionByName(verified(across, packed, least)))
-
-    named = texts.select("k", "doc_id", "node").join(final, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    release(docs.sparkSession)
+
+    def linked(seen: DataFrame) -> DataFrame:
+        return seen.where(F.col("alike") >= least).select(F.col("node").alias("a"), F.col("head").alias("b"))
+
+    def around_heads(groups: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """(placed, seen): who was compared with which head, and the outcome."""
+        placed = with_heads(groups).select("node", "head").distinct()     # keys with one head go on as one group
+        placed = stored(placed.withColumn("key", F.col("head")), "near_placed")
+        seen = stored(compared(placed.select("node", "head", F.lit(True).alias("wide")), packed), "near_seen")
+        release(docs.sparkSession)
+        return placed, seen
+
+    def pair_links(pairs: DataFrame) -> DataFrame:
+        seen = stored(compared(pairs.withColumn("wide", F.lit(False)), packed), "near_pairs")
+        release(docs.sparkSession)
+        return linked(seen)
+
+    placed, seen = around_heads(groups)
+    links = linked(seen)
+    roots = nearby_roots(links)
+    sizes = placed.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
+    placed = placed.join(sizes, "key")
+    small = of_several_classes(placed.where(F.col("n") <= PAIRWISE).join(seen, ["node", "head"]), roots)
+    large = placed.where(F.col("n") > PAIRWISE)
+    further, near = beyond_heads(large, seen, roots, facts, least)
+    further = stored(further, "near_groups")
+    release(docs.sparkSession)
+    links = links.unionByName(pair_links(pairs_across(small, facts, least).unionByName(near).distinct()))
+
+    if not further.isEmpty():
+        placed, seen = around_heads(further)
+        links = links.unionByName(linked(seen))
+        rest = of_several_classes(placed.join(seen, ["node", "head"]), nearby_roots(links))
+        links = links.unionByName(pair_links(pairs_across(rest, facts, least)))
+    roots = components(links)
+    release(docs.sparkSession)
+
+    named = texts.select("k", "doc_id", "node").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     ids = named.groupBy("root").agg(F.min("doc_id").alias("class_id"))
     return (rows.select("doc_id", "k").join(named.select("k", "root"), "k").join(ids, "root")
             .select("doc_id", "k", "class_id", "root"))
@@ -213,3 +334,20 @@ def one_of_each(docs: DataFrame, classes: DataFrame) -> DataFrame:
 
 def op4_bag_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_classes(read_table(spark, sf_dir, "documents")).select("doc_id", "class_id")
+
+
+OP4_SQL = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+u AS (SELECT min(doc_id) AS id, t, any_value(w) AS w FROM d GROUP BY t),
+g AS (SELECT id, unnest(CASE WHEN len(w) >= 5 THEN [array_to_string(w[i:i + 4], ' ') FOR i IN range(1, len(w) - 3)]
+                             WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS run FROM u),
+c AS (SELECT id, run, count(*) AS n FROM g GROUP BY ALL),
+s AS (SELECT id, sum(n) AS size FROM c GROUP BY id),
+o AS (SELECT a.id AS x, b.id AS y, sum(least(a.n, b.n)) AS shared FROM c a JOIN c b ON a.run = b.run AND a.id < b.id GROUP BY ALL),
+l AS (SELECT x, y FROM o JOIN s p ON p.id = x JOIN s q ON q.id = y WHERE shared >= 0.8 * (p.size + q.size - shared)),
+e AS (SELECT x AS a, y AS b FROM l UNION ALL SELECT y, x FROM l),
+walk(id, root) AS (SELECT id, id FROM u UNION SELECT e.b, walk.root FROM walk JOIN e ON e.a = walk.id),
+k AS (SELECT id, min(root) AS class_id FROM walk GROUP BY id)
+SELECT d.doc_id, k.class_id FROM d JOIN u ON u.t = d.t JOIN k ON k.id = u.id
+"""

@@ -6,7 +6,7 @@ from lakeload.llm.bpe import op10_bpe_transducer
 from lakeload.llm.fingerprints import op1_syncmer_fingerprints
 from lakeload.llm.license_scan import op3_license_scan
 from lakeload.llm.mixing import OP7_SQL, op7_mix_sources
-from lakeload.llm.near_dups import op4_bag_minhash
+from lakeload.llm.near_dups import OP4_SQL, op4_bag_minhash
 from lakeload.llm.repeats import OP9_SQL, op9_repeated_passages
 from lakeload.llm.secret_scan import op8_secret_scan
 from lakeload.llm.sharding import op2_byte_shards
@@ -27,7 +27,7 @@ QUERIES = {
 }
 
 ORACLE = {
-    "op4_bag_minhash": op4_bag_minhash,
+    "op4_bag_minhash": OP4_SQL,
     "op5_threshold_topk": OP5_SQL,
     "op7_mix_sources": OP7_SQL,
     "op9_repeated_passages": OP9_SQL,
