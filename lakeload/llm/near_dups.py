@@ -94,7 +94,8 @@ def signature(runs: np.ndarray, weights: np.ndarray, slots: int = SLOTS) -> np.n
         at = (np.arange(drawn, drawn + chunk, dtype=U) * U(3))[None, :] + U(1)
         draw = lambda j: mix(seed[:, None] + (at + U(j)) * STEP)
         gaps = -np.log(((draw(0) >> U(11)).astype(float) + 0.5) / 2.0 ** 53) / width[:, None]
-        times = time[:, None] + np.cumsum(gaps, axis=1)
+        # one gap after the other from the earlier time on, so that a time's bits do not depend on the blocks
+        times = np.cumsum(np.concatenate((time[:, None], gaps), axis=1), axis=1)[:, 1:]
         slot = (draw(1) % U(slots)).astype(np.int64)
         counts = times
         if (partial := cap < low + width).any():

@@ -1,0 +1,28 @@
+"""Inputs on which an operator once did less than its whole job."""
+
+import numpy as np
+import pytest
+
+from lakeload.llm import near_dups
+
+
+# --- operator 4
+
+@pytest.mark.parametrize("weight,other,runs", [(600, 580, 1), (600, 490, 1), (120, 98, 5)])
+def test_signatures_of_repeated_runs_agree_whatever_the_total_weight(weight, other, runs):
+    rng = np.random.default_rng(1)
+    equal, keyless = [], 0
+    for _ in range(60):
+        seeds = rng.integers(0, 1 << 63, runs).astype(np.uint64)
+        signs = np.array([near_dups.signature(seeds, np.full(runs, w)) for w in (weight, other)])
+        equal.append((signs[0] == signs[1]).sum())
+        keys = near_dups.band_keys(signs)
+        keyless += not (keys[0] == keys[1]).any()
+    assert abs(np.mean(equal) / near_dups.SLOTS - other / weight) < 0.03
+    assert min(equal) >= near_dups.LEAST_EQUAL and keyless == 0
+
+
+def test_a_line_repeated_more_or_less_often_is_one_class(spark):
+    rows = [(10 * g + i, f"word{g} " * n) for g in range(8) for i, n in enumerate((604, 494))]
+    got = near_dups.near_classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.doc_id: r.class_id for r in got} == {i: i // 10 * 10 for i, _ in rows}
