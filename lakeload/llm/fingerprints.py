@@ -4,9 +4,10 @@ A text is a sequence of tokens (runs of non-blanks, cut every 16 characters so t
 still has many). Its k-mers are K consecutive tokens, its inner substrings S-mers of S tokens. A k-mer is
 an anchor when its smallest S-mer hash is the first or the last one. That depends on the k-mer alone,
 never on its surroundings, so an unchanged passage keeps its anchors wherever it stands, and at least one
-of any K - S + 1 consecutive k-mers is an anchor. Texts of fewer than 4 K tokens would have next to none, so
-there every S-mer is an anchor; a text of fewer than S tokens, or with no anchor, has the hash of the whole
-text as its only one.
+of any K - S + 1 consecutive k-mers is an anchor. Anchors are of this one kind at every length, so short and
+long texts can be compared; K is small, so that short texts have enough of them. The few k-mers of a text too
+short to be sure of an anchor (fewer than 2 K - S tokens) are all anchors where none is closed; a text of fewer
+than K tokens has the hash of the whole text as its only one.
 
 The fingerprint lists the anchors' 32-bit hashes in text order as lowercase hex, eight digits each; the
 likeness of two is the Dice share of distinct anchors they have in common. ``anchor_positions`` gives the
@@ -28,7 +29,7 @@ from pyspark.sql import functions as F
 
 from lakeload.llm.common import long_id, read_table, shuffle_width
 
-K, S = 8, 2
+K, S = 3, 1
 TOKEN = r"[^\x20\x09-\x0D]{1,16}"
 LOWEST = -(1 << 63)
 
@@ -36,22 +37,20 @@ LOWEST = -(1 << 63)
 def with_anchors(df: DataFrame, text: str, out: str, k: int = K, positions: str | None = None) -> DataFrame:
     """Add ``out``, the anchor hashes of column ``text`` in text order (array<int>).
 
-    S-mers are pairs of tokens; ``k`` must be even, so that every second pair spells the k-mer.
+    S-mers are single tokens.
     """
-    tok, pair, pos = f"__{out}_tok", f"__{out}_pair", positions or f"__{out}_pos"
+    tok, mer, pos = f"__{out}_tok", f"__{out}_mer", positions or f"__{out}_pos"
     edge = k - S                                   # offset of the last S-mer in a k-mer
-    get = lambda i: F.get(F.col(pair), i)
+    get = lambda i: F.get(F.col(mer), i)
     df = df.withColumn(tok, F.regexp_extract_all(F.col(text), F.lit(TOKEN), F.lit(0)))
-    df = df.withColumn(pair, F.transform(F.col(tok), lambda w, i: F.xxhash64(w, F.get(F.col(tok), i + 1))))
+    df = df.withColumn(mer, F.transform(F.col(tok), lambda w: F.xxhash64(w)))
     closed = lambda i: F.least(*[get(i + j) for j in range(edge + 1)]).isin(get(i), get(i + edge))
-    long_text = F.size(tok) >= 4 * k
-    df = df.withColumn(pos, F.when(long_text, F.filter(F.sequence(F.lit(0), F.size(tok) - k), closed))
-                       .when(F.size(tok) >= S, F.sequence(F.lit(0), F.size(tok) - S))
-                       .otherwise(F.array().cast("array<int>")))
-    spelled = F.when(long_text, F.transform(F.col(pos), lambda i: F.hash(*[get(i + j) for j in range(0, edge + 1, 2)]))) \
-        .otherwise(F.transform(F.col(pos), lambda i: F.hash(get(i))))
+    every = F.sequence(F.lit(0), F.size(tok) - k)
+    df = df.withColumn(pos, F.when(F.size(tok) >= k, F.filter(every, closed)).otherwise(F.array().cast("array<int>")))
+    df = df.withColumn(pos, F.when((F.size(pos) == 0) & (F.size(tok) >= k), every).otherwise(F.col(pos)))
+    spelled = F.transform(F.col(pos), lambda i: F.hash(*[get(i + j) for j in range(edge + 1)]))
     df = df.withColumn(out, F.when(F.size(pos) > 0, spelled).otherwise(F.array(F.hash(F.col(text)))))
-    return df.drop(*[c for c in (tok, pair, pos) if c != positions])
+    return df.drop(*[c for c in (tok, mer, pos) if c != positions])
 
 
 def fingerprint(anchors: str) -> Column:

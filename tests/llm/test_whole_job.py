@@ -3,7 +3,20 @@
 import numpy as np
 import pytest
 
-from lakeload.llm import near_dups
+from lakeload.llm import fingerprints, near_dups
+
+
+# --- operator 1
+
+@pytest.mark.parametrize("tokens,more", [(31, 1), (31, 2), (28, 4), (30, 13), (12, 3), (6, 2), (7, 60)])
+def test_texts_of_any_two_lengths_can_be_compared(spark, tokens, more):
+    rows = [(i, " ".join(f"w{i}x{j}" for j in range(tokens))) for i in range(20)]
+    rows = [(i, t, t + " " + " ".join(f"v{i}x{j}" for j in range(more))) for i, t in rows]
+    df = spark.createDataFrame(rows, "i int, a string, b string")
+    got = fingerprints.with_anchors(fingerprints.with_anchors(df, "a", "x"), "b", "y").select("x", "y", fingerprints.likeness("x", "y").alias("d")).collect()
+    assert all(set(r.x) <= set(r.y) and r.d > 0 for r in got)
+    shared, every = tokens - fingerprints.K + 1, 2 * tokens + more - 2 * fingerprints.K + 2
+    assert abs(np.mean([r.d for r in got]) - 2 * shared / every) < 0.1
 
 
 # --- operator 4
