@@ -9,7 +9,10 @@ The method adds ``weak`` spans. A run of 20 or more key characters that mixes di
 letters is a weak secret; alone it says little and is not reported. Access identifiers (``access`` spans,
 client, account, user and application ids) and endpoints (URLs) are its complementary parts. Within a scope
 of 200 code points an interval join, on the document and bins of 256 code points, reports a weak secret
-only where a complementary part stands, and only where no base span covers it already.
+only where a complementary part stands, and only if no single base span contains it: an access id and the secret
+joined to it are one run, reported beside the id. Within an endpoint, that endpoint and others do not count, or
+every text with two links would report their paths; an identifier in scope does, and so does a user name with
+a password in the URL itself. A run within an identifier's match is the identifier's value and not reported.
 
 Texts are read once; a narrow table of match lengths is stored, and all that follows works on it. Cost
 grows with the matches: a bin holds few parts, so the interval join emits no pairs beyond a bin.
@@ -33,10 +36,12 @@ HEX = r"[0-9a-f]{32,}"
 # Complementary parts and weak secrets.
 IDENTIFIER = r"""(?i:client|account|application|app|user|access_?key)_?(?i:id|name)["']?\x20*[:=]\x20*["']?[A-Za-z0-9+/_.=@-]{3,}"""
 ENDPOINT = r"""[a-z][a-z0-9+.-]{1,15}://[^\x00-\x20"'<>]+"""
+USER = r"""://[^\x00-\x20"'<>/?#:@]*:(?=[^\x00-\x20"'<>/?#@]+@)"""       # of a URL, with a password behind it
 WEAK = r"[A-Za-z0-9+/_-]{20,}"
-KINDS = ("assign", "access", "hex", "weak", "identifier", "endpoint")
+KINDS = ("assign", "access", "hex", "weak", "identifier", "endpoint", "user")
 BASE = 3          # the first kinds are base ones
 REPORTED = 4      # the first kinds are reported
+NAMING = (1, 4, 6)   # kinds that say whose secret it is
 SCOPE, BIN = 200, 256
 
 
@@ -68,6 +73,7 @@ def find_parts(docs: DataFrame) -> DataFrame:
         _matches(2, text, HEX, text.rlike(HEX), yes),
         _matches(4, text, IDENTIFIER, F.col("ids"), yes),
         _matches(5, text, ENDPOINT, F.col("urls"), yes),
+        _matches(6, text, USER, F.col("urls"), yes),
         _matches(3, text, WEAK, F.col("ids") | F.col("urls") | F.col("keys"), mixed))
     return rows.select("doc_id", "text_hash", parts.alias("parts"))
 
@@ -88,12 +94,13 @@ def link_spans(parts: DataFrame) -> DataFrame:
     other = binned(spans.where(F.col("kind") != KINDS.index("weak")), 0).alias("o")
     near = weak.join(other, F.expr(f"w.doc_id <=> o.doc_id AND w.text_hash = o.text_hash AND w.bin = o.bin "
                                    f"AND o.start < w.end + {SCOPE} AND o.end > w.start - {SCOPE}"))
-    kinds = F.collect_set(F.when(F.col("o.kind").isin(1, 4, 5), F.lit("part")))
-    covered = F.max(((F.col("o.kind") < BASE) & (F.col("o.start") < F.col("w.end")) & (F.col("o.end") > F.col("w.start"))).cast("int"))
-    inside = F.max(((F.col("o.kind") >= BASE) & (F.col("o.start") <= F.col("w.start")) & (F.col("o.end") >= F.col("w.end"))).cast("int"))
+    kind = F.col("o.kind")
+    holds = (F.col("o.start") <= F.col("w.start")) & (F.col("o.end") >= F.col("w.end"))
+    any_of = lambda c: F.max(c.cast("int"))
     linked = (near.groupBy("w.doc_id", "w.text_hash", "w.kind", "w.start", "w.end")
-              .agg(F.size(kinds).alias("parts"), covered.alias("covered"), inside.alias("inside"))
-              .where("parts > 0 AND covered = 0 AND inside = 0").drop("parts", "covered", "inside"))
+              .agg(any_of(holds & ((kind < BASE) | (kind == 4))).alias("covered"), any_of(holds & (kind == 5)).alias("inside"),
+                   any_of(kind.isin(*NAMING)).alias("named"), any_of(kind == 5).alias("urls"))
+              .where("covered = 0 AND (named = 1 OR urls = 1 AND inside = 0)").drop("covered", "inside", "named", "urls"))
     return spans.where(F.col("kind") < BASE).unionByName(linked)
 
 
