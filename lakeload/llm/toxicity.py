@@ -17,7 +17,7 @@ maximum-likelihood value over the clean training rows. A segment is a significan
 training rows turns it into the score.
 
 Training rows are those whose crc32(doc_id as text) mod 5 is not 0; of them at most ``SAMPLE``, by smallest
-hash of the id, are used. Scores read nothing but the text.
+hash of the id, are used; the fits have one row per id, its largest segment. Scores read nothing but the text.
 
 Defined results: NULL and empty texts have no words, evidence of 0 length-adjusted words and a score like any
 other; NULL ids count as held out; an id with several labels is toxic if one says so; without labels of both
@@ -155,8 +155,9 @@ def fit(docs: DataFrame, labels: DataFrame, most: int = SAMPLE) -> dict:
     scores, lam = log_odds(count_words(docs, sample))
     model = {"scores": scores, "lam": lam, "k": 1.0, "a": 0.0, "b": 0.0, "share": 0.0}
     rows = (docs.select(long_id().alias("doc_id"), "text").join(F.broadcast(sample), "doc_id")
-            .select("toxic", best_segment(docs.sparkSession, model)("text").alias("best")).select("toxic", "best.*")
-            .orderBy("toxic", "n_words", "top").limit(2 * most).toPandas())
+            .select("doc_id", "toxic", best_segment(docs.sparkSession, model)("text").alias("best"))
+            .groupBy("doc_id", "toxic").agg(F.max(F.struct("best.top", "best.n_words")).alias("best"))   # an id may have many rows
+            .select("toxic", "best.*").orderBy("toxic", "n_words", "top").toPandas())
     y = rows["toxic"].to_numpy(dtype=float)
     if not 0 < y.sum() < len(y):
         return model | {"share": float(y.mean()) if len(y) else 0.0}

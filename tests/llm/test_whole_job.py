@@ -1,9 +1,11 @@
 """Inputs on which an operator once did less than its whole job."""
 
+from zlib import crc32
+
 import numpy as np
 import pytest
 
-from lakeload.llm import fingerprints, near_dups, secret_scan
+from lakeload.llm import fingerprints, near_dups, secret_scan, toxicity
 
 
 # --- operator 1
@@ -67,3 +69,19 @@ def test_weak_secrets_beside_base_spans_and_in_endpoints(spark, text, secret):
 def test_weak_secrets_without_a_part_or_within_a_base_span(spark, text):
     _, spans = secret_scan.scan(spark.createDataFrame([(1, text)], "doc_id long, text string"))
     assert spans.where("kind = 3").count() == 0
+
+
+# --- operator 6
+
+def test_toxicity_fit_when_one_clean_id_holds_most_rows(spark):
+    ids = [i for i in range(1000) if crc32(str(i).encode()) % toxicity.FOLDS != toxicity.HELD_OUT][:40]
+    clean, toxic = ids[:20], ids[20:]
+    plain = "some plain words about the weather and the garden today".split()
+    text = lambda i, own: " ".join(plain[(i + j) % 10] for j in range(30)) + own
+    rows = [(i, text(i, "")) for i in clean + clean[:1] * 200] + [(i, text(i, " vile slur vile slur")) for i in toxic]
+    labels = spark.createDataFrame([(i, int(i in toxic)) for i in ids], "doc_id long, toxic int")
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    model = toxicity.fit(docs, labels, most=40)
+    assert model["b"] != 0 and model["share"] == 0.5
+    scores = [(r.doc_id in toxic, r.tox.score) for r in toxicity.with_score(docs, model).collect()]
+    assert min(s for bad, s in scores if bad) > max(s for bad, s in scores if not bad)
