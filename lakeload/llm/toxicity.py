@@ -13,11 +13,13 @@ improves): toxic words that stand near each other join, those far apart stay sep
 Calibration. In clean text the best segment of n words follows an extreme-value law with
 P(best < S) = exp(-K n exp(-lambda S)); lambda solves sum p exp(lambda s) = 1 over clean words, K is its
 maximum-likelihood value over the clean training rows. A segment is a significant passage if fewer than
-``EXPECTED`` like it are expected. The document's evidence is lambda S - ln(1 + K n); a logistic fit on the
-training rows turns it into the score.
+``EXPECTED`` like it are expected. The evidence of one segment is s = lambda S - ln(1 + K n); that of the r best
+significant passages together follows the law of their sum T, P = exp(-T) T^(r-1) / (r! (r-1)!), as T - (r-1) ln T
++ ln(r! (r-1)!) less (r-1) ln 2 for the choice of r. A document's evidence is the largest over all r; a logistic fit
+on the training rows turns it into the score.
 
 Training rows are those whose crc32(doc_id as text) mod 5 is not 0; of them at most ``SAMPLE``, by smallest
-hash of the id, are used; the fits have one row per id, its largest segment. Scores read nothing but the text.
+hash of the id, are used; the fits have one row per id, its largest. Scores read nothing but the text.
 
 Defined results: NULL and empty texts have no words, evidence of 0 length-adjusted words and a score like any
 other; NULL ids count as held out; an id with several labels is toxic if one says so; without labels of both
@@ -154,25 +156,44 @@ def fit(docs: DataFrame, labels: DataFrame, most: int = SAMPLE) -> dict:
     sample = training_sample(labels, most)
     scores, lam = log_odds(count_words(docs, sample))
     model = {"scores": scores, "lam": lam, "k": 1.0, "a": 0.0, "b": 0.0, "share": 0.0}
-    rows = (docs.select(long_id().alias("doc_id"), "text").join(F.broadcast(sample), "doc_id")
-            .select("doc_id", "toxic", best_segment(docs.sparkSession, model)("text").alias("best"))
-            .groupBy("doc_id", "toxic").agg(F.max(F.struct("best.top", "best.n_words")).alias("best"))   # an id may have many rows
-            .select("toxic", "best.*").orderBy("toxic", "n_words", "top").toPandas())
+    sampled = docs.select(long_id().alias("doc_id"), "text").join(F.broadcast(sample), "doc_id")
+
+    def found(*columns: str) -> pd.DataFrame:
+        """(toxic, columns) of each sampled id's largest row, as an id may have many."""
+        rows = (sampled.select("doc_id", "toxic", best_segment(docs.sparkSession, model)("text").alias("best"))
+                .groupBy("doc_id", "toxic").agg(F.max(F.struct(*[f"best.{c}" for c in columns])).alias("best")))
+        return rows.select("toxic", "best.*").orderBy("toxic", *columns).toPandas()
+    rows = found("top", "n_words")
     y = rows["toxic"].to_numpy(dtype=float)
     if not 0 < y.sum() < len(y):
         return model | {"share": float(y.mean()) if len(y) else 0.0}
     n, top = np.maximum(1.0, rows["n_words"].to_numpy(dtype=float)), rows["top"].to_numpy(dtype=float)
     clean = y == 0
     model["k"] = float(clean.sum() / max(1e-12, (n[clean] * np.exp(-lam * top[clean])).sum()))
-    model["a"], model["b"] = fit_logistic(lam * top - np.log1p(model["k"] * n), y)
+    rows = found("evidence")                             # needs K
+    y = rows["toxic"].to_numpy(dtype=float)
+    model["a"], model["b"] = fit_logistic(rows["evidence"].to_numpy(dtype=float), y)
     return model | {"share": float(y.mean())}
 
 
+def evidence(scores: list[float], n_words: int, lam: float, k: float) -> float:
+    """The largest evidence of the r best segments together, over r; only significant ones join the best."""
+    room = math.log1p(k * max(1, n_words))
+    own = sorted((lam * s - room for s in scores), reverse=True) or [-room]
+    best = total = own[0]
+    for r, s in enumerate(own[1:], 2):
+        if s < -math.log(EXPECTED):
+            break
+        total += s
+        best = max(best, total - (r - 1) * math.log(2 * total) + math.lgamma(r + 1) + math.lgamma(r))
+    return best
+
+
 def best_segment(spark: SparkSession, model: dict):
-    """Pandas UDF: text to (n_words, top score, significant passages ``first:end``)."""
+    """Pandas UDF: text to (n_words, top score, significant passages ``first:end``, evidence)."""
     held = spark.sparkContext.broadcast((model["scores"], model["lam"], model["k"]))   # one array of BUCKETS
 
-    @F.pandas_udf("n_words long, top double, passages string")
+    @F.pandas_udf("n_words long, top double, passages string, evidence double")
     def run(texts: pd.Series) -> pd.DataFrame:
         scores, lam, k = held.value
         out = []
@@ -180,20 +201,19 @@ def best_segment(spark: SparkSession, model: dict):
             at = buckets_of(text)
             found = segments(scores[at]) if len(at) else []
             clear = [f"{a}:{b}" for s, a, b in found if k * len(at) * math.exp(-lam * s) <= EXPECTED]
-            out.append((len(at), max((s for s, _, _ in found), default=0.0), ",".join(clear)))
-        return pd.DataFrame(out, columns=["n_words", "top", "passages"])
+            out.append((len(at), max((s for s, _, _ in found), default=0.0), ",".join(clear), evidence([s for s, _, _ in found], len(at), lam, k)))
+        return pd.DataFrame(out, columns=["n_words", "top", "passages", "evidence"])
     return run
 
 
 def with_score(docs: DataFrame, model: dict, prefix: str = "tox") -> DataFrame:
-    """``docs`` with a struct column ``prefix``: n_words, top, passages, score."""
+    """``docs`` with a struct column ``prefix``: n_words, top, passages, evidence, score."""
     found = best_segment(docs.sparkSession, model)(F.col("text"))
     docs = docs.withColumn(prefix, found)
     if model["b"] == 0.0:
         score = F.lit(model["share"])
     else:
-        x = model["lam"] * F.col(f"{prefix}.top") - F.log1p(model["k"] * F.greatest(F.lit(1.0), F.col(f"{prefix}.n_words").cast("double")))
-        score = 1 / (1 + F.exp(-(model["a"] + model["b"] * x)))
+        score = 1 / (1 + F.exp(-(model["a"] + model["b"] * F.col(f"{prefix}.evidence"))))
     return docs.withColumn(prefix, F.col(prefix).withField("score", score.cast("double")))
 
 

@@ -85,3 +85,15 @@ def test_toxicity_fit_when_one_clean_id_holds_most_rows(spark):
     assert model["b"] != 0 and model["share"] == 0.5
     scores = [(r.doc_id in toxic, r.tox.score) for r in toxicity.with_score(docs, model).collect()]
     assert min(s for bad, s in scores if bad) > max(s for bad, s in scores if not bad)
+
+
+def test_several_toxic_passages_weigh_more_than_one(spark):
+    scores = np.full(toxicity.BUCKETS, toxicity.DRIFT)
+    scores[toxicity.buckets_of("slur")] = 5.0
+    model = {"scores": scores, "lam": 2.0, "k": 0.01, "a": -12.0, "b": 1.0, "share": 0.5}
+    gap = " plain" * 120
+    rows = [(n, ("slur" + gap + " ") * n + gap * (4 - n)) for n in range(5)]
+    got = {r.doc_id: r.tox for r in toxicity.with_score(spark.createDataFrame(rows, "doc_id long, text string"), model).collect()}
+    assert len(got[4].passages.split(",")) == 4
+    assert got[0].score < got[1].score < got[2].score < got[3].score < got[4].score
+    assert got[1].score < 0.5 < got[4].score
