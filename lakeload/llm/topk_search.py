@@ -12,13 +12,13 @@ one local score, and a candidate's score is the sum of its local scores.
    smaller id. Nothing that belongs to the result can be missed.
 
 Queries are a stated set, dealt into blocks of about ``BLOCK``; candidates are dealt into chunks by a hash of
-their id. A (block, chunk) pair is one group of one task, of bounded size however many rows there are; no
+their id, or of their row's number where ids repeat. A (block, chunk) pair is one group of one task, of bounded size however many rows there are; no
 driver sees a vector. Local products are exact in float64 while all sums stay under 2**53; beyond that,
 Python integers are used. A score beyond 64 bits fails the job.
 
 Defined results: rows with a NULL id take no part, nor do vectors that are NULL or hold NULL or non-finite
-components; rows with one id count once (the smallest vector in array order), and a query never meets its own
-id; vectors meet only vectors of their own length, and empty vectors score 0; fewer candidates than k give
+components; the query op5 keeps every row of a repeated id, as query and as candidate, as its SQL does
+(``whole_vectors`` without ``repeats`` keeps the smallest vector in array order), and a query never meets its own id; vectors meet only vectors of their own length, and empty vectors score 0; fewer candidates than k give
 all of them; an empty table gives no rows; other columns are ignored.
 """
 
@@ -38,15 +38,17 @@ STEP = 2048           # candidates of a chunk that are scored at once
 LOWEST = -(1 << 63)
 
 
-def whole_vectors(table: DataFrame, scale: int = 256) -> DataFrame:
-    """(vec_id, dim, v): finite vectors as floor(scale * x), one row per id."""
+def whole_vectors(table: DataFrame, scale: int = 256, repeats: bool = False) -> DataFrame:
+    """(vec_id, dim, v): finite vectors as floor(scale * x), one row per id; with ``repeats`` every row and its number
+    ``row``, which must be stored before use."""
     x = F.transform("embedding", lambda c: c.cast("double"))
     finite = F.forall(x, lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) != float("inf")))
     v = F.transform(x, lambda c: F.floor(c * float(scale)))
-    return (table.where(F.col("embedding").isNotNull() & F.col("vec_id").isNotNull() & finite)
-            .select(F.col("vec_id").cast("long").alias("vec_id"), v.alias("v"))
-            .groupBy("vec_id").agg(F.min("v").alias("v"))
-            .select("vec_id", F.size("v").alias("dim"), "v"))
+    rows = (table.where(F.col("embedding").isNotNull() & F.col("vec_id").isNotNull() & finite)
+            .select(F.col("vec_id").cast("long").alias("vec_id"), v.alias("v")))
+    if repeats:
+        return rows.select("vec_id", F.size("v").alias("dim"), "v", F.monotonically_increasing_id().alias("row"))
+    return rows.groupBy("vec_id").agg(F.min("v").alias("v")).select("vec_id", F.size("v").alias("dim"), "v")
 
 
 def _matrix(pdf: pd.DataFrame) -> np.ndarray:
@@ -75,12 +77,12 @@ def _gather(lists: int, k: int):
             for at in range(0, len(c_ids), STEP):
                 ids, part = c_ids[at:at + STEP], c[at:at + STEP]
                 own = q_ids[:, None] == ids[None, :]
-                best = min(k + 1, len(ids))           # one more, as the query's own row may be among them
+                best = min(k, len(ids))
                 seen = np.zeros(own.shape, dtype=bool)
                 total = np.zeros(own.shape, dtype=q.dtype)
                 for a, b in _lists(q.shape[1], lists):
                     local = q[:, a:b] @ part[:, a:b].T
-                    np.put_along_axis(seen, np.argpartition(-local, best - 1, axis=1)[:, :best], True, axis=1)
+                    np.put_along_axis(seen, np.argpartition(np.where(own, np.inf, -local), best - 1, axis=1)[:, :best], True, axis=1)
                     total += local
                 seen &= ~own
                 for i in range(len(q_ids)):
@@ -124,11 +126,12 @@ def top_k(vectors: DataFrame, is_query, k: int = TOP, lists: int = LISTS, block:
     blocks = max(1, -(-queries.count() // block))
     n = chunks or shuffle_width(spark)
     deal = ["dim", "block", "chunk"]
-    q = (queries.select(F.col("vec_id").alias("query_id"), F.col("dim").alias("dim"), F.col("v").alias("v"))
-         .withColumn("block", F.pmod(F.xxhash64("query_id"), F.lit(blocks)).cast("int")))
+    by = "row" if "row" in vectors.columns else "vec_id"
+    q = queries.select(F.col("vec_id").alias("query_id"), F.col("dim").alias("dim"), F.col("v").alias("v"),
+                       F.pmod(F.xxhash64(by), F.lit(blocks)).cast("int").alias("block"))
     # each query block meets every chunk: both sides carry (block, chunk)
     q_dealt = q.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.lit(n - 1))))
-    c_dealt = (vectors.withColumn("chunk", F.pmod(F.xxhash64("vec_id", F.lit(7)), F.lit(n)).cast("int"))
+    c_dealt = (vectors.withColumn("chunk", F.pmod(F.xxhash64(by, F.lit(7)), F.lit(n)).cast("int"))
                .withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))))
 
     sent = (q_dealt.groupBy(*deal).cogroup(c_dealt.groupBy(*deal))
@@ -147,7 +150,7 @@ def top_k(vectors: DataFrame, is_query, k: int = TOP, lists: int = LISTS, block:
 
 
 def op5_threshold_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
-    vectors = stored(whole_vectors(read_table(spark, sf_dir, "embeddings")), "topk_vectors")
+    vectors = stored(whole_vectors(read_table(spark, sf_dir, "embeddings"), repeats=True), "topk_vectors")
     return top_k(vectors, F.col("vec_id") % 50 == 0)
 
 

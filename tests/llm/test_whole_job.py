@@ -2,10 +2,11 @@
 
 from zlib import crc32
 
+import duckdb
 import numpy as np
 import pytest
 
-from lakeload.llm import fingerprints, near_dups, secret_scan, toxicity
+from lakeload.llm import fingerprints, near_dups, secret_scan, topk_search, toxicity
 
 
 # --- operator 1
@@ -97,3 +98,17 @@ def test_several_toxic_passages_weigh_more_than_one(spark):
     assert len(got[4].passages.split(",")) == 4
     assert got[0].score < got[1].score < got[2].score < got[3].score < got[4].score
     assert got[1].score < 0.5 < got[4].score
+
+
+# --- operator 5
+
+def test_top_k_keeps_rows_of_repeated_ids_as_its_sql_does(spark):
+    rng = np.random.default_rng(6)
+    rows = [(i, rng.normal(0, 1, 8).tolist()) for i in [*range(0, 120), *[7] * 9, *[50] * 9, 9, 9]]
+    rows += [(7, rows[7][1]), (50, [1.0] * 3), (60, [1.0] * 3)]
+    path = f"{spark.conf.get('spark.checkpoint.dir')}/repeated"
+    spark.createDataFrame(rows, "vec_id long, embedding array<double>").coalesce(1).write.mode("overwrite").parquet(f"{path}/embeddings.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW embeddings AS SELECT * FROM read_parquet('{path}/embeddings.parquet/*.parquet')")
+    got = topk_search.op5_threshold_topk(spark, path).collect()
+    assert sorted(map(tuple, got)) == sorted(con.execute(topk_search.OP5_SQL).fetchall())
