@@ -15,9 +15,3 @@ def spark():
                     extra={"spark.checkpoint.dir": tempfile.mkdtemp(prefix="lakeload-test-ckpt-")})
     yield s
     s.stop()
-
-
-def rows(df, *cols):
-    """Sorted tuples of the given columns (all columns when none given)."""
-    cols = cols or tuple(df.columns)
-    return sorted((tuple(r[c] for c in cols) for r in df.collect()), key=repr)

@@ -3,7 +3,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
+from result_rows import rows
 from lakeload.operators import dedup, merge
 from lakeload.plans.upsert import incremental_merge, run_upsert
 from lakeload.session import scratch_dir

@@ -5,7 +5,7 @@ import datetime as dt
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from conftest import rows
+from result_rows import rows
 from lakeload.operators import dedup, windows
 
 D = dt.datetime

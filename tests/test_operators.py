@@ -5,7 +5,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
+from result_rows import rows
 from lakeload.functions import scalars
 from lakeload.operators import audit, jobstats, layers, project, retention, windows
 from lakeload.session import scratch_dir
