@@ -14,13 +14,16 @@ The target's NULL keys are split off before the join, so that a NULL "hot key" (
 can hold a large share of rows) stays out of the join's single partition. The source
 needs no such split: it holds one row per key already, and an outer join never matches
 NULLs. The touched set is a frame of distinct partition values, joined to the target
-whatever its size; its two bounds also go to the scan as a range filter.
+whatever its size; its two bounds also go to the scan as a range filter, in which the
+stand-in for NULL has no part.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+from datetime import datetime
 from functools import reduce
-from typing import Sequence
+from typing import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -52,10 +55,33 @@ def touched_partitions_frame(source: DataFrame, spec: TableSpec) -> DataFrame:
         partition_key(p, spec.partition_unit).alias("partition_key")).distinct()
 
 
-def touched_bounds(touched: DataFrame) -> tuple | None:
-    """Smallest and largest touched partition key (one row to the driver), or None if there is none."""
-    lo, hi = touched.agg(F.min("partition_key"), F.max("partition_key")).first()
-    return None if lo is None else (lo, hi)
+@dataclass(frozen=True)
+class Bounds:
+    """What the scan of the target needs to know of the touched partitions: the smallest and largest key that stands for
+    itself (None if there is none), and whether the stand-in of NULL is among the keys."""
+    low: datetime | None
+    high: datetime | None
+    stand_in: bool = False
+
+
+def bounds_of(spec: TableSpec) -> list[Column]:
+    """Aggregates over touched partitions that ``read_bounds`` makes ``Bounds`` of; the stand-in of NULL is no bound."""
+    k = F.col("partition_key")
+    real = k if spec.null_partition != "allow" else F.when(k != stand_in(spec), k)
+    return [F.min(real).alias("low"), F.max(real).alias("high"), F.count(real).alias("real"), F.count(F.lit(1)).alias("n")]
+
+
+def read_bounds(values: Mapping, spec: TableSpec) -> Bounds:
+    return Bounds(values.get("low"), values.get("high"), spec.null_partition == "allow" and values["n"] > values["real"])
+
+
+def touched_bounds(touched: DataFrame, spec: TableSpec) -> Bounds:
+    """The bounds of touched partitions (one row to the driver)."""
+    return read_bounds(touched.agg(*bounds_of(spec)).first().asDict(), spec)
+
+
+def stand_in(spec: TableSpec) -> Column:
+    return partition_key(ntz_lit(NULL_PARTITION_DEFAULT), spec.partition_unit)
 
 
 def _scope_key(target: DataFrame, spec: TableSpec) -> tuple[Column, Column]:
@@ -75,11 +101,14 @@ def scope_value(key: Column, spec: TableSpec, physical: bool) -> Column:
 
 
 def split_scope(target: DataFrame, spec: TableSpec, touched: DataFrame,
-                bounds: tuple | None = None) -> tuple[DataFrame, DataFrame]:
+                bounds: Bounds | None = None) -> tuple[DataFrame, DataFrame]:
     """M6: (target rows the merge may match, target rows left as they are).
 
     ``touched`` is a frame as from ``touched_partitions_frame``. Its ``bounds``, where
     known, limit the scan of the first part (``PartitionFilters`` on a partition column).
+    With NULL partitions allowed and a partition column, the first part is two scans: the touched partitions,
+    semi-joined (so that the scan can be pruned by them at run time), and the NULL partition alone. Without one
+    there are no folders to choose from, and one pass marks both.
     """
     if not spec.partition_field:
         return target, target.limit(0)
@@ -88,21 +117,22 @@ def split_scope(target: DataFrame, spec: TableSpec, touched: DataFrame,
     allow = spec.null_partition == "allow"
     near = target
     if bounds:
-        lo, hi = (scope_value(ntz_lit(b), spec, physical) for b in bounds)
-        near = target.where(key.between(lo, hi) | is_null if allow else key.between(lo, hi))
+        value = lambda c: scope_value(c, spec, physical)
+        within = F.lit(False) if bounds.low is None else key.between(value(ntz_lit(bounds.low)), value(ntz_lit(bounds.high)))
+        within = within | (key == value(stand_in(spec))) if bounds.stand_in else within
+        near = target.where(within | is_null if allow and not physical else within)
     keys = touched.select(scope_value(F.col("partition_key"), spec, physical).alias("__touched"))
     same = F.col("__scope_key") == F.col("__touched")
-    if allow:
-        # one pass over the target: NULL partitions are always in scope
-        marked = keys.withColumn("__in", F.lit(True))
-        inside = near.withColumn("__scope_key", key).join(marked, same, "left").where(F.col("__in") | is_null)
-        inside = inside.drop("__in", "__touched")
+    if allow and not physical:
+        marked = near.withColumn("__scope_key", key).join(keys.withColumn("__in", F.lit(True)), same, "left")
+        inside = marked.where(F.col("__in") | is_null).drop("__in", "__touched", "__scope_key")
     else:
-        inside = near.withColumn("__scope_key", key).join(keys, same, "left_semi")
-    rest = target.withColumn("__scope_key", key).join(keys, same, "left_anti")
+        inside = near.withColumn("__scope_key", key).join(keys, same, "left_semi").drop("__scope_key")
+    rest = target.withColumn("__scope_key", key).join(keys, same, "left_anti").drop("__scope_key")
     if allow:
         rest = rest.where(~is_null)
-    return inside.drop("__scope_key"), rest.drop("__scope_key")
+        inside = inside.unionByName(target.where(is_null)) if physical else inside
+    return inside, rest
 
 
 def guard_explicit(t: Column, s: Column, col: str) -> Column:
@@ -161,6 +191,12 @@ def _any_null(cols: Sequence[Column]) -> Column:
     return reduce(lambda a, b: a | b, [c.isNull() for c in cols])
 
 
+def source_keys(source: DataFrame, spec: TableSpec) -> DataFrame:
+    """The keys (``__sk0``, ...) that the merge compares with the target's."""
+    cast = lambda k: q(k).cast(spark_type(spec.casts[k])) if k in spec.casts else q(k)
+    return source.select(*[cast(k).alias(f"__sk{i}") for i, k in enumerate(spec.primary_keys)])
+
+
 def merge_rows(target_in: DataFrame, source: DataFrame, spec: TableSpec,
                columns: Sequence[str] | None = None) -> DataFrame:
     """M1 core: merge a deduplicated source into the in-scope target rows."""
@@ -213,5 +249,5 @@ def merge_upsert(target: DataFrame, source: DataFrame, spec: TableSpec,
         return merge_rows(target, source, spec, columns)
     if touched is None:
         touched = written(touched_partitions_frame(source if source_slice is None else source_slice, spec), "touched")
-    inside, rest = split_scope(target, spec, touched, touched_bounds(touched))
+    inside, rest = split_scope(target, spec, touched, touched_bounds(touched, spec))
     return merge_rows(inside, source, spec, columns).unionByName(rest)

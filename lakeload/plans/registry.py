@@ -7,13 +7,14 @@ none filters rows to keep the check cheap.
 
 from __future__ import annotations
 
+import re
+import uuid
+from concurrent.futures import ThreadPoolExecutor
 from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-import uuid
-
 from ..functions import scalars
 from ..session import scratch_dir, table_path
 from ..sinks import tables as sinks
@@ -243,6 +244,19 @@ def m8_check_partition_nulls(spark, sf):
     return merge.check_partition_nulls(sl, fx.ORDERS_SPEC)
 
 
+@register("m8_null_partition_raises", f"""SELECT 'partition column o_orderdate has NULL values in the source slice' AS error
+FROM {ORDERS_NULLS_SQL} WHERE o_orderdate IS NULL HAVING count(*) > 0""")
+def m8_null_partition_raises(spark, sf):
+    """The text that a slice with NULL partition values fails with."""
+    o = fx.orders_with_nulls(fx.read(spark, sf, "orders"))
+    try:
+        merge.check_partition_nulls(o, fx.ORDERS_SPEC).write.format("noop").mode("overwrite").save()
+        said = []
+    except Exception as e:  # noqa: BLE001
+        said = [m[0] for m in [re.search("partition column .* source slice", str(e))] if m]
+    return spark.createDataFrame([(x,) for x in said], "error string")
+
+
 # ---------------------------------------------------------------- A1-A7
 
 @register("a1_row_count", "SELECT count(*) AS records_count FROM lineitem")
@@ -833,6 +847,23 @@ def k2_append_with_new_fields(spark, sf):
     return sinks.read_evolved(spark, d)
 
 
+@register("k2_append_at_once", """SELECT o_orderkey, o_custkey,
+  CASE WHEN o_orderkey % 3 = 1 THEN o_totalprice END AS o_totalprice,
+  CASE WHEN o_orderkey % 3 = 2 THEN o_orderpriority END AS o_orderpriority FROM orders""")
+def k2_append_at_once(spark, sf):
+    """Two loads that each bring a column of their own, at the same time."""
+    d = scratch_dir(spark, "k2")
+    o = fx.read(spark, sf, "orders")
+    third = lambda i: o.where(F.col("o_orderkey") % 3 == i)
+    sinks.append_with_new_fields(third(0).select("o_orderkey", "o_custkey"), d)
+    with ThreadPoolExecutor(2) as pool:
+        loads = [pool.submit(sinks.append_with_new_fields, third(i).select("o_orderkey", "o_custkey", c), d)
+                 for i, c in ((1, "o_totalprice"), (2, "o_orderpriority"))]
+        for load in loads:
+            load.result()
+    return sinks.read_evolved(spark, d)
+
+
 @register("k3_append_with_new_struct_fields", """SELECT CAST(c_custkey AS VARCHAR) AS ID,
   c_name AS phone_number_2, c_mktsegment AS occupation_description,
   CASE WHEN c_acctbal < 0 THEN lower(c_mktsegment) END AS occupation_description_new,
@@ -918,6 +949,20 @@ def k10_relayout_history(spark, sf):
     return sinks.relayout_history(spark, src, dst, "lineitem")
 
 
+@register("k10_relayout_new_folders", """SELECT *, CAST(date_trunc('month', l_shipdate) AS DATE) AS snapshot_date
+FROM lineitem""")
+def k10_relayout_new_folders(spark, sf):
+    """A second run that moves only the folders that came after the first."""
+    src, dst = scratch_dir(spark, "k10_src"), scratch_dir(spark, "k10_dst")
+    li = fx.read(spark, sf, "lineitem")
+    folder = F.concat(F.lit("lineitem_"), F.date_format(F.date_trunc("MONTH", "l_shipdate"), "yyyyMMdd"))
+    batches, late = li.withColumn("batch", folder), F.month("l_shipdate") == 6
+    batches.where(~late).write.partitionBy("batch").parquet(src)
+    sinks.relayout_history(spark, src, dst, "lineitem")
+    batches.where(late).write.mode("append").partitionBy("batch").parquet(src)
+    return sinks.relayout_history(spark, src, dst, "lineitem")
+
+
 @register("k11_table_schema", """SELECT lower(column_name) AS column_name,
   CASE data_type WHEN 'BIGINT' THEN 'bigint' WHEN 'INTEGER' THEN 'int' WHEN 'DOUBLE' THEN 'double'
     WHEN 'VARCHAR' THEN 'string' WHEN 'TIMESTAMP' THEN 'timestamp_ntz' ELSE lower(data_type) END AS data_type,
@@ -1415,3 +1460,26 @@ def upsert_columns_null_partitions(spark, sf):
     run_upsert(spark, o.where(F.col("o_orderdate").between(lo, hi) | F.col("o_orderdate").isNull()), path, spec, fx.ORDERS_LOAD,
                None, None, columns=["o_custkey", "o_totalprice"], whole_table=True)
     return spark.read.parquet(path).drop("o_orderdate_part")
+
+
+def _snapshot_then_window(spark, sf, spec):
+    """A snapshot of the orders before 1998, then one window of all orders, both by the writing path."""
+    from .upsert import run_upsert
+    orders, path = fx.read(spark, sf, "orders"), scratch_dir(spark, "upsert_files")
+    early = orders.where(F.col("o_orderdate") < F.lit("1998-01-01").cast("timestamp_ntz"))
+    run_upsert(spark, early, path, spec, fx.ORDERS_LOAD, None, None, whole_table=True)
+    run_upsert(spark, orders, path, spec, fx.ORDERS_LOAD, fx.INC_START, fx.INC_END)
+    return spark.read.parquet(path).select(*orders.columns)
+
+
+@register("m1_upsert_by_files", ORACLE["m1_merge_upsert"])
+def m1_upsert_by_files(spark, sf):
+    """The merge that rewrites only the files that hold a key of the window."""
+    return _snapshot_then_window(spark, sf, TableSpec(**{**fx.ORDERS_SPEC.__dict__, "partition_column": "o_orderdate_part", "rewrite": "files"}))
+
+
+@register("m1_upsert_unpartitioned", merge_sql(SNAP_CTE, f"orders WHERE {INC_WINDOW}", DEFAULT_GUARD, ALL_UPDATE, ALL_INSERT, YEAR_SCOPE)
+          .replace("{null_scope}", "OR true"))
+def m1_upsert_unpartitioned(spark, sf):
+    """The same into a snapshot without a partition field: every row is in scope, and only files with a key are rewritten."""
+    return _snapshot_then_window(spark, sf, TableSpec(**{**fx.ORDERS_SPEC.__dict__, "partition_field": None, "partition_column": None}))

@@ -5,11 +5,16 @@
     in-scope target rows -> write only the touched partitions (stage, then swap)
 
 Rows of untouched partitions are neither read nor rewritten. The write stages the
-new partitions under a fresh folder next to the table and then swaps whole
-partition directories, so a plan never overwrites a path it is reading. Every staged
+new partitions under a fresh folder next to the table and then commits them by whole
+partition directories (``sinks/commit.py``), so a plan never overwrites a path it is
+reading and a run after a lost driver finishes what that one had begun. Every staged
 folder reaches the table: those in scope replace the old ones, and rows that land
 outside the scope (no partition value in the column list, a cast that moves it) are
 added to what their partition holds.
+
+With ``spec.rewrite == "files"`` only the files that hold a key of the slice are read
+whole and rewritten; the rest of a touched partition stays as it is. A table without a
+partition field is always merged that way.
 """
 
 from __future__ import annotations
@@ -17,17 +22,18 @@ from __future__ import annotations
 import uuid
 from dataclasses import dataclass, field
 from typing import Sequence
+from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.scalars import partition_value
 from ..operators.dedup import latest
-from ..operators.merge import (check_partition_nulls, merge_rows, scope_value, split_scope,
-                               touched_bounds, touched_partitions_frame)
+from ..operators.merge import (Bounds, bounds_of, check_partition_nulls, merge_rows, read_bounds, scope_value,
+                               source_keys, split_scope, touched_bounds, touched_partitions_frame)
 from ..operators.project import filter_extra, filter_window, q
 from ..session import hadoop_fs, written
-from ..sinks.swap import add_files, folders, replace_folders
+from ..sinks.commit import commit, folders, recover
 from ..spec import LoadSpec, TableSpec
 
 NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"   # fixed value: the folder name of a NULL partition
@@ -52,16 +58,18 @@ def incremental_merge(raw: DataFrame, target: DataFrame, spec: TableSpec, load:
     if not spec.partition_field:
         return merge_rows(target, src, spec, columns)
     touched = written(touched_partitions_frame(sl, spec), "touched")
-    inside, rest = split_scope(target, spec, touched, touched_bounds(touched))
+    inside, rest = split_scope(target, spec, touched, touched_bounds(touched, spec))
     return merge_rows(inside, src, spec, columns).unionByName(rest)
 
 
 @dataclass
 class UpsertResult:
-    """``partitions``: the partition folders that got new content (empty for a table without any)."""
+    """``partitions``: the partition folders that got new content (empty for a table without any); ``files``: those that
+    a run by files has rewritten."""
     partitions: list[str] = field(default_factory=list)
     rewritten_partitions: int = 0
     path: str = ""
+    files: list[str] = field(default_factory=list)
     plan: str | None = None
 
 
@@ -83,7 +91,7 @@ def dry_run_upsert(raw: DataFrame, target: DataFrame, spec: TableSpec, load: Loa
         src = src.repartition(spec.buckets, *[F.col(k) for k in spec.primary_keys])
     if spec.partition_field:
         inside, _ = split_scope(target, spec, touched_partitions_frame(sl, spec) if touched is None else touched,
-                                None if touched is None else touched_bounds(touched))
+                                None if touched is None else touched_bounds(touched, spec))
     else:
         inside = target
     merged = merge_rows(inside.select(*[c for c in target.columns if c != spec.partition_column]), src, spec,
@@ -96,40 +104,33 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
-def _folder_values(df: DataFrame, spec: TableSpec) -> set[str]:
-    """Folder names of the distinct partition values of ``df``'s partition column."""
+def _touched(sl: DataFrame, spec: TableSpec) -> tuple[DataFrame, Bounds]:
+    """The touched partitions as a scratch table and their bounds, in one job."""
+    seen = Observation()
+    touched = written(touched_partitions_frame(sl, spec).observe(seen, *bounds_of(spec)), "touched")
+    return touched, read_bounds(seen.get, spec)
+
+
+def _scope_folders(touched: DataFrame, spec: TableSpec) -> set[str]:
+    """Folder names of the touched partitions, which the driver renames one by one; NULL's too where it is allowed."""
     pc = spec.partition_column
-    return {f"{pc}={NULL_FOLDER if r[0] is None else r[0]}" for r in df.select(q(pc).cast("string")).distinct().collect()}
+    names = touched.select(scope_value(F.col("partition_key"), spec, True).cast("string")).collect()
+    return {f"{pc}={r[0]}" for r in names} | ({f"{pc}={NULL_FOLDER}"} if spec.null_partition == "allow" else set())
 
 
-def _commit(spark: SparkSession, staged: str, target: str, spec: TableSpec, touched: DataFrame) -> tuple[list[str], list[str]]:
-    """Bring all staged partitions to the table: (folders with new content, folders taken away).
+@dataclass
+class _Staged:
+    """What a commit does with the staged partition folders: new ones, those in scope, those that are emptied."""
+    new: list[str]
+    replace: list[str]
+    add: list[str]
+    gone: list[str]
 
-    The driver sees folder names only, of the staged partitions and of those in scope
-    that the merge has emptied.
-    """
-    pc, allow = spec.partition_column, spec.null_partition == "allow"
-    new = folders(spark, staged)
-    scope = touched.select(scope_value(F.col("partition_key"), spec, True).alias(pc))
-    in_scope = _folder_values(scope.join(_staged_values(spark, new, pc, scope.schema[0].dataType), pc, "left_semi"), spec) if new else set()
-    emptied = scope.join(_staged_values(spark, new, pc, scope.schema[0].dataType), pc, "left_anti") if new else scope
-    gone = _folder_values(emptied, spec)
-    if allow:
-        null = f"{pc}={NULL_FOLDER}"
-        (in_scope if null in new else gone).add(null)
-    there = set(folders(spark, target))
-    moves = [(f"{staged}/{d}", f"{target}/{d}") for d in new if d in in_scope or d not in there]
-    moves += [(None, f"{target}/{d}") for d in sorted(gone & there)]
-    replace_folders(spark, moves, target)
-    for d in new:
-        if d not in in_scope and d in there:
-            add_files(spark, f"{staged}/{d}", f"{target}/{d}")
-    return new, sorted(gone & there)
-
-
-def _staged_values(spark: SparkSession, names: Sequence[str], pc: str, dtype) -> DataFrame:
-    values = [(n.split("=", 1)[1],) for n in names if not n.endswith(f"={NULL_FOLDER}")]
-    return spark.createDataFrame(values, "v string").select(F.col("v").cast(dtype).alias(pc))
+
+def _sorted_out(spark: SparkSession, staged: str, there: set[str], touched: DataFrame, spec: TableSpec) -> _Staged:
+    new, scope = folders(spark, staged), _scope_folders(touched, spec)
+    replace = [d for d in new if d in scope or d not in there]
+    return _Staged(new, replace, [d for d in new if d not in replace], sorted((scope - set(new)) & there))
 
 
 def run_upsert(spark: SparkSession, raw: DataFrame, snapshot_path: str, spec: TableSpec,
@@ -141,11 +142,14 @@ def run_upsert(spark: SparkSession, raw: DataFrame, snapshot_path: str, spec: Ta
     The snapshot is partitioned by ``spec.partition_column`` (derived from the
     partition field) when the spec has a partition field. The first run creates it.
     """
-    staged = f"{staging_root or snapshot_path.rstrip('/') + '_staging'}/{uuid.uuid4().hex[:12]}"
+    snapshot_path = snapshot_path.rstrip("/")
+    recover(spark, snapshot_path)
+    root = staging_root or snapshot_path + "_staging"
+    staged = f"{root}/{uuid.uuid4().hex[:12]}"
     sl = source_slice(raw, spec, load, start_run_id, end_run_id, whole_table)
     src = latest(sl, spec.primary_keys, spec.ordering, spec.dedup)
-    pc = spec.partition_column
-    if _exists(spark, snapshot_path):
+    pc, exists = spec.partition_column, _exists(spark, snapshot_path)
+    if exists:
         target = spark.read.parquet(snapshot_path)
     else:
         cols = list(columns or src.columns)
@@ -153,21 +157,59 @@ def run_upsert(spark: SparkSession, raw: DataFrame, snapshot_path: str, spec: Ta
         target = src.select(*cols, *([empty_pc] if pc else [])).limit(0)
     data_cols = [c for c in target.columns if c != pc]
 
-    if not spec.partition_field:
-        out = merge_rows(target.select(*data_cols), src, spec, columns)
-        out.write.mode("overwrite").parquet(staged)
-        n = replace_folders(spark, [(staged, snapshot_path)], snapshot_path.rstrip("/").rpartition("/")[0])
-        return UpsertResult([], n, snapshot_path)
-
-    touched = written(touched_partitions_frame(sl, spec), "touched")
-    inside, _rest = split_scope(target, spec, touched, touched_bounds(touched))
+    touched, bounds = _touched(sl, spec) if spec.partition_field else (None, None)
+    if exists and (spec.rewrite == "files" or not spec.partition_field):
+        return _upsert_files(spark, snapshot_path, target, written(src, "slice"), spec, columns, staged, touched, bounds)
+    inside = split_scope(target, spec, touched, bounds)[0] if spec.partition_field else target
     merged = merge_rows(inside.select(*data_cols), src, spec, columns)
+    _write_parts(merged, staged, spec)
+    new = folders(spark, staged)
+    if not exists:
+        n = commit(spark, snapshot_path, replace=[(staged, snapshot_path)], drop=[staged], there=set())
+        return UpsertResult(new, len(new) if pc else n, snapshot_path)
+    there = set(folders(spark, snapshot_path))
+    todo = _sorted_out(spark, staged, there, touched, spec)
+    at = lambda d: f"{snapshot_path}/{d}"
+    commit(spark, snapshot_path, [(f"{staged}/{d}", at(d)) for d in todo.replace], [at(d) for d in todo.gone],
+           [(f"{staged}/{d}", at(d)) for d in todo.add], drop=[staged], there={at(d) for d in there})
+    return UpsertResult(todo.new, len(todo.new), snapshot_path)
+
+
+def _write_parts(merged: DataFrame, staged: str, spec: TableSpec) -> None:
+    """Write rows under their partitions. ``rebalance`` co-locates the rows of one partition, and lets AQE split
+    a hot one (one day holding a third of the rows) over several tasks and files."""
+    pc = spec.partition_column
+    if not spec.partition_field:
+        merged.write.mode("overwrite").parquet(staged)
+        return
     merged = merged.withColumn(pc, partition_value(F.col(spec.partition_field), spec.partition_unit))
-    # co-locate rows of one partition before the write; ``rebalance`` lets AQE split
-    # a hot partition (one day holding a third of the rows) over several tasks/files
     merged.hint("rebalance", pc).write.mode("overwrite").partitionBy(pc).parquet(staged)
-    new, _ = _commit(spark, staged, snapshot_path, spec, touched)
-    return UpsertResult(new, len(new), snapshot_path)
+
+
+def files_with_keys(target: DataFrame, src: DataFrame, spec: TableSpec, touched: DataFrame | None = None,
+                    bounds: Bounds | None = None) -> list[str]:
+    """Files of ``target`` (in scope) that hold a key of the deduplicated slice: a scan of the key columns only, semi-joined with the slice."""
+    marked = target.withColumn("__file", F.col("_metadata.file_path"))
+    inside = split_scope(marked, spec, touched, bounds)[0] if spec.partition_field else marked
+    keys = source_keys(src, spec)
+    held = inside.select("__file", *[q(k).alias(f"__tk{i}") for i, k in enumerate(spec.primary_keys)])
+    same = [F.col(f"__tk{i}") == F.col(f"__sk{i}") for i in range(len(spec.primary_keys))]
+    return sorted(r[0] for r in held.join(keys, same, "left_semi").select("__file").distinct().collect())
+
+
+def _upsert_files(spark: SparkSession, path: str, target: DataFrame, src: DataFrame, spec: TableSpec, columns: Sequence[str] | None,
+                  staged: str, touched: DataFrame | None, bounds: Bounds | None) -> UpsertResult:
+    """Copy-on-write by file: rows of the files that hold a key of the slice are merged and written anew, and these
+    files taken away in the same commit. No other row in scope can match, so the rest stays untouched."""
+    hit = files_with_keys(target, src, spec, touched, bounds)
+    data_cols = [c for c in target.columns if c != spec.partition_column]
+    names = [unquote(f) for f in hit]
+    old = spark.read.schema(target.schema).option("basePath", path).parquet(*names) if hit else target.limit(0)
+    _write_parts(merge_rows(old.select(*data_cols), src, spec, columns), staged, spec)
+    new = folders(spark, staged)
+    add = [(f"{staged}/{d}", f"{path}/{d}") for d in new] if spec.partition_field else [(staged, path)]
+    commit(spark, path, remove=names, add=add, drop=[staged], there=set(names))
+    return UpsertResult(new, len(new) if spec.partition_field else 1, path, files=names)
 
 
 def _table_location(spark: SparkSession, table: str) -> str:
@@ -183,8 +225,8 @@ def run_upsert_bucketed(spark: SparkSession, raw: DataFrame, table: str, spec: T
     The snapshot is read as a bucketed scan, already hash-partitioned on the keys,
     so the merge join never shuffles it; only the deduplicated slice (one row per
     key) is repartitioned into the bucket count. New partitions are written to a
-    staging table with the same bucket layout and swapped in by directory; the table's
-    partition list is told of the folders that changed, and of no others.
+    folder of this run with the same bucket layout, and each partition of the table is pointed
+    at its new folder by one catalog statement; the old folders go after the commit.
     """
     if not (spec.buckets and spec.partition_field and spec.partition_column):
         raise ValueError("run_upsert_bucketed needs buckets, partition_field and partition_column")
@@ -204,27 +246,36 @@ def run_upsert_bucketed(spark: SparkSession, raw: DataFrame, table: str, spec: T
                                                                           spec.partition_unit))
         write_bucketed(empty, table, path or f"{spark.conf.get('spark.sql.warehouse.dir')}/{table}",
                        "errorifexists")
-    location = _table_location(spark, table)
+    location = _table_location(spark, table).rstrip("/")
+    if recover(spark, location):
+        spark.catalog.refreshTable(table)
     target = spark.table(table)
     data_cols = [c for c in target.columns if c != pc]
 
-    touched = written(touched_partitions_frame(sl, spec), "touched")
-    inside, _rest = split_scope(target, spec, touched, touched_bounds(touched))
+    touched, bounds = _touched(sl, spec)
+    inside, _rest = split_scope(target, spec, touched, bounds)
     merged = merge_rows(inside.select(*data_cols), src_b, spec, columns)
     merged = merged.withColumn(pc, partition_value(F.col(spec.partition_field), spec.partition_unit))
     staging = f"{table}__staging_{uuid.uuid4().hex[:10]}"
-    staged = f"{location.rstrip('/')}_staging/{uuid.uuid4().hex[:12]}"
+    staged = f"{location}_versions/{uuid.uuid4().hex[:12]}"
     write_bucketed(merged, staging, staged, "errorifexists")
-    spark.sql(f"DROP TABLE {staging}")  # external: the files stay for the swap
-    new, gone = _commit(spark, staged, location.rstrip("/"), spec, touched)
-    for verb, names in (("ADD IF NOT EXISTS", new), ("DROP IF EXISTS", gone)):
-        parts = [f"PARTITION ({_partition_spec(n)})" for n in names]
-        if parts:
-            spark.sql(f"ALTER TABLE {table} {verb} " + (" " if verb.startswith("ADD") else ", ").join(parts))
+    spark.sql(f"DROP TABLE {staging}")  # external: the files stay for the commit
+    there = {r[0] for r in spark.sql(f"SHOW PARTITIONS {table}").collect()}
+    todo = _sorted_out(spark, staged, there, touched, spec)
+    before = {d: _partition_location(spark, table, d) for d in [*todo.replace, *todo.add, *todo.gone] if d in there}
+    point = [(table, _partition_spec(d), f"{staged}/{d}", before.get(d)) for d in todo.replace]
+    point += [(table, _partition_spec(d), None, before[d]) for d in todo.gone]
+    commit(spark, location, add=[(f"{staged}/{d}", before[d]) for d in todo.add], point=point,
+           drop=[before[d] for d in [*todo.replace, *todo.gone] if d in before])
     spark.catalog.refreshTable(table)
-    return UpsertResult(new, len(new), location)
+    return UpsertResult(todo.new, len(todo.new), location)
 
 
 def _partition_spec(folder: str) -> str:
     name, value = folder.split("=", 1)
     return f"`{name}` = " + ("NULL" if value == NULL_FOLDER else f"'{value}'")
+
+
+def _partition_location(spark: SparkSession, table: str, folder: str) -> str:
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {table} PARTITION ({_partition_spec(folder)})").collect()
+    return next(r["data_type"] for r in rows if r["col_name"] == "Location").rstrip("/")

@@ -3,17 +3,19 @@
 Writes are plain DataFrameWriter calls. Partitioned appends ``rebalance`` on the
 partition column first: rows of one partition are co-located (few files per
 partition) while AQE may still split a hot partition over several tasks.
-Overwrites of a path are staged in a fresh folder and swapped in, so a plan never
+Overwrites of a path are staged in a fresh folder and committed by a rename, so a plan never
 overwrites the files it reads.
 """
 
 from __future__ import annotations
 
 import json
+import threading
 import uuid
 from typing import Iterator, Mapping, Sequence
 
 import pandas as pd
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -21,7 +23,8 @@ from pyspark.sql import types as T
 from ..functions.scalars import partition_value
 from ..session import hadoop_fs
 from ..spec import spark_type
-from .swap import replace_folders
+from .commit import commit, recover
+from .commit import folders as _folders_in
 
 
 def partition_column_name(field: str) -> str:
@@ -81,48 +84,70 @@ def check_additive(old: T.DataType, new: T.DataType, path: str = "") -> T.DataTy
     return old
 
 
-SCHEMA_FILE = "_schema.json"     # readers of data files skip names with a leading underscore
+SCHEMA_LOG = "_schema"     # folder of numbered versions; readers of data files skip names with a leading underscore
+_claiming = threading.Lock()
 
 
-def _kept_schema(spark: SparkSession, path: str) -> T.StructType | None:
-    """The table's widened schema from its schema file, or from the data of a table without one."""
-    fs, file = hadoop_fs(spark, f"{path.rstrip('/')}/{SCHEMA_FILE}")
-    if fs.exists(file):
-        stream = fs.open(file)
+def _schema_version(spark: SparkSession, path: str) -> tuple[int, T.StructType | None]:
+    """The latest version of the table's widened schema and its number: 0 for a table without a log, whose schema comes
+    from its data (None for one without any)."""
+    fs, log = hadoop_fs(spark, f"{path.rstrip('/')}/{SCHEMA_LOG}")
+    names = [f.getPath().getName() for f in fs.listStatus(log)] if fs.exists(log) else []
+    numbers = [int(n[:-5]) for n in names if n.endswith(".json") and n[:-5].isdigit()]
+    if numbers:
+        stream = fs.open(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(log, f"{max(numbers):08d}.json"))
         text = spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
         stream.close()
-        return T.StructType.fromJson(json.loads(text))
-    if fs.exists(file.getParent()) and any(not f.getPath().getName().startswith(("_", ".")) for f in fs.listStatus(file.getParent())):
-        return spark.read.option("mergeSchema", "true").parquet(path).schema
-    return None
-
-
-def _keep_schema(spark: SparkSession, path: str, schema: T.StructType) -> None:
-    """Write beside, then rename into place, so that readers see one whole file or the other."""
-    fs, file = hadoop_fs(spark, f"{path.rstrip('/')}/{SCHEMA_FILE}")
-    Path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
-    part = Path(f"{file}.{uuid.uuid4().hex[:8]}")
+        return max(numbers), T.StructType.fromJson(json.loads(text))
+    table = log.getParent()
+    if fs.exists(table) and any(not f.getPath().getName().startswith(("_", ".")) for f in fs.listStatus(table)):
+        return 0, spark.read.option("mergeSchema", "true").parquet(path).schema
+    return 0, None
+
+
+def _claim_version(spark: SparkSession, path: str, number: int, schema: T.StructType) -> bool:
+    """Put version ``number`` in place unless another writer has: written beside, then renamed to a name that must not
+    exist. The store's rename decides between writers; on a local disk, where it would overwrite, this process's lock."""
+    fs, log = hadoop_fs(spark, f"{path.rstrip('/')}/{SCHEMA_LOG}")
+    jvm = spark.sparkContext._jvm
+    fs.mkdirs(log)
+    part, file = jvm.org.apache.hadoop.fs.Path(log, f".{uuid.uuid4().hex}.part"), jvm.org.apache.hadoop.fs.Path(log, f"{number:08d}.json")
     out = fs.create(part)
     out.write(bytearray(schema.json().encode()))
     out.close()
-    if fs.exists(file):
-        fs.delete(file, False)
-    if not fs.rename(part, file):
-        raise OSError(f"could not rename {part} to {file}")
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.makeQualified(file).toUri(), spark.sparkContext._jsc.hadoopConfiguration())
+    keep = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 0)
+    try:
+        with _claiming:
+            context.rename(fs.makeQualified(part), fs.makeQualified(file), keep)
+        return True
+    except Py4JJavaError as e:
+        if "FileAlreadyExistsException" not in e.java_exception.getClass().getName():
+            raise
+        fs.delete(part, False)
+        return False
+
+
+def evolve_schema(spark: SparkSession, path: str, new: T.StructType) -> T.StructType:
+    """The table's schema widened by ``new``, as a version of its log that holds what all other writers have added so far.
+    A changed type raises and leaves the log as it is."""
+    new = T.StructType([T.StructField(f.name, f.dataType, True) for f in new.fields])
+    while True:
+        number, old = _schema_version(spark, path)
+        widened = new if old is None else check_additive(old, new)
+        if number and widened == old or _claim_version(spark, path, number + 1, widened):
+            return widened
 
 
 def append_with_new_fields(df: DataFrame, path: str, partition_field: str | None = None,
                            partition_unit: str | None = None, **kw) -> None:
     """K2: append a batch that may bring new top-level columns. The batch is compared with
     the table's schema before anything is written; a changed type raises, nested ones
-    too. The widened schema is kept with the table, so readers open no footers for it."""
-    spark = df.sparkSession
+    too. The widened schema goes to the table's log before the rows, so no row is ever in the table whose
+    columns readers do not know; a load that ends in between leaves columns that are NULL."""
     whole, _ = with_partition(df, partition_field, partition_unit)
-    old = _kept_schema(spark, path)
-    new = T.StructType([T.StructField(f.name, f.dataType, True) for f in whole.schema.fields])
-    widened = check_additive(old, new) if old is not None else new
+    evolve_schema(df.sparkSession, path, whole.schema)
     append_raw(df, path, partition_field, partition_unit, **kw)
-    _keep_schema(spark, path, widened)
 
 
 def append_with_new_struct_fields(df: DataFrame, path: str, **kw) -> None:
@@ -132,7 +157,7 @@ def append_with_new_struct_fields(df: DataFrame, path: str, **kw) -> None:
 
 def read_evolved(spark: SparkSession, path: str) -> DataFrame:
     """Read with the widened schema (older rows have NULL in later columns and members)."""
-    return spark.read.schema(_kept_schema(spark, path)).parquet(path)
+    return spark.read.schema(_schema_version(spark, path)[1]).parquet(path)
 
 
 def union_evolved(old: DataFrame, new: DataFrame) -> DataFrame:
@@ -157,13 +182,14 @@ def create_table_as(spark: SparkSession, df: DataFrame, table: str, path: str |
 
 def full_load(spark: SparkSession, df: DataFrame, path: str, fmt: str = "parquet",
               partition_by: Sequence[str] = ()) -> None:
-    """K5: replace the destination with the query result (staged, then swapped)."""
+    """K5: replace the destination with the query result (staged, then committed; see ``sinks/commit.py``)."""
+    recover(spark, path)
     staged = f"{path.rstrip('/')}_staging_{uuid.uuid4().hex[:12]}"
     w = df.write.mode("overwrite").format(fmt)
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.save(staged)
-    replace_folders(spark, [(staged, path)], path.rstrip("/").rpartition("/")[0])
+    commit(spark, path, replace=[(staged, path.rstrip("/"))])
 
 
 def create_empty(spark: SparkSession, schema: T.StructType | str, table: str, path: str | None = None,
@@ -257,15 +283,57 @@ def write_delimited(df: DataFrame, path: str, delimiter: str = "|", header_rows:
     lines.write.mode("overwrite").text(path)
 
 
+MANIFEST = "_moved"
+
+
 def relayout_history(spark: SparkSession, source: str, target: str, table: str, fmt: str = "parquet",
                      date_col: str = "snapshot_date") -> DataFrame:
     """History files under ``…/<table>_yyyyMMdd/…`` folders rewritten as a hive
-    tree partitioned by the date. The source is only read, never deleted."""
-    df = spark.read.format(fmt).option("recursiveFileLookup", "true").load(source)
+    tree partitioned by the date. The source is only read, never deleted.
+
+    A manifest in ``<target>/_moved`` holds each source file with its size and time, by date. A run lists the source,
+    compares it with the manifest, and rewrites the dates whose files are not the same as then: a second run writes
+    nothing. Data and manifest of a date are committed together (``sinks/commit.py``).
+    """
+    from ..sources.inventory import file_inventory
+
+    target = target.rstrip("/")
+    recover(spark, target)
     pattern = table + r"_(\d{8})(?:/|$)"
-    dated = df.withColumn(date_col, F.to_date(F.regexp_extract(F.col("_metadata.file_path"), pattern, 1),
-                                              "yyyyMMdd"))
-    dated.hint("rebalance", date_col).write.mode("overwrite").format(fmt).partitionBy(date_col).save(target)
+    date_of = lambda c: F.try_to_timestamp(F.regexp_extract(c, pattern, 1), F.lit("yyyyMMdd")).cast("date")
+    found = file_inventory(spark, source).where(~F.col("name").rlike("^[_.]"))
+    found = found.select(F.col("path").alias("file"), "length", F.col("modificationTime").alias("modified"), date_of(F.col("path")).alias(date_col))
+    there = set(_folders_in(spark, target))
+    key = ["file", "length", "modified", date_col]
+    if there:
+        moved = spark.read.schema(found.schema).parquet(f"{target}/{MANIFEST}")
+        a, b = found.alias("a"), moved.alias("b")
+        fresh = a.join(b, [F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}")) for c in key], "left_anti").select(date_col)
+        lost = b.join(a, [F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}")) for c in key], "left_anti").select(date_col)
+        dates = [r[0] for r in fresh.unionByName(lost).distinct().collect()]
+        if not dates:
+            return spark.read.format(fmt).load(target)
+        changed = F.col(date_col).isin([d for d in dates if d]) | (F.col(date_col).isNull() if None in dates else F.lit(False))
+        found = found.where(changed)
+        patterns = [f"{table}_{d:%Y%m%d}" for d in dates if d]
+    staged = f"{target}_staging/{uuid.uuid4().hex[:12]}"
+    df = spark.read.format(fmt).option("recursiveFileLookup", "true").load(source)
+    dated = df.withColumn(date_col, date_of(F.col("_metadata.file_path")))
+    if there:
+        # names of files come from the file listing, so other dates' files are skipped before they are opened
+        wanted = F.regexp_extract(F.col("_metadata.file_path"), "(" + table + r"_\d{8})(?:/|$)", 1).isin(patterns)
+        dated = dated.where(wanted | F.col(date_col).isNull() if None in dates else wanted)
+    dated.hint("rebalance", date_col).write.mode("overwrite").format(fmt).partitionBy(date_col).save(staged)
+    found.hint("rebalance", date_col).write.mode("overwrite").partitionBy(date_col).parquet(f"{staged}/{MANIFEST}")
+    if not there:
+        commit(spark, target, replace=[(staged, target)], drop=[staged])
+    else:
+        name = lambda d: f"{date_col}={d.isoformat() if d else '__HIVE_DEFAULT_PARTITION__'}"
+        new, noted = set(_folders_in(spark, staged)), set(_folders_in(spark, f"{staged}/{MANIFEST}"))
+        commit(spark, target, [(f"{staged}/{d}", f"{target}/{d}") for d in sorted(new)]
+               + [(f"{staged}/{MANIFEST}/{d}", f"{target}/{MANIFEST}/{d}") for d in sorted(noted)],
+               [f"{target}/{d}" for d in map(name, dates) if d not in new] + [f"{target}/{MANIFEST}/{d}" for d in map(name, dates) if d not in noted],
+               drop=[staged])
     return spark.read.format(fmt).load(target)
 
 

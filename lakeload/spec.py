@@ -76,6 +76,7 @@ class TableSpec:
     partition_column: str | None = None  # physical directory key of the snapshot, if any
     dedup: str = "agg"  # "agg" (max_by per key) or "window" (row_number)
     buckets: int | None = None  # snapshot bucketed by the primary keys (catalog table)
+    rewrite: str = "partitions"  # what a merge on paths rewrites: touched "partitions", or the "files" that hold a key
 
     def __post_init__(self):
         unit = self.partition_unit.upper()
@@ -84,6 +85,8 @@ class TableSpec:
             raise ValueError(f"partition unit {unit!r} not in {PARTITION_UNITS}")
         if self.null_partition not in ("error", "allow"):
             raise ValueError("null_partition must be 'error' or 'allow'")
+        if self.rewrite not in ("partitions", "files"):
+            raise ValueError("rewrite must be 'partitions' or 'files'")
 
     @classmethod
     def from_config(cls, table_keys: Mapping, common: Mapping | None = None,
