@@ -301,3 +301,14 @@ def odd_attributes(part: DataFrame) -> DataFrame:
     docs = F.explode(F.array(F.struct(F.lit(0).alias("layer"), low.alias("attributes")),
                              F.struct(F.lit(1).alias("layer"), high.alias("attributes"))))
     return part.select(F.col("p_partkey").alias("entity"), docs.alias("d")).select("entity", "d.layer", "d.attributes")
+
+
+def repeated_keys(part: DataFrame) -> DataFrame:
+    """Documents that give keys twice; every fifth entity's second layer is cut off, the others' is empty."""
+    size, fifth = F.col("p_size").cast("string"), F.col("p_partkey") % 5 == 0
+    low = F.concat(F.lit('{"a": "first", "a": '), size, F.when(fifth, "").otherwise(
+        F.concat(F.lit(', "b": {"c": 1}, "b": {"d": "'), F.col("p_type"), F.lit('"}'))), F.lit("}"))
+    high = F.when(fifth, F.concat(F.lit('{"a": '), size)).otherwise("{}")
+    docs = F.explode(F.array(F.struct(F.lit(0).alias("layer"), low.alias("attributes")),
+                             F.struct(F.lit(1).alias("layer"), high.alias("attributes"))))
+    return part.select(F.col("p_partkey").alias("entity"), docs.alias("d")).select("entity", "d.layer", "d.attributes")

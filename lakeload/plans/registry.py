@@ -1268,6 +1268,18 @@ def l1_resolve_layers_odd(spark, sf):
     return _slashed(layers.resolve_layers(fx.odd_attributes(fx.read(spark, sf, "part"))))
 
 
+@register("l1_repeated_keys", """SELECT p_partkey AS entity, 'a' AS path, CAST(p_size AS VARCHAR) AS value, 0 AS layer FROM part
+UNION ALL SELECT p_partkey, 'b/d', p_type, 0 FROM part WHERE p_partkey % 5 <> 0""")
+def l1_repeated_keys(spark, sf):
+    """Documents that repeat keys (the last one wins); every fifth one's second layer is no JSON and has no say."""
+    return _slashed(layers.resolve_layers(fx.repeated_keys(fx.read(spark, sf, "part"))))
+
+
+@register("l2_no_json", """SELECT p_partkey AS entity, '' AS path, 'no JSON document in layer 1' AS error FROM part WHERE p_partkey % 5 = 0""")
+def l2_no_json(spark, sf):
+    return _slashed(layers.layer_conflicts(fx.repeated_keys(fx.read(spark, sf, "part"))))
+
+
 @register("l2_layer_conflicts", """WITH lp AS (SELECT p_partkey // 6 AS entity, p_partkey % 6 AS layer, * FROM part)
 SELECT DISTINCT a.entity, 'spec' AS path, 'layers disagree whether this key is an object: spec' AS error
 FROM lp a JOIN lp b ON a.entity = b.entity

@@ -296,6 +296,28 @@ def test_layers_of_odd_documents(spark):
     assert set(got) == {1, 2, 3, 4, 5}
 
 
+def test_layers_of_documents_with_repeated_keys_and_of_no_json(spark):
+    docs = [(1, 0, '{"a":1,"a":2,"b":{"c":1},"b":{"d":1.50}}'), (1, 1, '{"a":'), (2, 0, '{"x":NaN}'), (2, 3, "nothing"), (3, 0, '{"x":null,"y":[1e3,{"b":1,"a":"é\\ud800"}]}'),
+            (4, 0, '{"x":{}}'), (4, 1, '{"x":1}'), (4, 2, '{"x":{}}'), (5, 0, '{"x":{"y":1}}'), (5, 2, '{"x":{}}')]
+    attrs = spark.createDataFrame(docs, "entity int, layer int, attributes string")
+    got = {(r["entity"], "/".join(r["path"])): (r["value"], r["layer"]) for r in layers.resolve_layers(attrs).collect()}
+    assert got == {(1, "a"): ("2", 0), (1, "b/d"): ("1.50", 0), (3, "x"): (None, 0), (3, "y"): ('[1e3,{"a":"é?","b":1}]', 0),
+                   (4, "x"): ("{}", 2), (5, "x/y"): ("1", 0)}
+    errors = {(r["entity"], "/".join(r["path"])): r["error"] for r in layers.layer_conflicts(attrs).collect()}
+    assert errors == {(1, ""): "no JSON document in layer 1", (2, ""): "no JSON document in layer 0, 3",
+                      (4, "x"): "layers disagree whether this key is an object: x"}
+
+
+def test_resolving_layers_is_one_job_whatever_the_depth(spark):
+    deep = 1
+    for i in range(40, 0, -1):
+        deep = {f"k{i}": deep}
+    attrs = spark.createDataFrame([(1, 0, json.dumps(deep))], "entity int, layer int, attributes string")
+    plan = layers.resolve_layers(attrs)
+    assert plan._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
+    assert rows(plan, "path") == [([f"k{i}" for i in range(1, 41)],)]
+
+
 def test_header_rows_with_files_split_across_tasks(spark):
     d = scratch_dir(spark, "t_split")
     df = spark.createDataFrame([(str(i), "x" * 20) for i in range(400)], "a string, b string").repartition(2)
