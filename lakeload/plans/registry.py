@@ -7,6 +7,7 @@ none filters rows to keep the check cheap.
 
 from __future__ import annotations
 
+import os
 import re
 import uuid
 from concurrent.futures import ThreadPoolExecutor
@@ -18,7 +19,7 @@ from pyspark.sql import functions as F
 from ..functions import scalars
 from ..session import scratch_dir, table_path
 from ..sinks import tables as sinks
-from ..sources import connectors, files, inventory
+from ..sources import connectors, files, inventory, warehouse
 from ..operators import audit, dedup, jobstats, joins, layers, merge, project, retention, windows
 from ..spec import TableSpec
 from . import fixtures as fx
@@ -774,6 +775,15 @@ def s4_scan_object_store(spark, sf):
     return files.scan_object_store(spark, "file://" + table_path(sf, "lineitem"))
 
 
+@register("s4_scan_other_scheme", "SELECT l.*, o.o_orderstatus FROM lineitem l JOIN orders o ON o.o_orderkey = l.l_orderkey")
+def s4_scan_other_scheme(spark, sf):
+    """Two reads of one scheme and host whose settings lead to different places."""
+    here = lambda table: {"fs.viewfs.mounttable.lake.link./store": "file://" + table_path(sf, table)}
+    read = lambda table: files.scan_object_store(spark, "viewfs://lake/store", here(table))
+    lines, orders = read("lineitem"), read("orders")
+    return lines.join(orders.select(F.col("o_orderkey").alias("l_orderkey"), "o_orderstatus"), "l_orderkey")
+
+
 @register("s5_scan_partitioned", TEXT_ORDERS_TYPED.replace(
     "FROM orders", ", CAST(date_trunc('month', o_orderdate) AS DATE) AS load_date FROM orders"))
 def s5_scan_partitioned(spark, sf):
@@ -797,6 +807,17 @@ def s6_scan_connector(spark, sf):
         "FROM {source} GROUP BY l_returnflag, l_linestatus")
 
 
+@register("s6_scan_warehouse", """SELECT l_orderkey, l_linenumber, l_quantity, l_shipdate, o_orderpriority FROM lineitem
+JOIN orders ON o_orderkey = l_orderkey WHERE l_returnflag = 'R' AND l_quantity >= 10 AND l_shipdate < TIMESTAMP '1998-01-01'""")
+def s6_scan_warehouse(spark, sf):
+    """A source query through a connector: read in four parts, with Spark's filters handed over."""
+    found = connectors.scan_connector(spark, warehouse.register(spark), {"database": sf, "partitionColumn": "l_orderkey", "numPartitions": "4"},
+                                      "SELECT l_orderkey, l_linenumber, l_quantity, l_shipdate, l_returnflag, o_orderpriority "
+                                      "FROM lineitem JOIN orders ON o_orderkey = l_orderkey")
+    wanted = (F.col("l_returnflag") == "R") & (F.col("l_quantity") >= 10) & (F.col("l_shipdate") < F.lit("1998-01-01").cast("timestamp_ntz"))
+    return found.where(wanted).drop("l_returnflag")
+
+
 def _relative(root: str):
     """A listed path or folder below ``root``."""
     plain = root.split(":", 1)[1].lstrip("/") if ":" in root else root.lstrip("/")
@@ -931,6 +952,16 @@ def k8_copy_table(spark, sf):
     return spark.read.parquet(d)
 
 
+@register("k8_copy_warehouse", "SELECT c_custkey, c_name, n_name FROM customer JOIN nation ON n_nationkey = c_nationkey")
+def k8_copy_warehouse(spark, sf):
+    """From one warehouse to another, both through the connector, and read back through it."""
+    fmt, d = warehouse.register(spark), scratch_dir(spark, "k8")
+    os.makedirs(d.removeprefix("file://"))
+    sinks.copy_table(spark, fmt, {"database": sf, "partitionColumn": "c_custkey", "numPartitions": "3"}, fmt, {"database": d, "dbtable": "named"},
+                     query="SELECT c_custkey, c_name, n_name FROM customer JOIN nation ON n_nationkey = c_nationkey")
+    return connectors.scan_connector(spark, fmt, {"database": d, "dbtable": "named"})
+
+
 @register("k9_export_csv", "SELECT * FROM events")
 def k9_export_csv(spark, sf):
     d = scratch_dir(spark, "k9")

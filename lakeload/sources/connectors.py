@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 # Connector formats that accept a source query as the "query" option,
 # and the option that turns the connector's own plan pushdown off.
 QUERY_FORMATS = ("jdbc", "net.snowflake.spark.snowflake", "snowflake", "bigquery",
-                 "com.google.cloud.spark.bigquery")
+                 "com.google.cloud.spark.bigquery", "lakeload_warehouse")
 PUSHDOWN_OFF = {"net.snowflake.spark.snowflake": ("autopushdown", "off"),
                 "snowflake": ("autopushdown", "off")}
 

@@ -110,12 +110,13 @@ def scan_parquet(spark: SparkSession, path: str | Sequence[str], base_path: str
 
 def scan_object_store(spark: SparkSession, uri: str, hadoop_conf: Mapping[str, str] | None = None) -> DataFrame:
     """Parquet from an object-store URI (``s3a://``, ``gs://``, ``file://``).
-    Store settings (endpoint, signing version, credentials provider) go to the
-    Hadoop configuration; credentials come from the cluster, never from code."""
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    for k, v in (hadoop_conf or {}).items():
-        conf.set(k, v)
-    return spark.read.parquet(uri)
+    Store settings (endpoint, signing version, credentials provider) are options of this read alone. Hadoop keeps one
+    open store per scheme and host whatever its settings, so a read with settings opens its own: two reads
+    in one session do not mix. Credentials come from the cluster, never from code."""
+    options = dict(hadoop_conf or {})
+    if options:
+        options.setdefault(f"fs.{uri.partition('://')[0]}.impl.disable.cache", "true")
+    return spark.read.options(**options).parquet(uri)
 
 
 def scan_partitioned(spark: SparkSession, path: str, fmt: str, schema: T.StructType | str,
