@@ -45,6 +45,16 @@ def bound(run_id: str, zone: str = "PST8PDT") -> str:
     return f"timezone('UTC', timezone('{zone}', strptime('{run_id}', '%Y%m%d%H%M%S')))"
 
 
+def crc32_sql(text: str, name: str = "crcs") -> str:
+    """DuckDB: CTEs ``name`` (text, crc) of the texts that the query ``text`` gives as ``text``: a byte-wise fold over a
+    table of 256 remainders, itself eight bit-wise steps of the polynomial 0xEDB88320."""
+    return f"""{name}_table AS (SELECT [list_reduce(range(8), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, i)
+  FOR i IN range(256)] AS tab),
+{name}_bytes AS (SELECT DISTINCT text, [('0x' || h)::BIGINT FOR h IN regexp_extract_all(hex(encode(text)), '..')] AS bytes FROM ({text})),
+{name} AS (SELECT text, xor(list_reduce(bytes, lambda c, x: xor(c >> 8, tab[(xor(c, x) & 255) + 1]), 4294967295), 4294967295) AS crc
+  FROM {name}_bytes, {name}_table)"""
+
+
 ORDER_COLS = "o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority"
 INC_WINDOW = f"o_orderdate BETWEEN {bound(fx.INC_START)} AND {bound(fx.INC_END)}"
 
@@ -706,7 +716,8 @@ def f8_truncate(spark, sf):
                     F.length(scalars.truncate("text")).alias("n"))
 
 
-@register("f8_checksum")
+@register("f8_checksum", f"""WITH {crc32_sql("SELECT text FROM documents WHERE text IS NOT NULL")}
+SELECT doc_id, crc AS checksum FROM documents d LEFT JOIN crcs ON crcs.text = d.text""")
 def f8_checksum(spark, sf):
     d = fx.read(spark, sf, "documents")
     return d.select("doc_id", scalars.checksum("text").alias("checksum"))
@@ -1199,9 +1210,11 @@ STATS_BASE_SQL = """sb AS (SELECT l_orderkey AS k, l_linenumber AS ln, l_partkey
     'job_' || (l_suppkey % 10) AS job_name FROM lineitem),
 sj AS (SELECT *, CASE WHEN parent IS NOT NULL THEN parent || ':' || jid ELSE jid END AS job_id FROM sb)"""
 
-N1_SELECT = """SELECT end_time_ms, ln AS seq_num, job_id, job_name, 'JOB' AS query_type,
-  substring('MERGE INTO snapshot_' || (p % 50) || ' USING raw_' || s || ' '
-    || repeat('x', CAST(CAST(trunc(l_extendedprice) AS BIGINT) % 5000 AS INTEGER)), 1, 4000) AS query,
+N1_TEXT = """'MERGE INTO snapshot_' || (p % 50) || ' USING raw_' || s || ' '
+    || repeat('x', CAST(CAST(trunc(l_extendedprice) AS BIGINT) % 5000 AS INTEGER))"""
+
+N1_SELECT = f"""SELECT end_time_ms, ln AS seq_num, job_id, job_name, 'JOB' AS query_type,
+  substring({N1_TEXT}, 1, 4000) AS query,
   CASE WHEN l_discount > 0.05 THEN 'raw_tables:snapshot_' || (p % 50) ELSE 'NO_TARGET_SPECIFIED' END AS db_name,
   st AS init_time, en AS end_time,
   coalesce(CASE WHEN l_returnflag = 'R' THEN CAST(CAST(l_quantity AS BIGINT) AS VARCHAR) END, '0') AS record_count,
@@ -1229,7 +1242,9 @@ def n1_job_stats(spark, sf):
     return jobstats.job_stats(_stats(spark, sf)).select(*STAT_FIELDS)
 
 
-@register("n1_job_stats_checksum")
+@register("n1_job_stats_checksum", f"""WITH {STATS_BASE_SQL}, texts AS (SELECT *, {N1_TEXT} AS text FROM sj),
+{crc32_sql("SELECT text FROM texts")}
+SELECT r.* EXCLUDE (text), crc AS checksum FROM ({N1_SELECT.replace("AS time_taken FROM sj", "AS time_taken, text FROM texts")}) r JOIN crcs USING (text)""")
 def n1_job_stats_checksum(spark, sf):
     return jobstats.job_stats(_stats(spark, sf))
 
@@ -1239,7 +1254,9 @@ def n2_stage_stats(spark, sf):
     return jobstats.stage_stats(_stats(spark, sf)).select(*STAT_FIELDS)
 
 
-@register("n2_stage_stats_checksum")
+@register("n2_stage_stats_checksum", f"""WITH {STATS_BASE_SQL}, q AS ({N2_SELECT}),
+{crc32_sql("SELECT query AS text FROM q")}
+SELECT q.*, crc AS checksum FROM q JOIN crcs ON crcs.text = q.query""")
 def n2_stage_stats_checksum(spark, sf):
     return jobstats.stage_stats(_stats(spark, sf))
 
