@@ -7,11 +7,15 @@ that comes first, which occurs at some offset in the other place.
 
 1. Index and probe. Every document gives its grid blocks and its rolling windows of BLOCK words, as hashes. They
    meet by hash; a hash is live if it is a grid block and occurs at least twice anywhere.
-2. Extend. Around live hashes, and only there, the windows of WINDOW words are keyed by 96 bits. They meet by
+2. Extend. Around live hashes, and only there, the windows of WINDOW words are keyed by 128 bits. They meet by
    key, and each bucket of documents learns which of its keys start earlier elsewhere.
 3. Remove. Such windows, and later ones of the same key in the bucket itself, cover the words that go;
    overlapping windows join into maximal repeats.
 
+Keys. Each distinct word has two independent 64-bit hashes (128 bits of its bytes), and each half of a window's key is a
+polynomial of one of them. Two windows that differ in a word share a key with probability 2^-128, whatever the words hold
+in common: about 1e-12 for any pair among the 2e13 windows of 100 TB.
+
 Documents are dealt into buckets by hash, as compressed texts, once; ``checkpoint()`` keeps that dealing, so
 later steps bring only the small replies to the texts. A bucket sends each distinct hash or key once, with the
 first place it has, however often copies repeat it: a passage that a third of all documents share costs one
@@ -32,10 +36,11 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeload.llm.common import dealt_once, long_id, read_table, shuffle_width
-from lakeload.llm.wordhash import BASES, U, compressed, mix, rolling, texts_of, valid_starts, word_hashes
+from lakeload.llm.common import dealt_once, long_id, read_table
+from lakeload.llm.wordhash import BASES, U, compressed, rolling, texts_of, valid_starts, word_keys
 
 WINDOW, BLOCK = 20, 10
+BUCKET_BYTES = 8 << 20     # text of a bucket; their number follows the data
 
 
 def pack(values: np.ndarray) -> bytes:
@@ -63,7 +68,7 @@ def slices(sorted_homes: np.ndarray) -> Iterator[tuple[int, slice]]:
 def probe(homes: int, block: int):
     """Bucket of texts -> per home its distinct rolling hashes, whether they are grid blocks, whether twice here."""
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        words, bounds = word_hashes(texts_of(pdf))
+        words, _, bounds = word_keys(texts_of(pdf))
         starts = valid_starts(bounds, block)
         found = rolling(words, block, BASES[1])[starts] if len(starts) else np.zeros(0, U)
         on_grid = (starts - np.repeat(bounds[:-1], np.maximum(0, np.diff(bounds) - block + 1))) % block == 0
@@ -99,10 +104,9 @@ def meet(pdf: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame(rows, columns=["bucket", "home", "hashes"])
 
 
-def window_keys(words: np.ndarray, starts: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
-    first = rolling(words, window, BASES[1])[starts]
-    second = rolling(mix(words ^ U(BASES[0])), window, BASES[2])[starts]
-    return first, (second & U(0xFFFFFFFF)).astype(np.uint32)
+def window_keys(words: np.ndarray, others: np.ndarray, starts: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
+    """128 bits of the windows from ``starts``, each half from its own word hashes."""
+    return rolling(words, window, BASES[1])[starts], rolling(others, window, BASES[2])[starts]
 
 
 def by_key(first, second, doc, start) -> tuple[np.ndarray, np.ndarray]:
@@ -114,8 +118,8 @@ def by_key(first, second, doc, start) -> tuple[np.ndarray, np.ndarray]:
     return order, begin
 
 
-KEY = np.dtype([("first", "<u8"), ("second", "<u4"), ("doc", "<i8"), ("start", "<u4")])
-LOST = np.dtype([("first", "<u8"), ("second", "<u4")])
+KEY = np.dtype([("first", "<u8"), ("second", "<u8"), ("doc", "<i8"), ("start", "<u4")])
+LOST = np.dtype([("first", "<u8"), ("second", "<u8")])
 
 
 def extend(homes: int, window: int, block: int):
@@ -123,7 +127,7 @@ def extend(homes: int, window: int, block: int):
     def run(key, pdf: pd.DataFrame, live: pd.DataFrame) -> pd.DataFrame:
         rows = []
         if len(pdf) and len(live):
-            words, bounds = word_hashes(texts_of(pdf))
+            words, others, bounds = word_keys(texts_of(pdf))
             here = np.sort(np.concatenate([(U(h) << U(32)) | unpack(b).astype(U) for h, b in zip(live["home"], live["hashes"])]))
             small = rolling(words, block, BASES[1])
             coded = (home_of(small, homes).astype(U) << U(32)) | (small & U(0xFFFFFFFF))
@@ -134,7 +138,7 @@ def extend(homes: int, window: int, block: int):
             starts = starts[hits[starts + window - block + 1] > hits[starts]]
             if len(starts):
                 doc_at = np.searchsorted(bounds, starts, side="right") - 1
-                first, second = window_keys(words, starts, window)
+                first, second = window_keys(words, others, starts, window)
                 doc, start = pdf["ord"].to_numpy()[doc_at], starts - bounds[doc_at]
                 order, begin = by_key(first, second, doc, start)
                 order = order[begin == np.arange(len(order))]
@@ -170,11 +174,11 @@ def remove(window: int):
     def run(key, pdf: pd.DataFrame, lost: pd.DataFrame) -> pd.DataFrame:
         rows = []
         texts = texts_of(pdf)
-        words, bounds = word_hashes(texts)
+        words, others, bounds = word_keys(texts)
         starts = valid_starts(bounds, window)
         gone = np.zeros(len(words) + 1, np.int64)
         if len(starts):
-            first, second = window_keys(words, starts, window)
+            first, second = window_keys(words, others, starts, window)
             doc_at = np.searchsorted(bounds, starts, side="right") - 1
             doc, start = pdf["ord"].to_numpy()[doc_at], starts - bounds[doc_at]
             # within the bucket: only keys that occur twice need their places compared
@@ -219,12 +223,11 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, block: int = BLOCK, bu
     """(doc_id, n_words, n_removed, kept, repeats) for every row of ``docs``; repeats are ``first:end`` word spans."""
     if window < 2 * block - 1:
         raise ValueError("a window must hold a whole block of the grid")
-    spark = docs.sparkSession
-    n = buckets or 2 * shuffle_width(spark)
+    n = buckets or max(1, -(-(docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // BUCKET_BYTES))
     last = (1 << 63) - 1
     rows = (docs.select(long_id().alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
             .select(F.coalesce("doc_id", F.lit(last)).alias("ord"), F.col("doc_id").isNull().alias("no_id"),
-                    F.pmod(F.xxhash64("doc_id", F.xxhash64("text")), F.lit(n)).cast("int").alias("bucket"),
+                    F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(n)).cast("int").alias("bucket"),
                     compressed(F.col("text")).alias("packed")))
     dealt = dealt_once(rows, n, "bucket")
     texts = lambda: dealt.select("bucket", "ord", "no_id", "packed").groupBy("bucket")
@@ -244,14 +247,15 @@ def op9_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 OP9_SQL = r"""
-WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
-g AS (SELECT doc_id, i, array_to_string(w[i:i + 19], ' ') AS k FROM d, unnest(range(1, len(w) - 18)) AS t(i)),
-r AS (SELECT doc_id, i, row_number() OVER (PARTITION BY k ORDER BY doc_id, i) AS n FROM g),
-x AS (SELECT DISTINCT doc_id, i + j AS pos FROM r, range(20) AS s(j) WHERE n > 1),
-m AS (SELECT d.doc_id, t.pos, d.w[t.pos] AS word FROM d, unnest(range(1, len(d.w) + 1)) AS t(pos)),
-k AS (SELECT m.doc_id, count(*) AS n_kept, string_agg(m.word, ' ' ORDER BY m.pos) AS kept
-      FROM m LEFT JOIN x ON x.doc_id = m.doc_id AND x.pos = m.pos WHERE x.pos IS NULL GROUP BY m.doc_id)
+WITH d AS (SELECT row_number() OVER () AS row, doc_id, coalesce(doc_id, 9223372036854775807) AS ord,
+                  regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+g AS (SELECT row, ord, i, array_to_string(w[i:i + 19], ' ') AS k FROM d, unnest(range(1, len(w) - 18)) AS t(i)),
+r AS (SELECT row, i, rank() OVER (PARTITION BY k ORDER BY ord, i) AS n FROM g),
+x AS (SELECT DISTINCT row, i + j AS pos FROM r, range(20) AS s(j) WHERE n > 1),
+m AS (SELECT d.row, t.pos, d.w[t.pos] AS word FROM d, unnest(range(1, len(d.w) + 1)) AS t(pos)),
+k AS (SELECT m.row, count(*) AS n_kept, string_agg(m.word, ' ' ORDER BY m.pos) AS kept
+      FROM m LEFT JOIN x ON x.row = m.row AND x.pos = m.pos WHERE x.pos IS NULL GROUP BY m.row)
 SELECT d.doc_id, len(d.w)::BIGINT AS n_words, (len(d.w) - coalesce(k.n_kept, 0))::BIGINT AS n_removed,
        sha256(coalesce(k.kept, '')) AS kept_sha256
-FROM d LEFT JOIN k ON k.doc_id = d.doc_id
+FROM d LEFT JOIN k ON k.row = d.row
 """

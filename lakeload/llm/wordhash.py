@@ -6,8 +6,12 @@ so that every task, and every rerun, gets the same values.
 
 from __future__ import annotations
 
+from collections import defaultdict
+from itertools import count
+
 import numpy as np
 import pandas as pd
+import xxhash
 import zstandard
 from pyspark.sql import functions as F
 
@@ -57,6 +61,16 @@ def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(hashes) if hashes else np.zeros(0, U), np.concatenate(([0], np.cumsum(counts))).astype(np.int64)
 
 
+def word_keys(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Two independent 64-bit hashes of every word of all texts, from 128 bits of each distinct word; and the bounds."""
+    numbers: defaultdict = defaultdict(count().__next__)
+    own = [np.fromiter(map(numbers.__getitem__, t.split()), np.int32) for t in texts]
+    both = np.frombuffer(b"".join(map(xxhash.xxh3_128_digest, numbers)), "<u8").reshape(-1, 2).astype(U)
+    at = np.concatenate(own) if own else np.zeros(0, np.int32)
+    bounds = np.concatenate(([0], np.cumsum([len(x) for x in own]))).astype(np.int64)
+    return both[at, 0], both[at, 1], bounds
+
+
 def rolling(words: np.ndarray, width: int, base: int) -> np.ndarray:
     """Hash of the ``width`` words from each start on (also across texts; callers pick valid starts)."""
     n = len(words) - width + 1

@@ -6,7 +6,7 @@ import duckdb
 import numpy as np
 import pytest
 
-from lakeload.llm import fingerprints, near_dups, secret_scan, topk_search, toxicity
+from lakeload.llm import fingerprints, near_dups, repeats, secret_scan, topk_search, toxicity, wordhash
 
 
 # --- operator 1
@@ -112,3 +112,31 @@ def test_top_k_keeps_rows_of_repeated_ids_as_its_sql_does(spark):
     con.execute(f"CREATE VIEW embeddings AS SELECT * FROM read_parquet('{path}/embeddings.parquet/*.parquet')")
     got = topk_search.op5_threshold_topk(spark, path).collect()
     assert sorted(map(tuple, got)) == sorted(con.execute(topk_search.OP5_SQL).fetchall())
+
+
+# --- operator 9
+
+def test_passages_whose_words_differ_in_one_long_word_are_kept(spark):
+    """Complementary Thue-Morse words are equal to every polynomial hash modulo 2 ** 64."""
+    word = "".join("ab"[i.bit_count() & 1] for i in range(1024))
+    swapped = word.translate(str.maketrans("ab", "ba"))
+    words = [f"w{i}" for i in range(30)]
+    rows = [(i, " ".join([*words[:15], middle, *words[16:]])) for i, middle in enumerate((word, swapped, word))]
+    got = repeats.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.doc_id: (r.n_words, r.n_removed) for r in got} == {0: (30, 0), 1: (30, 0), 2: (30, 30)}
+
+
+def test_word_keys_tell_words_apart(spark):
+    texts = [b"a b a", b"", b"  c\tb\n"]
+    first, second, bounds = wordhash.word_keys(texts)
+    assert bounds.tolist() == [0, 3, 3, 5] and first[0] == first[2] != first[1] == first[4]
+    assert len(set(first.tolist()) & set(second.tolist())) == 0
+
+
+def test_repeats_of_repeated_and_null_ids_follow_the_sql(spark, messy):
+    path = f"{spark.conf.get('spark.checkpoint.dir')}/repeats_messy"
+    messy.coalesce(1).write.mode("overwrite").parquet(f"{path}/documents.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{path}/documents.parquet/*.parquet')")
+    got = repeats.op9_repeated_passages(spark, path).collect()
+    assert sorted(map(tuple, got), key=repr) == sorted(con.execute(repeats.OP9_SQL).fetchall(), key=repr)
