@@ -5,12 +5,14 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pandas as pd
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from lakeload.llm import fingerprints, mixing, near_dups, repeats, sharding, topk_search, wordhash
+from lakeload.llm.common import stored
 from lakeload.llm.components import components
 
 
@@ -183,17 +185,52 @@ def test_top_k(spark, scale):
     rows = {i: [float(x) * scale for x in rng.normal(0, 1, 10)] for i in range(0, 400, 2)}
     rows |= {401: rows[4], 403: rows[4], 450: [1.0] * 3, 451: [2.0] * 3, 452: [], 500: [0.0] * 10}
     bad = [(700, None, 1), (750, [None, 1.0], 1), (800, [float("nan")] * 10, 1), (850, [float("inf")] * 10, 1), (None, [1.0] * 10, 1)]
-    df = spark.createDataFrame([(i, v, 0) for i, v in rows.items()] + bad + [(2, rows[2], 0), (2, rows[2], 9)], "vec_id long, embedding array<double>, block int")
-    whole = {i: [int(np.floor(256 * x)) for x in v] for i, v in rows.items()}
+    df = spark.createDataFrame([(i, v, 0) for i, v in rows.items()] + bad, "vec_id long, embedding array<double>, block int").repartition(3)
     if scale == 1:
-        got = topk_search.top_k(topk_search.whole_vectors(df), F.col("vec_id") % 50 == 0, block=3, chunks=4).collect()
-        assert sorted(map(tuple, got)) == brute_top(whole, 5)
+        whole = {i: [int(np.floor(256 * x)) for x in v] for i, v in rows.items()}
+        vectors = topk_search.whole_vectors(df)
     else:       # integers beyond 2**53 stay exact
-        small = {i: [int(np.floor(256 * x)) >> 30 for x in v] for i, v in rows.items()}
-        exact = spark.createDataFrame([(i, len(v), v) for i, v in small.items()], "vec_id long, dim int, v array<long>")
-        got = topk_search.top_k(exact, F.col("vec_id") % 50 == 0, block=3, chunks=4).collect()
-        assert sorted(map(tuple, got)) == brute_top(small, 5)
-    assert topk_search.top_k(topk_search.whole_vectors(df.where("vec_id = 1")), F.lit(True)).count() == 0
+        whole = {i: [int(np.floor(256 * x)) >> 30 for x in v] for i, v in rows.items()}
+        vectors = spark.createDataFrame([(n, i, len(v), v) for n, (i, v) in enumerate(whole.items())], "row long, vec_id long, dim int, v array<long>")
+    for block in (3, 1 << 14):
+        got = topk_search.top_k(stored(vectors, "t_vectors"), F.col("vec_id") % 50 == 0, block=block).collect()
+        assert sorted(map(tuple, got)) == brute_top(whole, 5)
+    assert topk_search.top_k(stored(topk_search.whole_vectors(df.where("vec_id = 1")), "t_vectors"), F.lit(True)).count() == 0
+
+
+def test_equal_scores_do_not_flood_the_tasks():
+    block = topk_search.Block([(0, 7, [1, 2, 3])], 8, 5)
+    pdf = pd.DataFrame({"vec_id": np.arange(20_000)[::-1], "dim": 3, "v": [[1, 2, 3]] * 20_000})
+    block.cutoff[0] = 14
+    assert list(block.run(iter([pdf]), block.collect)["vec_id"]) == [0, 1, 2, 3, 4]
+    assert len(block.run(iter([pdf, pdf]), block.gather)) == 5
+
+
+def test_short_candidates_are_passed_over():
+    rng = np.random.default_rng(3)
+    c = rng.integers(-300, 300, (5000, 16)) * rng.integers(1, 40, (5000, 1))
+    block = topk_search.Block([(i, 10 ** 6 + i, rng.integers(-300, 300, 16).tolist()) for i in range(40)], 8, 5)
+    pdf = pd.DataFrame({"vec_id": np.arange(5000), "dim": 16, "v": c.tolist()})
+    score = np.array([block.matrix[16] @ v for v in c]).T
+    block.cutoff[:] = np.sort(score, axis=1)[:, -5]
+    steps = []
+    real, block.scored = block.scored, lambda *args: steps.append(len(args[0])) or real(*args)
+    got = block.run(iter([pdf]), block.collect)
+    assert sum(steps) < 40 * 3                                      # of 40 queries and 3 steps of candidates
+    want = {(q, int(v), int(score[q, v])) for q in range(40) for v in np.lexsort((np.arange(5000), -score[q]))[:5]}
+    assert set(got.itertuples(index=False, name=None)) == want
+
+
+@pytest.mark.parametrize("embedding", [[2.0 ** 56], [-(2.0 ** 60), 1.0]])
+def test_components_beyond_64_bits_fail(spark, embedding):
+    with pytest.raises(Exception, match="passes 64 bits"):
+        topk_search.whole_vectors(spark.createDataFrame([(1, embedding)], "vec_id long, embedding array<double>")).collect()
+
+
+def test_scores_beyond_64_bits_fail():
+    block = topk_search.Block([(0, 7, [1 << 40])], 8, 5)
+    with pytest.raises(OverflowError):
+        block.run(iter([pd.DataFrame({"vec_id": [1], "dim": [1], "v": [[1 << 40]]})]), block.gather)
 
 
 # --- operator 7
