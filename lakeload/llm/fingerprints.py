@@ -10,12 +10,14 @@ short to be sure of an anchor (fewer than 2 K - S tokens) are all anchors where
 than K tokens has the hash of the whole text as its only one.
 
 The fingerprint lists the anchors' 32-bit hashes in text order as lowercase hex, eight digits each; the
-likeness of two is the Dice share of distinct anchors they have in common. ``anchor_positions`` gives the
-token offsets for positional matching.
+likeness of two is the Dice share of distinct anchors they have in common. ``with_anchors`` can also give the anchors' token
+offsets (``positions``), for positional matching.
 
-``edited_pairs`` needs the next document in descending id order. Ids are cut into ranges at approximate
-quantiles, each range's largest document also visits the range above it as a guest, and the largest of all
-visits the lowest range. One shuffle then puts every document beside its successor.
+``edited_pairs`` needs the next document in descending id order. Rows are ordered by id, then the text's hash, then their
+place in the input, so that no two are equal and a repeated id, or a row repeated a million times, is cut like any other. That
+order is cut into ranges at the quantiles of a sample (``SAMPLE`` rows a range), each range's first document also visits the
+range before it as a guest, and the first of all visits the last. One shuffle then puts every document beside its successor.
+The input is read three times and must give the same rows each time, as a table does.
 
 Defined results: a NULL text counts as empty; empty and blank texts have one whole-text anchor; NULL ids
 come last; rows with equal ids stand in the order of their text's hash; an empty table gives no rows; a
@@ -32,6 +34,7 @@ from lakeload.llm.common import long_id, read_table, shuffle_width
 K, S = 3, 1
 TOKEN = r"[^\x20\x09-\x0D]{1,16}"
 LOWEST = -(1 << 63)
+SAMPLE = 32                   # rows of the sample for each range
 
 
 def with_anchors(df: DataFrame, text: str, out: str, k: int = K, positions: str | None = None) -> DataFrame:
@@ -64,45 +67,54 @@ def likeness(a: str, b: str) -> Column:
     return 2.0 * F.size(F.array_intersect(F.col(a), F.col(b))) / (F.size(a) + F.size(b))
 
 
-def _range_of(key: Column, bounds: list[int]) -> Column:
-    """Number of bounds at or below the key, by binary search in a literal array."""
+def _range_of(place: list[Column], bounds: list[tuple]) -> Column:
+    """Number of bounds at or below the place, by binary search in literal arrays."""
     if not bounds:
         return F.lit(0)
-    held = F.array(*[F.lit(b).cast("long") for b in bounds])
+    held = [F.array(*[F.lit(b[i]).cast("long") for b in bounds]) for i in range(len(place))]
     start = F.struct(F.lit(0).alias("lo"), F.lit(len(bounds)).alias("hi"))
 
+    def at_or_below(mid):
+        reached = F.lit(True)
+        for own, column in reversed(list(zip(place, held))):
+            bound = F.get(column, mid)
+            reached = (bound < own) | (bound == own) & reached
+        return reached
+
     def halve(at, _):
         mid = F.floor((at["lo"] + at["hi"]) / 2).cast("int")
-        below = F.get(held, mid) <= key
-        step = F.when(below, F.struct((mid + 1).alias("lo"), at["hi"].alias("hi"))).otherwise(F.struct(at["lo"].alias("lo"), mid.alias("hi")))
+        step = F.when(at_or_below(mid), F.struct((mid + 1).alias("lo"), at["hi"].alias("hi"))).otherwise(F.struct(at["lo"].alias("lo"), mid.alias("hi")))
         return F.when(at["lo"] < at["hi"], step).otherwise(F.struct(at["lo"].alias("lo"), at["hi"].alias("hi")))
     steps = F.sequence(F.lit(1), F.lit(len(bounds).bit_length() + 1))
     return F.aggregate(steps, start, halve, lambda at: at["lo"])
 
 
 def with_successor(docs: DataFrame, ranges: int | None = None) -> DataFrame:
-    """(range, guest, key, doc_id, text, text_hash), each row's successor in the same range right behind it."""
-    spark = docs.sparkSession
-    n = ranges or 2 * shuffle_width(spark)
-    rows = docs.select(long_id().alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
-    key = F.coalesce(F.col("doc_id"), F.lit(LOWEST))
-    # driver: at most n bounds and n range heads, whatever the number of documents
-    fractions = [i / n for i in range(1, n)] or [0.5]
-    found = rows.select(F.percentile_approx(key, fractions, F.lit(max(10_000, 10 * n)))).first()[0]
-    bounds = sorted(set(found or []))
-    bucket = _range_of(key, bounds)
-    heads = {r["b"]: r["head"] for r in rows.select(bucket.alias("b"), key.alias("k")).groupBy("b").agg(F.max("k").alias("head")).collect()}
+    """(range, guest, key, doc_id, text, text_hash, row), each row's successor in the same range right behind it."""
+    n = ranges or 2 * shuffle_width(docs.sparkSession)
+    rows = docs.select(long_id().alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"), F.monotonically_increasing_id().alias("row"))
+    # ids descend, NULL last: the complement turns the order of longs round
+    rows = rows.select("doc_id", "text", "row", F.coalesce(F.bitwise_not("doc_id"), F.lit((1 << 63) - 1)).alias("key"), F.xxhash64("text").alias("text_hash"))
+    place = ["key", "text_hash", "row"]
+    # driver: SAMPLE rows a range and one row per range, whatever the number of documents
+    share = min(1.0, SAMPLE * n / max(1, docs.count()))
+    picked = rows.select(*place).where(F.pmod(F.xxhash64("row"), F.lit(1 << 30)) < int(share * (1 << 30))).toArrow()
+    sample = sorted(zip(*(picked[c].to_pylist() for c in place)))
+    step = max(1, len(sample) // n)
+    home = _range_of([F.col(c) for c in place], sample[step::step])
+    heads = {r["home"]: tuple(r["head"]) for r in rows.select(home.alias("home"), F.struct(*place).alias("head")).groupBy("home").agg(F.min("head").alias("head")).collect()}
     if not heads:
-        return rows.select(F.lit(0).alias("range"), F.lit(0).alias("guest"), key.alias("key"), "doc_id", "text", F.xxhash64("text").alias("text_hash"))
+        return rows.select(F.lit(0).alias("range"), F.lit(0).alias("guest"), "key", "doc_id", "text", "text_hash", "row")
     there = sorted(heads)
-    above = dict(zip(there, there[1:] + there[:1]))
-    head_of = F.array(*[F.lit(heads.get(b)).cast("long") for b in range(len(bounds) + 1)])
-    visits = F.array(*[F.lit(above.get(b, 0)) for b in range(len(bounds) + 1)])
-    home = F.struct(F.col("home").alias("range"), F.lit(0).alias("guest"))
-    away = F.struct(F.get(visits, F.col("home")).alias("range"), F.lit(1).alias("guest"))
-    rows = rows.withColumn("key", key).withColumn("home", bucket)
-    rows = rows.withColumn("at", F.explode(F.when(F.col("key") == F.get(head_of, F.col("home")), F.array(home, away)).otherwise(F.array(home))))
-    return rows.select("at.range", "at.guest", "key", "doc_id", "text", F.xxhash64("text").alias("text_hash"))
+    before = dict(zip(there, there[-1:] + there[:-1]))
+    every = range(max(there) + 1)
+    visits = F.get(F.array(*[F.lit(before.get(b, 0)) for b in every]), F.col("home"))
+    first = F.get(F.array(*[F.lit(heads.get(b, (0, 0, -1))[2]).cast("long") for b in every]), F.col("home"))
+    at_home = F.struct(F.col("home").alias("range"), F.lit(0).alias("guest"))
+    away = F.struct(visits.alias("range"), F.lit(1).alias("guest"))
+    rows = rows.withColumn("home", home)
+    rows = rows.withColumn("at", F.explode(F.when(F.col("row") == first, F.array(at_home, away)).otherwise(F.array(at_home))))
+    return rows.select("at.range", "at.guest", "key", "doc_id", "text", "text_hash", "row")
 
 
 def edited_pairs(docs: DataFrame, ranges: int | None = None) -> DataFrame:
@@ -110,7 +122,7 @@ def edited_pairs(docs: DataFrame, ranges: int | None = None) -> DataFrame:
     rows = with_successor(docs, ranges)
     dealt = rows.repartition(shuffle_width(docs.sparkSession), "range")
     dealt = with_anchors(dealt, "text", "anchors").withColumn("distinct", F.array_distinct("anchors"))
-    after = Window.partitionBy("range").orderBy(F.col("guest"), F.col("key").desc(), F.col("text_hash"))
+    after = Window.partitionBy("range").orderBy("guest", "key", "text_hash", "row")
     paired = (dealt.withColumn("next_text", F.lead("text").over(after))
               .withColumn("next_distinct", F.lead("distinct").over(after))
               .where("guest = 0"))

@@ -1,12 +1,15 @@
 """Inputs on which an operator once did less than its whole job."""
 
+import re
 from zlib import crc32
 
 import duckdb
 import numpy as np
 import pytest
+import xxhash
 
 from lakeload.llm import fingerprints, near_dups, repeats, secret_scan, topk_search, toxicity, wordhash
+from lakeload.llm.common import stored
 
 
 # --- operator 1
@@ -140,3 +143,54 @@ def test_repeats_of_repeated_and_null_ids_follow_the_sql(spark, messy):
     con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{path}/documents.parquet/*.parquet')")
     got = repeats.op9_repeated_passages(spark, path).collect()
     assert sorted(map(tuple, got), key=repr) == sorted(con.execute(repeats.OP9_SQL).fetchall(), key=repr)
+
+
+# --- operator 1: hot ids, and the fingerprint restated
+
+def test_a_third_of_all_rows_on_one_id_or_one_text_spreads_over_the_ranges(spark):
+    rows = [(i, f"text of {i}") for i in range(2000)] + [(777, f"other {i}") for i in range(1000)] + [(888, "copy")] * 1000
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    placed = stored(fingerprints.with_successor(stored(df, "t_hot"), 20), "t_hot_ranges")
+    sizes = sorted(r["count"] for r in placed.groupBy("range").count().collect())
+    assert len(sizes) >= 18 and sizes[-1] < 4 * len(rows) / 20
+    got = [(r.doc_id, r.text) for r in placed.where("guest = 0").collect()]
+    assert sorted(got) == sorted(rows)
+
+
+def murmur(values):
+    """Spark's hash of longs: Murmur3 of 32 bits, each long's low word first."""
+    def rotate(x, r):
+        return (x << r | x >> 32 - r) & 0xFFFFFFFF
+    h = 42
+    for v in values:
+        for word in (v & 0xFFFFFFFF, v >> 32 & 0xFFFFFFFF):
+            h ^= rotate(word * 0xCC9E2D51 & 0xFFFFFFFF, 15) * 0x1B873593 & 0xFFFFFFFF
+            h = (rotate(h, 13) * 5 + 0xE6546B64) & 0xFFFFFFFF
+        h ^= 8
+        h = (h ^ h >> 16) * 0x85EBCA6B & 0xFFFFFFFF
+        h = (h ^ h >> 13) * 0xC2B2AE35 & 0xFFFFFFFF
+        h ^= h >> 16
+    return h
+
+
+def brute_anchors(text):
+    tokens = re.findall(r"[^\x20\x09-\x0D]{1,16}", text)
+    signed = lambda x: x - (1 << 64) if x >> 63 else x
+    mers = [signed(xxhash.xxh64_intdigest(t.encode(), 42)) for t in tokens]
+    runs = [mers[i:i + 3] for i in range(len(mers) - 2)]
+    return [murmur(m) for m in [r for r in runs if min(r) in (r[0], r[2])] or runs]
+
+
+def test_fingerprints_and_likeness_equal_a_restatement(spark):
+    rng = np.random.default_rng(8)
+    words = [f"w{i}é" for i in range(12)] + ["x" * 40]
+    texts = [" ".join(rng.choice(words, int(rng.integers(3, 60)))) for _ in range(40)]
+    path = f"{spark.conf.get('spark.checkpoint.dir')}/restated"
+    spark.createDataFrame([*enumerate(texts)], "doc_id long, text string").write.mode("overwrite").parquet(f"{path}/documents.parquet")
+    for r in fingerprints.op1_syncmer_fingerprints(spark, path).collect():
+        text, after = texts[r.doc_id], texts[r.doc_id - 1]             # ids descend; after the last comes the first
+        edited = text[:len(text) - len(text) // 2] + after[:len(text) // 2]
+        own, other, behind = map(brute_anchors, (text, edited, after))
+        assert r.fingerprint == "".join(f"{a:08x}" for a in own) and r.edited_fingerprint == "".join(f"{a:08x}" for a in other)
+        dice = lambda a, b: 2 * len(set(a) & set(b)) / (len(set(a)) + len(set(b)))
+        assert (r.near_edited, r.near_next) == pytest.approx((dice(own, other), dice(own, behind)))
