@@ -57,6 +57,30 @@ def null_key_count(df: DataFrame, keys: Sequence[str], name: str = "records_coun
     return df.agg(F.count_if(all_keys_null(keys)).alias(name))
 
 
+def load_metrics(df: DataFrame, keys: Sequence[str], history: Column | None = None, of: Column | None = None) -> list[Column]:
+    """A1, A2 and A4 as aggregates for ``DataFrame.observe`` on the rows that a load writes (those for which ``of`` is true), so
+    that its audit reads no table again. Put it behind the last shuffle: rows of a task that runs again would count twice before."""
+    counted = F.lit(True) if of is None else of
+    null = all_keys_null(keys) if keys else F.lit(False)
+    hist = history_marker(df) if history is None else history
+    return [F.count_if(counted).alias("records"), F.count_if(counted & null).alias("null_keys"),
+            F.count_if(counted & F.coalesce(hist, F.lit(False)) if hist is not None else F.lit(False)).alias("history")]
+
+
+LOAD_SCHEMA = "load_id string, records bigint, null_keys bigint, history bigint"
+
+
+def audit_of_loads(spark: SparkSession, table_path: str) -> DataFrame:
+    """Totals of a table from the notes of its loads (``<table>_loads``, one small file each): no row of the table is read."""
+    total = lambda c, name: F.coalesce(F.sum(c), F.lit(0)).alias(name)
+    return spark.read.schema(LOAD_SCHEMA).json(loads_path(table_path)).agg(
+        total("records", "total_count"), total("null_keys", "primary_key_null_count"), total("history", "history_count"))
+
+
+def loads_path(table_path: str) -> str:
+    return f"{table_path.rstrip('/')}_loads"
+
+
 def scalar(df: DataFrame, col: str, name: str | None = None) -> DataFrame:
     """A5: the column of a one-row result as text; ``'0'`` when there is no row.
     NULL stays NULL. Meant for one-row results (other row orders are undefined)."""

@@ -198,8 +198,9 @@ def source_keys(source: DataFrame, spec: TableSpec) -> DataFrame:
 
 
 def merge_rows(target_in: DataFrame, source: DataFrame, spec: TableSpec,
-               columns: Sequence[str] | None = None) -> DataFrame:
-    """M1 core: merge a deduplicated source into the in-scope target rows."""
+               columns: Sequence[str] | None = None, inserted: str | None = None) -> DataFrame:
+    """M1 core: merge a deduplicated source into the in-scope target rows. ``inserted`` names a column that is true
+    for the rows the target did not have."""
     tcols = target_in.columns
     columns = list(columns or tcols)
     missing = [c for c in columns if c not in source.columns]
@@ -231,9 +232,9 @@ def merge_rows(target_in: DataFrame, source: DataFrame, spec: TableSpec,
     guard = merge_guard(tc, sc, spec)
     merged = joined.select(*[
         F.when(tc.isNull(), ins[c]).when(sc.isNotNull() & guard, upd[c]).otherwise(tc[c]).alias(c)
-        for c in tcols])
+        for c in tcols], *([tc.isNull().alias(inserted)] if inserted else []))
 
-    return merged.unionByName(t_nullkey)
+    return merged.unionByName(t_nullkey.withColumn(inserted, F.lit(False)) if inserted else t_nullkey)
 
 
 def merge_upsert(target: DataFrame, source: DataFrame, spec: TableSpec,

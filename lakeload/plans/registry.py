@@ -300,6 +300,25 @@ def a4_null_key_count(spark, sf):
     return audit.null_key_count(fx.orders_with_nulls(fx.read(spark, sf, "orders")), ["o_custkey", "o_orderdate"])
 
 
+@register("a1_a2_a4_of_loads", f"""WITH {SNAP_CTE},
+r AS (SELECT count(*) AS n, count(*) FILTER (o_custkey % 7 = 0) AS z, count(*) FILTER (o_orderstatus = 'F') AS h FROM orders),
+s AS (SELECT count(DISTINCT o_custkey) AS n FROM orders WHERE o_orderdate < TIMESTAMP '1998-01-01' OR {INC_WINDOW})
+SELECT 'raw' AS side, n AS total_count, z AS primary_key_null_count, h AS history_count FROM r
+UNION ALL SELECT 'snapshot', n, 0, 0 FROM s""")
+def a1_a2_a4_of_loads(spark, sf):
+    """The audit counts of two appends and of two upserts, taken by the jobs that wrote them."""
+    o = fx.read(spark, sf, "orders")
+    marked = o.withColumn("o_custkey", F.when(F.col("o_custkey") % 7 != 0, F.col("o_custkey"))).withColumn(
+        audit.HISTORY_COLUMN, F.when(F.col("o_orderstatus") == "F", F.lit(audit.HISTORY_MARKER)).otherwise("2023-01-01 00:00:00").cast("timestamp_ntz"))
+    raw = scratch_dir(spark, "a1_raw")
+    for part in (F.col("o_orderkey") % 2 == 0, F.col("o_orderkey") % 2 == 1):
+        sinks.append_raw(marked.where(part), raw, "o_orderdate", "MONTH", audit_keys=["o_custkey"])
+    spec = TableSpec(**{**fx.ORDERS_SPEC.__dict__, "partition_field": None, "partition_column": None})
+    path = _snapshot_path(spark, sf, spec)
+    return (audit.audit_of_loads(spark, raw).withColumn("side", F.lit("raw"))
+            .unionByName(audit.audit_of_loads(spark, path).withColumn("side", F.lit("snapshot"))))
+
+
 @register("a5_scalar", "SELECT CAST(max(o_totalprice) AS VARCHAR) AS max_price FROM orders")
 def a5_scalar(spark, sf):
     agg = fx.read(spark, sf, "orders").agg(F.max("o_totalprice").alias("max_price"))
@@ -1522,14 +1541,18 @@ def upsert_columns_null_partitions(spark, sf):
     return spark.read.parquet(path).drop("o_orderdate_part")
 
 
-def _snapshot_then_window(spark, sf, spec):
+def _snapshot_path(spark, sf, spec):
     """A snapshot of the orders before 1998, then one window of all orders, both by the writing path."""
     from .upsert import run_upsert
     orders, path = fx.read(spark, sf, "orders"), scratch_dir(spark, "upsert_files")
     early = orders.where(F.col("o_orderdate") < F.lit("1998-01-01").cast("timestamp_ntz"))
     run_upsert(spark, early, path, spec, fx.ORDERS_LOAD, None, None, whole_table=True)
     run_upsert(spark, orders, path, spec, fx.ORDERS_LOAD, fx.INC_START, fx.INC_END)
-    return spark.read.parquet(path).select(*orders.columns)
+    return path
+
+
+def _snapshot_then_window(spark, sf, spec):
+    return spark.read.parquet(_snapshot_path(spark, sf, spec)).select(*fx.read(spark, sf, "orders").columns)
 
 
 @register("m1_upsert_by_files", ORACLE["m1_merge_upsert"])

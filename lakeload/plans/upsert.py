@@ -28,12 +28,14 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.scalars import partition_value
+from ..operators.audit import load_metrics, loads_path
 from ..operators.dedup import latest
 from ..operators.merge import (Bounds, bounds_of, check_partition_nulls, merge_rows, read_bounds, scope_value,
                                source_keys, split_scope, touched_bounds, touched_partitions_frame)
 from ..operators.project import filter_extra, filter_window, q
 from ..session import hadoop_fs, written
 from ..sinks.commit import commit, folders, recover
+from ..sinks.tables import note_load
 from ..spec import LoadSpec, TableSpec
 
 NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"   # fixed value: the folder name of a NULL partition
@@ -65,11 +67,12 @@ def incremental_merge(raw: DataFrame, target: DataFrame, spec: TableSpec, load:
 @dataclass
 class UpsertResult:
     """``partitions``: the partition folders that got new content (empty for a table without any); ``files``: those that
-    a run by files has rewritten."""
+    a run by files has rewritten; ``inserted``: rows that the snapshot did not have."""
     partitions: list[str] = field(default_factory=list)
     rewritten_partitions: int = 0
     path: str = ""
     files: list[str] = field(default_factory=list)
+    inserted: int | None = None
     plan: str | None = None
 
 
@@ -161,29 +164,38 @@ def run_upsert(spark: SparkSession, raw: DataFrame, snapshot_path: str, spec: Ta
     if exists and (spec.rewrite == "files" or not spec.partition_field):
         return _upsert_files(spark, snapshot_path, target, written(src, "slice"), spec, columns, staged, touched, bounds)
     inside = split_scope(target, spec, touched, bounds)[0] if spec.partition_field else target
-    merged = merge_rows(inside.select(*data_cols), src, spec, columns)
-    _write_parts(merged, staged, spec)
-    new = folders(spark, staged)
+    counts = _write_parts(merge_rows(inside.select(*data_cols), src, spec, columns, INSERTED), staged, spec)
+    new, note = folders(spark, staged), _noted(spark, staged, snapshot_path, counts)
     if not exists:
-        n = commit(spark, snapshot_path, replace=[(staged, snapshot_path)], drop=[staged], there=set())
-        return UpsertResult(new, len(new) if pc else n, snapshot_path)
+        commit(spark, snapshot_path, replace=[(staged, snapshot_path)], add=note, drop=[staged, note[0][0]], there=set())
+        return UpsertResult(new, len(new) if pc else 1, snapshot_path, inserted=counts["records"])
     there = set(folders(spark, snapshot_path))
     todo = _sorted_out(spark, staged, there, touched, spec)
     at = lambda d: f"{snapshot_path}/{d}"
     commit(spark, snapshot_path, [(f"{staged}/{d}", at(d)) for d in todo.replace], [at(d) for d in todo.gone],
-           [(f"{staged}/{d}", at(d)) for d in todo.add], drop=[staged], there={at(d) for d in there})
-    return UpsertResult(todo.new, len(todo.new), snapshot_path)
+           [*note, *[(f"{staged}/{d}", at(d)) for d in todo.add]], drop=[staged, note[0][0]], there={at(d) for d in there})
+    return UpsertResult(todo.new, len(todo.new), snapshot_path, inserted=counts["records"])
 
 
-def _write_parts(merged: DataFrame, staged: str, spec: TableSpec) -> None:
-    """Write rows under their partitions. ``rebalance`` co-locates the rows of one partition, and lets AQE split
-    a hot one (one day holding a third of the rows) over several tasks and files."""
-    pc = spec.partition_column
-    if not spec.partition_field:
-        merged.write.mode("overwrite").parquet(staged)
-        return
-    merged = merged.withColumn(pc, partition_value(F.col(spec.partition_field), spec.partition_unit))
-    merged.hint("rebalance", pc).write.mode("overwrite").partitionBy(pc).parquet(staged)
+INSERTED = "__inserted"
+
+
+def _write_parts(merged: DataFrame, staged: str, spec: TableSpec) -> dict[str, int]:
+    """Write rows under their partitions, and count what is new on the way. ``rebalance`` co-locates the rows of one
+    partition, and lets AQE split a hot one (one day holding a third of the rows) over several tasks and files."""
+    pc, seen = spec.partition_column, Observation()
+    if spec.partition_field:
+        merged = merged.withColumn(pc, partition_value(F.col(spec.partition_field), spec.partition_unit)).hint("rebalance", pc)
+    merged = merged.observe(seen, *load_metrics(merged, spec.primary_keys, of=F.col(INSERTED))).drop(INSERTED)
+    w = merged.write.mode("overwrite")
+    (w.partitionBy(pc) if spec.partition_field else w).parquet(staged)
+    return seen.get
+
+
+def _noted(spark: SparkSession, staged: str, path: str, counts: dict[str, int]) -> list[tuple[str, str]]:
+    """The load's counts as one more staged file, which joins the table's notes in the same commit (``audit_of_loads``)."""
+    note_load(spark, f"{staged}_load", counts)
+    return [(f"{staged}_load", loads_path(path))]
 
 
 def files_with_keys(target: DataFrame, src: DataFrame, spec: TableSpec, touched: DataFrame | None = None,
@@ -205,11 +217,11 @@ def _upsert_files(spark: SparkSession, path: str, target: DataFrame, src: DataFr
     data_cols = [c for c in target.columns if c != spec.partition_column]
     names = [unquote(f) for f in hit]
     old = spark.read.schema(target.schema).option("basePath", path).parquet(*names) if hit else target.limit(0)
-    _write_parts(merge_rows(old.select(*data_cols), src, spec, columns), staged, spec)
-    new = folders(spark, staged)
+    counts = _write_parts(merge_rows(old.select(*data_cols), src, spec, columns, INSERTED), staged, spec)
+    new, note = folders(spark, staged), _noted(spark, staged, path, counts)
     add = [(f"{staged}/{d}", f"{path}/{d}") for d in new] if spec.partition_field else [(staged, path)]
-    commit(spark, path, remove=names, add=add, drop=[staged], there=set(names))
-    return UpsertResult(new, len(new) if spec.partition_field else 1, path, files=names)
+    commit(spark, path, remove=names, add=[*note, *add], drop=[staged, note[0][0]], there=set(names))
+    return UpsertResult(new, len(new) if spec.partition_field else 1, path, files=names, inserted=counts["records"])
 
 
 def _table_location(spark: SparkSession, table: str) -> str:

@@ -16,11 +16,12 @@ from typing import Iterator, Mapping, Sequence
 
 import pandas as pd
 from py4j.protocol import Py4JJavaError
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.scalars import partition_value
+from ..operators.audit import load_metrics, loads_path
 from ..session import hadoop_fs
 from ..spec import spark_type
 from .commit import commit, recover
@@ -48,14 +49,32 @@ def _layout(df: DataFrame, parts: Sequence[str], cluster: Sequence[str] | str |
 
 
 def append_raw(df: DataFrame, path: str, partition_field: str | None = None, partition_unit: str | None = None,
-               cluster: Sequence[str] | str | None = None, fmt: str = "parquet") -> None:
+               cluster: Sequence[str] | str | None = None, fmt: str = "parquet", audit_keys: Sequence[str] | None = None) -> None:
     """K1: append to a raw table, partitioned by the truncated time field and
-    clustered (sorted within files, giving min/max skipping on the cluster keys)."""
+    clustered (sorted within files, giving min/max skipping on the cluster keys).
+
+    With ``audit_keys`` the job that writes also counts its rows, and leaves a note for ``audit_of_loads``; a load that
+    ends between rows and note has none, and its table needs ``audit_tables``.
+    """
     out, parts = with_partition(df, partition_field, partition_unit)
-    w = _layout(out, parts, cluster).write.mode("append").format(fmt)
+    out, seen = _layout(out, parts, cluster), Observation()
+    if audit_keys is not None:
+        out = out.observe(seen, *load_metrics(out, audit_keys))
+    w = out.write.mode("append").format(fmt)
     if parts:
         w = w.partitionBy(*parts)
     w.save(path)
+    if audit_keys is not None:
+        note_load(df.sparkSession, loads_path(path), seen.get)
+
+
+def note_load(spark: SparkSession, folder: str, metrics: Mapping[str, int]) -> None:
+    """One load's counts as a small JSON file of its own."""
+    load = uuid.uuid4().hex[:12]
+    fs, _ = hadoop_fs(spark, folder)
+    out = fs.create(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{folder}/{load}.json"), False)
+    out.write(bytearray(json.dumps({"load_id": load, **metrics}).encode()))
+    out.close()
 
 
 def pick_clustering(table_cfg: Mapping | None, common_cfg: Mapping) -> Sequence[str] | str | None:

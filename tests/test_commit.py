@@ -292,3 +292,21 @@ def test_folder_names_with_odd_characters_survive_a_merge_by_files(spark):
     run_upsert(spark, first_rows(spark), path, spec, LOAD, *WINDOW)
     run_upsert(spark, frame(spark, [(4, "again", D(2023, 2, 5), 99)]), path, spec, LOAD, *WINDOW)
     assert fresh(spark, path).count() == 9 and rows(fresh(spark, path).where("k = 4"), "v") == [("again",)]
+
+
+# ---------------------------------------------------------------- counts taken by the job that writes
+
+def test_the_notes_of_loads_equal_a_recount(spark):
+    from lakeload.operators.audit import audit_of_loads
+    spec, path = spec_of(), scratch_dir(spark, "t_notes")
+    res = [run_upsert(spark, data, path, spec, LOAD, *WINDOW) for data in (first_rows(spark), later_rows(spark))]
+    res.append(run_upsert(spark, frame(spark, [(None, "n", D(2023, 2, 2), 1), (1, "again", D(2023, 2, 28), 99)]), path, spec_of(rewrite="files"), LOAD, *WINDOW))
+    assert [r.inserted for r in res] == [9, 1, 1]          # one new key, then a NULL key
+    got = audit_of_loads(spark, path).first()
+    out = fresh(spark, path)
+    assert (got.total_count, got.primary_key_null_count) == (out.count(), out.where("k IS NULL").count()) == (11, 1)
+    raw = scratch_dir(spark, "t_notes_raw")
+    for _ in range(2):
+        tables.append_raw(first_rows(spark).withColumn("created_local_time", F.when(F.col("k") < 4, F.lit("2022-01-01 00:00:00")).cast("timestamp_ntz")),
+                          raw, "o", "MONTH", audit_keys=["k", "n"])
+    assert tuple(audit_of_loads(spark, raw).first()) == (18, 0, 8)
