@@ -11,7 +11,7 @@ from lakeload.llm.mixing import OP7_SQL, op7_mix_sources
 from lakeload.llm.near_dups import OP4_SQL, op4_bag_minhash
 from lakeload.llm.repeats import OP9_SQL, op9_repeated_passages
 from lakeload.llm.secret_scan import op8_secret_scan
-from lakeload.llm.sharding import op2_byte_shards
+from lakeload.llm.sharding import OP2_SQL, op2_byte_shards
 from lakeload.llm.topk_search import OP5_SQL, op5_threshold_topk
 from lakeload.llm.toxicity import op6_toxic_segments
 from lakeload.llm.url_rules import OP13_SQL, op13_url_rules
@@ -33,6 +33,7 @@ QUERIES = {
 }
 
 ORACLE = {
+    "op2_byte_shards": OP2_SQL,
     "op4_bag_minhash": OP4_SQL,
     "op5_threshold_topk": OP5_SQL,
     "op7_mix_sources": OP7_SQL,

@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lakeload.llm.common import long_id, read_table, shuffle_width, stored
+from lakeload.plans.registry import crc32_sql
 
 SHARDS = 8
 
@@ -63,3 +64,12 @@ def op2_byte_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = shard_by_bytes(read_table(spark, sf_dir, "documents"))
     return cut.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
                       F.lit(None).cast("int").alias("grown_shard"))
+
+
+OP2_SQL = f"""WITH {crc32_sql("SELECT coalesce(text, '') AS text FROM documents")},
+d AS (SELECT doc_id, strlen(coalesce(d.text, '')) + 1 AS size, crc AS text_crc32 FROM documents d JOIN crcs ON crcs.text = coalesce(d.text, '')),
+o AS (SELECT *, row_number() OVER (ORDER BY doc_id NULLS LAST, text_crc32, size) AS place FROM d),
+s AS (SELECT *, coalesce(sum(size) OVER (ORDER BY place ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start, sum(size) OVER () AS total FROM o),
+c AS (SELECT *, least(7, floor((2 * start + size)::DOUBLE / (2 * total)::DOUBLE * 8))::INTEGER AS shard FROM s)
+SELECT doc_id, size::BIGINT AS size, text_crc32, 'bytes' AS law, shard, row_number() OVER (PARTITION BY shard ORDER BY place) - 1 AS slot,
+       NULL::INTEGER AS grown_shard FROM c"""
