@@ -78,9 +78,9 @@ def document_counts(rows: DataFrame, terms: int) -> np.ndarray:
             df += np.bincount(at, minlength=terms)
         some = np.flatnonzero(df)
         yield pd.DataFrame({"term": some, "df": df[some]})
-    found = rows.select("bag").mapInPandas(run, "term long, df long").groupBy("term").agg(F.sum("df").alias("df")).toPandas()
+    found = rows.select("bag").mapInPandas(run, "term long, df long").groupBy("term").agg(F.sum("df").alias("df")).toArrow()
     df = np.zeros(terms, np.int64)
-    df[found["term"].to_numpy(np.int64)] = found["df"].to_numpy(np.int64)
+    df[found["term"].to_numpy()] = found["df"].to_numpy()
     return df
 
 
@@ -155,7 +155,7 @@ def best_classes(postings: Postings, items: np.ndarray, top: int):
 
 def search_block(docs: DataFrame, block: DataFrame, top: int) -> DataFrame:
     """(item_id, rank, doc_id, score) of one block of items, their (item, item_id, term, q)."""
-    held = block.select("item", "term", "q").toPandas()          # about BLOCK_TERMS rows
+    held = block.select("item", "term", "q").toArrow().to_pandas()          # about BLOCK_TERMS rows
     terms = sorted(set(held["term"]))
     rows = stored(bags(docs, terms), "search_bags")
     n_docs, length = rows.agg(F.count(F.lit(1)), F.sum("n")).first()
