@@ -51,10 +51,29 @@ def byte_alphabet() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
 
 
+MOST_IDS = 1 << 17     # an id shares an integer with its merge's rank
+
+
+def unsupported(spec: dict) -> list[str]:
+    """What a tokenizer file asks for that this operator does not do."""
+    model, before, decoder = spec["model"], spec.get("pre_tokenizer") or {}, spec.get("decoder") or {}
+    plain = {"type": "BPE", "dropout": (None, 0), "unk_token": None, "continuing_subword_prefix": (None, ""), "end_of_word_suffix": (None, ""),
+             "byte_fallback": (None, False), "ignore_merges": (None, False)}
+    wrong = [f"model.{k}" for k, v in plain.items() if model.get(k) not in (v if isinstance(v, tuple) else (v,))]
+    wrong += ["normalizer"] * bool(spec.get("normalizer"))
+    wrong += ["pre_tokenizer"] * (before.get("type") != "ByteLevel" or before.get("add_prefix_space", True) or not before.get("use_regex", True))
+    wrong += ["decoder"] * (decoder.get("type") != "ByteLevel")
+    added = spec.get("added_tokens", [])
+    wrong += [f"added token {t['content']}" for t in added if any(t.get(k) for k in ("single_word", "lstrip", "rstrip", "normalized"))]
+    return wrong + ["ids beyond 2^17"] * (max([*model["vocab"].values(), *(t["id"] for t in added)], default=0) >= MOST_IDS)
+
+
 def read_tokenizer(path: str) -> dict:
     """Plain data of a byte-level BPE file: token bytes by id, merges by pair of ids, special tokens."""
     with open(path, encoding="utf-8") as f:
         spec = json.load(f)
+    if wrong := unsupported(spec):
+        raise ValueError(f"{path}: not a plain byte-level BPE: {', '.join(wrong)}")
     alphabet = byte_alphabet()
     vocab = spec["model"]["vocab"]
     raw = {t: bytes(alphabet[c] for c in t) for t in vocab}
