@@ -6,7 +6,9 @@ import re
 from collections import Counter, defaultdict
 
 import numpy as np
+import pandas as pd
 import pytest
+import zstandard
 from pyspark.sql import functions as F
 
 from lakeload.llm import collocations, lexical_search, url_rules
@@ -48,19 +50,19 @@ def phrase_rows(seed, docs=120):
     return rows + [(None, "en"), ("", None), (" \t.,\n", "fr")] + rows[:3] * 5
 
 
-@pytest.mark.parametrize("support,longest,top,shard,flush,bits", [(5, 5, 2000, 150, 400, 1 << 16), (12, 3, 4, 10 ** 9, 1 << 20, 1 << 20),
-                                                                    (3, 4, 50, 40, 1, 64), (8, 5, 30, 700, 3000, 1 << 10)])
-def test_collocations_equal_brute_force(spark, support, longest, top, shard, flush, bits):
+@pytest.mark.parametrize("support,longest,top,shard,words,bits", [(5, 5, 2000, 900, 400, 1 << 16), (12, 3, 4, 10 ** 9, 1 << 20, 1 << 20),
+                                                                    (3, 4, 50, 1, 100, 64), (8, 5, 30, 4000, 3000, 1 << 10), (5, 1, 5, 50, 9, 64)])
+def test_collocations_equal_brute_force(spark, support, longest, top, shard, words, bits):
     rows = phrase_rows(support)
     df = spark.createDataFrame(rows, "text string, lang string").repartition(3)
-    got = collocations.collocations(df, support, longest, top, shard_words=shard, flush=flush, bits=bits).collect()
+    got = collocations.collocations(df, support, longest, top, shard_bytes=shard, range_words=words, bits=bits).collect()
     assert sorted(tuple(r) for r in got) == brute_collocations(rows, support, longest, top)
 
 
 def test_absorbing_at_a_smaller_share(spark):
     rows = phrase_rows(3)
     df = spark.createDataFrame(rows, "text string, lang string")
-    got = collocations.collocations(df, 4, 5, 2000, absorb=60, shard_words=500).collect()
+    got = collocations.collocations(df, 4, 5, 2000, absorb=60, shard_bytes=2500).collect()
     assert sorted(tuple(r) for r in got) == brute_collocations(rows, 4, 5, 2000, absorb=60)
 
 
@@ -78,6 +80,29 @@ def test_local_supports_cover_the_global_one():
         assert sum(x - 1 for x in locals_) < 100      # just below everywhere is below the support
 
 
+def test_what_shards_leave_unsaid_is_bounded():
+    """A phrase is out only if its counts, with all that silent shards may hold, stay below the support."""
+    rng = np.random.default_rng(4)
+    for _ in range(50):
+        counts = rng.integers(0, 9, (30, int(rng.integers(1, 8))))
+        least = rng.integers(1, 6, counts.shape[1])
+        squeeze = zstandard.ZstdCompressor().compress
+        rows = []
+        for s in range(len(least)):
+            own = [h for h in range(30) if counts[h, s] >= least[s]]
+            sent = np.array([(h, 7, counts[h, s] - least[s] + 1) for h in own], collocations.SENT)
+            rows.append(("en", 3, sent.tobytes(), squeeze(b"\n".join(b"p%d" % h for h in own)), int((least - 1).sum())))
+        pdf = pd.DataFrame([r for r in rows if r[2]], columns=["lang", "range", "sent", "names", "everywhere"])
+        most = np.where(counts >= least, counts, least - 1).sum(axis=1)
+        want = [h for h in range(30) if most[h] >= 20 and (counts[h] >= least).any()]
+        if len(pdf):
+            left = collocations.possible(20)(pdf)
+            assert len(left) == bool(want)
+            if want:
+                assert np.frombuffer(left["keys"][0], collocations.KEY)["hash"].tolist() == want
+                assert zstandard.ZstdDecompressor().decompress(left["names"][0]).split(b"\n") == [b"p%d" % h for h in want]
+
+
 def test_collocations_on_odd_rows(spark, messy, nothing):
     rows = [(r.text, r.lang) for r in messy.collect()]
     got = collocations.collocations(messy, 4, 5, 20).collect()
