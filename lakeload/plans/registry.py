@@ -858,10 +858,20 @@ def _relative(root: str):
 FROM orders""")
 def s8_file_inventory(spark, sf):
     """S8 over a tree written from ``orders``: folders that hold at least one whole data file."""
+    return _order_folders(spark, sf, lambda d: inventory.file_inventory(spark, d, ".parquet"))
+
+
+@register("s8_list_tree", ORACLE["s8_file_inventory"])
+def s8_list_tree(spark, sf):
+    """The same tree, listed by the tasks."""
+    return _order_folders(spark, sf, lambda d: inventory.list_tree(spark, [d if ":" in d else f"file:{d}"], ".parquet"))
+
+
+def _order_folders(spark, sf, listed):
     d = scratch_dir(spark, "s8")
     o = fx.read(spark, sf, "orders").withColumn("o_orderpriority", F.col("o_orderpriority"))
     o.hint("rebalance", "o_orderstatus", "o_orderpriority").write.partitionBy("o_orderstatus", "o_orderpriority").parquet(d)
-    inv = inventory.file_inventory(spark, d, ".parquet").where((F.col("length") > 0) & F.col("modificationTime").isNotNull())
+    inv = listed(d).where((F.col("length") > 0) & F.col("modificationTime").isNotNull())
     folder = F.regexp_extract(_relative(d)(F.col("path")), r"^(.*)/[^/]*$", 1)
     return inv.select(F.url_decode(F.replace(folder, F.lit("+"), F.lit("%2B"))).alias("folder")).distinct()
 

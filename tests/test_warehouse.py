@@ -87,3 +87,27 @@ def test_reads_of_one_store_with_different_settings_do_not_mix(spark):
     joined = region.join(nation.withColumnRenamed("n_regionkey", "r_regionkey"), "r_regionkey")
     assert joined.count() == 25 and joined.select("r_name").distinct().count() == 5
     assert spark.sparkContext._jsc.hadoopConfiguration().get("fs.viewfs.mounttable.t.link./x") is None
+
+
+# ---------------------------------------------------------------- listing in tasks
+
+def test_a_tree_listed_by_tasks_equals_the_index(spark, tmp_path):
+    from lakeload.sources.inventory import file_inventory, list_tree
+    for i in range(60):
+        folder = tmp_path / f"a{i % 4}" / f"b {i % 7}%41" / f"c{i}"
+        folder.mkdir(parents=True)
+        for j in range(50):
+            (folder / f"f{j}.txt").write_text("x" * (j + 1))
+        (folder / "_hidden").write_text("x")
+    (tmp_path / "top.csv").write_text("y")
+    (tmp_path / "empty").mkdir()
+    tree, index = list_tree(spark, [f"file:{tmp_path}"]), file_inventory(spark, str(tmp_path))
+    assert tree.count() == 3001 and tree.schema["modificationTime"].dataType == index.schema["modificationTime"].dataType
+    cut = lambda df: sorted((r["name"], r["length"], r["modificationTime"].replace(microsecond=0), r["path"].count("/")) for r in df.collect())
+    assert cut(tree) == cut(index)
+    assert {r[0] for r in tree.where("name = 'f1.txt'").select("path").collect()} == {f"file:{p}" for p in tmp_path.rglob("f1.txt")}
+    assert [r["name"] for r in list_tree(spark, [f"file:{tmp_path}"], ".csv").collect()] == ["top.csv"]
+    prefixes = spark.createDataFrame([(f"file:{tmp_path}/a{i}",) for i in range(4)], "path string")
+    assert list_tree(spark, prefixes).count() == 3000
+    (tmp_path / "empty" / "nothing.txt").touch()
+    assert rows(list_tree(spark, [f"file:{tmp_path}/empty"]), "name", "length") == [("nothing.txt", 0)]
