@@ -51,7 +51,7 @@ def cmd_upsert(a) -> None:
     spec = TableSpec.from_config(keys, common, casts=_json(a.casts) if a.casts else None, query_type=a.query_type)
     spec = TableSpec(**{**spec.__dict__, "partition_column": a.partition_column or (f"{spec.partition_field}_part"
                                                                    if spec.partition_field else None),
-                        "buckets": a.buckets or None})
+                        "buckets": a.buckets or None, "rewrite": a.rewrite})
     load = LoadSpec(audit_column=common.get("AUDIT_COLUMNS", "last_ingestion_utc_time"), zone=a.zone,
                     raw_partition_column=a.raw_partition_column or None, raw_partition_unit=a.raw_partition_unit)
     raw = spark.table(a.raw) if not a.raw.startswith(("/", "file:", "s3a:", "gs:", "hdfs:")) \
@@ -67,7 +67,8 @@ def cmd_upsert(a) -> None:
     else:
         res = run_upsert(spark, raw, a.snapshot, spec, load, a.start_run_id, a.end_run_id,
                          whole_table=a.whole_table)
-    print(json.dumps({"partitions": res.partitions, "rewritten_partitions": res.rewritten_partitions, "path": res.path}))
+    print(json.dumps({"partitions": res.partitions, "rewritten_partitions": res.rewritten_partitions, "path": res.path,
+                      "rewritten_files": len(res.files), "inserted": res.inserted}))
 
 
 def cmd_land(a) -> None:
@@ -116,6 +117,7 @@ def parser() -> argparse.ArgumentParser:
     u.add_argument("--partition_column", default="")
     u.add_argument("--buckets", type=int, default=0)
     u.add_argument("--path", default=None, help="location of a new bucketed snapshot table")
+    u.add_argument("--rewrite", default="partitions", choices=("partitions", "files"), help="what the merge rewrites of a path snapshot")
     u.add_argument("--zone", default="PST8PDT")
     u.add_argument("--raw_partition_column", default="", help="raw folder key derived from the audit column")
     u.add_argument("--raw_partition_unit", default="DAY")
