@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import gc
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,16 +23,6 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def release(spark: SparkSession) -> None:
-    """Let Spark drop what finished steps leave behind (shuffle files, broadcasts, task metrics).
-
-    Its cleaner acts when the driver collects garbage, which a driver with a large heap may not do between the
-    steps of a long operator.
-    """
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
-
-
 def dealt_once(df: DataFrame, parts: int, key: str) -> DataFrame:
     """``df`` hash-partitioned by ``key`` and checkpointed, so that later groupings by it need no shuffle.
 

@@ -1,12 +1,39 @@
-"""Connected components of links by alternating large and small stars, as joins and aggregates."""
+"""Connected components of links: in one task while they are few, else by alternating large and small stars."""
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from lakeload.llm.common import stored
 
+FEW = 1 << 21          # links that one task joins (32 MB of ids); beyond, joins and aggregates do
+
+
+def joined(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """All links in one task: smallest label around, taken over by whole trees, until nothing changes."""
+    pairs = [pdf.to_numpy(np.int64) for pdf in batches]
+    if not pairs:
+        return
+    nodes, ends = np.unique(np.concatenate(pairs), return_inverse=True)
+    a, b = ends.reshape(-1, 2).T
+    label = np.arange(len(nodes))
+    while True:
+        least = np.minimum(label[a], label[b])
+        new = label.copy()
+        for at in (a, b, label[a], label[b]):
+            np.minimum.at(new, at, least)
+        while (new[new] != new).any():
+            new = new[new]
+        if (new == label).all():
+            break
+        label = new
+    yield pd.DataFrame({"node": nodes, "root": nodes[label]})
+
 
 def _star(edges: DataFrame, small: bool) -> DataFrame:
     """(a, b), a > b: every node ties its larger (smaller) neighbours to the smallest one it knows."""
@@ -23,13 +50,18 @@ def _star(edges: DataFrame, small: bool) -> DataFrame:
     return tied.where("a <> b").distinct()
 
 
-def components(links: DataFrame) -> DataFrame:
-    """(node, root) for every node of ``links`` (a, b); the root is the smallest node of its component.
+def components(links: DataFrame, few: int = FEW) -> DataFrame:
+    """(node, root) for every node of ``links`` (a, b); the root is the smallest node of its component. The links are
+    a stored table, as they are read twice.
 
-    Each round shortens paths by a constant factor and is one job; a checksum observed while it writes tells
-    when nothing changes any more. Hubs are only ever aggregated (partial minima) or joined, never collected.
+    Of at most ``few`` links, a fixed number, one task takes all. Beyond it each round shortens paths by a constant factor and
+    is one job; a checksum observed while it writes tells when nothing changes any more. Hubs are only ever aggregated
+    (partial minima) or joined, never collected.
     """
-    edges = links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct()
+    links = links.where("a <> b")
+    if links.count() <= few:
+        return stored(links.coalesce(1).mapInPandas(joined, "node long, root long"), "components")
+    edges = links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
     seen = None
     while True:
         sums = Observation()
@@ -41,18 +73,3 @@ def components(links: DataFrame) -> DataFrame:
         seen = sums.get
     roots = edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
     return roots.unionByName(edges.select(F.col("b").alias("node"), F.col("b").alias("root"))).distinct()
-
-
-def nearby_roots(links: DataFrame, hops: int = 3) -> DataFrame:
-    """(node, root) by ``hops`` steps of taking the smallest label around, in one job.
-
-    Nodes with one root are connected; nodes far apart in one component may still differ. Enough where labels only
-    save work, as links mostly run from a node to a common head.
-    """
-    edges = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).where("a <> b").distinct()
-    roots = edges.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("root")).withColumn("root", F.least("node", "root"))
-    for _ in range(hops - 1):
-        own = roots.select(F.col("node").alias("b"), "root")
-        roots = (edges.join(own, "b").groupBy(F.col("a").alias("node")).agg(F.min("root").alias("root"))
-                 .withColumn("root", F.least("node", "root")))
-    return stored(roots, "nearby_roots")

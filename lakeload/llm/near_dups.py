@@ -13,22 +13,24 @@ next are later than every slot's minimum, so a text costs about its runs plus SL
 
 Bands. ``BANDS`` keys of ``ROWS`` slots each: a pair at likeness 0.8 shares no key with probability 3e-6.
 
-Links. Exact copies fall together first. Then every text of a key is compared with the key's head p only, the one that
-shares most keys with others, and what is linked so far forms classes. Keys of one class are done. In other keys a link
-between classes may still be missing:
+Links. Exact copies fall together first. Then every text of a key is compared with the key's head p only, its smallest
+number, and what is linked so far forms classes. Keys with one head go on as one group; groups of one class are done. In
+the others a link between classes may still be missing:
 
-* Let x and y be linked. Their sizes say how many runs they share at least, and of these no more lie within p than x, or
-  y, shares with p; so they share a known number of runs beyond p (0, if both are close to p).
-* In a key of at most ``PAIRWISE`` texts (a fixed block) this is tested pair by pair, across classes only, after sizes
-  and a sketch of the signatures (four bits a slot, six standard errors of room). What passes is compared.
-* In a larger key, it is enough to look at x's runs beyond p, rarest in the group first, all but that number less one:
-  linked texts have one of these in common and meet in a smaller group (p, run). Texts close to p are compared if both
-  are, which happens only if y is smaller than p. The smaller groups get heads in turn, and then the same test.
+* The comparison leaves the runs that x has beyond p (``more``) and those of p that it lacks (``less``). So what x and y share is
+  |p| less what either lacks, plus what both have beyond p: their likeness follows without their texts.
+* In a group of at most ``PAIRWISE`` texts (a fixed block) this is tested pair by pair, across classes only. What passes
+  is compared, as hashes of runs stand for runs here and a collision may only make a pair look more alike.
+* In a larger group, let x and y be linked. Their sizes say how many runs they share at least, and of these no more lie within
+  p than x, or y, shares with p; so they share a known number of runs beyond p (0, if both are close to p). Then it is enough to look at x's runs beyond p, rarest in the group first, all but that number less one:
+  linked texts have one of these in common and meet in a smaller group (p, run). Where all that x and y must share may lie
+  within p, both are close to p and y is smaller than it; these meet by ranges of their sizes and are tested as above. The smaller groups get heads in turn, and so on until none is larger than the
+  block; every step leaves a group's head behind.
 
-So every link between texts that share a key is found, or joins one class already, while no key emits its pairs.
+So every link between texts that share a key is found, or joins one class already, while no group emits its pairs.
 
-Verification counts the runs of words themselves, not hashes. Compressed texts are shuffled once, to the texts that
-have a candidate; heads that many texts share are split by adaptive skew joins.
+Verification counts the runs of words themselves, not hashes. Only texts that have a candidate are compared, and
+travel compressed; heads that many texts share are split by adaptive skew joins.
 
 Defined results: a NULL text counts as empty; empty texts are copies of each other; the class id is the smallest id
 of the class (NULL if all its ids are NULL); rows that repeat an id keep a row each; an empty table gives no rows;
@@ -45,11 +47,11 @@ import numpy as np
 import pandas as pd
 import xxhash
 import zstandard
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lakeload.llm.common import long_id, read_table, release, stored
-from lakeload.llm.components import components, nearby_roots
+from lakeload.llm.common import long_id, read_table, stored
+from lakeload.llm.components import components
 from lakeload.llm.wordhash import BASES, U, compressed, mix, powers, rolling, word_hashes
 
 RUN = 5
@@ -58,8 +60,6 @@ BANDS, ROWS = 32, 5
 SLOTS = BANDS * ROWS
 STEP = U(0x9E3779B97F4A7C15)
 PAIRWISE = 2048
-SKETCH = SLOTS // 16          # longs of 16 slots
-LEAST_EQUAL = 100             # of 160 slots; linked texts have 130 or more on average, with a standard error of 5
 
 
 def text_key(text):
@@ -117,30 +117,12 @@ def band_keys(signatures: np.ndarray, bands: int = BANDS) -> np.ndarray:
     return mix(mixed + np.arange(1, bands + 1, dtype=U)[None, :]).view(np.int64)
 
 
-def sketches(signatures: np.ndarray) -> np.ndarray:
-    """Four bits of each slot, sixteen slots a long."""
-    bits = mix(np.ascontiguousarray(signatures).view(U)) & U(15)
-    shifts = U(4) * np.arange(16, dtype=U)
-    return (bits.reshape(len(signatures), -1, 16) << shifts).sum(axis=2, dtype=U).view(np.int64)
-
-
-def equal_slots(a: str, b: str):
-    """How many slots of two sketches agree: slots less the nibbles that differ."""
-    differ = F.lit(0)
-    for i in range(SKETCH):
-        x = F.get(a, F.lit(i)).bitwiseXOR(F.get(b, F.lit(i)))
-        x = x.bitwiseOR(F.shiftrightunsigned(x, 1))
-        x = x.bitwiseOR(F.shiftrightunsigned(x, 2))
-        differ = differ + F.bit_count(x.bitwiseAND(F.lit(0x1111111111111111)))
-    return F.lit(SLOTS) - differ
-
-
 def signed(docs: DataFrame) -> DataFrame:
-    """(doc_id, k, size, keys, sketch) per row: text identity, number of runs, band keys (none for an empty text)."""
+    """(doc_id, k, size, keys) per row: text identity, number of runs, band keys (none for an empty text)."""
     rows = (docs.select(long_id().alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
             .select("doc_id", text_key(F.col("text")).alias("k"), "text"))
 
-    @F.pandas_udf("size long, keys array<long>, sketch array<long>")
+    @F.pandas_udf("size long, keys array<long>")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for texts in batches:
             distinct = list(dict.fromkeys(texts))       # copies within a batch are signed once
@@ -153,15 +135,13 @@ def signed(docs: DataFrame) -> DataFrame:
                     having.append(i)
                     signs.append(signature(runs, weights))
             keys: list = [[] for _ in distinct]
-            sketch: list = [[] for _ in distinct]
             if signs:
-                signs = np.array(signs)
-                for i, own, short in zip(having, band_keys(signs), sketches(signs)):
-                    keys[i], sketch[i] = own, short
+                for i, own in zip(having, band_keys(np.array(signs))):
+                    keys[i] = own
             place = {t: i for i, t in enumerate(distinct)}
             at = [place[t] for t in texts]
-            yield pd.DataFrame({"size": [sizes[i] for i in at], "keys": [keys[i] for i in at], "sketch": [sketch[i] for i in at]})
-    return rows.select("doc_id", "k", run("text").alias("s")).select("doc_id", "k", "s.size", "s.keys", "s.sketch")
+            yield pd.DataFrame({"size": [sizes[i] for i in at], "keys": [keys[i] for i in at]})
+    return rows.select("doc_id", "k", run("text").alias("s")).select("doc_id", "k", "s.size", "s.keys")
 
 
 def runs_of(text: bytes) -> Counter:
@@ -183,144 +163,129 @@ def beyond(x: Counter, p: Counter) -> list[int]:
             for run, n in x.items() if n > p[run] for i in range(p[run] + 1, n + 1)]
 
 
-def compared(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """(node, head, alike, shared, more) of the (node, head, wide) ``pairs``: likeness, runs in common, and, where
-    ``wide``, the node's runs beyond the head."""
+def compared(pairs: DataFrame, texts: DataFrame, wide: bool) -> DataFrame:
+    """The (node, head, ...) ``pairs`` with the outcome: likeness ``alike``, runs ``shared``, and, where ``wide``, the node's
+    runs beyond the head (``more``) and the head's that it lacks (``less``)."""
     left = texts.select("node", F.col("packed").alias("x"))
     right = texts.select(F.col("node").alias("head"), F.col("packed").alias("y"))
 
-    @F.pandas_udf("alike double, shared long, more array<long>")
-    def run(batches: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
+    @F.pandas_udf("alike double, shared long, more array<long>, less array<long>")
+    def run(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
         undo = zstandard.ZstdDecompressor()
 
         @lru_cache(maxsize=64)                           # heads come again and again
         def counted(packed: bytes) -> Counter:
             return runs_of(undo.decompress(packed))
-        for xs, ys, wides in batches:
+        for xs, ys in batches:
             out = []
-            for x, y, wide in zip(xs, ys, wides):
+            for x, y in zip(xs, ys):
                 node, head = counted(x), counted(y)
-                out.append((likeness(node, head), sum((node & head).values()), beyond(node, head) if wide else None))
-            yield pd.DataFrame(out, columns=["alike", "shared", "more"])
-    joined = pairs.join(left, "node").join(right, "head").select("node", "head", run("x", "y", "wide").alias("c"))
-    return joined.select("node", "head", "c.alike", "c.shared", "c.more")
-
-
-def with_heads(groups: DataFrame) -> DataFrame:
-    """(key, node, n, head) of (key, node, n) groups, without the heads' own rows; a key's head is its node with the
-    largest groups in sum."""
-    degrees = groups.groupBy("node").agg(F.sum("n").alias("degree"))
-    heads = groups.join(degrees, "node").groupBy("key").agg(F.max_by("node", F.struct(F.col("degree"), -F.col("node"))).alias("head"))
-    return groups.join(heads, "key").where("node <> head")
-
-
-def distinct_groups(groups: DataFrame) -> DataFrame:
-    """(key, node, n): one of the keys that hold the same set of nodes, of each set of at least two."""
-    sets = groups.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("node")).alias("s1"),
-                                     F.bit_xor(F.xxhash64("node", F.lit(1))).alias("s2"))
-    kept = sets.where("n > 1").groupBy("n", "s1", "s2").agg(F.min("key").alias("key")).select("key", "n")
-    return groups.join(kept, "key").select("key", "node", "n")
-
-
-def of_several_classes(groups: DataFrame, roots: DataFrame) -> DataFrame:
-    """The rows of (key, node, ...) ``groups`` whose key holds more than one class, with the node's ``root``."""
-    held = groups.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    split = held.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("key")
-    return held.join(split, "key")
-
-
-def pairs_across(held: DataFrame, facts: DataFrame, least: float) -> DataFrame:
-    """(node, head) pairs of different classes in the groups ``held`` (key, node, root, shared, more) that may be linked."""
-    rows = held.join(facts, "node").select("key", "node", "root", "size", "sketch", "shared", "more")
-    x, y = rows.alias("x"), rows.select(*[F.col(c).alias(f"{c}_") for c in rows.columns]).alias("y")
-    allowed = F.expr(f"key = key_ AND node < node_ AND root <> root_ AND size >= {least} * size_ AND size_ >= {least} * size")
-    needed = least / (1 + least) * (F.col("size") + F.col("size_")) - F.least("shared", "shared_") - 1e-9
-    beyond_head = F.size(F.array_intersect("more", "more_")) >= needed
-    return x.join(y, allowed & (equal_slots("sketch", "sketch_") >= LEAST_EQUAL) & beyond_head).select("node", F.col("node_").alias("head")).distinct()
-
-
-def beyond_heads(placed: DataFrame, seen: DataFrame, roots: DataFrame, facts: DataFrame, least: float) -> tuple[DataFrame, DataFrame]:
-    """For large groups with several classes: ((key, node, n) groups by run beyond the head, pairs with smaller texts)."""
-    sizes = facts.select("node", "size")
-    held = of_several_classes(placed.join(seen, ["node", "head"]), roots).join(sizes, "node")
-    held = held.join(sizes.select(F.col("node").alias("head"), F.col("size").alias("head_size")), "head")
-    least_size = held.groupBy("key").agg(F.least(F.min("size"), F.min("head_size")).alias("least_size"))
-    held = stored(held.join(least_size, "key"), "near_large")
+                sides = (beyond(node, head), beyond(head, node)) if wide else (None, None)
+                out.append((likeness(node, head), sum((node & head).values()), *sides))
+            yield pd.DataFrame(out, columns=["alike", "shared", "more", "less"])
+    joined = pairs.join(left, "node").join(right, "head").withColumn("c", run("x", "y"))
+    return joined.select(*pairs.columns, "c.alike", "c.shared", "c.more", "c.less")
+
+
+def with_heads(members: DataFrame) -> DataFrame:
+    """(node, head, size, head_size) of the groups (key, node, size), without the heads' own rows."""
+    heads = members.groupBy("key").agg(F.min(F.struct("node", "size")).alias("h"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    heads = heads.select("key", F.col("h.node").alias("head"), F.col("h.size").alias("head_size"))
+    placed = members.join(heads, "key").where("node <> head")
+    return placed.select("node", "head", "size", "head_size").distinct()
+
+
+def of_several_classes(seen: DataFrame, roots: DataFrame) -> DataFrame:
+    """The rows of ``seen`` whose head's group (of ``n``) holds more than one class, with the node's ``root``."""
+    held = seen.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    groups = held.groupBy("head").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count(F.lit(1)).alias("n"), F.min("size").alias("least_size"))
+    return held.join(groups.where("lo <> hi").select("head", "n", "least_size"), "head")
+
+
+def may_be_linked(least: float) -> Column:
+    """For two rows of one head (the second's columns end in ``_``): whether what they share reaches the likeness, first
+    by the numbers of runs that each has beyond the head and lacks of it, then by the runs themselves."""
+    needed = f"{least / (1 + least)} * (size + size_) - 1e-9"
+    sizes = f"root <> root_ AND size >= {least} * size_ AND size_ >= {least} * size"
+    numbers = f"head_size - greatest(size(less), size(less_)) + least(size(more), size(more_)) >= {needed}"
+    runs = f"""head_size - size(less) - size(less_) + size(array_intersect(less, less_)) + size(array_intersect(more, more_)) >= {needed}"""
+    return F.expr(f"{sizes} AND {numbers} AND {runs}")
+
+
+MEETING = ("node", "root", "size", "more", "less")
+
+
+def pairs_across(held: DataFrame, least: float) -> DataFrame:
+    """(node, head) pairs of different classes in the groups ``held`` that are linked, but for collisions of hashes."""
+    x = held.select("head", "head_size", *MEETING)
+    y = held.select(F.col("head").alias("head_"), *[F.col(c).alias(f"{c}_") for c in MEETING])
+    return x.join(y, F.expr("head = head_ AND node < node_") & may_be_linked(least)).select("node", F.col("node_").alias("head")).distinct()
+
+
+def beyond_heads(held: DataFrame, least: float) -> DataFrame:
+    """For large groups with several classes: their (key, node, size) groups by run beyond the head."""
     # linked texts share at least so many runs, and so many of them beyond the head
-    common = F.ceil(least / (1 + least) * (F.col("size") + F.greatest(F.col("least_size"), least * F.col("size"))) - 1e-9)
+    least_size = F.least("least_size", "head_size")
+    common = F.ceil(least / (1 + least) * (F.col("size") + F.greatest(least_size, least * F.col("size"))) - 1e-9)
     looks = F.size("more") - F.greatest(common - F.col("shared"), F.lit(1)) + 1
-    runs = held.select("key", "node", "root", looks.alias("looks"), F.explode("more").alias("run"))
-    often = runs.groupBy("key", "run").agg(F.count(F.lit(1)).alias("often"), F.min("root").alias("lo"), F.max("root").alias("hi"))
-    rarest = Window.partitionBy("key", "node").orderBy("often", "run")
-    runs = runs.join(often, ["key", "run"]).withColumn("place", F.row_number().over(rarest)).where("place <= looks AND lo <> hi")
-    runs = runs.select(F.xxhash64("key", "run").alias("key"), "node").distinct()
-    groups = distinct_groups(stored(runs, "near_runs"))
-
-    # what a link x - y within p implies for their likeness to p, y being smaller than p
-    x = held.where(F.col("alike") < least).select("key", "head_size", F.col("node").alias("x"), F.col("root").alias("xr"), F.col("size").alias("xs"), F.col("alike").alias("xa"))
-    y = held.where("size < head_size").select("key", F.col("node").alias("y"), F.col("root").alias("yr"), F.col("size").alias("ys"), F.col("alike").alias("ya"))
-    shared = least / (1 + least) * (F.col("xs") + F.col("ys"))
-    bound = lambda size: shared / (size + F.col("head_size") - shared) - 1e-9
-    near = x.join(y, "key").where((F.col("xr") != F.col("yr")) & (F.col("xa") >= bound(F.col("xs"))) & (F.col("ya") >= bound(F.col("ys")))
-                                  & (F.col("xs") >= least * F.col("ys")) & (F.col("ys") >= least * F.col("xs")))
-    return groups, near.select(F.least("x", "y").alias("node"), F.greatest("x", "y").alias("head")).distinct()
+    runs = held.select("head", "node", "size", "root", looks.alias("looks"), F.explode("more").alias("run"))
+    often = runs.groupBy("head", "run").agg(F.count(F.lit(1)).alias("often"), F.min("root").alias("lo"), F.max("root").alias("hi"))
+    rarest = Window.partitionBy("head", "node").orderBy("often", "run")
+    runs = runs.join(often, ["head", "run"]).withColumn("place", F.row_number().over(rarest)).where("place <= looks AND lo <> hi")
+    return runs.select(F.xxhash64("head", "run").alias("key"), "node", "size").distinct()
+
+
+def near_smaller_texts(held: DataFrame, least: float) -> DataFrame:
+    """For large groups: linked (node, head) pairs, both close to the group's head, of which one is smaller than it.
+
+    If all that x and y share lies within p, x is at least as like p as ``lowest`` says, and so is y. Sizes of linked texts
+    differ by the likeness at most, so they meet by the logarithm of their sizes.
+    """
+    lowest = least * F.col("size") / (F.col("size") + F.col("head_size") - least * F.col("size")) - 1e-9
+    close = held.where(F.col("alike") >= lowest).withColumn("level", F.floor(F.ln(F.col("size").cast("double")) / -float(np.log(least))).cast("int"))
+    x = close.where(F.col("alike") < least).select("head", "head_size", *MEETING, F.explode(F.array(*[F.col("level") + i for i in (-1, 0, 1)])).alias("level"))
+    y = close.where("size < head_size").select(F.col("head").alias("head_"), *[F.col(c).alias(f"{c}_") for c in MEETING], F.col("level").alias("level_"))
+    near = x.join(y, F.expr("head = head_ AND level = level_") & may_be_linked(least))
+    return near.select(F.least("node", "node_").alias("node"), F.greatest("node", "node_").alias("head")).distinct()
 
 
 def near_classes(docs: DataFrame, least: float = LIKENESS) -> DataFrame:
     """(doc_id, k, class_id, root) for every row; k identifies the text, root the class."""
     rows = stored(signed(docs), "near_signed")
-    texts = rows.groupBy("k").agg(F.min("doc_id").alias("doc_id"), *[F.first(c).alias(c) for c in ("size", "keys", "sketch")])
+    texts = rows.groupBy("k").agg(F.min("doc_id").alias("doc_id"), *[F.first(c).alias(c) for c in ("size", "keys")])
     texts = stored(texts.withColumn("node", F.monotonically_increasing_id()), "near_texts")
-    groups = stored(distinct_groups(texts.select("node", F.explode("keys").alias("key"))), "near_groups")
+    placed = stored(with_heads(texts.select("node", "size", F.explode("keys").alias("key"))), "near_placed")
 
-    # compressed texts of the candidates: the one shuffle of texts
-    wanted = texts.join(groups.select("node").distinct(), "node", "left_semi")
-    facts = stored(wanted.select("node", "size", "sketch"), "near_facts")
+    # compressed texts of the candidates
+    wanted = placed.select("node").union(placed.select("head")).distinct()
+    wanted = texts.select("k", "node").join(wanted, "node")
     source = docs.select(F.coalesce(F.col("text"), F.lit("")).alias("text")).select(text_key(F.col("text")).alias("k"), compressed(F.col("text")).alias("packed"))
-    packed = source.join(wanted.select("k", "node"), "k").groupBy("node").agg(F.first("packed").alias("packed"))
+    packed = source.join(wanted, "k").groupBy("node").agg(F.first("packed").alias("packed"))
     packed = stored(packed, "near_packed")
-    release(docs.sparkSession)
-
-    def linked(seen: DataFrame) -> DataFrame:
-        return seen.where(F.col("alike") >= least).select(F.col("node").alias("a"), F.col("head").alias("b"))
-
-    def around_heads(groups: DataFrame) -> tuple[DataFrame, DataFrame]:
-        """(placed, seen): who was compared with which head, and the outcome."""
-        placed = with_heads(groups).select("node", "head").distinct()     # keys with one head go on as one group
-        placed = stored(placed.withColumn("key", F.col("head")), "near_placed")
-        seen = stored(compared(placed.select("node", "head", F.lit(True).alias("wide")), packed), "near_seen")
-        release(docs.sparkSession)
-        return placed, seen
-
-    def pair_links(pairs: DataFrame) -> DataFrame:
-        seen = stored(compared(pairs.withColumn("wide", F.lit(False)), packed), "near_pairs")
-        release(docs.sparkSession)
-        return linked(seen)
-
-    placed, seen = around_heads(groups)
-    links = linked(seen)
-    roots = nearby_roots(links)
-    sizes = placed.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
-    placed = placed.join(sizes, "key")
-    small = of_several_classes(placed.where(F.col("n") <= PAIRWISE).join(seen, ["node", "head"]), roots)
-    large = placed.where(F.col("n") > PAIRWISE)
-    further, near = beyond_heads(large, seen, roots, facts, least)
-    further = stored(further, "near_groups")
-    release(docs.sparkSession)
-    links = links.unionByName(pair_links(pairs_across(small, facts, least).unionByName(near).distinct()))
-
-    if not further.isEmpty():
-        placed, seen = around_heads(further)
-        links = links.unionByName(linked(seen))
-        rest = of_several_classes(placed.join(seen, ["node", "head"]), nearby_roots(links))
-        links = links.unionByName(pair_links(pairs_across(rest, facts, least)))
+
+    links = None
+    while True:
+        seen = stored(compared(placed, packed, wide=True), "near_seen")
+        found = seen.where(F.col("alike") >= least).select(F.col("node").alias("a"), F.col("head").alias("b"))
+        links = found if links is None else links.unionByName(found)
+        held = stored(of_several_classes(seen, components(links)), "near_held")
+        large = held.where(F.col("n") > PAIRWISE)
+        more = not large.isEmpty()
+        pairs = pairs_across(held.where(F.col("n") <= PAIRWISE), least)
+        pairs = stored(pairs.unionByName(near_smaller_texts(large, least)).distinct() if more else pairs, "near_pairs")
+        if not pairs.isEmpty():
+            seen = stored(compared(pairs, packed, wide=False).select("node", "head", "alike"), "near_pairs_seen")
+            links = links.unionByName(seen.where(F.col("alike") >= least).select(F.col("node").alias("a"), F.col("head").alias("b")))
+        if not more:
+            break
+        placed = stored(with_heads(beyond_heads(large, least)), "near_placed")
     roots = components(links)
-    release(docs.sparkSession)
 
-    named = texts.select("k", "doc_id", "node").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    ids = named.groupBy("root").agg(F.min("doc_id").alias("class_id"))
-    return (rows.select("doc_id", "k").join(named.select("k", "root"), "k").join(ids, "root")
-            .select("doc_id", "k", "class_id", "root"))
+    named = roots.join(texts.select("node", "doc_id"), "node")
+    named = named.join(named.groupBy("root").agg(F.min("doc_id").alias("class_id")), "root").select("node", "root", "class_id")
+    every = texts.select("k", "node", F.col("doc_id").alias("own")).join(named, "node", "left")
+    every = every.select("k", F.coalesce("root", "node").alias("root"), F.when(F.col("root").isNull(), F.col("own")).otherwise(F.col("class_id")).alias("class_id"))
+    return rows.select("doc_id", "k").join(every, "k").select("doc_id", "k", "class_id", "root")
 
 
 def one_of_each(docs: DataFrame, classes: DataFrame) -> DataFrame:
