@@ -85,7 +85,8 @@ def _opened(doc):
     @F.pandas_udf("array<struct<path: array<string>, kind: string, value: string>>")
     def run(docs: pd.Series) -> pd.Series:
         return docs.map(_paths, na_action=None)
-    return run(doc)
+    # else the optimizer's filter on empty results would open each document a second time
+    return run.asNondeterministic()(doc)
 
 
 def attribute_paths(attrs: DataFrame, entity: str = "entity", layer: str = "layer",
