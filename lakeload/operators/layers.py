@@ -4,12 +4,15 @@ Each entity has one JSON attribute document per layer (system < source server <
 target server < logic < job < run). The documents become path rows
 ``(entity, layer, path, kind, value)`` - objects are entered, lists and scalars
 are leaves - and the winning value of a path is the one of the highest layer
-(``max_by`` per (entity, path), a partial aggregate). A path that is an object in
+(``max_by`` per (entity, path)). A path that is an object in
 one layer and a leaf in another is a conflict (L2).
 
 A path is an array of keys, so a key that holds a dot stays one key. Documents are parsed once, in Arrow batches, by
 Python's JSON reader, whose rule for repeated keys (the last one wins) is the reference's; numbers keep their text. All
-paths of all levels come from that one pass, and resolution and conflicts are one aggregate each.
+paths of all levels come from that one pass, and resolution and conflicts are one aggregate each. The path rows are dealt
+out by (entity, path) as they come: an aggregate before the shuffle would find next to no rows to merge (a path is once
+in a document, an entity has a document per layer), and would sort all that a task opens. Documents are small beside
+their paths, so a task opens far more than it reads.
 
 A document that is NULL or no object has no paths. One that is no JSON (or nests deeper than the reader goes) has none
 either; ``layer_conflicts`` reports it.
@@ -25,6 +28,7 @@ from pyspark.sql import functions as F
 
 # Layer order of the reference's attribute merge, lowest first.
 LAYER_ORDER = ("system", "source_server", "target_server", "logic", "job", "run")
+PARTITIONS = 200           # of path rows, at least; up to as many, tasks write them without sorting or holding them
 
 
 def layer_rank(name_col) -> F.Column:
@@ -97,6 +101,13 @@ def attribute_paths(attrs: DataFrame, entity: str = "entity", layer: str = "laye
     return rows.select("entity", "layer", F.inline("rows"))
 
 
+def _by_path(paths: DataFrame) -> DataFrame:
+    """Path rows dealt out for an aggregate per (entity, path). The number of partitions is fixed: where Spark chose it
+    by the compressed size of rows so alike, a task would get many times that to sort."""
+    n = max(PARTITIONS, int(paths.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    return paths.repartition(n, "entity", "path")
+
+
 def resolve_layers(attrs: DataFrame, **kw) -> DataFrame:
     """L1: per entity and leaf path, the value of the highest layer holding it.
     Later layers replace lists whole; objects merge key by key. An object that is
@@ -104,7 +115,7 @@ def resolve_layers(attrs: DataFrame, **kw) -> DataFrame:
     leaf, bare = F.col("kind").isin("list", "scalar"), F.col("value") == "{}"
     filled = (F.col("kind") == "object") & ~bare
     at = lambda rows: F.when(rows, F.col("layer"))
-    best = attribute_paths(attrs, **kw).where("kind <> 'error'").groupBy("entity", "path").agg(
+    best = _by_path(attribute_paths(attrs, **kw).where("kind <> 'error'")).groupBy("entity", "path").agg(
         F.max_by(F.struct("value"), at(leaf)).alias("v"), F.max(at(leaf)).alias("leaf"),
         F.max(at((F.col("kind") == "object") & bare)).alias("bare"), F.count_if(filled).alias("filled"))
     empty = (F.col("filled") == 0) & F.col("bare").isNotNull() & (F.col("leaf").isNull() | (F.col("bare") > F.col("leaf")))
@@ -116,7 +127,7 @@ def resolve_layers(attrs: DataFrame, **kw) -> DataFrame:
 def layer_conflicts(attrs: DataFrame, **kw) -> DataFrame:
     """L2: (entity, path, error) where a mapping meets a non-mapping in another layer, and, with an empty path, where a
     document is no JSON."""
-    kinds = attribute_paths(attrs, **kw).groupBy("entity", "path").agg(
+    kinds = _by_path(attribute_paths(attrs, **kw)).groupBy("entity", "path").agg(
         F.count_if(F.col("kind") == "object").alias("objects"), F.count_if(F.col("kind").isin("list", "scalar")).alias("leaves"),
         F.array_join(F.array_sort(F.collect_set(F.when(F.col("kind") == "error", F.col("layer")))), ", ").alias("broken"))
     error = F.when(F.col("broken") != "", F.concat(F.lit("no JSON document in layer "), F.col("broken")))

@@ -318,6 +318,17 @@ def test_resolving_layers_is_one_job_whatever_the_depth(spark):
     assert rows(plan, "path") == [([f"k{i}" for i in range(1, 41)],)]
 
 
+def test_paths_of_layers_are_neither_sorted_nor_held_before_the_shuffle(spark):
+    docs = [(i, j, json.dumps({"a": {f"k{n}": n * j for n in range(20)}, "b": [i]})) for i in range(300) for j in range(3)]
+    attrs = spark.createDataFrame(docs, "entity int, layer int, attributes string").coalesce(1)
+    for resolved in (layers.resolve_layers(attrs), layers.layer_conflicts(attrs)):
+        after, before = resolved._jdf.queryExecution().executedPlan().toString().split("Exchange")
+        assert "Sort" not in before and "Aggregate" not in before and "Aggregate" in after
+        assert resolved.rdd.getNumPartitions() >= layers.PARTITIONS
+    got = layers.resolve_layers(attrs)
+    assert got.count() == 300 * 21 and got.where("path[0] = 'a' AND value = cast(2 * cast(substr(path[1], 2) AS int) AS string) AND layer = 2").count() == 300 * 20
+
+
 def test_header_rows_with_files_split_across_tasks(spark):
     d = scratch_dir(spark, "t_split")
     df = spark.createDataFrame([(str(i), "x" * 20) for i in range(400)], "a string, b string").repartition(2)
