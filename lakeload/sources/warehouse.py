@@ -1,7 +1,9 @@
 """A warehouse as a Spark data source (S6, K8): format ``lakeload_warehouse``.
 
 The warehouse is a folder of parquet tables that a SQL engine of its own (DuckDB, within the task) answers queries
-on, as a warehouse connector's remote side does: the source query runs there, Spark receives Arrow batches of its result.
+on, as a warehouse connector's remote side does: the source query runs there, Spark receives Arrow batches of its result
+while the engine makes them. What a task holds does not grow with the rows it reads: the engine works within ``TASK_MEMORY``
+and puts what is beyond (one side of a join, groups, sorted rows) on the task's own disk.
 
 Options: ``database`` (the folder, which driver and executors share), ``query`` or ``dbtable``; for a read in parts
 ``partitionColumn`` (a whole number) and ``numPartitions``, cut at equal ranges of its values, NULL in the first; for a
@@ -15,7 +17,9 @@ from __future__ import annotations
 
 import os
 import shutil
+import tempfile
 import uuid
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 from typing import Iterable, Iterator, Sequence
 
@@ -28,7 +32,7 @@ from pyspark.sql.pandas.types import from_arrow_schema, to_arrow_schema
 
 FORMAT = "lakeload_warehouse"
 BATCH_ROWS = 10_000
-TASK_MEMORY = "1GB"          # of the engine within one task
+TASK_MEMORY = "300MB"        # of the engine within one task; an executor's tasks have as much each at a time
 OPERATORS = {ds.EqualTo: "=", ds.GreaterThan: ">", ds.GreaterThanOrEqual: ">=", ds.LessThan: "<", ds.LessThanOrEqual: "<=",
              ds.EqualNullSafe: "IS NOT DISTINCT FROM"}
 
@@ -46,16 +50,18 @@ def _folder(options) -> str:
     return options["database"].removeprefix("file://").rstrip("/")
 
 
+@contextmanager
 def _connect(folder: str):
-    """The engine with a view per table of the folder."""
+    """The engine with a view per table of the folder, and a place of its own on disk."""
     import duckdb
-    con = duckdb.connect(config={"threads": 1, "memory_limit": TASK_MEMORY})
-    for name in sorted(os.listdir(folder)):
-        table, ending = os.path.splitext(name)
-        if ending == ".parquet" and not name.startswith(("_", ".")):
-            at = f"{folder}/{name}" + ("/*.parquet" if os.path.isdir(f"{folder}/{name}") else "")
-            con.execute(f"CREATE VIEW {_name(table)} AS SELECT * FROM read_parquet('{at}')")
-    return con
+    with tempfile.TemporaryDirectory(prefix="lakeload-warehouse-") as spill, \
+            duckdb.connect(config={"threads": 1, "memory_limit": TASK_MEMORY, "temp_directory": spill}) as con:
+        for name in sorted(os.listdir(folder)):
+            table, ending = os.path.splitext(name)
+            if ending == ".parquet" and not name.startswith(("_", ".")):
+                at = f"{folder}/{name}" + ("/*.parquet" if os.path.isdir(f"{folder}/{name}") else "")
+                con.execute(f"CREATE VIEW {_name(table)} AS SELECT * FROM read_parquet('{at}')")
+        yield con
 
 
 def _name(column: str) -> str:
@@ -130,8 +136,10 @@ class WarehouseReader(ds.DataSourceReader):
         return f"SELECT * FROM ({self.query}) q" + (" WHERE " + " AND ".join(terms) if terms else ""), values
 
     def read(self, partition: Part) -> Iterator[pa.RecordBatch]:
+        sql, values = self.statement(partition)
         with _connect(self.folder) as con:
-            for batch in con.execute(*self.statement(partition)).to_arrow_reader(BATCH_ROWS):
+            # a relation's rows come as they are made; execute() would first hold the whole result, whatever the limit
+            for batch in con.sql(sql, params=values).to_arrow_reader(BATCH_ROWS):
                 yield pa.RecordBatch.from_arrays([a.cast(f.type) for a, f in zip(batch.columns, self.schema)], schema=self.schema)
 
 

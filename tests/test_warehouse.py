@@ -50,6 +50,30 @@ def test_filters_run_in_the_source_and_nulls_are_in_one_part(spark, fmt, parts):
     assert reader.statement(warehouse.Part()) == (f'SELECT * FROM ({query}) q WHERE "n" = ? AND NOT ("k" IS NULL)', [3])
 
 
+def test_rows_come_while_the_engine_makes_them():
+    query = "SELECT CASE WHEN n < 400000 THEN n ELSE error('too late') END AS n FROM range(500000) t(n)"
+    schema = warehouse.T.StructType([warehouse.T.StructField("n", warehouse.T.LongType())])
+    got = warehouse.WarehouseReader({"database": SF, "query": query}, schema).read(warehouse.Part("n >= ?", [5]))
+    first = next(got)
+    assert 0 < first.num_rows <= warehouse.BATCH_ROWS and first.column(0)[0].as_py() == 5
+    with pytest.raises(Exception, match="too late"):
+        for _ in got:
+            pass
+
+
+def test_what_a_task_has_no_memory_for_goes_to_its_own_disk(monkeypatch, tmp_path):
+    monkeypatch.setattr(warehouse, "TASK_MEMORY", "60MB")
+    monkeypatch.setattr(warehouse.tempfile, "tempdir", str(tmp_path))
+    query = "SELECT n, v FROM (SELECT (n * 7919) % 1000003 AS n, repeat(md5(n::VARCHAR), 4) AS v FROM range(1000003) t(n)) ORDER BY n"
+    schema = warehouse.T.StructType([warehouse.T.StructField("n", warehouse.T.LongType()), warehouse.T.StructField("v", warehouse.T.StringType())])
+    reader, used, n = warehouse.WarehouseReader({"database": SF, "query": query}, schema), [], 0
+    for batch in reader.read(warehouse.Part()):
+        assert batch.column(0).to_pylist() == list(range(n, n + batch.num_rows))
+        n += batch.num_rows
+        used = used or [f for f in tmp_path.rglob("*") if f.is_file()]
+    assert n == 1000003 and used and not list(tmp_path.iterdir())
+
+
 def test_tables_are_copied_replaced_and_appended(spark, fmt):
     db = local(spark, "t_db")
     source = {"database": SF, "dbtable": "nation"}
