@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 # Layer order of the reference's attribute merge, lowest first.
 LAYER_ORDER = ("system", "source_server", "target_server", "logic", "job", "run")
-PARTITIONS = 200           # of path rows, at least; up to as many, tasks write them without sorting or holding them
+PARTITIONS = 200           # of path rows; up to as many (spark.shuffle.sort.bypassMergeThreshold), tasks write them without sorting or holding them
 
 
 def layer_rank(name_col) -> F.Column:
@@ -104,8 +104,7 @@ def attribute_paths(attrs: DataFrame, entity: str = "entity", layer: str = "laye
 def _by_path(paths: DataFrame) -> DataFrame:
     """Path rows dealt out for an aggregate per (entity, path). The number of partitions is fixed: where Spark chose it
     by the compressed size of rows so alike, a task would get many times that to sort."""
-    n = max(PARTITIONS, int(paths.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    return paths.repartition(n, "entity", "path")
+    return paths.repartition(PARTITIONS, "entity", "path")
 
 
 def resolve_layers(attrs: DataFrame, **kw) -> DataFrame:
