@@ -13,24 +13,17 @@ next are later than every slot's minimum, so a text costs about its runs plus SL
 
 Bands. ``BANDS`` keys of ``ROWS`` slots each: a pair at likeness 0.8 shares no key with probability 3e-6.
 
-Links. Exact copies fall together first. Then every text of a key is compared with the key's head p only, its smallest
-number, and what is linked so far forms classes. Keys with one head go on as one group; groups of one class are done. In
-the others a link between classes may still be missing:
-
-* The comparison leaves the runs that x has beyond p (``more``) and those of p that it lacks (``less``). So what x and y share is
-  |p| less what either lacks, plus what both have beyond p: their likeness follows without their texts.
-* In a group of at most ``PAIRWISE`` texts (a fixed block) this is tested pair by pair, across classes only. What passes
-  is compared, as hashes of runs stand for runs here and a collision may only make a pair look more alike.
-* In a larger group, let x and y be linked. Their sizes say how many runs they share at least, and of these no more lie within
-  p than x, or y, shares with p; so they share a known number of runs beyond p (0, if both are close to p). Then it is enough to look at x's runs beyond p, rarest in the group first, all but that number less one:
-  linked texts have one of these in common and meet in a smaller group (p, run). Where all that x and y must share may lie
-  within p, both are close to p and y is smaller than it; these meet by ranges of their sizes and are tested as above. The smaller groups get heads in turn, and so on until none is larger than the
-  block; every step leaves a group's head behind.
+Links. Exact copies fall together first. Keys with the same head, which is their smallest number, go on as one group, whose texts travel
+compressed. One task takes a group: it numbers the runs of words, compares every text with the head, and lets those that are not
+linked to it meet the others by their runs beyond the head (``near_groups``). It needs one link for every two classes that
+it joins, so a group gives fewer links than it has texts, however many pairs are linked.
 
-So every link between texts that share a key is found, or joins one class already, while no group emits its pairs.
+A group of more than a fixed block goes in parts of about a block, each with the head. After that, only the texts outside the group's
+largest class (of all links so far) meet the other parts, again a block of them with a part at a time. So tasks keep to two
+blocks, and there are no further rounds.
 
-Verification counts the runs of words themselves, not hashes. Only texts that have a candidate are compared, and
-travel compressed; heads that many texts share are split by adaptive skew joins.
+So every link between texts that share a key is found, or joins one class already, while no group emits its pairs.
+Verification counts the runs of words themselves, not hashes.
 
 Defined results: a NULL text counts as empty; empty texts are copies of each other; the class id is the smallest id
 of the class (NULL if all its ids are NULL); rows that repeat an id keep a row each; an empty table gives no rows;
@@ -41,17 +34,15 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pandas as pd
-import xxhash
-import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lakeload.llm.common import long_id, read_table, stored
 from lakeload.llm.components import components
+from lakeload.llm.near_groups import group_links
 from lakeload.llm.wordhash import BASES, U, compressed, mix, powers, rolling, word_hashes
 
 RUN = 5
@@ -59,7 +50,8 @@ LIKENESS = 0.8
 BANDS, ROWS = 32, 5
 SLOTS = BANDS * ROWS
 STEP = U(0x9E3779B97F4A7C15)
-PAIRWISE = 2048
+PAIRWISE = 1 << 13     # texts, and runs of all of them, that a part of a group has at most, but for chance
+ROOM = 1 << 21
 
 
 def text_key(text):
@@ -157,36 +149,6 @@ def likeness(a: Counter, b: Counter) -> float:
     return both / every if every else 1.0
 
 
-def beyond(x: Counter, p: Counter) -> list[int]:
-    """Hashes of x's runs (with their occurrence) that p lacks."""
-    return [xxhash.xxh64_intdigest(b" ".join(run), seed=i) - (1 << 63)
-            for run, n in x.items() if n > p[run] for i in range(p[run] + 1, n + 1)]
-
-
-def compared(pairs: DataFrame, texts: DataFrame, wide: bool) -> DataFrame:
-    """The (node, head, ...) ``pairs`` with the outcome: likeness ``alike``, runs ``shared``, and, where ``wide``, the node's
-    runs beyond the head (``more``) and the head's that it lacks (``less``)."""
-    left = texts.select("node", F.col("packed").alias("x"))
-    right = texts.select(F.col("node").alias("head"), F.col("packed").alias("y"))
-
-    @F.pandas_udf("alike double, shared long, more array<long>, less array<long>")
-    def run(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
-        undo = zstandard.ZstdDecompressor()
-
-        @lru_cache(maxsize=64)                           # heads come again and again
-        def counted(packed: bytes) -> Counter:
-            return runs_of(undo.decompress(packed))
-        for xs, ys in batches:
-            out = []
-            for x, y in zip(xs, ys):
-                node, head = counted(x), counted(y)
-                sides = (beyond(node, head), beyond(head, node)) if wide else (None, None)
-                out.append((likeness(node, head), sum((node & head).values()), *sides))
-            yield pd.DataFrame(out, columns=["alike", "shared", "more", "less"])
-    joined = pairs.join(left, "node").join(right, "head").withColumn("c", run("x", "y"))
-    return joined.select(*pairs.columns, "c.alike", "c.shared", "c.more", "c.less")
-
-
 def with_heads(members: DataFrame) -> DataFrame:
     """(node, head, size, head_size) of the groups (key, node, size), without the heads' own rows."""
     heads = members.groupBy("key").agg(F.min(F.struct("node", "size")).alias("h"), F.count(F.lit(1)).alias("n")).where("n > 1")
@@ -195,58 +157,49 @@ def with_heads(members: DataFrame) -> DataFrame:
     return placed.select("node", "head", "size", "head_size").distinct()
 
 
-def of_several_classes(seen: DataFrame, roots: DataFrame) -> DataFrame:
-    """The rows of ``seen`` whose head's group (of ``n``) holds more than one class, with the node's ``root``."""
-    held = seen.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    groups = held.groupBy("head").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count(F.lit(1)).alias("n"), F.min("size").alias("least_size"))
-    return held.join(groups.where("lo <> hi").select("head", "n", "least_size"), "head")
-
+def dealt_rows(rows: DataFrame, packed: DataFrame, least: float) -> DataFrame:
+    """Links (a, b) found in the groups of ``rows``; ``i`` and ``j`` hold the parts of its group that a row goes to."""
+    rows = rows.join(packed, "node").withColumn("i", F.explode("i")).withColumn("j", F.explode("j"))
+    rows = rows.repartition("head", "i", "j").sortWithinPartitions("head", "i", "j", "node")
+    return rows.select("head", "i", "j", "node", "label", "main", "turn", "size", "packed").mapInPandas(group_links(RUN, least), "a long, b long")
 
-def may_be_linked(least: float) -> Column:
-    """For two rows of one head (the second's columns end in ``_``): whether what they share reaches the likeness, first
-    by the numbers of runs that each has beyond the head and lacks of it, then by the runs themselves."""
-    needed = f"{least / (1 + least)} * (size + size_) - 1e-9"
-    sizes = f"root <> root_ AND size >= {least} * size_ AND size_ >= {least} * size"
-    numbers = f"head_size - greatest(size(less), size(less_)) + least(size(more), size(more_)) >= {needed}"
-    runs = f"""head_size - size(less) - size(less_) + size(array_intersect(less, less_)) + size(array_intersect(more, more_)) >= {needed}"""
-    return F.expr(f"{sizes} AND {numbers} AND {runs}")
 
+def parts(n: str, runs: str) -> Column:
+    return F.expr(f"cast(greatest(ceil({n} / {PAIRWISE}), ceil({runs} / {ROOM})) as int)")
 
-MEETING = ("node", "root", "size", "more", "less")
 
+def part_of(count: str, seed: int) -> Column:
+    return F.pmod(F.xxhash64("node", F.lit(seed)), F.col(count)).cast("int")
 
-def pairs_across(held: DataFrame, least: float) -> DataFrame:
-    """(node, head) pairs of different classes in the groups ``held`` that are linked, but for collisions of hashes."""
-    x = held.select("head", "head_size", *MEETING)
-    y = held.select(F.col("head").alias("head_"), *[F.col(c).alias(f"{c}_") for c in MEETING])
-    return x.join(y, F.expr("head = head_ AND node < node_") & may_be_linked(least)).select("node", F.col("node_").alias("head")).distinct()
 
+def every(count: str) -> Column:
+    return F.sequence(F.lit(0), F.col(count) - 1)
 
-def beyond_heads(held: DataFrame, least: float) -> DataFrame:
-    """For large groups with several classes: their (key, node, size) groups by run beyond the head."""
-    # linked texts share at least so many runs, and so many of them beyond the head
-    least_size = F.least("least_size", "head_size")
-    common = F.ceil(least / (1 + least) * (F.col("size") + F.greatest(least_size, least * F.col("size"))) - 1e-9)
-    looks = F.size("more") - F.greatest(common - F.col("shared"), F.lit(1)) + 1
-    runs = held.select("head", "node", "size", "root", looks.alias("looks"), F.explode("more").alias("run"))
-    often = runs.groupBy("head", "run").agg(F.count(F.lit(1)).alias("often"), F.min("root").alias("lo"), F.max("root").alias("hi"))
-    rarest = Window.partitionBy("head", "node").orderBy("often", "run")
-    runs = runs.join(often, ["head", "run"]).withColumn("place", F.row_number().over(rarest)).where("place <= looks AND lo <> hi")
-    return runs.select(F.xxhash64("head", "run").alias("key"), "node", "size").distinct()
 
+def links_in_parts(placed: DataFrame, groups: DataFrame, packed: DataFrame, least: float) -> DataFrame:
+    """Links within each part of each group, and with the head; a group of at most a block is one part."""
+    own = placed.join(groups.select("head", "m"), "head").select("head", "node", "size", F.array(part_of("m", 1)).alias("j"))
+    heads = groups.select("head", F.col("head").alias("node"), F.col("head_size").alias("size"), every("m").alias("j"))
+    rows = own.unionByName(heads).withColumns({"i": F.array(F.lit(0)), "label": F.col("node"), "main": F.col("head"), "turn": F.lit(True)})
+    return dealt_rows(rows, packed, least)
 
-def near_smaller_texts(held: DataFrame, least: float) -> DataFrame:
-    """For large groups: linked (node, head) pairs, both close to the group's head, of which one is smaller than it.
 
-    If all that x and y share lies within p, x is at least as like p as ``lowest`` says, and so is y. Sizes of linked texts
-    differ by the likeness at most, so they meet by the logarithm of their sizes.
-    """
-    lowest = least * F.col("size") / (F.col("size") + F.col("head_size") - least * F.col("size")) - 1e-9
-    close = held.where(F.col("alike") >= lowest).withColumn("level", F.floor(F.ln(F.col("size").cast("double")) / -float(np.log(least))).cast("int"))
-    x = close.where(F.col("alike") < least).select("head", "head_size", *MEETING, F.explode(F.array(*[F.col("level") + i for i in (-1, 0, 1)])).alias("level"))
-    y = close.where("size < head_size").select(F.col("head").alias("head_"), *[F.col(c).alias(f"{c}_") for c in MEETING], F.col("level").alias("level_"))
-    near = x.join(y, F.expr("head = head_ AND level = level_") & may_be_linked(least))
-    return near.select(F.least("node", "node_").alias("node"), F.greatest("node", "node_").alias("head")).distinct()
+def links_across_parts(placed: DataFrame, groups: DataFrame, packed: DataFrame, roots: DataFrame, least: float) -> DataFrame:
+    """Links between the parts of the groups that have several: the texts outside a group's largest class meet every part."""
+    held = placed.join(groups.where("m > 1").select("head", "m"), "head").join(roots, "node", "left").withColumn("label", F.coalesce("root", "node"))
+    held = stored(held.select("head", "node", "size", "label", "m", "head_size"), "near_held")
+    classes = held.groupBy("head", "label").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("runs"))
+    classes = classes.groupBy("head").agg(F.max(F.struct("n", "label")).alias("most"), (F.sum("n") - F.max("n")).alias("strays"),
+                                          (F.sum("runs") - F.max(F.struct("n", "label", "runs"))["runs"]).alias("runs"))
+    classes = classes.where("strays > 0").select("head", F.col("most.label").alias("main"), parts("strays", "runs").alias("k"))
+    held = held.join(classes, "head")
+    strays = held.where("label <> main").select("*", F.array(part_of("k", 2)).alias("i"), every("m").alias("j"), F.lit(True).alias("turn"))
+    others = held.select("*", every("k").alias("i"), F.array(part_of("m", 1)).alias("j"), F.lit(False).alias("turn"))
+    heads = held.groupBy("head").agg(*[F.first(c).alias(c) for c in ("m", "k", "main", "head_size")]).join(roots.select(F.col("node").alias("head"), "root"), "head", "left")
+    heads = heads.select("head", F.col("head").alias("node"), F.col("head_size").alias("size"), F.coalesce("root", "head").alias("label"), "main",
+                         every("k").alias("i"), every("m").alias("j"), F.lit(False).alias("turn"))
+    columns = heads.columns
+    return dealt_rows(heads.unionByName(strays.select(columns)).unionByName(others.select(columns)), packed, least)
 
 
 def near_classes(docs: DataFrame, least: float = LIKENESS) -> DataFrame:
@@ -263,23 +216,13 @@ def near_classes(docs: DataFrame, least: float = LIKENESS) -> DataFrame:
     packed = source.join(wanted, "k").groupBy("node").agg(F.first("packed").alias("packed"))
     packed = stored(packed, "near_packed")
 
-    links = None
-    while True:
-        seen = stored(compared(placed, packed, wide=True), "near_seen")
-        found = seen.where(F.col("alike") >= least).select(F.col("node").alias("a"), F.col("head").alias("b"))
-        links = found if links is None else links.unionByName(found)
-        held = stored(of_several_classes(seen, components(links)), "near_held")
-        large = held.where(F.col("n") > PAIRWISE)
-        more = not large.isEmpty()
-        pairs = pairs_across(held.where(F.col("n") <= PAIRWISE), least)
-        pairs = stored(pairs.unionByName(near_smaller_texts(large, least)).distinct() if more else pairs, "near_pairs")
-        if not pairs.isEmpty():
-            seen = stored(compared(pairs, packed, wide=False).select("node", "head", "alike"), "near_pairs_seen")
-            links = links.unionByName(seen.where(F.col("alike") >= least).select(F.col("node").alias("a"), F.col("head").alias("b")))
-        if not more:
-            break
-        placed = stored(with_heads(beyond_heads(large, least)), "near_placed")
+    groups = placed.groupBy("head").agg(F.first("head_size").alias("head_size"), F.count(F.lit(1)).alias("n"), F.sum("size").alias("runs"))
+    groups = stored(groups.select("head", "head_size", parts("n", "runs").alias("m")), "near_groups")
+    links = stored(links_in_parts(placed, groups, packed, least), "near_links")
     roots = components(links)
+    if not groups.where("m > 1").isEmpty():
+        links = links.unionByName(stored(links_across_parts(placed, groups, packed, roots, least), "near_links"))
+        roots = components(links)
 
     named = roots.join(texts.select("node", "doc_id"), "node")
     named = named.join(named.groupBy("root").agg(F.min("doc_id").alias("class_id")), "root").select("node", "root", "class_id")

@@ -234,6 +234,40 @@ def test_classes_do_not_depend_on_the_block(spark, monkeypatch, block, few):
     assert {r.doc_id: r.class_id for r in got} == dict(enumerate(label))
 
 
+def test_large_groups_take_no_further_rounds(spark, monkeypatch):
+    tables = []
+    stored = near_dups.stored
+    monkeypatch.setattr(near_dups, "stored", lambda df, name: tables.append(name) or stored(df, name))
+    monkeypatch.setattr(near_dups, "PAIRWISE", 3)
+    texts = chained_copies(np.random.default_rng(9), 90)
+    got = near_dups.near_classes(spark.createDataFrame([*enumerate(texts)], "doc_id long, text string")).collect()
+    assert len(got) == 90 and len(tables) <= 8
+
+
+def test_links_of_a_group_join_its_classes_and_are_fewer_than_its_texts():
+    from lakeload.llm import near_groups
+
+    rng = np.random.default_rng(4)
+    for trial in range(60):
+        texts = chained_copies(rng, int(rng.integers(2, 30))) + ["one two"] * (trial % 3) + ["a b c d e " * int(rng.integers(1, 30)) for _ in range(trial % 7)]
+        counts = [near_dups.runs_of(t.encode()) for t in texts]
+        n = len(texts)
+
+        def joined(links):
+            label = np.arange(n)
+            for _ in range(n):
+                for i, j in links:
+                    label[i] = label[j] = min(label[i], label[j])
+            return label.tolist()
+        numbers, bounds = near_groups.run_numbers([t.encode() for t in texts], near_dups.RUN)
+        for i in range(n):
+            for j in range(i):
+                assert len(set(numbers[bounds[i]:bounds[i + 1]]) & set(numbers[bounds[j]:bounds[j + 1]])) == sum((counts[i] & counts[j]).values())
+        links = near_groups.joining_links(numbers, np.diff(bounds), np.arange(n), np.ones(n, bool), 0, near_dups.LIKENESS)
+        assert len(links) < n and all(near_dups.likeness(counts[i], counts[j]) >= near_dups.LIKENESS for i, j in links)
+        assert joined(links) == joined([(i, j) for i in range(n) for j in range(i) if near_dups.likeness(counts[i], counts[j]) >= near_dups.LIKENESS])
+
+
 @pytest.mark.parametrize("few", [0, 1 << 21])
 def test_components_in_one_task_and_by_stars_agree(spark, few):
     rng = np.random.default_rng(2)
